@@ -23,8 +23,6 @@ def raise_conventions(value: Column, minor: int = MIN_MINOR) -> Column:
 
     Entries are separated by commas, or by blanks where there is no comma.
     """
-    separator = F.when(value.contains(","), F.lit(",")).otherwise(F.lit(" "))
-
     def lift(entry: Column) -> Column:
         found = F.regexp_extract(entry, r"CF-1\.(\d+)", 1).cast("int")
         return F.when(
@@ -36,8 +34,10 @@ def raise_conventions(value: Column, minor: int = MIN_MINOR) -> Column:
             ),
         ).otherwise(entry)
 
-    entries = F.when(value.contains(","), F.split(value, ",")).otherwise(F.split(value, " "))
-    return F.array_join(F.transform(entries, lift), separator)
+    def joined(by: str) -> Column:
+        return F.array_join(F.transform(F.split(value, by), lift), by)
+
+    return F.when(value.contains(","), joined(",")).otherwise(joined(" "))
 
 
 def parse_features(text: Column) -> Column:

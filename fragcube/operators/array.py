@@ -175,7 +175,7 @@ class Variable:
         kept = [d for d in dims if not (d in self.picks and self.picks[d].scalar)]
         return placed.select(*kept, self.name)
 
-    def reduce(self, how: str, *over: str) -> DataFrame:
+    def reduce(self, how: str | list[str], *over: str) -> DataFrame:
         """Reduce over the named dimensions, or over all of them."""
         return reduce_cells(self.to_df(), self.name, how, list(over))
 
@@ -185,19 +185,24 @@ def open_variable(fragments: FragmentSet, manifest: Manifest, name: str) -> Vari
     return Variable(fragments.block_of(name), manifest, name)
 
 
-def reduce_cells(cells: DataFrame, value: str, how: str, over: list[str]) -> DataFrame:
-    """Aggregate out some dimensions; missing values (NULL or NaN) are skipped."""
-    if how not in REDUCERS:
-        raise FragmentError(f"unknown reduction {how!r}")
-    dims = [c for c in cells.columns if c != value]
-    unknown = set(over) - set(dims)
+def reduce_cells(cells: DataFrame, value: str, how: str | list[str], over: list[str]) -> DataFrame:
+    """Aggregate out some dimensions; missing values (NULL or NaN) are skipped.
+
+    Several reductions at once share one pass and one shuffle of partial results.
+    """
+    hows = [how] if isinstance(how, str) else how
+    unknown = [h for h in hows if h not in REDUCERS]
     if unknown:
-        raise FragmentError(f"no dimension {sorted(unknown)} to reduce over")
+        raise FragmentError(f"unknown reduction {unknown}")
+    dims = [c for c in cells.columns if c != value]
+    absent = set(over) - set(dims)
+    if absent:
+        raise FragmentError(f"no dimension {sorted(absent)} to reduce over")
     keep = [d for d in dims if d not in over] if over else []
     present = F.col(value)
     if cells.schema[value].dataType.simpleString() in ("double", "float"):
-        present = F.when(F.isnan(present), None).otherwise(present)
-    return cells.groupBy(*keep).agg(REDUCERS[how](present).alias(f"{value}_{how}"))
+        present = F.when(~F.isnan(present), present)
+    return cells.groupBy(*keep).agg(*[REDUCERS[h](present).alias(f"{value}_{h}") for h in hows])
 
 
 def nearest(coords: DataFrame, dim: str, value: float) -> DataFrame:

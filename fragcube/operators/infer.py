@@ -131,7 +131,7 @@ def classify_vars(variables: DataFrame, agg_dims: list[str]) -> DataFrame:
     dims = F.filter(F.split("dims", " "), lambda d: d != "")
     return (
         variables.groupBy("var", "dtype", "dims", "identifier")
-        .agg(F.min("block_ord").alias("block_ord"), F.max("fill").alias("fill"))
+        .agg(F.min("block_ord").alias("block_ord"), F.max("fill").alias("fill"), F.count("*").alias("n_files"))
         .withColumn("adims", F.array_intersect(dims, agg))
         .withColumn(
             "class",

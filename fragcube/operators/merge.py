@@ -81,8 +81,9 @@ def partial_manifests(fragments: FragmentSet, batch: Column, n_batches: int) ->
     names, coords = fragments.dims, fragments.coords
     variables = inv.var_inventory(fragments)
     out = []
-    for number in range(n_batches):
-        part = wide.filter(batch == F.lit(number))
+    filled = wide.groupBy(batch.alias("b")).count().filter(F.col("b").between(0, n_batches - 1)).collect()
+    for row in sorted(filled):
+        part = wide.filter(batch == F.lit(row["b"]))
         dims, dim_frags, frags = from_inventory(part, names, coords, n_frags)
         agg = [d.dim for d in dims if d.f_size > 1]
         own = infer.classify_vars(variables, agg).withColumn("adims", F.concat_ws(" ", "adims"))

@@ -12,7 +12,7 @@ from ..model import Block, FragmentError
 
 #: Parquet key under which Spark keeps the schema with its column metadata.
 ROW_SCHEMA = b"org.apache.spark.sql.parquet.row.metadata"
-HEADER = "path string, column string, dtype string, attrs map<string,string>, n_rows long"
+HEADER = "path string, pos int, column string, dtype string, attrs map<string,string>, n_rows long"
 
 
 def write_fragments(block: Block, path: str, cells_per_file: int = 5_000_000) -> None:
@@ -78,10 +78,10 @@ def _read_header(path: str) -> Iterator[tuple]:
         schema, n_rows = header.schema_arrow, header.metadata.num_rows
         packed = (header.metadata.metadata or {}).get(ROW_SCHEMA)
     noted = {f["name"]: f.get("metadata", {}) for f in json.loads(packed)["fields"]} if packed else {}
-    for column in schema:
+    for pos, column in enumerate(schema):
         own = {k.decode(): v.decode() for k, v in (column.metadata or {}).items() if not k.startswith(b"PARQUET")}
         own.update({k: str(v) for k, v in noted.get(column.name, {}).items()})
-        yield path, column.name, str(column.type), own, n_rows
+        yield path, pos, column.name, str(column.type), own, n_rows
 
 
 def scan_headers(spark: SparkSession, path: str, pattern: str = "*.parquet") -> DataFrame:
@@ -95,25 +95,25 @@ def scan_headers(spark: SparkSession, path: str, pattern: str = "*.parquet") ->
     def headers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = [row for path in batch["path"] for row in _read_header(path)]
-            yield pd.DataFrame(rows, columns=["path", "column", "dtype", "attrs", "n_rows"])
+            yield pd.DataFrame(rows, columns=["path", "pos", "column", "dtype", "attrs", "n_rows"])
 
     return list_files(spark, path, pattern).select("path").mapInPandas(headers, HEADER)
 
 
-def header_inventory(headers: DataFrame, coords: list[str] | None = None) -> DataFrame:
+def header_inventory(headers: DataFrame) -> DataFrame:
     """Fragment x variable rows from footers: dtype, dims, coordinate dims, fill, identifier.
 
     A fragment in several files counts once per variable.
     """
     frag = F.regexp_extract("path", r"frag_id=([^/]+)", 1)
-    names = F.collect_set("column")
     by_file = headers.groupBy(frag.alias("frag_id")).agg(
-        names.alias("_names"),
+        F.sort_array(F.collect_set(F.struct("pos", "column"))).alias("_names"),
         F.collect_set(F.struct("column", "dtype", F.col("attrs")["_FillValue"].alias("fill"))).alias("_cols"),
     )
     pick = lambda mark: F.array_join(
         F.transform(
-            F.sort_array(F.filter("_names", lambda n: n.startswith(mark))), lambda n: F.substring(n, F.lit(3), F.length(n))
+            F.filter("_names", lambda n: n["column"].startswith(mark)),
+            lambda n: F.substring(n["column"], F.lit(3), F.length(n["column"])),
         ),
         " ",
     )
