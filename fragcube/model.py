@@ -63,6 +63,18 @@ class FragmentSet:
         raise FragmentError(f"no variable named {var!r}")
 
 
+@dataclass(frozen=True)
+class DimClass:
+    """How the starts of the fragments vary along one dimension."""
+
+    dim: str
+    dim_ord: int
+    kind: str
+    aggregated: bool
+    descending: bool
+    largest: int
+
+
 @dataclass(frozen=True)
 class DimInfo:
     """One row of ``dims``; there are only a handful of dimensions."""

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.axis import arrange, idiv, start_key
-from ..model import FragmentError, FragmentSet
+from ..model import DimClass, FragmentError, FragmentSet
 from ..session import compact, lookup_join
 from .inventory import all_equal
 
@@ -31,6 +31,29 @@ def classify_dims(inventory: DataFrame) -> DataFrame:
     )
 
 
+def class_measures(dims: list[str]) -> list[Column]:
+    """What decides about each dimension, as aggregates over a wide inventory."""
+    out = [F.count(F.lit(1)).alias("n_frags")]
+    for dim in dims:
+        falls = (F.col(f"stop_{dim}") < F.col(f"start_{dim}")) | (F.col(f"stop_s_{dim}") < F.col(f"start_s_{dim}"))
+        out += [F.max(f"size_{dim}").alias(f"largest_{dim}"), F.count(F.when(falls, 1)).alias(f"falls_{dim}")]
+        for mark in ("start", "start_s"):
+            out += [F.min(f"{mark}_{dim}").alias(f"min_{mark}_{dim}"), F.max(f"{mark}_{dim}").alias(f"max_{mark}_{dim}")]
+    return out
+
+
+def classes_of(measured: dict, dims: list[str], coords: set[str]) -> list[DimClass]:
+    """:func:`classify_dims` from the measures of :func:`class_measures`."""
+    return [
+        DimClass(
+            dim, order, "coord" if dim in coords else "pure",
+            any(measured[f"min_{m}_{dim}"] != measured[f"max_{m}_{dim}"] for m in ("start", "start_s")),
+            measured[f"falls_{dim}"] > 0, measured[f"largest_{dim}"],
+        )
+        for order, dim in enumerate(dims)
+    ]
+
+
 def check_agg_dims(classes: DataFrame, declared: list[str]) -> DataFrame:
     """Names declared but not derived, and the other way round."""
     spark = classes.sparkSession
@@ -43,30 +66,28 @@ def check_agg_dims(classes: DataFrame, declared: list[str]) -> DataFrame:
     )
 
 
-def axis_pieces(wide: DataFrame, classes: list[Row]) -> DataFrame:
+def axis_pieces(wide: DataFrame, classes: list[DimClass]) -> DataFrame:
     """Distinct pieces of each axis; an unfragmented axis is one piece."""
     out = None
-    whole = [(r["dim"], r["largest"]) for r in classes if not r["aggregated"]]
-    for row in classes:
-        if not row["aggregated"]:
+    for c in classes:
+        if not c.aggregated:
             continue
-        dim = row["dim"]
         part = (
-            wide.groupBy(F.col(f"start_{dim}").alias("start"), F.col(f"start_s_{dim}").alias("start_s"))
-            .agg(F.max(f"size_{dim}").alias("size"))
-            .select(F.lit(dim).alias("dim"), "start", "start_s", F.lit(row["descending"]).alias("descending"), "size")
+            wide.groupBy(F.col(f"start_{c.dim}").alias("start"), F.col(f"start_s_{c.dim}").alias("start_s"))
+            .agg(F.max(f"size_{c.dim}").alias("size"))
+            .select(F.lit(c.dim).alias("dim"), "start", "start_s", F.lit(c.descending).alias("descending"), "size")
         )
         out = part if out is None else out.unionByName(part)
+    whole = [(c.dim, None, None, False, c.largest) for c in classes if not c.aggregated]
     if whole:
-        rows = [(d, None, None, False, n) for d, n in whole]
         one = wide.sparkSession.createDataFrame(
-            rows, "dim string, start double, start_s string, descending boolean, size long"
+            whole, "dim string, start double, start_s string, descending boolean, size long"
         )
         out = one if out is None else out.unionByName(one)
     return out
 
 
-def arrange_dimension(wide: DataFrame, classes: list[Row], n_rows: int, window_rows: int | None = None) -> DataFrame:
+def arrange_dimension(wide: DataFrame, classes: list[DimClass], n_rows: int, window_rows: int | None = None) -> DataFrame:
     """``dim_frags``: position, offset and size of every piece of every axis."""
     return arrange(axis_pieces(wide, classes), n_rows, window_rows)
 
@@ -169,7 +190,7 @@ def fragment_space(dim_frags: DataFrame) -> DataFrame:
     return dim_frags.groupBy("dim").agg(F.count("*").alias("f_size"), F.sum("size").alias("size"))
 
 
-def place_fragments(wide: DataFrame, dim_frags: DataFrame, space: dict[str, int], sizes: dict[str, int]) -> DataFrame:
+def place_fragments(wide: DataFrame, dim_frags: DataFrame, classes: list[DimClass], n_frags: int) -> DataFrame:
     """``frags``: grid position, offset, size and coordinate range per fragment and dimension.
 
     An unfragmented dimension needs no join.  The others look their start up in
@@ -178,43 +199,47 @@ def place_fragments(wide: DataFrame, dim_frags: DataFrame, space: dict[str, int]
     """
     key = lambda a, b: F.coalesce(F.col(a).cast("string"), F.col(b))
     out = wide
-    for dim, count in space.items():
-        if count == 1:
+    for c in classes:
+        if not c.aggregated:
             continue
+        dim = c.dim
         pieces = dim_frags.filter(F.col("dim") == dim).select(
             key("start", "start_s").alias("_key"),
             F.col("frag_pos").alias(f"f_{dim}"), F.col("offset").alias(f"o_{dim}"), F.col("size").alias(f"_p_{dim}"),
         )
         out = lookup_join(
-            out.withColumn("_key", key(f"start_{dim}", f"start_s_{dim}")), pieces, ["_key"], count, [F.col("frag_id")]
+            out.withColumn("_key", key(f"start_{dim}", f"start_s_{dim}")), pieces, ["_key"], n_frags, [F.col("frag_id")]
         )
     cols, fits = [], F.lit(True)
-    for dim, count in space.items():
-        fixed = F.lit(0).cast("long")
+    for c in classes:
+        dim, fixed = c.dim, F.lit(0).cast("long")
         cols += [
-            (F.col(f"f_{dim}") if count > 1 else fixed).alias(f"f_{dim}"),
-            (F.col(f"o_{dim}") if count > 1 else fixed).alias(f"o_{dim}"),
+            (F.col(f"f_{dim}") if c.aggregated else fixed).alias(f"f_{dim}"),
+            (F.col(f"o_{dim}") if c.aggregated else fixed).alias(f"o_{dim}"),
             F.col(f"size_{dim}").alias(f"s_{dim}"),
             F.least(f"start_{dim}", f"stop_{dim}").alias(f"lo_{dim}"),
             F.greatest(f"start_{dim}", f"stop_{dim}").alias(f"hi_{dim}"),
+            F.col(f"start_{dim}"), F.col(f"start_s_{dim}"),
         ]
-        fits = fits & (F.col(f"size_{dim}") == (F.col(f"_p_{dim}") if count > 1 else F.lit(sizes[dim])))
-        cols += [F.col(f"start_{dim}"), F.col(f"start_s_{dim}")]
+        fits = fits & (F.col(f"size_{dim}") == (F.col(f"_p_{dim}") if c.aggregated else F.lit(c.largest)))
     if "uris" in wide.columns:
         cols.append(F.col("uris"))
     return out.select("frag_id", "file_ord", *cols, fits.alias("fits"))
 
 
-def grid_is_full(frags: DataFrame, dims: list[str], space: dict[str, int]) -> bool:
-    """Every position is taken by exactly one fragment of the right size; one small job."""
-    if not dims:
-        return True
+def measure_grid(frags: DataFrame, dims: list[str]) -> tuple[dict[str, int], dict[str, int], bool]:
+    """Fragments and cells per dimension, and whether each position holds one fragment that fits."""
     row = frags.agg(
-        F.count("*").alias("n"), F.count_distinct(linear_position(dims, space)).alias("positions"),
+        F.count("*").alias("n"),
+        (F.count_distinct(*[F.col(f"f_{d}") for d in dims]) if dims else F.count("*")).alias("positions"),
         F.count(F.when(~F.col("fits"), 1)).alias("misfits"),
+        *[(F.max(f"f_{d}") + 1).alias(f"f_{d}") for d in dims],
+        *[F.max(F.col(f"o_{d}") + F.col(f"s_{d}")).alias(f"s_{d}") for d in dims],
     ).first()
-    total = math.prod(space[d] for d in dims)
-    return row["n"] == row["positions"] == total and row["misfits"] == 0
+    space = {d: int(row[f"f_{d}"]) for d in dims}
+    sizes = {d: int(row[f"s_{d}"]) for d in dims}
+    full = row["n"] == row["positions"] == math.prod(space.values()) and row["misfits"] == 0
+    return space, sizes, full
 
 
 def linear_position(dims: list[str], space: dict[str, int]) -> Column:

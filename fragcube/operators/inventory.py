@@ -27,19 +27,21 @@ def _covering_blocks(fragments: FragmentSet, wanted: list[str]) -> list[tuple[Bl
     return picked
 
 
+MARKS = {"size": "long", "start": "double", "stop": "double", "start_s": "string", "stop_s": "string"}
+
+
 def _extent_aggs(block: Block, dims: list[str]) -> list[Column]:
     aggs = []
     for dim in dims:
         local = F.col(f"l_{dim}")
         aggs.append((F.max(local) + 1).cast("long").alias(f"size_{dim}"))
-        if dim in block.coords:
-            dtype = block.dtype(f"c_{dim}")
-            number, text = start_key(f"c_{dim}", dtype), start_text(f"c_{dim}", dtype)
-            aggs += [F.min_by(number, local).alias(f"start_{dim}"), F.max_by(number, local).alias(f"stop_{dim}")]
-            aggs += [F.min_by(text, local).alias(f"start_s_{dim}"), F.max_by(text, local).alias(f"stop_s_{dim}")]
-        else:
-            aggs += [F.lit(None).cast("double").alias(f"{m}_{dim}") for m in ("start", "stop")]
-            aggs += [F.lit(None).cast("string").alias(f"{m}_{dim}") for m in ("start_s", "stop_s")]
+        if dim not in block.coords:
+            continue
+        dtype = block.dtype(f"c_{dim}")
+        text = dtype == "string"
+        key = start_text(f"c_{dim}", dtype) if text else start_key(f"c_{dim}", dtype)
+        mark = "_s" if text else ""
+        aggs += [F.min_by(key, local).alias(f"start{mark}_{dim}"), F.max_by(key, local).alias(f"stop{mark}_{dim}")]
     return aggs
 
 
@@ -55,13 +57,17 @@ def wide_inventory(fragments: FragmentSet, dims: list[str] | None = None) -> Dat
         block.cells.groupBy("frag_id").agg(F.min("file_ord").alias("file_ord"), *_extent_aggs(block, covers))
         for block, covers in _covering_blocks(fragments, wanted)
     ]
-    if len(parts) == 1:
-        return parts[0]
     merged = parts[0]
-    for part in parts[1:]:
-        merged = merged.unionByName(part, allowMissingColumns=True)
-    rest = [c for c in merged.columns if c != "frag_id"]
-    return merged.groupBy("frag_id").agg(*[(F.min(c) if c == "file_ord" else F.max(c)).alias(c) for c in rest])
+    if len(parts) > 1:
+        for part in parts[1:]:
+            merged = merged.unionByName(part, allowMissingColumns=True)
+        rest = [c for c in merged.columns if c != "frag_id"]
+        merged = merged.groupBy("frag_id").agg(*[(F.min(c) if c == "file_ord" else F.max(c)).alias(c) for c in rest])
+    have = set(merged.columns)
+    names = [(f"{mark}_{dim}", kind) for dim in wanted for mark, kind in MARKS.items()]
+    return merged.select(
+        "frag_id", "file_ord", *[F.col(n) if n in have else F.lit(None).cast(kind).alias(n) for n, kind in names]
+    )
 
 
 def long_inventory(wide: DataFrame, dims: list[str], coords: set[str]) -> DataFrame:
@@ -71,7 +77,7 @@ def long_inventory(wide: DataFrame, dims: list[str], coords: set[str]) -> DataFr
             F.lit(dim).alias("dim"),
             F.lit(order).alias("dim_ord"),
             F.lit("coord" if dim in coords else "pure").alias("kind"),
-            *[F.col(f"{m}_{dim}").alias(m) for m in ("size", "start", "stop", "start_s", "stop_s")],
+            *[F.col(f"{m}_{dim}").alias(m) for m in MARKS],
         )
         for order, dim in enumerate(dims)
     ]

@@ -9,8 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..model import DIFFERS, FragmentError, FragmentSet, Manifest
-from ..plans.manifest import from_inventory, stored_inventory
-from ..session import compact, lookup_join, materialise
+from ..plans.manifest import Inventory, place, require_full, scan_inventory, store_inventory
+from ..session import lookup_join
 from . import infer
 from . import inventory as inv
 
@@ -19,14 +19,12 @@ def _union(tables: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tables)
 
 
-def merge_inventories(parts: list[DataFrame]) -> tuple[DataFrame, int]:
-    """One stored inventory in which each fragment appears once, and its row count."""
+def merge_inventories(parts: list[DataFrame], dims: list[str], coords: set[str]) -> Inventory:
+    """One stored inventory in which each fragment appears once."""
     merged = _union(parts)
     rest = [c for c in merged.columns if c != "frag_id"]
     once = merged.groupBy("frag_id").agg(F.min_by(F.struct(*rest), F.col("file_ord")).alias("_r"))
-    wide = materialise(once.select("frag_id", "_r.*"), "inventory")
-    n_frags = wide.count()
-    return compact(wide, n_frags), n_frags
+    return store_inventory(once.select("frag_id", "_r.*"), dims, coords)
 
 
 def merge_vars(parts: list[DataFrame], agg_dims: list[str]) -> DataFrame:
@@ -53,11 +51,10 @@ def extend_manifests(manifests: list[Manifest], differs: str = DIFFERS) -> Manif
     for other in manifests[1:]:
         if {d.dim for d in other.dims} != set(names):
             raise FragmentError("the aggregations have different dimensions")
-    wide, n_frags = merge_inventories([m.inventory for m in manifests])
-    dims, dim_frags, frags = from_inventory(wide, names, set(first.coord_dims), n_frags)
-    space = {d.dim: d.f_size for d in dims}
-    if not infer.grid_is_full(frags, names, space):
-        raise FragmentError("the merged fragments leave holes, overlap, or differ in the size of a dimension")
+    inventory = merge_inventories([m.inventory for m in manifests], names, set(first.coord_dims))
+    placed = place(inventory)
+    require_full(inventory, placed)
+    dims = placed.dims
     attrs = None
     if first.attrs is not None:
         each = [m.attrs.withColumn("file_ord", F.lit(i)) for i, m in enumerate(manifests)]
@@ -65,10 +62,12 @@ def extend_manifests(manifests: list[Manifest], differs: str = DIFFERS) -> Manif
     coords = None
     if first.coords is not None:
         along = {d.dim: d.f_size for d in dims if d.kind != "pure"}
-        coords = infer.move_axis(_union([m.coords.drop("idx") for m in manifests]), dim_frags, along)
+        coords = infer.move_axis(_union([m.coords.drop("idx") for m in manifests]), placed.dim_frags, along)
     agg_dims = [d.dim for d in dims if d.f_size > 1]
     variables = merge_vars([m.vars for m in manifests], agg_dims)
-    return Manifest(dims, wide, dim_frags, frags, variables, attrs, coords, n_frags)
+    return Manifest(
+        dims, inventory.wide, placed.dim_frags, placed.frags, variables, attrs, coords, inventory.n_frags
+    )
 
 
 def partial_manifests(fragments: FragmentSet, batch: Column, n_batches: int) -> list[Manifest]:
@@ -77,17 +76,17 @@ def partial_manifests(fragments: FragmentSet, batch: Column, n_batches: int) ->
     ``batch`` is a number from 0 to ``n_batches - 1`` computed from
     ``frag_id``.  A batch need not fill a grid by itself.
     """
-    wide, n_frags = stored_inventory(fragments)
+    whole = scan_inventory(fragments)
     names, coords = fragments.dims, fragments.coords
     variables = inv.var_inventory(fragments)
+    measured = whole.wide.groupBy(batch.alias("b")).agg(*infer.class_measures(names))
     out = []
-    filled = wide.groupBy(batch.alias("b")).count().filter(F.col("b").between(0, n_batches - 1)).collect()
-    for row in sorted(filled):
-        part = wide.filter(batch == F.lit(row["b"]))
-        dims, dim_frags, frags = from_inventory(part, names, coords, n_frags)
-        agg = [d.dim for d in dims if d.f_size > 1]
+    for row in measured.filter(F.col("b").between(0, n_batches - 1)).orderBy("b").collect():
+        part = whole.wide.filter(batch == F.lit(row["b"]))
+        placed = place(Inventory(part, whole.dims, whole.coords, row["n_frags"], row.asDict()))
+        agg = [d.dim for d in placed.dims if d.f_size > 1]
         own = infer.classify_vars(variables, agg).withColumn("adims", F.concat_ws(" ", "adims"))
-        out.append(Manifest(dims, part, dim_frags, frags, own, None, None, n_frags))
+        out.append(Manifest(placed.dims, part, placed.dim_frags, placed.frags, own, None, None, row["n_frags"]))
     return out
 
 
@@ -108,10 +107,13 @@ def incremental_append(manifest: Manifest, arrived: FragmentSet) -> Manifest:
         spread = [F.col(f"l_{d}") for d in block.dims] or [F.lit(0)]
         fresh = lookup_join(block.cells, known, ["frag_id"], manifest.n_frags, spread, how="left_anti")
         blocks.append(replace(block, cells=fresh))
-    added, n_added = stored_inventory(replace(arrived, blocks=tuple(blocks)))
-    if n_added == 0:
+    added = scan_inventory(replace(arrived, blocks=tuple(blocks)))
+    if added.n_frags == 0:
         return manifest
-    wide, n_frags = merge_inventories([manifest.inventory, added])
     names = [d.dim for d in manifest.dims]
-    dims, dim_frags, frags = from_inventory(wide, names, set(manifest.coord_dims), n_frags)
-    return replace(manifest, dims=dims, inventory=wide, dim_frags=dim_frags, frags=frags, coords=None, n_frags=n_frags)
+    inventory = merge_inventories([manifest.inventory, added.wide], names, set(manifest.coord_dims))
+    placed = place(inventory)
+    return replace(
+        manifest, dims=placed.dims, inventory=inventory.wide, dim_frags=placed.dim_frags, frags=placed.frags,
+        coords=None, n_frags=inventory.n_frags,
+    )

@@ -2,46 +2,81 @@
 
 from __future__ import annotations
 
-from dataclasses import replace
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import raise_conventions
-from ..model import DIFFERS, DimInfo, FragmentError, FragmentSet, Manifest
+from ..model import DIFFERS, DimClass, DimInfo, FragmentError, FragmentSet, Manifest
 from ..operators import infer, inventory as inv
-from ..session import compact, materialise
+from ..session import compact, materialise_observed
 
 TABLES = ("inventory", "dim_frags", "frags", "vars", "attrs", "coords")
 
 
-def from_inventory(
-    wide: DataFrame, names: list[str], coords: set[str], n_frags: int
-) -> tuple[tuple[DimInfo, ...], DataFrame, DataFrame]:
-    """``dims``, ``dim_frags`` and ``frags`` from a stored inventory; no cell is read.
+@dataclass(frozen=True)
+class Inventory:
+    """A stored inventory: one row per fragment, counted and measured while it was written."""
 
-    Only the dimensions come to the driver, a row each.
-    """
-    classes = infer.classify_dims(inv.long_inventory(wide, names, coords)).collect()
-    classes.sort(key=lambda r: r["dim_ord"])
-    dim_frags = infer.arrange_dimension(wide, classes, n_frags)
-    totals = {r["dim"]: r for r in infer.fragment_space(dim_frags).collect()}
-    dims = tuple(
-        DimInfo(r["dim"], r["dim_ord"], r["kind"], int(totals[r["dim"]]["size"]), int(totals[r["dim"]]["f_size"]), r["descending"])
-        for r in classes
-    )
-    space = {d.dim: d.f_size for d in dims}
-    return dims, dim_frags, infer.place_fragments(wide, dim_frags, space, {d.dim: d.size for d in dims})
-
-
-def stored_inventory(fragments: FragmentSet) -> tuple[DataFrame, int]:
-    """Scan the cells once; the inventory is written and counted from its footers."""
+    wide: DataFrame
+    dims: tuple[str, ...]
+    coords: frozenset[str]
+    n_frags: int
+    measured: dict
+
+    @property
+    def classes(self) -> list[DimClass]:
+        return infer.classes_of(self.measured, list(self.dims), set(self.coords))
+
+    @property
+    def long(self) -> DataFrame:
+        return inv.long_inventory(self.wide, list(self.dims), set(self.coords))
+
+
+@dataclass(frozen=True)
+class Placement:
+    """Where every fragment of an inventory belongs; ``full`` when they fill the grid."""
+
+    dims: tuple[DimInfo, ...]
+    dim_frags: DataFrame
+    frags: DataFrame
+    full: bool
+
+
+def store_inventory(wide: DataFrame, dims: list[str], coords: set[str]) -> Inventory:
+    """Write an inventory to the shared folder; later steps read no cell again."""
+    stored, measured = materialise_observed(wide, "inventory", *infer.class_measures(dims))
+    n_frags = measured["n_frags"]
+    return Inventory(compact(stored, n_frags), tuple(dims), frozenset(coords), n_frags, measured)
+
+
+def scan_inventory(fragments: FragmentSet) -> Inventory:
+    """Scan the cells once."""
     wide = inv.wide_inventory(fragments)
     if fragments.uris is not None:
         wide = wide.join(fragments.uris, "frag_id", "left")
-    wide = materialise(wide, "inventory")
-    n_frags = wide.count()
-    return compact(wide, n_frags), n_frags
+    return store_inventory(wide, fragments.dims, fragments.coords)
+
+
+def place(inventory: Inventory) -> Placement:
+    """``dims``, ``dim_frags`` and ``frags``; a row per dimension comes to the driver."""
+    classes = inventory.classes
+    dim_frags = infer.arrange_dimension(inventory.wide, classes, inventory.n_frags)
+    frags = infer.place_fragments(inventory.wide, dim_frags, classes, inventory.n_frags)
+    space, sizes, full = infer.measure_grid(frags, list(inventory.dims))
+    dims = tuple(DimInfo(c.dim, c.dim_ord, c.kind, sizes[c.dim], space[c.dim], c.descending) for c in classes)
+    return Placement(dims, dim_frags, frags, full)
+
+
+def require_full(inventory: Inventory, placed: Placement) -> None:
+    """Raise with the faults when fragments overlap, leave holes or differ in size."""
+    if not placed.full:
+        space = {d.dim: d.f_size for d in placed.dims}
+        faults = infer.size_violations(inventory.long).unionByName(
+            infer.validate_manifest(placed.dim_frags, placed.frags, space)
+        )
+        inv.require_none(faults, "invalid aggregation")
 
 
 def build_manifest(
@@ -55,23 +90,21 @@ def build_manifest(
 ) -> Manifest:
     """Infer the aggregation of a set of fragments.
 
-    The cells are scanned once, into an inventory with a row per fragment and
-    dimension.  It is stored, and all else is derived from it.
+    The cells are scanned once, into an inventory with a row per fragment.  It
+    is stored, and all else is derived from it.
     """
-    wide, n_frags = stored_inventory(fragments)
+    inventory = scan_inventory(fragments)
+    n_frags = inventory.n_frags
     if n_frags < 2:
         raise FragmentError(f"unable to aggregate fewer than two fragments; found {n_frags}")
-    names = fragments.dims
-    dims, dim_frags, frags = from_inventory(wide, names, fragments.coords, n_frags)
-    space = {d.dim: d.f_size for d in dims}
+    placed = place(inventory)
+    dims, frags = placed.dims, placed.frags
     if agg_dims is not None:
         derived = sorted(d.dim for d in dims if d.f_size > 1)
         if derived != sorted(agg_dims):
             raise FragmentError(f"aggregated dimensions are {derived}, not {sorted(agg_dims)}")
-    if check and not infer.grid_is_full(frags, names, space):
-        long = inv.long_inventory(wide, names, fragments.coords)
-        faults = infer.size_violations(long).unionByName(infer.validate_manifest(dim_frags, frags, space))
-        inv.require_none(faults, "invalid aggregation")
+    if check:
+        require_full(inventory, placed)
     attrs = None
     if fragments.attrs is not None:
         attrs = inv.merge_attrs(fragments.attrs, differs).drop("warning")
@@ -89,7 +122,7 @@ def build_manifest(
         inv.var_inventory(fragments), [d.dim for d in dims if d.f_size > 1]
     ).withColumn("adims", F.concat_ws(" ", "adims"))
     coords = infer.concat_axis(fragments, frags, n_frags) if with_coords and fragments.coords else None
-    return Manifest(dims, wide, dim_frags, frags, variables, attrs, coords, n_frags)
+    return Manifest(dims, inventory.wide, placed.dim_frags, frags, variables, attrs, coords, n_frags)
 
 
 _DIMS = "dim string, dim_ord int, kind string, size long, f_size long, descending boolean"

@@ -8,12 +8,12 @@ from pyspark.sql import functions as F
 from ..functions.text import raise_conventions
 from ..model import Manifest
 from ..operators import infer, inventory as inv, merge
-from ..session import compact, materialise, scratch_path
+from ..session import scratch_path
 from ..sources.parquet import header_inventory, open_fragments, scan_headers, write_fragments
 from . import cubes
 from .cubes import table, with_sql
 from .dataset import describe
-from .manifest import build_manifest, from_inventory, read_manifest, stored_inventory, write_manifest
+from .manifest import Placement, build_manifest, place, read_manifest, scan_inventory, store_inventory, write_manifest
 from .registry import query
 
 
@@ -354,7 +354,7 @@ held as (select g.*, f.frag_id from g left join f using (f_sup, f_prt, f_line))"
 SPARSE_DIMS = ["sup", "prt", "line"]
 
 
-def _sparse(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, dict[str, int]]:
+def _sparse(spark: SparkSession, sf_dir: str) -> tuple[Placement, dict[str, int]]:
     """A file per supplier, part group and line; combinations without a line item are holes."""
     items = table(spark, sf_dir, "lineitem")
     keys = {"sup": F.col("l_suppkey"), "prt": F.pmod("l_partkey", F.lit(50)), "line": F.col("l_linenumber").cast("long")}
@@ -365,10 +365,9 @@ def _sparse(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, dic
         text = F.lit(None).cast("string")
         cols += [F.lit(1).cast("long").alias(f"size_{dim}"), start.alias(f"start_{dim}"), start.alias(f"stop_{dim}")]
         cols += [text.alias(f"start_s_{dim}"), text.alias(f"stop_s_{dim}")]
-    wide = materialise(files.select(F.concat_ws("_", *SPARSE_DIMS).alias("frag_id"), "file_ord", *cols), "inventory")
-    n_frags = wide.count()
-    dims, axes, frags = from_inventory(compact(wide, n_frags), SPARSE_DIMS, set(SPARSE_DIMS), n_frags)
-    return axes, frags, {d.dim: d.f_size for d in dims}
+    wide = files.select(F.concat_ws("_", *SPARSE_DIMS).alias("frag_id"), "file_ord", *cols)
+    placed = place(store_inventory(wide, SPARSE_DIMS, set(SPARSE_DIMS)))
+    return placed, {d.dim: d.f_size for d in placed.dims}
 
 
 @query(
@@ -376,8 +375,8 @@ def _sparse(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, dic
     SPARSE_SQL + " select f_sup, f_prt, f_line, frag_id, count(frag_id) as n_files from held group by all",
 )
 def assemble_locations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, frags, space = _sparse(spark, sf_dir)
-    return infer.assemble_locations(frags, SPARSE_DIMS, space).drop("_lin")
+    placed, space = _sparse(spark, sf_dir)
+    return infer.assemble_locations(placed.frags, SPARSE_DIMS, space).drop("_lin")
 
 
 @query(
@@ -498,8 +497,8 @@ select 'hole' as "check", f_sup || ',' || f_prt || ',' || f_line as item, 1::big
 from held where frag_id is null""",
 )
 def validate_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    axes, frags, space = _sparse(spark, sf_dir)
-    return infer.validate_manifest(axes, frags, space, dict(space))
+    placed, space = _sparse(spark, sf_dir)
+    return infer.validate_manifest(placed.dim_frags, placed.frags, space, {d.dim: d.size for d in placed.dims})
 
 
 # -- S1 to S4: writing and merging -------------------------------------------
@@ -569,7 +568,7 @@ def incremental_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     everything = cubes.e1(spark, sf_dir)
     odd = F.pmod(F.substring_index("frag_id", "_", -1).cast("int"), F.lit(2)) == 1
     some = replace(everything, blocks=tuple(replace(b, cells=b.cells.filter(odd)) for b in everything.blocks))
-    wide, n_frags = stored_inventory(some)
-    dims, axes, frags = from_inventory(wide, ["event"], {"event"}, n_frags)
-    start = Manifest(dims, wide, axes, frags, inv.var_inventory(some), None, None, n_frags)
+    known = scan_inventory(some)
+    at = place(known)
+    start = Manifest(at.dims, known.wide, at.dim_frags, at.frags, inv.var_inventory(some), None, None, known.n_frags)
     return _placement(merge.incremental_append(start, everything), ["event"])

@@ -45,12 +45,7 @@ def mask_and_scale(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array(F.lit("-999"), F.lit("0.5"), F.col("b").cast("string")),
     )
     attrs = files.filter("b % 4 <> 3").select("frag_id", F.explode(packing).alias("attr", "value"))
-    plain = F.substring_index("frag_id", "_", -1).cast("long") % 4 == 3
-    packed = (
-        F.when((F.col("c_event") % 11 == 0) & plain, F.lit(None).cast("long"))
-        .when(F.col("c_event") % 11 == 0, F.lit(-999))
-        .otherwise(F.floor(F.col("value") * 2))
-    )
+    packed = F.when(F.col("c_event") % 11 == 0, F.lit(-999)).otherwise(F.floor(F.col("value") * 2))
     cells = _cells(spark, sf_dir).select("frag_id", F.col("c_event").alias("event"), packed.alias("value"))
     return cf.unpack(cells, "value", attrs, count, [F.col("event")]).select("event", "value")
 

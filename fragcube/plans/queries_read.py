@@ -82,7 +82,7 @@ def detect_conventions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("fragment_positions", SPARSE_SQL + " select f_sup, f_prt, f_line from g")
 def fragment_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, _, space = _sparse(spark, sf_dir)
+    _, space = _sparse(spark, sf_dir)
     return decode.fragment_positions(spark, space)
 
 

@@ -13,7 +13,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 #: Metadata rows (about 200 bytes each) that may be broadcast.
@@ -58,6 +58,13 @@ def materialise(df: DataFrame, name: str = "table") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def materialise_observed(df: DataFrame, name: str, *measures: Column) -> tuple[DataFrame, dict]:
+    """:func:`materialise`, with aggregates of ``df`` taken while it is written."""
+    seen = Observation(f"{name}-{uuid.uuid4().hex}")
+    stored = materialise(df.observe(seen, *measures), name)
+    return stored, seen.get
+
+
 def compact(metadata: DataFrame, n_rows: int) -> DataFrame:
     """Put a table of few, counted rows in one partition.
 

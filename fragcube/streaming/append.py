@@ -8,7 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ..model import Block, FragmentSet
 from ..operators.inventory import wide_inventory
 from ..operators.merge import merge_inventories
-from ..plans.manifest import from_inventory
+from ..plans.manifest import Placement, place
 
 
 def append_stream(
@@ -34,8 +34,7 @@ def append_stream(
     )
 
 
-def current_manifest(spark: SparkSession, inventory_path: str, like: Block):
-    """``dims``, ``dim_frags`` and ``frags`` of everything that has arrived so far."""
+def current_placement(spark: SparkSession, inventory_path: str, like: Block) -> Placement:
+    """Where every fragment that has arrived so far belongs."""
     stored = spark.read.parquet(inventory_path).drop("batch")
-    wide, n_frags = merge_inventories([stored])
-    return from_inventory(wide, list(like.dims), set(like.coords), n_frags)
+    return place(merge_inventories([stored], list(like.dims), set(like.coords)))
