@@ -13,22 +13,20 @@ from ..session import WINDOW_ROWS
 BLOCK_ROWS = 200_000
 
 
-def start_key(column: str, dtype: str) -> Column:
-    """Coordinate as a double, zone independent; NULL for strings."""
-    col = F.col(column)
+def key_sql(column: str, dtype: str) -> str:
+    """Coordinate as a double, zone independent, in SQL; NULL for strings."""
     if dtype == "string":
-        return F.lit(None).cast("double")
+        return "cast(null as double)"
     if dtype == "date":
-        return F.datediff(col, F.lit("1970-01-01").cast("date")).cast("double")
+        return f"cast(datediff({column}, date'1970-01-01') as double)"
     if dtype.startswith("timestamp"):
-        epoch = F.lit("1970-01-01 00:00:00").cast(dtype)
-        return F.timestamp_diff("MICROSECOND", epoch, col).cast("double")
-    return col.cast("double")
+        return f"cast(timestampdiff(MICROSECOND, cast('1970-01-01 00:00:00' as {dtype}), {column}) as double)"
+    return f"cast({column} as double)"
 
 
-def start_text(column: str, dtype: str) -> Column:
-    """Coordinate as text for string axes; NULL for all others."""
-    return F.col(column) if dtype == "string" else F.lit(None).cast("string")
+def start_key(column: str, dtype: str) -> Column:
+    """Coordinate as a double, zone independent; NULL for strings."""
+    return F.expr(key_sql(column, dtype))
 
 
 def idiv(value: Column, by: int | Column) -> Column:
@@ -46,13 +44,12 @@ def bound_key(value: object) -> float | None:
     return float(value) if isinstance(value, (int, float)) else None
 
 
-def _orient(pieces: DataFrame, total: Column, count: Column) -> DataFrame:
+def _orient(pieces: DataFrame, total: str, count: str) -> DataFrame:
     """Turn ascending rank and sum into position and offset of the real axis."""
-    flip = F.col("descending")
-    return pieces.select(
+    return pieces.selectExpr(
         "dim", "start", "start_s", "size", "descending",
-        F.when(flip, count - 1 - F.col("_rank")).otherwise(F.col("_rank")).cast("long").alias("frag_pos"),
-        F.when(flip, total - F.col("_sum")).otherwise(F.col("_sum") - F.col("size")).cast("long").alias("offset"),
+        f"cast(if(descending, {count} - 1 - _rank, _rank) as bigint) as frag_pos",
+        f"cast(if(descending, {total} - _sum, _sum - size) as bigint) as offset",
     )
 
 
@@ -65,16 +62,14 @@ def arrange(pieces: DataFrame, n_rows: int, window_rows: int | None = None) -> D
     ranked on its own, and the totals of the cuts before it are added.
     """
     limit = WINDOW_ROWS if window_rows is None else window_rows
-    per_dim = Window.partitionBy("dim")
     if n_rows <= limit:
-        order = per_dim.orderBy("start", "start_s")
-        ranked = (
-            pieces.withColumn("_rank", F.row_number().over(order) - 1)
-            .withColumn("_sum", F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-            .withColumn("_total", F.sum("size").over(per_dim))
-            .withColumn("_count", F.count("*").over(per_dim))
+        order = "over (partition by dim order by start, start_s"
+        ranked = pieces.selectExpr(
+            "*", f"row_number() {order}) - 1 as _rank",
+            f"sum(size) {order} rows between unbounded preceding and current row) as _sum",
+            "sum(size) over (partition by dim) as _total", "count(*) over (partition by dim) as _count",
         )
-        return _orient(ranked, F.col("_total"), F.col("_count"))
+        return _orient(ranked, "_total", "_count")
     return _arrange_blocks(pieces, n_rows, limit)
 
 
@@ -122,4 +117,4 @@ def _arrange_blocks(pieces: DataFrame, n_rows: int, limit: int) -> DataFrame:
             F.col("_size_before") + F.sum("size").over(inner.rowsBetween(Window.unboundedPreceding, 0)),
         )
     )
-    return _orient(ranked, F.col("_total"), F.col("_count"))
+    return _orient(ranked, "_total", "_count")

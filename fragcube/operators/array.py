@@ -52,20 +52,21 @@ class Range:
         at = index % size
         return cls(at, at + 1, 1, True)
 
-    def cells(self, index: Column) -> Column:
-        inside = (index >= self.start) & (index < self.stop)
-        return inside if self.step == 1 else inside & (F.pmod(index - self.start, F.lit(self.step)) == 0)
+    def cells(self, index: str) -> str:
+        """Predicate on a global index."""
+        inside = f"{index} >= {self.start} and {index} < {self.stop}"
+        return inside if self.step == 1 else f"{inside} and pmod({index} - {self.start}, {self.step}) = 0"
 
-    def fragments(self, offset: Column, size: Column) -> Column:
-        """Overlap test, exact for steps: the first wanted index at or after the offset is inside."""
+    def fragments(self, offset: str, size: str) -> str:
+        """Predicate on the manifest, exact for steps too: the first wanted index at or after the offset is inside."""
         if self.stop <= self.start:
-            return F.lit(False)
-        overlap = (offset < self.stop) & (offset + size > self.start)
+            return "false"
+        overlap = f"{offset} < {self.stop} and {offset} + {size} > {self.start}"
         if self.step == 1:
             return overlap
-        at = F.greatest(offset, F.lit(self.start))
-        first = at + F.pmod(F.lit(self.start) - at, F.lit(self.step))
-        return overlap & (first < offset + size) & (first < self.stop)
+        at = f"greatest({offset}, {self.start})"
+        first = f"({at} + pmod({self.start} - {at}, {self.step}))"
+        return f"{overlap} and {first} < {offset} + {size} and {first} < {self.stop}"
 
 
 @dataclass(frozen=True)
@@ -132,7 +133,7 @@ class Variable:
         """Fragments that meet the selection, one per grid position of this variable."""
         frags = self.manifest.frags
         for dim, pick in self.picks.items():
-            frags = frags.filter(pick.fragments(F.col(f"o_{dim}"), F.col(f"s_{dim}")))
+            frags = frags.filter(pick.fragments(f"o_{dim}", f"s_{dim}"))
         for dim, low, high in self.bounds:
             low, high = bound_key(low), bound_key(high)
             if low is not None:
@@ -164,14 +165,13 @@ class Variable:
                 cells = cells.filter(F.col(f"c_{dim}") <= F.lit(high))
         frags = self.fragments()
         cells = cells.select("frag_id", *[f"l_{d}" for d in dims], self.name)
-        placed = lookup_join(
-            cells, frags.select("frag_id", *[f"o_{d}" for d in dims]), ["frag_id"],
-            self._n_fragments(frags), [F.col(f"l_{d}") for d in dims] or [F.lit(0)],
+        offsets = frags.select("frag_id", *[f"o_{d}" for d in dims])
+        spread = [f"l_{d}" for d in dims] or [F.lit(0)]
+        placed = lookup_join(cells, offsets, ["frag_id"], self._n_fragments(frags), spread).selectExpr(
+            *[f"o_{d} + l_{d} as {d}" for d in dims], self.name
         )
-        for dim in dims:
-            placed = placed.withColumn(dim, (F.col(f"o_{dim}") + F.col(f"l_{dim}")).cast("long"))
-            if dim in self.picks:
-                placed = placed.filter(self.picks[dim].cells(F.col(dim)))
+        for dim, pick in self.picks.items():
+            placed = placed.filter(pick.cells(dim))
         kept = [d for d in dims if not (d in self.picks and self.picks[d].scalar)]
         return placed.select(*kept, self.name)
 

@@ -33,13 +33,12 @@ def classify_dims(inventory: DataFrame) -> DataFrame:
 
 def class_measures(dims: list[str]) -> list[Column]:
     """What decides about each dimension, as aggregates over a wide inventory."""
-    out = [F.count(F.lit(1)).alias("n_frags")]
+    out = ["count(1) as n_frags"]
     for dim in dims:
-        falls = (F.col(f"stop_{dim}") < F.col(f"start_{dim}")) | (F.col(f"stop_s_{dim}") < F.col(f"start_s_{dim}"))
-        out += [F.max(f"size_{dim}").alias(f"largest_{dim}"), F.count(F.when(falls, 1)).alias(f"falls_{dim}")]
-        for mark in ("start", "start_s"):
-            out += [F.min(f"{mark}_{dim}").alias(f"min_{mark}_{dim}"), F.max(f"{mark}_{dim}").alias(f"max_{mark}_{dim}")]
-    return out
+        out.append(f"max(size_{dim}) as largest_{dim}")
+        out.append(f"count_if(stop_{dim} < start_{dim} or stop_s_{dim} < start_s_{dim}) as falls_{dim}")
+        out += [f"{fn}({m}_{dim}) as {fn}_{m}_{dim}" for fn in ("min", "max") for m in ("start", "start_s")]
+    return [F.expr(o) for o in out]
 
 
 def classes_of(measured: dict, dims: list[str], coords: set[str]) -> list[DimClass]:
@@ -73,9 +72,12 @@ def axis_pieces(wide: DataFrame, classes: list[DimClass]) -> DataFrame:
         if not c.aggregated:
             continue
         part = (
-            wide.groupBy(F.col(f"start_{c.dim}").alias("start"), F.col(f"start_s_{c.dim}").alias("start_s"))
-            .agg(F.max(f"size_{c.dim}").alias("size"))
-            .select(F.lit(c.dim).alias("dim"), "start", "start_s", F.lit(c.descending).alias("descending"), "size")
+            wide.groupBy(f"start_{c.dim}", f"start_s_{c.dim}")
+            .agg(F.expr(f"max(size_{c.dim}) as size"))
+            .selectExpr(
+                f"'{c.dim}' as dim", f"start_{c.dim} as start", f"start_s_{c.dim} as start_s",
+                f"{str(c.descending).lower()} as descending", "size",
+            )
         )
         out = part if out is None else out.unionByName(part)
     whole = [(c.dim, None, None, False, c.largest) for c in classes if not c.aggregated]
@@ -197,44 +199,36 @@ def place_fragments(wide: DataFrame, dim_frags: DataFrame, classes: list[DimClas
     ``dim_frags``; null-safe text and number keys are folded into one column.
     ``fits`` is false for a fragment whose size is not that of its piece.
     """
-    key = lambda a, b: F.coalesce(F.col(a).cast("string"), F.col(b))
     out = wide
     for c in classes:
-        if not c.aggregated:
-            continue
-        dim = c.dim
-        pieces = dim_frags.filter(F.col("dim") == dim).select(
-            key("start", "start_s").alias("_key"),
-            F.col("frag_pos").alias(f"f_{dim}"), F.col("offset").alias(f"o_{dim}"), F.col("size").alias(f"_p_{dim}"),
-        )
-        out = lookup_join(
-            out.withColumn("_key", key(f"start_{dim}", f"start_s_{dim}")), pieces, ["_key"], n_frags, [F.col("frag_id")]
-        )
-    cols, fits = [], F.lit(True)
+        if c.aggregated:
+            d = c.dim
+            pieces = dim_frags.filter(f"dim = '{d}'").selectExpr(
+                f"coalesce(cast(start as string), start_s) as _k_{d}",
+                f"frag_pos as f_{d}", f"offset as o_{d}", f"size as _p_{d}",
+            )
+            keyed = out.selectExpr("*", f"coalesce(cast(start_{d} as string), start_s_{d}) as _k_{d}")
+            out = lookup_join(keyed, pieces, [f"_k_{d}"], n_frags, ["frag_id"])
+    cols, fits = ["frag_id", "file_ord"], ["true"]
     for c in classes:
-        dim, fixed = c.dim, F.lit(0).cast("long")
+        d = c.dim
+        cols += [f"f_{d}", f"o_{d}"] if c.aggregated else [f"0L as f_{d}", f"0L as o_{d}"]
         cols += [
-            (F.col(f"f_{dim}") if c.aggregated else fixed).alias(f"f_{dim}"),
-            (F.col(f"o_{dim}") if c.aggregated else fixed).alias(f"o_{dim}"),
-            F.col(f"size_{dim}").alias(f"s_{dim}"),
-            F.least(f"start_{dim}", f"stop_{dim}").alias(f"lo_{dim}"),
-            F.greatest(f"start_{dim}", f"stop_{dim}").alias(f"hi_{dim}"),
-            F.col(f"start_{dim}"), F.col(f"start_s_{dim}"),
+            f"size_{d} as s_{d}", f"least(start_{d}, stop_{d}) as lo_{d}", f"greatest(start_{d}, stop_{d}) as hi_{d}",
+            f"start_{d}", f"start_s_{d}",
         ]
-        fits = fits & (F.col(f"size_{dim}") == (F.col(f"_p_{dim}") if c.aggregated else F.lit(c.largest)))
+        fits.append(f"size_{d} = " + (f"_p_{d}" if c.aggregated else str(c.largest)))
     if "uris" in wide.columns:
-        cols.append(F.col("uris"))
-    return out.select("frag_id", "file_ord", *cols, fits.alias("fits"))
+        cols.append("uris")
+    return out.selectExpr(*cols, " and ".join(fits) + " as fits")
 
 
 def measure_grid(frags: DataFrame, dims: list[str]) -> tuple[dict[str, int], dict[str, int], bool]:
     """Fragments and cells per dimension, and whether each position holds one fragment that fits."""
-    row = frags.agg(
-        F.count("*").alias("n"),
-        (F.count_distinct(*[F.col(f"f_{d}") for d in dims]) if dims else F.count("*")).alias("positions"),
-        F.count(F.when(~F.col("fits"), 1)).alias("misfits"),
-        *[(F.max(f"f_{d}") + 1).alias(f"f_{d}") for d in dims],
-        *[F.max(F.col(f"o_{d}") + F.col(f"s_{d}")).alias(f"s_{d}") for d in dims],
+    places = ", ".join(f"f_{d}" for d in dims) or "frag_id"
+    row = frags.selectExpr(
+        "count(*) as n", f"count(distinct {places}) as positions", "count_if(not fits) as misfits",
+        *[f"max(f_{d}) + 1 as f_{d}" for d in dims], *[f"max(o_{d} + s_{d}) as s_{d}" for d in dims],
     ).first()
     space = {d: int(row[f"f_{d}"]) for d in dims}
     sizes = {d: int(row[f"s_{d}"]) for d in dims}
@@ -269,8 +263,9 @@ def project_grid(frags: DataFrame, dims: list[str]) -> DataFrame:
     """
     pos = [f"f_{d}" for d in dims]
     rest = [c for d in dims for c in (f"o_{d}", f"s_{d}", f"lo_{d}", f"hi_{d}")]
-    first = frags.groupBy(*pos).agg(F.min_by(F.struct("frag_id", "file_ord", *rest), F.col("file_ord")).alias("_f"))
-    return first.select("_f.frag_id", "_f.file_ord", *pos, *[F.col(f"_f.{c}").alias(c) for c in rest])
+    held = ", ".join(["frag_id", "file_ord", *rest])
+    first = frags.groupBy(*pos).agg(F.expr(f"min_by(struct({held}), file_ord) as _f"))
+    return first.selectExpr(*pos, "_f.*")
 
 
 def assemble_locations(frags: DataFrame, dims: list[str], space: dict[str, int]) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.axis import start_key, start_text
+from ..functions.axis import key_sql
 from ..model import DIFFERS, Block, FragmentError, FragmentSet
 
 
@@ -27,22 +27,20 @@ def _covering_blocks(fragments: FragmentSet, wanted: list[str]) -> list[tuple[Bl
     return picked
 
 
+#: Columns of an inventory for each dimension.
 MARKS = {"size": "long", "start": "double", "stop": "double", "start_s": "string", "stop_s": "string"}
 
 
 def _extent_aggs(block: Block, dims: list[str]) -> list[Column]:
     aggs = []
     for dim in dims:
-        local = F.col(f"l_{dim}")
-        aggs.append((F.max(local) + 1).cast("long").alias(f"size_{dim}"))
+        aggs.append(f"cast(max(l_{dim}) + 1 as bigint) as size_{dim}")
         if dim not in block.coords:
             continue
         dtype = block.dtype(f"c_{dim}")
-        text = dtype == "string"
-        key = start_text(f"c_{dim}", dtype) if text else start_key(f"c_{dim}", dtype)
-        mark = "_s" if text else ""
-        aggs += [F.min_by(key, local).alias(f"start{mark}_{dim}"), F.max_by(key, local).alias(f"stop{mark}_{dim}")]
-    return aggs
+        key, mark = (f"c_{dim}", "_s") if dtype == "string" else (key_sql(f"c_{dim}", dtype), "")
+        aggs += [f"{fn}_by({key}, l_{dim}) as {m}{mark}_{dim}" for fn, m in (("min", "start"), ("max", "stop"))]
+    return [F.expr(a) for a in aggs]
 
 
 def wide_inventory(fragments: FragmentSet, dims: list[str] | None = None) -> DataFrame:
@@ -65,23 +63,19 @@ def wide_inventory(fragments: FragmentSet, dims: list[str] | None = None) -> Dat
         merged = merged.groupBy("frag_id").agg(*[(F.min(c) if c == "file_ord" else F.max(c)).alias(c) for c in rest])
     have = set(merged.columns)
     names = [(f"{mark}_{dim}", kind) for dim in wanted for mark, kind in MARKS.items()]
-    return merged.select(
-        "frag_id", "file_ord", *[F.col(n) if n in have else F.lit(None).cast(kind).alias(n) for n, kind in names]
+    return merged.selectExpr(
+        "frag_id", "file_ord", *[n if n in have else f"cast(null as {kind}) as {n}" for n, kind in names]
     )
 
 
 def long_inventory(wide: DataFrame, dims: list[str], coords: set[str]) -> DataFrame:
     """Fragment x dimension rows of a wide inventory."""
     rows = [
-        F.struct(
-            F.lit(dim).alias("dim"),
-            F.lit(order).alias("dim_ord"),
-            F.lit("coord" if dim in coords else "pure").alias("kind"),
-            *[F.col(f"{m}_{dim}").alias(m) for m in MARKS],
-        )
+        f"named_struct('dim', '{dim}', 'dim_ord', {order}, 'kind', '{'coord' if dim in coords else 'pure'}', "
+        + ", ".join(f"'{m}', {m}_{dim}" for m in MARKS) + ")"
         for order, dim in enumerate(dims)
     ]
-    return wide.select("frag_id", "file_ord", F.explode(F.array(*rows)).alias("d")).select("frag_id", "file_ord", "d.*")
+    return wide.selectExpr("frag_id", "file_ord", f"inline(array({', '.join(rows)}))")
 
 
 def dim_inventory(fragments: FragmentSet, dims: list[str] | None = None) -> DataFrame:

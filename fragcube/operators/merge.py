@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..model import DIFFERS, FragmentError, FragmentSet, Manifest
-from ..plans.manifest import Inventory, place, require_full, scan_inventory, store_inventory
+from ..plans.manifest import Inventory, place, require_full, scan_inventory, store_inventory, variable_rows
 from ..session import lookup_join
 from . import infer
 from . import inventory as inv
@@ -37,7 +37,7 @@ def merge_vars(parts: list[DataFrame], agg_dims: list[str]) -> DataFrame:
         clash.filter(~(F.col("a") & F.col("b")) | (F.col("n") != len(parts))).select("var"),
         "variables differ between the aggregations",
     )
-    return infer.classify_vars(rows, agg_dims).withColumn("adims", F.concat_ws(" ", "adims"))
+    return infer.classify_vars(rows, agg_dims).withColumn("adims", F.concat_ws(" ", "adims")).drop("n_files")
 
 
 def extend_manifests(manifests: list[Manifest], differs: str = DIFFERS) -> Manifest:
@@ -78,14 +78,14 @@ def partial_manifests(fragments: FragmentSet, batch: Column, n_batches: int) ->
     """
     whole = scan_inventory(fragments)
     names, coords = fragments.dims, fragments.coords
-    variables = inv.var_inventory(fragments)
+    spark = whole.wide.sparkSession
     measured = whole.wide.groupBy(batch.alias("b")).agg(*infer.class_measures(names))
     out = []
     for row in measured.filter(F.col("b").between(0, n_batches - 1)).orderBy("b").collect():
         part = whole.wide.filter(batch == F.lit(row["b"]))
         placed = place(Inventory(part, whole.dims, whole.coords, row["n_frags"], row.asDict()))
         agg = [d.dim for d in placed.dims if d.f_size > 1]
-        own = infer.classify_vars(variables, agg).withColumn("adims", F.concat_ws(" ", "adims"))
+        own = variable_rows(spark, fragments, agg)
         out.append(Manifest(placed.dims, part, placed.dim_frags, placed.frags, own, None, None, row["n_frags"]))
     return out
 

@@ -79,6 +79,24 @@ def require_full(inventory: Inventory, placed: Placement) -> None:
         inv.require_none(faults, "invalid aggregation")
 
 
+_VARS = "var string, dtype string, dims string, identifier string, block_ord int, fill string, adims string, class string"
+
+
+def variable_rows(spark: SparkSession, fragments: FragmentSet, agg_dims: list[str]) -> DataFrame:
+    """``vars`` from the schemas of the blocks, which all their fragments share."""
+    rows = []
+    for order, block in enumerate(fragments.blocks):
+        moving = [d for d in block.dims if d in agg_dims]
+        kind = "aggregated" if moving else "identical" if block.dims else "scalar"
+        for var in block.vars:
+            fill = block.cells.schema[var].metadata.get("_FillValue")
+            rows.append((
+                var, block.dtype(var), " ".join(block.dims), fragments.identifiers.get(var, var), order,
+                None if fill is None else str(fill), " ".join(moving), kind,
+            ))
+    return spark.createDataFrame(rows, _VARS)
+
+
 def build_manifest(
     fragments: FragmentSet,
     agg_dims: list[str] | None = None,
@@ -93,6 +111,7 @@ def build_manifest(
     The cells are scanned once, into an inventory with a row per fragment.  It
     is stored, and all else is derived from it.
     """
+    spark = fragments.blocks[0].cells.sparkSession
     inventory = scan_inventory(fragments)
     n_frags = inventory.n_frags
     if n_frags < 2:
@@ -118,9 +137,7 @@ def build_manifest(
                 (F.col("scope") == "global") & (F.col("attr") == "Conventions"), raise_conventions(F.col("value"))
             ).otherwise(F.col("value")),
         )
-    variables = infer.classify_vars(
-        inv.var_inventory(fragments), [d.dim for d in dims if d.f_size > 1]
-    ).withColumn("adims", F.concat_ws(" ", "adims"))
+    variables = variable_rows(spark, fragments, [d.dim for d in dims if d.f_size > 1])
     coords = infer.concat_axis(fragments, frags, n_frags) if with_coords and fragments.coords else None
     return Manifest(dims, inventory.wide, placed.dim_frags, frags, variables, attrs, coords, n_frags)
 

@@ -13,7 +13,7 @@ from ..sources.parquet import header_inventory, open_fragments, scan_headers, wr
 from . import cubes
 from .cubes import table, with_sql
 from .dataset import describe
-from .manifest import Placement, build_manifest, place, read_manifest, scan_inventory, store_inventory, write_manifest
+from .manifest import Placement, build_manifest, place, read_manifest, scan_inventory, store_inventory, variable_rows, write_manifest
 from .registry import query
 
 
@@ -521,7 +521,7 @@ def write_and_read(spark: SparkSession, sf_dir: str) -> DataFrame:
         dims.unionByName(back.frags.select(F.lit("frags").alias("tbl"), F.col("frag_id").alias("item"), F.col("o_event").alias("number")))
         .unionByName(back.coords.select(
             F.lit("coords").alias("tbl"), F.col("idx").cast("string").alias("item"), F.col("value").cast("long").alias("number")))
-        .unionByName(back.vars.select(F.lit("vars").alias("tbl"), F.col("var").alias("item"), F.col("n_files").alias("number")))
+        .unionByName(back.vars.select(F.lit("vars").alias("tbl"), F.col("var").alias("item"), F.lit(back.n_frags).cast("long").alias("number")))
     )
 
 
@@ -570,5 +570,5 @@ def incremental_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     some = replace(everything, blocks=tuple(replace(b, cells=b.cells.filter(odd)) for b in everything.blocks))
     known = scan_inventory(some)
     at = place(known)
-    start = Manifest(at.dims, known.wide, at.dim_frags, at.frags, inv.var_inventory(some), None, None, known.n_frags)
+    start = Manifest(at.dims, known.wide, at.dim_frags, at.frags, variable_rows(spark, some, ["event"]), None, None, known.n_frags)
     return _placement(merge.incremental_append(start, everything), ["event"])

@@ -84,7 +84,7 @@ def lookup_join(
     lookup: DataFrame,
     on: list[str],
     lookup_rows: int,
-    spread: list[Column],
+    spread: list[Column | str],
     how: str = "inner",
     broadcast_rows: int | None = None,
 ) -> DataFrame:
