@@ -99,25 +99,22 @@ def list_variables(variables: DataFrame, decode: bool = True) -> DataFrame:
     )
 
 
-def variable_meta(variables: DataFrame, attrs: DataFrame, dims: DataFrame) -> DataFrame:
+def variable_meta(variables: DataFrame, attrs: DataFrame, sizes: dict[str, int]) -> DataFrame:
     """Shape, type and units of each variable; ``aggregated_units`` overrides ``units``.
 
-    ``variables`` holds ``(var, dtype, dims)``, ``attrs`` ``(owner, attr,
-    value)`` and ``dims`` ``(dim, size)``.
+    ``variables`` holds ``(var, dtype, dims)`` and ``attrs`` ``(owner, attr,
+    value)``.  The sizes of the few dimensions are constants of the plan.
     """
-    sizes = variables.select("var", F.posexplode(F.split("dims", " ")).alias("ord", "dim")).join(dims, "dim", "left")
-    shape = sizes.groupBy("var").agg(
-        F.array_join(
-            F.transform(F.sort_array(F.collect_list(F.struct("ord", "size"))), lambda s: s["size"].cast("string")), "x"
-        ).alias("shape")
-    )
+    size_of = F.create_map(*[F.lit(x) for d, n in sizes.items() for x in (d, str(n))])
+    dims = F.filter(F.split("dims", " "), lambda d: d != "")
+    shape = F.array_join(F.transform(dims, lambda d: size_of[d]), "x")
     own = attrs.groupBy(F.col("owner").alias("var")).agg(
         F.max(F.when(F.col("attr") == "units", F.col("value"))).alias("_units"),
         F.max(F.when(F.col("attr") == "aggregated_units", F.col("value"))).alias("_agg_units"),
         F.count(F.when(~F.col("attr").contains("aggregated"), 1)).alias("n_attrs"),
     )
-    return variables.join(shape, "var", "left").join(own, "var", "left").select(
-        "var", "dtype", "dims", "shape", F.coalesce("_agg_units", "_units", F.lit("")).alias("units"),
+    return variables.join(own, "var", "left").select(
+        "var", "dtype", "dims", shape.alias("shape"), F.coalesce("_agg_units", "_units", F.lit("")).alias("units"),
         F.coalesce("n_attrs", F.lit(0)).alias("n_attrs"),
     )
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.axis import arrange, idiv, start_key
 from ..model import DimClass, FragmentError, FragmentSet
-from ..session import compact, lookup_join
+from ..session import BROADCAST_ROWS, compact, lookup_join
 from .inventory import all_equal
 
 def classify_dims(inventory: DataFrame) -> DataFrame:
@@ -97,21 +97,20 @@ def arrange_dimension(wide: DataFrame, classes: list[DimClass], n_rows: int, win
 def concat_axis(fragments: FragmentSet, frags: DataFrame, n_frags: int, dims: list[str] | None = None) -> DataFrame:
     """``coords``: the whole coordinate array of each dimension, as rows.
 
-    Each fragment first keeps one value per local index (map-side), then the
-    offset is added; fragments side by side supply the same index and merge.
+    The offset is added to each cell and one value is kept per index, map-side
+    first; fragments side by side supply the same index and merge.
     ``start`` and ``local`` say which piece a value belongs to, so that merged
     manifests can move it.
     """
     out = None
     for dim in dims or [d for d in fragments.dims if d in fragments.coords]:
         block = next(b for b in sorted(fragments.blocks, key=lambda b: len(b.dims)) if dim in b.coords)
-        values = block.cells.groupBy("frag_id", F.col(f"l_{dim}").alias("local")).agg(
-            F.min(f"c_{dim}").alias("low"), F.max(f"c_{dim}").alias("high")
-        )
-        pieces = frags.select(
-            "frag_id", F.col(f"o_{dim}").alias("_o"), F.col(f"start_{dim}").alias("start"), F.col(f"start_s_{dim}").alias("start_s")
-        )
-        placed = lookup_join(values, pieces, ["frag_id"], n_frags, [F.col("local")])
+        values = block.cells.selectExpr("frag_id", f"l_{dim} as local", f"c_{dim} as low", f"c_{dim} as high")
+        pieces = frags.selectExpr("frag_id", f"o_{dim} as _o", f"start_{dim} as start", f"start_s_{dim} as start_s")
+        if n_frags > BROADCAST_ROWS:
+            # the offsets need a shuffle, so send them one row per index and fragment
+            values = values.groupBy("frag_id", "local").agg(F.min("low").alias("low"), F.max("high").alias("high"))
+        placed = lookup_join(values, pieces, ["frag_id"], n_frags, ["local"])
         number = block.dtype(f"c_{dim}") != "string"
         part = (
             placed.groupBy("start", "start_s", "local")
@@ -310,10 +309,14 @@ def _edit_rows(spark: SparkSession, edits: dict[str, str | None]) -> DataFrame:
 
 
 def split_edits(attrs: DataFrame, edits: dict[str, str | None]) -> tuple[DataFrame, DataFrame]:
-    """Edits that name a known item, with its scope, and those that do not."""
-    spark = attrs.sparkSession
-    owners = attrs.select("scope", "owner").distinct()
-    known = _edit_rows(spark, edits).join(owners, "owner", "left")
+    """Edits that name a known item, with its scope, and those that do not.
+
+    Edits are a dictionary on the driver, so they are broadcast and the
+    attributes are never shuffled.
+    """
+    rows = _edit_rows(attrs.sparkSession, edits)
+    owners = attrs.join(F.broadcast(rows.select("owner").distinct()), "owner", "left_semi").select("scope", "owner")
+    known = rows.join(owners.distinct(), "owner", "left")
     known = known.withColumn("scope", F.when(F.col("owner") == "", F.lit("global")).otherwise(F.col("scope")))
     return known.filter(F.col("scope").isNotNull()).distinct(), known.filter(F.col("scope").isNull())
 
@@ -325,18 +328,16 @@ def apply_updates(attrs: DataFrame, updates: dict[str, str]) -> tuple[DataFrame,
     """
     known, unknown = split_edits(attrs, updates)
     keys = ["scope", "owner", "attr"]
-    new = known.select(*keys, "new", F.lit(True).alias("_set"))
-    out = attrs.select(*keys, "value").join(new, keys, "full_outer").select(
-        *keys, F.when(F.col("_set"), F.col("new")).otherwise(F.col("value")).alias("value")
-    )
-    return out, unknown.select("owner", "attr")
+    kept = attrs.select(*keys, "value").join(F.broadcast(known.select(*keys)), keys, "left_anti")
+    return kept.unionByName(known.select(*keys, F.col("new").alias("value"))), unknown.select("owner", "attr")
 
 
 def apply_removals(attrs: DataFrame, removals: list[str]) -> tuple[DataFrame, DataFrame]:
     """Drop attributes; returns the rest and the removals that met nothing."""
     gone = _edit_rows(attrs.sparkSession, dict.fromkeys(removals)).select("owner", "attr")
     keys = ["owner", "attr"]
-    return attrs.join(F.broadcast(gone), keys, "left_anti"), gone.join(attrs.select(*keys), keys, "left_anti")
+    met = attrs.select(*keys).join(F.broadcast(gone), keys, "left_semi").distinct()
+    return attrs.join(F.broadcast(gone), keys, "left_anti"), gone.join(met, keys, "left_anti")
 
 
 def validate_manifest(dim_frags: DataFrame, frags: DataFrame, space: dict[str, int], sizes: dict[str, int] | None = None) -> DataFrame:
@@ -387,9 +388,3 @@ def size_violations(inventory: DataFrame) -> DataFrame:
             "expected", "actual",
         )
     )
-
-
-def require_fragments(frag_ids: DataFrame) -> None:
-    """At least two fragments are needed; stops reading at the second."""
-    if frag_ids.select("frag_id").distinct().limit(2).count() < 2:
-        raise FragmentError("unable to aggregate fewer than two fragments")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.text import raise_conventions
 from ..model import DIFFERS, DimClass, DimInfo, FragmentError, FragmentSet, Manifest
 from ..operators import infer, inventory as inv
-from ..session import compact, materialise_observed
+from ..session import SINGLE_TASK_ROWS, compact, materialise, materialise_observed
 
 TABLES = ("inventory", "dim_frags", "frags", "vars", "attrs", "coords")
 
@@ -63,7 +63,12 @@ def place(inventory: Inventory) -> Placement:
     """``dims``, ``dim_frags`` and ``frags``; a row per dimension comes to the driver."""
     classes = inventory.classes
     dim_frags = infer.arrange_dimension(inventory.wide, classes, inventory.n_frags)
+    large = inventory.n_frags > SINGLE_TASK_ROWS
+    if large:
+        dim_frags = materialise(dim_frags, "dim_frags")
     frags = infer.place_fragments(inventory.wide, dim_frags, classes, inventory.n_frags)
+    if large:
+        frags = materialise(frags, "frags")
     space, sizes, full = infer.measure_grid(frags, list(inventory.dims))
     dims = tuple(DimInfo(c.dim, c.dim_ord, c.kind, sizes[c.dim], space[c.dim], c.descending) for c in classes)
     return Placement(dims, dim_frags, frags, full)

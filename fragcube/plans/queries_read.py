@@ -240,10 +240,8 @@ def open_variable_meta(spark: SparkSession, sf_dir: str) -> DataFrame:
         ).alias("a"),
     ).select("owner", "a.attr", "a.value").filter("value is not null")
     day = F.datediff(F.col("ts").cast("date"), F.lit("2024-01-01").cast("date"))
-    dims = table(spark, sf_dir, "events").agg(
-        (F.max(day) + 1).cast("long").alias("day"), (F.max(F.col("user_id") % 10) + 1).alias("bucket")
-    ).unpivot([], ["day", "bucket"], "dim", "size")
-    return decode.variable_meta(variables, attrs, dims)
+    ends = table(spark, sf_dir, "events").agg(F.max(day).alias("day"), F.max(F.col("user_id") % 10).alias("bucket")).first()
+    return decode.variable_meta(variables, attrs, {"day": ends["day"] + 1, "bucket": ends["bucket"] + 1})
 
 
 @query(

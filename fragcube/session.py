@@ -16,8 +16,8 @@ import uuid
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-#: Metadata rows (about 200 bytes each) that may be broadcast.
-BROADCAST_ROWS = 250_000
+#: Metadata rows (about 100 bytes each) that may be broadcast.
+BROADCAST_ROWS = 1_000_000
 #: Metadata rows of one dimension that a single window task may sort.
 WINDOW_ROWS = 1_000_000
 #: Metadata rows one task handles faster than a shuffle would.

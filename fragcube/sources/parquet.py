@@ -15,15 +15,19 @@ ROW_SCHEMA = b"org.apache.spark.sql.parquet.row.metadata"
 HEADER = "path string, pos int, column string, dtype string, attrs map<string,string>, n_rows long"
 
 
-def write_fragments(block: Block, path: str, cells_per_file: int = 5_000_000) -> None:
+def write_fragments(block: Block, path: str) -> None:
     """Store a block with one ``frag_id=`` folder per fragment.
 
-    Rows are spread by fragment and a slice of its first index, so a huge
-    fragment is written by several tasks into several files.
+    Rows gather by fragment through a rebalance, which adaptive execution
+    splits where one fragment is huge and merges where many are tiny.
     """
-    lead = F.col(f"l_{block.dims[0]}") if block.dims else F.lit(0)
-    piece = F.floor(lead / F.lit(cells_per_file))
-    block.cells.repartition("frag_id", piece).write.partitionBy("frag_id").parquet(path)
+    block.cells.hint("rebalance", "frag_id").write.partitionBy("frag_id").parquet(path)
+
+
+def has_two(cells: DataFrame) -> bool:
+    """At least two fragments; ``frag_id`` is a partition column, so two files are opened at most."""
+    one = cells.select("frag_id").first()
+    return one is not None and bool(cells.filter(F.col("frag_id") != one["frag_id"]).select("frag_id").take(1))
 
 
 def open_fragments(spark: SparkSession, paths: str | list[str], variables: list[str] | None = None) -> Block:
@@ -40,7 +44,7 @@ def open_fragments(spark: SparkSession, paths: str | list[str], variables: list[
     else:
         root = paths.split("/frag_id=", 1)[0]
         cells = spark.read.option("basePath", root).parquet(paths)
-        if cells.select("frag_id").distinct().limit(2).count() < 2:
+        if not has_two(cells):
             raise FragmentError(f"unable to aggregate fewer than two fragments from {paths!r}")
     cells = cells.withColumn("frag_id", F.col("frag_id").cast("string"))
     names = cells.columns
