@@ -137,9 +137,9 @@ class Variable:
         for dim, low, high in self.bounds:
             low, high = bound_key(low), bound_key(high)
             if low is not None:
-                frags = frags.filter(F.col(f"hi_{dim}").isNull() | (F.col(f"hi_{dim}") >= low))
+                frags = frags.filter(f"coalesce(hi_{dim}, {low}D) >= {low}D")
             if high is not None:
-                frags = frags.filter(F.col(f"lo_{dim}").isNull() | (F.col(f"lo_{dim}") <= high))
+                frags = frags.filter(f"coalesce(lo_{dim}, {high}D) <= {high}D")
         lacking = [d for d in self.manifest.agg_dims if d not in self.block.dims]
         return infer.project_grid(frags, list(self.block.dims)) if lacking else frags
 
