@@ -155,6 +155,23 @@ def decode_calendar(days: Column, year0: int, calendar: str) -> Column:
     )
 
 
+def is_time_unit(unit: str) -> bool:
+    """A plain length of time, singular or plural."""
+    return unit.lower().rstrip("s") + "s" in MICROSECONDS
+
+
+def decode_calendar_times(value: Column, units: str, calendar: str) -> Column:
+    """``"<unit> since <year>-01-01"`` to ``struct<y,m,d,us>`` in a model calendar."""
+    unit, _, epoch = units.partition(" since ")
+    date = epoch.strip()[:10].split("-")
+    if [int(n) for n in date[1:3]] != [1, 1]:
+        raise ValueError(f"the epoch of a {calendar} axis must be 1 January, not {epoch!r}")
+    us = F.round(value * _unit_us(F.lit(unit.strip()))).cast("long")
+    in_day = F.pmod(us, F.lit(MICROSECONDS["days"]))
+    date_part = decode_calendar((us - in_day) / MICROSECONDS["days"], int(date[0]), calendar)
+    return F.struct(date_part["y"].alias("y"), date_part["m"].alias("m"), date_part["d"].alias("d"), in_day.alias("us"))
+
+
 def coordinate_names(attrs: DataFrame) -> DataFrame:
     """Names listed in any ``coordinates`` attribute."""
     listed = attrs.filter(F.col("attr") == "coordinates")

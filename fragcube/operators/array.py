@@ -16,6 +16,9 @@ from ..model import Block, FragmentError, FragmentSet, Manifest
 from ..session import BROADCAST_ROWS, lookup_join, within
 from . import infer
 
+#: Bytes of one chunk when its size is left to the engine.
+TARGET_BYTES = 128 * 1024 * 1024
+
 REDUCERS = {
     "mean": F.avg,
     "sum": F.sum,
@@ -69,6 +72,27 @@ class Range:
         return f"{overlap} and {first} < {offset} + {size} and {first} < {self.stop}"
 
 
+@dataclass(frozen=True)
+class Points:
+    """A list of indices; each is kept once, in the order of the axis."""
+
+    values: tuple[int, ...]
+    scalar: bool = False
+
+    @classmethod
+    def of(cls, indices: list[int], size: int) -> "Points":
+        return cls(tuple(sorted({Range.of(int(i), size).start for i in indices})))
+
+    def cells(self, index: str) -> str:
+        return f"{index} in ({', '.join(map(str, self.values))})" if self.values else "false"
+
+    def fragments(self, offset: str, size: str) -> str:
+        if not self.values:
+            return "false"
+        listed = ", ".join(f"{v}L" for v in self.values)
+        return f"{offset} <= {self.values[-1]} and exists(array({listed}), i -> i >= {offset} and i < {offset} + {size})"
+
+
 @dataclass(frozen=True)
 class Variable:
     """A lazy aggregated variable: cells, the fragments that serve it, and a selection."""
@@ -76,7 +100,7 @@ class Variable:
     block: Block
     manifest: Manifest
     name: str
-    picks: dict[str, Range] = field(default_factory=dict)
+    picks: dict[str, Range | Points] = field(default_factory=dict)
     bounds: tuple[tuple[str, object, object], ...] = ()
 
     @property
@@ -87,27 +111,37 @@ class Variable:
             if pick is None:
                 sizes.append(self.manifest.dim(dim).size)
             elif not pick.scalar:
-                sizes.append(len(range(pick.start, pick.stop, pick.step)))
+                sizes.append(len(self._kept(dim)))
         return tuple(sizes)
 
-    def isel(self, **indices: int | slice) -> "Variable":
+    def _kept(self, dim: str) -> range | tuple[int, ...]:
+        """Indices of the whole axis that are still selected."""
+        pick = self.picks.get(dim)
+        if pick is None:
+            return range(self.manifest.dim(dim).size)
+        return pick.values if isinstance(pick, Points) else range(pick.start, pick.stop, pick.step)
+
+    def isel(self, **indices: int | slice | list[int]) -> "Variable":
         """Select by index; an integer drops the dimension."""
         picks = dict(self.picks)
         for dim, index in indices.items():
-            if dim not in self.block.dims:
+            if dim not in self.block.dims or (dim in picks and picks[dim].scalar):
                 raise FragmentError(f"{self.name} has no dimension {dim!r}")
-            if dim in picks:
-                had = picks[dim]
-                kept = range(had.start, had.stop, had.step)
-                inner = Range.of(index, len(kept))
+            kept = self._kept(dim)
+            if isinstance(index, (list, tuple)):
+                picks[dim] = Points(tuple(kept[i] for i in Points.of(index, len(kept)).values))
+                continue
+            inner = Range.of(index, len(kept))
+            if isinstance(kept, tuple):
+                chosen = kept[inner.start:inner.stop:inner.step]
+                picks[dim] = Range(chosen[0], chosen[0] + 1, 1, True) if inner.scalar else Points(chosen)
+            elif inner.stop <= inner.start:
+                picks[dim] = Range(0, 0)
+            else:
                 picks[dim] = Range(
-                    had.start + inner.start * had.step,
-                    had.start + (inner.stop - 1) * had.step + 1 if inner.stop > inner.start else had.start,
-                    had.step * inner.step,
-                    inner.scalar,
+                    kept.start + inner.start * kept.step, kept.start + (inner.stop - 1) * kept.step + 1,
+                    kept.step * inner.step, inner.scalar,
                 )
-            else:
-                picks[dim] = Range.of(index, self.manifest.dim(dim).size)
         return replace(self, picks=picks)
 
     def sel(self, method: str | None = None, **values: object) -> "Variable":

@@ -2,37 +2,109 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import cf
 from ..functions.text import DEFAULT_SUBSTITUTIONS, substitute_all
-from ..model import FragmentError, FragmentSet, Manifest
-from ..operators.array import Variable, open_variable
+from ..model import Block, FragmentError, FragmentSet, Manifest
+from ..operators import array
 from ..operators.decode import drop_variables
 from .manifest import read_manifest
 
 
 @dataclass(frozen=True)
 class Dataset:
-    """A manifest with the fragments behind it."""
+    """Manifests from the root to the opened group, with the fragments behind them."""
 
-    manifest: Manifest
+    layers: tuple[Manifest, ...]
     fragments: FragmentSet
+    chunks: dict[str, int | str] | None = None
+
+    @property
+    def manifest(self) -> Manifest:
+        """The opened group itself."""
+        return self.layers[-1]
 
     @property
     def variables(self) -> DataFrame:
-        return self.manifest.vars
+        """Variables of all layers; of one name the deepest."""
+        rows = None
+        for depth, layer in enumerate(self.layers):
+            part = layer.vars.withColumn("_depth", F.lit(depth))
+            rows = part if rows is None else rows.unionByName(part, allowMissingColumns=True)
+        rest = [c for c in self.manifest.vars.columns if c != "var"]
+        best = rows.groupBy("var").agg(F.max_by(F.struct(*rest), "_depth").alias("_v"))
+        return best.select("var", "_v.*")
 
     @property
     def sizes(self) -> dict[str, int]:
-        return {d.dim: d.size for d in self.manifest.dims}
+        """Size of each dimension; of one name the deepest."""
+        return {d.dim: d.size for layer in self.layers for d in layer.dims}
 
-    def __getitem__(self, name: str) -> Variable:
-        if not self.manifest.vars.filter(F.col("var") == name).take(1):
-            raise FragmentError(f"no variable named {name!r}")
-        return open_variable(self.fragments, self.manifest, name)
+    @property
+    def attrs(self) -> DataFrame | None:
+        """Attributes of all layers; of one name the one nearest the root."""
+        rows = None
+        for depth, layer in enumerate(self.layers):
+            if layer.attrs is not None:
+                part = layer.attrs.withColumn("_depth", F.lit(depth))
+                rows = part if rows is None else rows.unionByName(part)
+        if rows is None:
+            return None
+        return rows.groupBy("scope", "owner", "attr").agg(F.min_by("value", "_depth").alias("value"))
+
+    def __getitem__(self, name: str) -> array.Variable:
+        for layer in reversed(self.layers):
+            if layer.vars.filter(F.col("var") == name).take(1):
+                return array.open_variable(self.fragments, layer, name)
+        raise FragmentError(f"no variable named {name!r}")
+
+    def attrs_of(self, name: str) -> dict[str, str]:
+        """Attributes of one variable; a header's worth of rows."""
+        if self.attrs is None:
+            return {}
+        return {r["attr"]: r["value"] for r in self.attrs.filter(F.col("owner") == name).collect()}
+
+    def chunk_sizes(self, block: Block) -> dict[str, int]:
+        """Chunk sizes asked for, with ``optimised`` replaced by the best size."""
+        wanted = dict(self.chunks or {})
+        spark = block.cells.sparkSession
+        for dim in [d for d, size in wanted.items() if size == "optimised"]:
+            size = self.sizes[dim]
+            count = array.chunk_count(F.lit(size), 8, array.TARGET_BYTES)
+            wanted[dim] = spark.range(1).select(array.optimal_chunk_size(F.lit(size), count).alias("n")).first()["n"]
+        return {d: int(n) for d, n in wanted.items() if d in block.dims}
+
+    def chunked(self, name: str) -> DataFrame:
+        """Cells of a variable partitioned by chunk."""
+        block = self.fragments.block_of(name)
+        return array.rechunk(block, self.chunk_sizes(block))
+
+    def decoded(self, name: str, mask_and_scale: bool = True, decode_times: bool = True, decode_timedelta: bool = True) -> DataFrame:
+        """Cells of a variable with its packing undone and its times decoded."""
+        attrs, value = self.attrs_of(name), F.col(name)
+        row = self.variables.filter(F.col("var") == name).first()
+        cells = self[name].to_df()
+        if cells.schema[name].dataType.simpleString() in ("string", "timestamp_ntz", "timestamp", "date"):
+            return cells
+        if mask_and_scale:
+            number = lambda key: F.lit(float(attrs[key])) if key in attrs else None
+            fill = F.lit(float(row["fill"])) if row["fill"] is not None else None
+            if fill is not None or "scale_factor" in attrs or "add_offset" in attrs:
+                value = cf.mask_and_scale(value, fill, number("scale_factor"), number("add_offset"))
+        units = attrs.get("units", "")
+        if decode_times and " since " in units:
+            calendar = attrs.get("calendar", "standard")
+            if calendar in ("standard", "gregorian", "proleptic_gregorian"):
+                value = cf.decode_times(value, F.lit(units))
+            else:
+                value = cf.decode_calendar_times(value, units, calendar)
+        elif decode_timedelta and cf.is_time_unit(units):
+            value = cf.decode_timedelta(value, F.lit(units))
+        return cells.withColumn(name, value)
 
 
 def open_dataset(
@@ -41,16 +113,24 @@ def open_dataset(
     fragments: FragmentSet,
     drop: list[str] | None = None,
     substitutions: dict[str, str] | None = None,
+    group: str | None = None,
+    chunks: dict[str, int | str] | None = None,
 ) -> Dataset:
-    """Open the manifest at ``path``; nothing but its tables is read yet."""
-    manifest = read_manifest(spark, path)
-    tables = dict(manifest.__dict__)
-    if drop:
-        tables["vars"] = drop_variables(manifest.vars, drop)
-    if "uris" in manifest.frags.columns:
-        subs = {**DEFAULT_SUBSTITUTIONS, **(substitutions or {})}
-        tables["frags"] = manifest.frags.withColumn("uris", substitute_all(F.col("uris"), subs))
-    return Dataset(Manifest(**tables), fragments)
+    """Open the manifest at ``path``, or a group of it with all it inherits.
+
+    Nothing but the tables of the manifest is read.
+    """
+    parts = [p for p in (group or "").strip("/").split("/") if p]
+    subs = {**DEFAULT_SUBSTITUTIONS, **(substitutions or {})}
+    layers = []
+    for depth in range(len(parts) + 1):
+        manifest = read_manifest(spark, path, "/".join(parts[:depth]))
+        if drop:
+            manifest = replace(manifest, vars=drop_variables(manifest.vars, drop))
+        if "uris" in manifest.frags.columns:
+            manifest = replace(manifest, frags=manifest.frags.withColumn("uris", substitute_all(F.col("uris"), subs)))
+        layers.append(manifest)
+    return Dataset(tuple(layers), fragments, chunks)
 
 
 def describe(manifest: Manifest) -> DataFrame:

@@ -150,8 +150,15 @@ def build_manifest(
 _DIMS = "dim string, dim_ord int, kind string, size long, f_size long, descending boolean"
 
 
-def write_manifest(manifest: Manifest, path: str) -> None:
-    """One Parquet folder per table under ``path``."""
+def group_path(path: str, group: str | None) -> str:
+    """Folder of a nested group of the manifest at ``path``."""
+    parts = [p for p in (group or "").strip("/").split("/") if p]
+    return "/".join([path.rstrip("/"), *[f"groups/{p}" for p in parts]])
+
+
+def write_manifest(manifest: Manifest, path: str, group: str | None = None) -> None:
+    """One Parquet folder per table under ``path``, or under a group of it."""
+    path = group_path(path, group)
     spark = manifest.frags.sparkSession
     rows = [(d.dim, d.dim_ord, d.kind, d.size, d.f_size, d.descending) for d in manifest.dims]
     spark.createDataFrame(rows, _DIMS).write.parquet(f"{path}/dims")
@@ -166,8 +173,11 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
 
 
-def read_manifest(spark: SparkSession, path: str) -> Manifest:
+def read_manifest(spark: SparkSession, path: str, group: str | None = None) -> Manifest:
     """Read the tables back; sizes come from the file footers."""
+    path = group_path(path, group)
+    if not _exists(spark, f"{path}/dims"):
+        raise FragmentError(f"no aggregation at {path!r}" + (f": group {group!r} not found" if group else ""))
     rows = spark.read.parquet(f"{path}/dims").orderBy("dim_ord").collect()
     dims = tuple(DimInfo(r.dim, r.dim_ord, r.kind, r.size, r.f_size, r.descending) for r in rows)
     tables = {n: spark.read.parquet(f"{path}/{n}") if _exists(spark, f"{path}/{n}") else None for n in TABLES}

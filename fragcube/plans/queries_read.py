@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import DEFAULT_SUBSTITUTIONS, detect_convention, parse_features, parse_substitutions, substitute_all
 from ..model import FragmentSet
 from ..operators import array, decode
+from ..operators.infer import linear_position
 from ..session import scratch_path
 from ..sources.parquet import open_fragments, write_fragments
-from . import cubes
+from . import cubes, instructions
 from .cubes import table, with_sql
 from .manifest import build_manifest
 from .queries_create import SPARSE_SQL, _quick, _sparse
@@ -171,6 +174,44 @@ def resolve_location(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decode.resolve_locations(versions, listing, "/data/set")
 
 
+@query(
+    "decode_instructions",
+    with_sql("em") + """
+select '/data/' || frag_id as uri, 'v' as identifier, b_vec as f_vec, min(vec) as o_vec, max(vec) - min(vec) + 1 as s_vec,
+       b_comp as f_comp, min(comp) as o_comp, max(comp) - min(comp) + 1 as s_comp
+from em_f group by frag_id, b_vec, b_comp""",
+)
+def decode_written_instructions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write the placement as map, locations and identifier, and decode it again."""
+    fragments = cubes.em(spark, sf_dir)
+    ids = fragments.blocks[0].cells.select("frag_id").distinct()
+    uris = ids.withColumn("uris", F.array(F.concat(F.lit("file:///data/"), "frag_id")))
+    manifest = build_manifest(replace(fragments, uris=uris), with_coords=False)
+    decoded = instructions.decode_instructions(instructions.to_instructions(manifest, "v"), "v")
+    return decoded.frags.select(F.col("uris")[0].alias("uri"), "identifier", *[f"{m}_{d}" for d in ("vec", "comp") for m in ("f", "o", "s")])
+
+
+@query(
+    "open_unique_values",
+    with_sql("em") + """
+, u as (select b_vec, b_comp, case when b_vec = b_comp then null else (b_vec * 100 + b_comp)::double end as unique_value
+        from em_f group by b_vec, b_comp)
+select vec, comp, unique_value from em_f join u using (b_vec, b_comp)""",
+)
+def open_unique_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fragments given by a map and one value each; the missing value marks empty ones."""
+    manifest = _quick(spark, sf_dir, "em")
+    space = {d: manifest.dim(d).f_size for d in ("vec", "comp")}
+    written = instructions.to_instructions(manifest, "v")
+    number = F.when(F.col("f_vec") == F.col("f_comp"), -1.0).otherwise(F.col("f_vec") * 100.0 + F.col("f_comp"))
+    values = manifest.frags.select(
+        F.lit("fragment_values").alias("name"), linear_position(list(space), space).alias("pos"), number.alias("value")
+    )
+    variables = written.variables.withColumn("aggregated_data", F.lit("unique_values: fragment_values map: fragment_map_0"))
+    decoded = instructions.decode_instructions(replace(written, variables=variables, values=values), "v")
+    return instructions.constant_cells(decoded, missing=-1.0)
+
+
 # -- B9 to B14: variables, attributes, groups --------------------------------
 
 
