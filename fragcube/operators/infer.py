@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.axis import arrange, idiv, start_key
 from ..model import DimClass, FragmentError, FragmentSet
-from ..session import BROADCAST_ROWS, compact, lookup_join
+from ..session import BROADCAST_ROWS, compact, literal, lookup_join
 from .inventory import all_equal
 
 def classify_dims(inventory: DataFrame) -> DataFrame:
@@ -57,7 +57,7 @@ def check_agg_dims(classes: DataFrame, declared: list[str]) -> DataFrame:
     """Names declared but not derived, and the other way round."""
     spark = classes.sparkSession
     derived = classes.filter(F.col("aggregated")).select("dim", F.lit(True).alias("_derived"))
-    said = spark.createDataFrame([(d, True) for d in declared], "dim string, _declared boolean")
+    said = literal(spark, [(d, True) for d in declared], "dim string, _declared boolean")
     return (
         derived.join(said, "dim", "full_outer")
         .filter(F.col("_derived").isNull() | F.col("_declared").isNull())
@@ -82,8 +82,8 @@ def axis_pieces(wide: DataFrame, classes: list[DimClass]) -> DataFrame:
         out = part if out is None else out.unionByName(part)
     whole = [(c.dim, None, None, False, c.largest) for c in classes if not c.aggregated]
     if whole:
-        one = wide.sparkSession.createDataFrame(
-            whole, "dim string, start double, start_s string, descending boolean, size long"
+        one = literal(
+            wide.sparkSession, whole, "dim string, start double, start_s string, descending boolean, size long"
         )
         out = one if out is None else out.unionByName(one)
     return out
@@ -305,7 +305,7 @@ def _edit_rows(spark: SparkSession, edits: dict[str, str | None]) -> DataFrame:
     for key, value in edits.items():
         owner, dot, attr = key.rpartition(".")
         rows.append((owner if dot else "", attr, value))
-    return spark.createDataFrame(rows, "owner string, attr string, new string")
+    return literal(spark, rows, "owner string, attr string, new string")
 
 
 def split_edits(attrs: DataFrame, edits: dict[str, str | None]) -> tuple[DataFrame, DataFrame]:

@@ -12,6 +12,7 @@ from ..functions.text import DEFAULT_SUBSTITUTIONS, substitute_all
 from ..model import Block, FragmentError, FragmentSet, Manifest
 from ..operators import array
 from ..operators.decode import drop_variables
+from ..session import literal
 from .manifest import read_manifest
 
 
@@ -136,7 +137,8 @@ def open_dataset(
 def describe(manifest: Manifest) -> DataFrame:
     """Dimensions, variables and attributes of a dataset as one table."""
     spark = manifest.frags.sparkSession
-    dims = spark.createDataFrame(
+    dims = literal(
+        spark,
         [("dim", d.dim, k, str(v)) for d in manifest.dims
          for k, v in (("kind", d.kind), ("size", d.size), ("f_size", d.f_size))],
         "section string, item string, property string, value string",

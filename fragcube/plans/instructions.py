@@ -21,7 +21,7 @@ from ..functions.text import DEFAULT_SUBSTITUTIONS, FEATURES, detect_convention,
 from ..model import FragmentError, Manifest
 from ..operators import decode, infer
 from ..operators.array import fill_unique
-from ..session import compact
+from ..session import compact, literal
 
 
 @dataclass(frozen=True)
@@ -53,14 +53,14 @@ def to_instructions(manifest: Manifest, var: str, opt_id: int = 0) -> Instructio
     space = {d: manifest.dim(d).f_size for d in dims}
     names = {"map": f"fragment_map_{opt_id}", "uris": f"fragment_uris_{opt_id}", "identifiers": f"fragment_identifiers_{var}"}
     data = " ".join(f"{feature}: {name}" for feature, name in names.items())
-    variables = spark.createDataFrame([(var, " ".join(dims), data)], "var string, aggregated_dimensions string, aggregated_data string")
+    variables = literal(spark, [(var, " ".join(dims), data)], "var string, aggregated_dimensions string, aggregated_data string")
     maps = infer.fragment_map(manifest.dim_frags, dims, space).select(F.lit(names["map"]).alias("name"), "dim", "col", "size")
     frags = infer.project_grid(manifest.frags, dims) if len(dims) < len(manifest.dims) else manifest.frags
     uris = F.col("uris") if "uris" in frags.columns else F.array("frag_id")
     locations = frags.select(
         F.lit(names["uris"]).alias("name"), infer.linear_position(dims, space).alias("pos"), F.posexplode(uris).alias("version", "uri")
     )
-    scalars = spark.createDataFrame([(names["identifiers"], row["identifier"])], "name string, value string")
+    scalars = literal(spark, [(names["identifiers"], row["identifier"])], "name string, value string")
     return Instructions(variables, maps, locations, scalars)
 
 

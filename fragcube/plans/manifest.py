@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.text import raise_conventions
 from ..model import DIFFERS, DimClass, DimInfo, FragmentError, FragmentSet, Manifest
 from ..operators import infer, inventory as inv
-from ..session import SINGLE_TASK_ROWS, compact, materialise, materialise_observed
+from ..session import SINGLE_TASK_ROWS, compact, literal, materialise, materialise_observed
 
 TABLES = ("inventory", "dim_frags", "frags", "vars", "attrs", "coords")
 
@@ -99,7 +99,7 @@ def variable_rows(spark: SparkSession, fragments: FragmentSet, agg_dims: list[st
                 var, block.dtype(var), " ".join(block.dims), fragments.identifiers.get(var, var), order,
                 None if fill is None else str(fill), " ".join(moving), kind,
             ))
-    return spark.createDataFrame(rows, _VARS)
+    return literal(spark, rows, _VARS)
 
 
 def build_manifest(
@@ -161,7 +161,7 @@ def write_manifest(manifest: Manifest, path: str, group: str | None = None) -> N
     path = group_path(path, group)
     spark = manifest.frags.sparkSession
     rows = [(d.dim, d.dim_ord, d.kind, d.size, d.f_size, d.descending) for d in manifest.dims]
-    spark.createDataFrame(rows, _DIMS).write.parquet(f"{path}/dims")
+    literal(spark, rows, _DIMS).write.parquet(f"{path}/dims")
     for name in TABLES:
         table = getattr(manifest, name)
         if table is not None:

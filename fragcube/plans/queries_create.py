@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.text import raise_conventions
 from ..model import Manifest
 from ..operators import infer, inventory as inv, merge
-from ..session import scratch_path
+from ..session import literal, scratch_path
 from ..sources.parquet import header_inventory, open_fragments, scan_headers, write_fragments
 from . import cubes
 from .cubes import table, with_sql
@@ -516,7 +516,7 @@ def write_and_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "manifest")
     write_manifest(build_manifest(cubes.e1(spark, sf_dir)), path)
     back = read_manifest(spark, path)
-    dims = spark.createDataFrame([("dims", d.dim, d.size) for d in back.dims], "tbl string, item string, number long")
+    dims = literal(spark, [("dims", d.dim, d.size) for d in back.dims], "tbl string, item string, number long")
     return (
         dims.unionByName(back.frags.select(F.lit("frags").alias("tbl"), F.col("frag_id").alias("item"), F.col("o_event").alias("number")))
         .unionByName(back.coords.select(

@@ -13,8 +13,11 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import StructType
 
 #: Metadata rows (about 100 bytes each) that may be broadcast.
 BROADCAST_ROWS = 1_000_000
@@ -26,18 +29,33 @@ SINGLE_TASK_ROWS = 50_000
 SALTS = 32
 
 
+def literal(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """A few rows known on the driver, as a local relation of the plan.
+
+    Going through Arrow keeps them out of an RDD, so Spark knows their size and
+    needs no Python worker to read them.
+    """
+    fields = StructType.fromDDL(schema)
+    columns = list(zip(*rows)) if rows else [[] for _ in fields]
+    arrow = pa.table([pa.array(list(c), type=to_arrow_type(f.dataType)) for c, f in zip(columns, fields)], names=fields.names)
+    return spark.createDataFrame(arrow, fields)
+
+
+_OWN_ROOTS: dict[str, str] = {}
+
+
 def scratch_root(spark: SparkSession) -> str:
     """Shared folder of the cluster (``spark.checkpoint.dir``).
 
-    Only when the session names none, as in local tests, a new temporary
-    folder is made and recorded in the session.
+    Only when the session names none, as in local tests, one new temporary
+    folder is made for the application.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if root is None:
-        root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if root is None:
-        root = tempfile.mkdtemp(prefix="run-", dir="/tmp")
-        spark.conf.set("spark.checkpoint.dir", root)
+    if not root:
+        app = spark.sparkContext.applicationId
+        if app not in _OWN_ROOTS:
+            _OWN_ROOTS[app] = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+        root = _OWN_ROOTS[app]
     return root.rstrip("/")
 
 
