@@ -67,7 +67,7 @@ def resolve_locations(versions: DataFrame, listing: DataFrame, base: str) -> Dat
         F.col("uri").isNotNull() & (F.col("uri") != "")
     )
     each = each.withColumn("path", resolve_relative(F.col("uri"), base))
-    found = each.join(listing.select("path").distinct(), "path", "left_semi")
+    found = each.join(listing.select("path"), "path", "left_semi")
     first = found.groupBy("frag_id").agg(F.min_by(F.struct("ord", "path"), "ord").alias("v"))
     return versions.select("frag_id").join(first, "frag_id", "left").select(
         "frag_id", F.col("v.ord").alias("version"), F.col("v.path").alias("path")

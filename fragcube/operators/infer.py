@@ -7,7 +7,7 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions.axis import arrange, idiv, start_key
+from ..functions.axis import arrange, idiv, key_sql
 from ..model import DimClass, FragmentError, FragmentSet
 from ..session import BROADCAST_ROWS, compact, literal, lookup_join
 from .inventory import all_equal
@@ -94,33 +94,35 @@ def arrange_dimension(wide: DataFrame, classes: list[DimClass], n_rows: int, win
     return arrange(axis_pieces(wide, classes), n_rows, window_rows)
 
 
-def concat_axis(fragments: FragmentSet, frags: DataFrame, n_frags: int, dims: list[str] | None = None) -> DataFrame:
+def concat_axis(
+    fragments: FragmentSet, frags: DataFrame, n_frags: int, agg_dims: list[str], dims: list[str] | None = None
+) -> DataFrame:
     """``coords``: the whole coordinate array of each dimension, as rows.
 
     The offset is added to each cell and one value is kept per index, map-side
-    first; fragments side by side supply the same index and merge.
-    ``start`` and ``local`` say which piece a value belongs to, so that merged
+    first; fragments side by side supply the same index and merge.  Along the
+    only axis of a variable, when no other is aggregated, an index occurs once
+    and nothing is shuffled.  ``start`` and ``local`` say which piece a value belongs to, so that merged
     manifests can move it.
     """
     out = None
     for dim in dims or [d for d in fragments.dims if d in fragments.coords]:
         block = next(b for b in sorted(fragments.blocks, key=lambda b: len(b.dims)) if dim in b.coords)
+        once = block.dims == (dim,) and set(agg_dims) <= {dim}
         values = block.cells.selectExpr("frag_id", f"l_{dim} as local", f"c_{dim} as low", f"c_{dim} as high")
         pieces = frags.selectExpr("frag_id", f"o_{dim} as _o", f"start_{dim} as start", f"start_s_{dim} as start_s")
-        if n_frags > BROADCAST_ROWS:
+        if n_frags > BROADCAST_ROWS and not once:
             # the offsets need a shuffle, so send them one row per index and fragment
             values = values.groupBy("frag_id", "local").agg(F.min("low").alias("low"), F.max("high").alias("high"))
         placed = lookup_join(values, pieces, ["frag_id"], n_frags, ["local"])
-        number = block.dtype(f"c_{dim}") != "string"
-        part = (
-            placed.groupBy("start", "start_s", "local")
-            .agg(F.min("_o").alias("_o"), F.min("low").alias("low"), F.max("high").alias("high"))
-            .select(
-                F.lit(dim).alias("dim"), "start", "start_s", "local", (F.col("_o") + F.col("local")).alias("idx"),
-                (start_key("low", block.dtype(f"c_{dim}")) if number else F.lit(None).cast("double")).alias("value"),
-                (F.lit(None).cast("string") if number else F.col("low")).alias("value_s"),
-                (F.col("low") == F.col("high")).alias("consistent"),
+        if not once:
+            placed = placed.groupBy("start", "start_s", "local").agg(
+                F.min("_o").alias("_o"), F.min("low").alias("low"), F.max("high").alias("high")
             )
+        dtype = block.dtype(f"c_{dim}")
+        part = placed.selectExpr(
+            f"'{dim}' as dim", "start", "start_s", "local", "_o + local as idx", f"{key_sql('low', dtype)} as value",
+            f"{'low' if dtype == 'string' else 'cast(null as string)'} as value_s", "low = high as consistent",
         )
         out = part if out is None else out.unionByName(part)
     return out

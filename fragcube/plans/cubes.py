@@ -18,6 +18,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Fragments a growing axis is cut into at most; beyond that they grow instead.
+MOST_FRAGMENTS = 10_000
+
+
+def step_of(whole: DataFrame, least: int) -> int:
+    """Rows per fragment: ``least``, or more where that would give too many files.
+
+    The count comes from the file footers.
+    """
+    return max(least, -(-whole.count() // MOST_FRAGMENTS))
+
+
 def file_order(frag_id: Column) -> Column:
     """Arbitrary but fixed place of a file in the list of inputs."""
     return F.conv(F.substring(F.md5(frag_id), 1, 15), 16, 10).cast("long")
@@ -98,22 +110,19 @@ def ev(spark: SparkSession, sf_dir: str) -> FragmentSet:
 
 # -- E1: the events themselves along one axis --------------------------------
 
-E1_CUT = {"event": 1000}
-
-
 def e1(spark: SparkSession, sf_dir: str) -> FragmentSet:
-    """Events by identifier, 1,000 to a fragment; grows with the data."""
+    """Events by identifier, 1,000 or more to a fragment; grows with the data."""
     events = table(spark, sf_dir, "events")
+    size = {"event": step_of(events, 1000)}
     cube = events.select(
         F.col("event_id").alias("i_event"), F.col("event_id").alias("c_event"), "value", "user_id", "ts"
     )
-    return FragmentSet((cut(cube, "e1", ("event",), E1_CUT, ("value", "user_id", "ts")),))
+    return FragmentSet((cut(cube, "e1", ("event",), size, ("value", "user_id", "ts")),))
 
 
 # -- EM: embeddings as a dense matrix ----------------------------------------
 
 EM_DIMS = ("vec", "comp")
-EM_CUT = {"vec": 128, "comp": 24}
 
 
 def em_cube(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -124,14 +133,20 @@ def em_cube(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def em_step(spark: SparkSession, sf_dir: str) -> int:
+    return step_of(table(spark, sf_dir, "embeddings"), 128)
+
+
 def em(spark: SparkSession, sf_dir: str) -> FragmentSet:
     """Embeddings cut along both axes."""
-    return FragmentSet((cut(em_cube(spark, sf_dir), "em", EM_DIMS, EM_CUT, ("v",)),))
+    sizes = {"vec": em_step(spark, sf_dir), "comp": 24}
+    return FragmentSet((cut(em_cube(spark, sf_dir), "em", EM_DIMS, sizes, ("v",)),))
 
 
 def em_pure(spark: SparkSession, sf_dir: str) -> FragmentSet:
     """Embeddings cut by vector only; the component axis has a size and no values."""
-    return FragmentSet((cut(em_cube(spark, sf_dir), "ep", EM_DIMS, {"vec": 128}, ("v",), coords=("vec",)),))
+    sizes = {"vec": em_step(spark, sf_dir)}
+    return FragmentSet((cut(em_cube(spark, sf_dir), "ep", EM_DIMS, sizes, ("v",), coords=("vec",)),))
 
 
 # -- LI: quantities by month, supplier group and line ------------------------
@@ -210,10 +225,14 @@ ev as (select d.day_c, d.day_c - (select min(day_c) from ev_c) as day, b.bucket,
 ev_f as (select *, day // 7 as b_day, bucket // 4 as b_bucket,
                 'ev_' || (bucket // 4) || '_' || (day // 7) as frag_id from ev)""",
     "e1": """
-e1 as (select event_id as event, value, user_id, ts, 'e1_' || (event_id // 1000) as frag_id from events)""",
+e1_n as (select greatest(1000, (count(*) + 9999) // 10000) as step from events),
+e1 as (select event_id as event, value, user_id, ts, event_id // step as b, 'e1_' || (event_id // step) as frag_id
+       from events, e1_n)""",
     "em": """
 em as (select vec_id as vec, unnest(range(0, len(embedding))) as comp, unnest(embedding)::double as v from embeddings),
-em_f as (select *, vec // 128 as b_vec, comp // 24 as b_comp, 'em_' || (comp // 24) || '_' || (vec // 128) as frag_id from em)""",
+em_n as (select greatest(128, (count(*) + 9999) // 10000) as step from embeddings),
+em_f as (select *, vec // step as b_vec, comp // 24 as b_comp, vec % step as l_vec, comp % 24 as l_comp,
+                'em_' || (comp // 24) || '_' || (vec // step) as frag_id from em, em_n)""",
     "li": """
 li_c as (select (year(l_shipdate) - 1995) * 12 + month(l_shipdate) - 1 as month_c, l_suppkey % 10 as sup,
                 l_linenumber - 1 as line, sum(l_quantity) as q from lineitem group by 1, 2, 3),

@@ -142,8 +142,9 @@ def build_manifest(
                 (F.col("scope") == "global") & (F.col("attr") == "Conventions"), raise_conventions(F.col("value"))
             ).otherwise(F.col("value")),
         )
-    variables = variable_rows(spark, fragments, [d.dim for d in dims if d.f_size > 1])
-    coords = infer.concat_axis(fragments, frags, n_frags) if with_coords and fragments.coords else None
+    moving = [d.dim for d in dims if d.f_size > 1]
+    variables = variable_rows(spark, fragments, moving)
+    coords = infer.concat_axis(fragments, frags, n_frags, moving) if with_coords and fragments.coords else None
     return Manifest(dims, inventory.wide, placed.dim_frags, frags, variables, attrs, coords, n_frags)
 
 

@@ -73,9 +73,9 @@ select frag_id, 'day' as dim, 'coord' as kind, max(day) - min(day) + 1 as size,
 union all select frag_id, 'bucket', 'coord', max(bucket) - min(bucket) + 1, min(bucket)::double, max(bucket)::double, null, null
 from ev_f group by frag_id
 union all select frag_id, 'kind', 'coord', max(kind) + 1, null, null, min(kind_c), max(kind_c) from ev_f group by frag_id
-union all select 'ep_' || (vec // 128), 'vec', 'coord', max(vec) - min(vec) + 1, min(vec)::double, max(vec)::double, null, null
-from em group by 1
-union all select 'ep_' || (vec // 128), 'comp', 'pure', max(comp) + 1, null, null, null, null from em group by 1""",
+union all select 'ep_' || b_vec, 'vec', 'coord', max(vec) - min(vec) + 1, min(vec)::double, max(vec)::double, null, null
+from em_f group by 1
+union all select 'ep_' || b_vec, 'comp', 'pure', max(comp) + 1, null, null, null, null from em_f group by 1""",
 )
 def dim_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = inv.dim_inventory(cubes.ev(spark, sf_dir)).unionByName(inv.dim_inventory(cubes.em_pure(spark, sf_dir)))
@@ -226,7 +226,7 @@ select 'day' as dim, 'coord' as kind, case when count(distinct b_day) > 1 then '
        0 as descending from ev_f
 union all select 'bucket', 'coord', case when count(distinct b_bucket) > 1 then 'aggregated' else 'coordinate' end, 0 from ev_f
 union all select 'kind', 'coord', 'coordinate', 0 from ev_f having count(*) > 0
-union all select 'vec', 'coord', case when count(distinct vec // 128) > 1 then 'aggregated' else 'coordinate' end, 0 from em
+union all select 'vec', 'coord', case when count(distinct b_vec) > 1 then 'aggregated' else 'coordinate' end, 0 from em_f
 union all select 'comp', 'pure', 'pure', 0 from em having count(*) > 0""",
 )
 def classify_dims(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -252,7 +252,7 @@ AXIS_SQL = """
 select 'day' as dim, b_day as frag_pos, min(day) as "offset", max(day) - min(day) + 1 as size from ev_f group by b_day
 union all select 'bucket', b_bucket, min(bucket), max(bucket) - min(bucket) + 1 from ev_f group by b_bucket
 union all select 'kind', 0, 0, max(kind) + 1 from ev_f
-union all select 'event', event // 1000, min(event), count(*) from e1 group by 2"""
+union all select 'event', b, min(event), count(*) from e1 group by 2"""
 
 
 @query("arrange_dimension", with_sql("ev", "e1") + AXIS_SQL)
@@ -332,7 +332,7 @@ def dim_combinations(spark: SparkSession, sf_dir: str) -> DataFrame:
 select 'day' as dim, count(distinct b_day) as f_size, max(day) + 1 as size from ev_f
 union all select 'bucket', count(distinct b_bucket), max(bucket) + 1 from ev_f
 union all select 'kind', 1, max(kind) + 1 from ev_f
-union all select 'event', count(distinct event // 1000), max(event) + 1 from e1
+union all select 'event', count(distinct b), max(event) + 1 from e1
 union all select 'month', count(distinct b_month), max(month) + 1 from li_f
 union all select 'sup', count(distinct b_sup), max(sup) + 1 from li_f
 union all select 'line', 1, max(line) + 1 from li_f""",
@@ -343,7 +343,7 @@ def fragment_space(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 SPARSE_SQL = """
-with s as (select l_suppkey as sup, l_partkey % 50 as prt, l_linenumber::bigint as line, min(l_orderkey) as ord from lineitem group by 1, 2, 3),
+with s as (select l_suppkey % 1000 as sup, l_partkey % 50 as prt, l_linenumber::bigint as line, min(l_orderkey) as ord from lineitem group by 1, 2, 3),
 f as (select sup || '_' || prt || '_' || line as frag_id, dense_rank() over (order by sup) - 1 as f_sup,
              dense_rank() over (order by prt) - 1 as f_prt, dense_rank() over (order by line) - 1 as f_line from s),
 g as (select * from (select unnest(range(0, (select max(f_sup) + 1 from f))) as f_sup)
@@ -355,9 +355,9 @@ SPARSE_DIMS = ["sup", "prt", "line"]
 
 
 def _sparse(spark: SparkSession, sf_dir: str) -> tuple[Placement, dict[str, int]]:
-    """A file per supplier, part group and line; combinations without a line item are holes."""
+    """A file per supplier group, part group and line; combinations without a line item are holes."""
     items = table(spark, sf_dir, "lineitem")
-    keys = {"sup": F.col("l_suppkey"), "prt": F.pmod("l_partkey", F.lit(50)), "line": F.col("l_linenumber").cast("long")}
+    keys = {"sup": F.pmod("l_suppkey", F.lit(1000)), "prt": F.pmod("l_partkey", F.lit(50)), "line": F.col("l_linenumber").cast("long")}
     files = items.groupBy(*[k.alias(d) for d, k in keys.items()]).agg(F.min("l_orderkey").alias("file_ord"))
     cols = []
     for dim in SPARSE_DIMS:
@@ -559,7 +559,7 @@ def batched_create(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "incremental_append",
     with_sql("e1") + """
-select frag_id, event // 1000 as f_event, min(event) as o_event, count(*) as s_event from e1 group by 1, 2""",
+select frag_id, b as f_event, min(event) as o_event, count(*) as s_event from e1 group by 1, 2""",
 )
 def incremental_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Start from the odd fragments, then let all arrive; those already known are skipped."""

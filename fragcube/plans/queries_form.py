@@ -31,11 +31,11 @@ def _micros(ts: Column) -> Column:
 
 @query(
     "mask_and_scale",
-    """
-select event_id as event, case when event_id % 11 = 0 then case when event_id // 1000 % 4 = 3 then -999.0 end
-       else floor(value * 2) * case when event_id // 1000 % 4 = 3 then 1.0 else 0.5 end
-            + case when event_id // 1000 % 4 = 3 then 0.0 else event_id // 1000 end end::double as value
-from events""",
+    with_sql("e1") + """
+select event, case when event % 11 = 0 then case when b % 4 = 3 then -999.0 end
+       else floor(value * 2) * case when b % 4 = 3 then 1.0 else 0.5 end
+            + case when b % 4 = 3 then 0.0 else b end end::double as value
+from e1""",
 )
 def mask_and_scale(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Packed integers; the offset differs by fragment, and some fragments carry no packing."""
@@ -61,9 +61,9 @@ def _frag_units(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, int]:
 
 @query(
     "conform_units",
-    """
-select event_id as event, round(case event_id // 1000 % 4 when 0 then value when 1 then value + 273.15
-       when 2 then (value - 32) * 5 / 9 + 273.15 end, 6) as value from events""",
+    with_sql("e1") + """
+select event, round(case b % 4 when 0 then value when 1 then value + 273.15
+       when 2 then (value - 32) * 5 / 9 + 273.15 end, 6) as value from e1""",
 )
 def conform_units(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fragments in kelvin, Celsius, Fahrenheit and, wrongly, a speed."""
@@ -75,7 +75,7 @@ def conform_units(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "unit_violations",
-    "select distinct 'e1_' || (event_id // 1000) as frag_id, 'm s-1' as units from events where event_id // 1000 % 4 = 3",
+    with_sql("e1") + " select distinct frag_id, 'm s-1' as units from e1 where b % 4 = 3",
 )
 def unit_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cf.unit_violations(_frag_units(spark, sf_dir)[0], "K")
@@ -117,11 +117,11 @@ def _time_units(b: Column) -> Column:
 
 @query(
     "decode_times",
-    """
-select event_id as event, case event_id // 1000 % 3
-  when 0 then epoch_us(timestamp '2024-01-01') + event_id * 43200000000
-  when 1 then epoch_us(timestamp '2024-01-10 06:00:00') + event_id * 1800000000
-  else epoch_us(timestamp '1999-12-31 23:59:30') + event_id * 500000 end as us from events""",
+    with_sql("e1") + """
+select event, case b % 3
+  when 0 then epoch_us(timestamp '2024-01-01') + event * 43200000000
+  when 1 then epoch_us(timestamp '2024-01-10 06:00:00') + event * 1800000000
+  else epoch_us(timestamp '1999-12-31 23:59:30') + event * 500000 end as us from e1""",
 )
 def decode_times(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fragments count from different epochs in different units."""

@@ -333,10 +333,8 @@ select kind, name, group_path, value from v where rn = 1"""
 @query("group_overlay", GROUP_SQL)
 def group_overlay(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups are regions and the nations in them; what does the first nation see?"""
-    nation = table(spark, sf_dir, "nation")  # 25 rows by definition
-    customers = table(spark, sf_dir, "customer").join(
-        F.broadcast(nation), F.col("c_nationkey") == F.col("n_nationkey")
-    ).select(
+    nation = table(spark, sf_dir, "nation")
+    customers = table(spark, sf_dir, "customer").join(nation, F.col("c_nationkey") == F.col("n_nationkey")).select(
         "c_custkey", "c_acctbal", "c_mktsegment", F.concat(F.lit("/r"), F.col("n_regionkey").cast("string")).alias("rp"),
         F.concat(F.lit("/r"), F.col("n_regionkey").cast("string"), F.lit("/n"), F.col("n_nationkey").cast("string")).alias("np"),
     )
@@ -439,7 +437,7 @@ CHUNKS = {"vec": 50, "comp": 10}
 @query(
     "rechunk",
     with_sql("em") + """
-select frag_id, (vec % 128) // 50 as k_vec, (comp % 24) // 10 as k_comp, count(*) as n_cells, round(sum(v), 6) as total
+select frag_id, l_vec // 50 as k_vec, l_comp // 10 as k_comp, count(*) as n_cells, round(sum(v), 6) as total
 from em_f group by 1, 2, 3""",
 )
 def rechunk(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -452,8 +450,8 @@ def rechunk(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "chunk_extents",
     with_sql("em") + """
-select frag_id, (vec % 128) // 50 as k_vec, min(vec) as start_vec, max(vec) + 1 as stop_vec,
-       (comp % 24) // 10 as k_comp, min(comp) as start_comp, max(comp) + 1 as stop_comp
+select frag_id, l_vec // 50 as k_vec, min(vec) as start_vec, max(vec) + 1 as stop_vec,
+       l_comp // 10 as k_comp, min(comp) as start_comp, max(comp) + 1 as stop_comp
 from em_f group by 1, 2, 5""",
 )
 def chunk_extents(spark: SparkSession, sf_dir: str) -> DataFrame:

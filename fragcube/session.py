@@ -61,7 +61,17 @@ def scratch_root(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path for one table in the shared folder."""
-    return f"{scratch_root(spark)}/fragcube-{uuid.uuid4().hex}/{name}"
+    return f"{_own_folder(spark)}/{uuid.uuid4().hex}/{name}"
+
+
+def _own_folder(spark: SparkSession) -> str:
+    return f"{scratch_root(spark)}/fragcube-{spark.sparkContext.applicationId}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete what this application stored; tables derived so far become unreadable."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(_own_folder(spark))
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def materialise(df: DataFrame, name: str = "table") -> DataFrame:
