@@ -21,7 +21,7 @@ def key_sql(column: str, dtype: str) -> str:
         return f"cast(datediff({column}, date'1970-01-01') as double)"
     if dtype.startswith("timestamp"):
         return f"cast(timestampdiff(MICROSECOND, cast('1970-01-01 00:00:00' as {dtype}), {column}) as double)"
-    return f"cast({column} as double)"
+    return f"(cast({column} as double) + 0D)"  # -0.0 becomes 0.0
 
 
 def start_key(column: str, dtype: str) -> Column:
@@ -44,17 +44,21 @@ def bound_key(value: object) -> float | None:
     return float(value) if isinstance(value, (int, float)) else None
 
 
+AXIS = ("dim", "start", "start_s", "descending", "size")
+
+
 def _orient(pieces: DataFrame, total: str, count: str) -> DataFrame:
     """Turn ascending rank and sum into position and offset of the real axis."""
+    extra = [c for c in pieces.columns if c not in AXIS and not c.startswith("_")]
     return pieces.selectExpr(
-        "dim", "start", "start_s", "size", "descending",
+        *AXIS, *extra,
         f"cast(if(descending, {count} - 1 - _rank, _rank) as bigint) as frag_pos",
         f"cast(if(descending, {total} - _sum, _sum - size) as bigint) as offset",
     )
 
 
 def arrange(pieces: DataFrame, n_rows: int, window_rows: int | None = None) -> DataFrame:
-    """Position and offset of every piece ``(dim, start, start_s, size, descending)``.
+    """Position and offset of every piece ``(dim, start, start_s, descending, size, ...)``.
 
     One window task per dimension serves the usual manifest.  An axis with
     more pieces than ``window_rows`` is cut at sampled quantiles first: the

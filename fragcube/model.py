@@ -65,7 +65,10 @@ class FragmentSet:
 
 @dataclass(frozen=True)
 class DimClass:
-    """How the starts of the fragments vary along one dimension."""
+    """How the starts of the fragments vary along one dimension.
+
+    ``even`` is false when an unfragmented axis differs in size or last value.
+    """
 
     dim: str
     dim_ord: int
@@ -73,6 +76,7 @@ class DimClass:
     aggregated: bool
     descending: bool
     largest: int
+    even: bool
 
 
 @dataclass(frozen=True)

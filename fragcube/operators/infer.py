@@ -31,26 +31,31 @@ def classify_dims(inventory: DataFrame) -> DataFrame:
     )
 
 
+BOUNDS = ("start", "start_s", "stop", "stop_s")
+
+
 def class_measures(dims: list[str]) -> list[Column]:
     """What decides about each dimension, as aggregates over a wide inventory."""
     out = ["count(1) as n_frags"]
     for dim in dims:
-        out.append(f"max(size_{dim}) as largest_{dim}")
+        out += [f"max(size_{dim}) as largest_{dim}", f"min(size_{dim}) as smallest_{dim}"]
         out.append(f"count_if(stop_{dim} < start_{dim} or stop_s_{dim} < start_s_{dim}) as falls_{dim}")
-        out += [f"{fn}({m}_{dim}) as {fn}_{m}_{dim}" for fn in ("min", "max") for m in ("start", "start_s")]
+        out += [f"{fn}({m}_{dim}) as {fn}_{m}_{dim}" for fn in ("min", "max") for m in BOUNDS]
     return [F.expr(o) for o in out]
 
 
 def classes_of(measured: dict, dims: list[str], coords: set[str]) -> list[DimClass]:
     """:func:`classify_dims` from the measures of :func:`class_measures`."""
-    return [
-        DimClass(
-            dim, order, "coord" if dim in coords else "pure",
-            any(measured[f"min_{m}_{dim}"] != measured[f"max_{m}_{dim}"] for m in ("start", "start_s")),
-            measured[f"falls_{dim}"] > 0, measured[f"largest_{dim}"],
-        )
-        for order, dim in enumerate(dims)
-    ]
+    out = []
+    for order, dim in enumerate(dims):
+        moves = {m: measured[f"min_{m}_{dim}"] != measured[f"max_{m}_{dim}"] for m in BOUNDS}
+        largest = measured[f"largest_{dim}"]
+        out.append(DimClass(
+            dim, order, "coord" if dim in coords else "pure", moves["start"] or moves["start_s"],
+            measured[f"falls_{dim}"] > 0, largest,
+            measured[f"smallest_{dim}"] == largest and not moves["stop"] and not moves["stop_s"],
+        ))
+    return out
 
 
 def check_agg_dims(classes: DataFrame, declared: list[str]) -> DataFrame:
@@ -73,17 +78,23 @@ def axis_pieces(wide: DataFrame, classes: list[DimClass]) -> DataFrame:
             continue
         part = (
             wide.groupBy(f"start_{c.dim}", f"start_s_{c.dim}")
-            .agg(F.expr(f"max(size_{c.dim}) as size"))
+            .agg(
+                F.expr(f"max(size_{c.dim}) as size"),
+                F.expr(
+                    f"min(size_{c.dim}) = max(size_{c.dim}) and min(stop_{c.dim}) <=> max(stop_{c.dim}) "
+                    f"and min(stop_s_{c.dim}) <=> max(stop_s_{c.dim}) as even"
+                ),
+            )
             .selectExpr(
                 f"'{c.dim}' as dim", f"start_{c.dim} as start", f"start_s_{c.dim} as start_s",
-                f"{str(c.descending).lower()} as descending", "size",
+                f"{str(c.descending).lower()} as descending", "size", "even",
             )
         )
         out = part if out is None else out.unionByName(part)
-    whole = [(c.dim, None, None, False, c.largest) for c in classes if not c.aggregated]
+    whole = [(c.dim, None, None, False, c.largest, c.even) for c in classes if not c.aggregated]
     if whole:
         one = literal(
-            wide.sparkSession, whole, "dim string, start double, start_s string, descending boolean, size long"
+            wide.sparkSession, whole, "dim string, start double, start_s string, descending boolean, size long, even boolean"
         )
         out = one if out is None else out.unionByName(one)
     return out
@@ -198,7 +209,8 @@ def place_fragments(wide: DataFrame, dim_frags: DataFrame, classes: list[DimClas
 
     An unfragmented dimension needs no join.  The others look their start up in
     ``dim_frags``; null-safe text and number keys are folded into one column.
-    ``fits`` is false for a fragment whose size is not that of its piece.
+    ``fits`` is false where fragments that share a piece of an axis differ in its
+    size or last value.
     """
     out = wide
     for c in classes:
@@ -206,7 +218,7 @@ def place_fragments(wide: DataFrame, dim_frags: DataFrame, classes: list[DimClas
             d = c.dim
             pieces = dim_frags.filter(f"dim = '{d}'").selectExpr(
                 f"coalesce(cast(start as string), start_s) as _k_{d}",
-                f"frag_pos as f_{d}", f"offset as o_{d}", f"size as _p_{d}",
+                f"frag_pos as f_{d}", f"offset as o_{d}", f"even as _even_{d}",
             )
             keyed = out.selectExpr("*", f"coalesce(cast(start_{d} as string), start_s_{d}) as _k_{d}")
             out = lookup_join(keyed, pieces, [f"_k_{d}"], n_frags, ["frag_id"])
@@ -218,7 +230,7 @@ def place_fragments(wide: DataFrame, dim_frags: DataFrame, classes: list[DimClas
             f"size_{d} as s_{d}", f"least(start_{d}, stop_{d}) as lo_{d}", f"greatest(start_{d}, stop_{d}) as hi_{d}",
             f"start_{d}", f"start_s_{d}",
         ]
-        fits.append(f"size_{d} = " + (f"_p_{d}" if c.aggregated else str(c.largest)))
+        fits.append(f"_even_{d}" if c.aggregated else str(c.even).lower())
     if "uris" in wide.columns:
         cols.append("uris")
     return out.selectExpr(*cols, " and ".join(fits) + " as fits")
@@ -373,20 +385,32 @@ def validate_manifest(dim_frags: DataFrame, frags: DataFrame, space: dict[str, i
 
 
 def size_violations(inventory: DataFrame) -> DataFrame:
-    """Pieces with one start but several sizes, on an aggregated or a fixed axis."""
-    classes = F.broadcast(classify_dims(inventory).select("dim", "aggregated"))
-    return (
-        inventory.join(classes, "dim")
-        .groupBy(
-            "dim",
-            F.when(F.col("aggregated"), F.col("start")).alias("start"),
-            F.when(F.col("aggregated"), F.col("start_s")).alias("start_s"),
-        )
-        .agg(F.min("size").alias("expected"), F.max("size").alias("actual"))
-        .filter("expected <> actual")
-        .select(
-            F.lit("size").alias("check"),
-            F.concat_ws(":", "dim", F.coalesce("start_s", F.col("start").cast("string"))).alias("item"),
-            "expected", "actual",
-        )
+    """Pieces with one start but several sizes or last values, on any axis."""
+    classes = F.broadcast(classify_dims(inventory).select("dim", "aggregated"))  # a row per dimension
+    pieces = inventory.join(classes, "dim").groupBy(
+        "dim", F.expr("if(aggregated, start, null) as start"), F.expr("if(aggregated, start_s, null) as start_s")
+    ).agg(
+        F.min("size").alias("smallest"), F.max("size").alias("largest"), F.count("*").alias("n"),
+        F.expr("min(stop) <=> max(stop) and min(stop_s) <=> max(stop_s) as even"),
     )
+    item = "concat_ws(':', dim, coalesce(start_s, cast(start as string))) as item"
+    sizes = pieces.filter("smallest <> largest").selectExpr("'size' as check", item, "smallest as expected", "largest as actual")
+    values = pieces.filter("smallest = largest and not even").selectExpr(
+        "'values' as check", item, "cast(1 as bigint) as expected", "n as actual"
+    )
+    return sizes.unionByName(values)
+
+
+def identical_violations(fragments: FragmentSet, agg_dims: list[str]) -> DataFrame | None:
+    """Cells of non-aggregated variables that differ between files; every file counts."""
+    out = None
+    for block in fragments.blocks:
+        if set(block.dims) & set(agg_dims):
+            continue
+        at = F.concat_ws(",", *[F.col(f"l_{d}").cast("string") for d in block.dims])
+        values = block.cells.select(
+            at.alias("idx"), F.explode(F.create_map(*[x for v in block.vars for x in (F.lit(v), F.col(v).cast("string"))])).alias("var", "value")
+        )
+        part = check_identical(values, ["var", "idx"]).filter("not same").select("var", "idx", "n_files")
+        out = part if out is None else out.unionByName(part)
+    return out

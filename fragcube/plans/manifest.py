@@ -110,11 +110,14 @@ def build_manifest(
     differs: str = DIFFERS,
     with_coords: bool = True,
     check: bool = True,
+    check_values: bool = True,
 ) -> Manifest:
     """Infer the aggregation of a set of fragments.
 
     The cells are scanned once, into an inventory with a row per fragment.  It
-    is stored, and all else is derived from it.
+    is stored, and all else is derived from it.  ``check`` tests the grid on
+    the inventory; ``check_values`` also compares the variables that must be
+    the same in every file, which reads those variables.
     """
     spark = fragments.blocks[0].cells.sparkSession
     inventory = scan_inventory(fragments)
@@ -143,6 +146,10 @@ def build_manifest(
             ).otherwise(F.col("value")),
         )
     moving = [d.dim for d in dims if d.f_size > 1]
+    if check_values:
+        differing = infer.identical_violations(fragments, moving)
+        if differing is not None:
+            inv.require_none(differing, "variables that are not aggregated differ between fragments")
     variables = variable_rows(spark, fragments, moving)
     coords = infer.concat_axis(fragments, frags, n_frags, moving) if with_coords and fragments.coords else None
     return Manifest(dims, inventory.wide, placed.dim_frags, frags, variables, attrs, coords, n_frags)

@@ -368,7 +368,7 @@ def drop_variables(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _open(spark: SparkSession, sf_dir: str, cube: str, name: str, coords: bool = False) -> array.Variable:
     fragments = getattr(cubes, cube)(spark, sf_dir)
-    return array.open_variable(fragments, build_manifest(fragments, with_coords=coords), name)
+    return array.open_variable(fragments, build_manifest(fragments, with_coords=coords, check_values=False), name)
 
 
 @query("assemble_array", with_sql("em") + " select vec, comp, v from em")

@@ -153,3 +153,28 @@ def test_unaligned_file_order(spark):
         manifest = build_manifest(line(spark, cuts=(0, 1, 3, 6, 10, 12), seed=seed), with_coords=False)
         got = [(r["frag_pos"], r["offset"], r["size"]) for r in manifest.dim_frags.orderBy("frag_pos").collect()]
         assert got == [(0, 0, 1), (1, 1, 2), (2, 3, 3), (3, 6, 4), (4, 10, 2)]
+
+
+def test_same_start_other_values(spark):
+    data = np.arange(16, dtype=float).reshape(4, 4)
+    block = fragments_of(spark, data, ("t", "x"), {"t": [0, 2, 4], "x": [0, 4]}).blocks[0]
+    moved = block.cells.withColumn("c_x", F.when((F.col("frag_id") == "f1") & (F.col("l_x") == 3), 9.5).otherwise(F.col("c_x")))
+    with pytest.raises(FragmentError, match="values"):
+        build_manifest(FragmentSet((replace(block, cells=moved),)))
+
+
+def test_identical_variables_must_agree(spark):
+    data = np.arange(12, dtype=float).reshape(6, 2)
+    block = fragments_of(spark, data, ("t", "x"), {"t": [0, 2, 4, 6], "x": [0, 2]}).blocks[0]
+    held = block.cells.select("frag_id", "file_ord", "l_x", "c_x").distinct()
+    same = Block(("x",), ("x",), ("w",), held.withColumn("w", F.col("c_x") * 3))
+    assert {r["var"]: r["class"] for r in build_manifest(FragmentSet((block, same))).vars.collect()} == {"v": "aggregated", "w": "identical"}
+    third = Block(("x",), ("x",), ("w",), held.withColumn("w", F.when(F.col("frag_id") == "f2", 1.0).otherwise(0.0)))
+    with pytest.raises(FragmentError, match="not aggregated differ"):
+        build_manifest(FragmentSet((block, third)))
+    assert build_manifest(FragmentSet((block, third)), check_values=False).n_frags == 3
+
+
+def test_negative_zero_start(spark):
+    fragments = fragments_of(spark, np.arange(4.0), ("t",), {"t": [0, 2, 4]}, coords={"t": np.array([-0.0, 1.0, 2.0, 3.0])})
+    assert build_manifest(fragments).dim("t").size == 4
