@@ -5,10 +5,10 @@ from .operators.array import Variable, open_variable
 from .operators.merge import batched_create, extend_manifests, incremental_append
 from .plans.dataset import Dataset, describe, open_dataset
 from .plans.manifest import build_manifest, read_manifest, store_manifest, write_manifest
-from .sources.parquet import open_fragments, write_fragments
+from .sources.parquet import open_files, open_fragments, write_fragments
 
 __all__ = [
     "Block", "Dataset", "DimInfo", "FragmentError", "FragmentSet", "Manifest", "Variable", "batched_create",
-    "build_manifest", "describe", "extend_manifests", "incremental_append", "open_dataset", "open_fragments",
+    "build_manifest", "describe", "extend_manifests", "incremental_append", "open_dataset", "open_files", "open_fragments",
     "open_variable", "read_manifest", "store_manifest", "write_fragments", "write_manifest",
 ]

@@ -11,6 +11,7 @@ Column names of a block of cells
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
@@ -25,12 +26,17 @@ class FragmentError(ValueError):
 
 @dataclass(frozen=True)
 class Block:
-    """Variables that share one tuple of dimensions."""
+    """Variables that share one tuple of dimensions.
+
+    ``reader`` reads the cells of some fragments by name, where each fragment
+    is a file of its own.
+    """
 
     dims: tuple[str, ...]
     coords: tuple[str, ...]
     vars: tuple[str, ...]
     cells: DataFrame
+    reader: Callable[[list[str]], DataFrame] | None = None
 
     def dtype(self, column: str) -> str:
         return self.cells.schema[column].dataType.simpleString()

@@ -16,6 +16,9 @@ from ..model import Block, FragmentError, FragmentSet, Manifest
 from ..session import BROADCAST_ROWS, lookup_join, within
 from . import infer
 
+#: Files a selection may name one by one; above it all are listed and joined.
+NAMED_FILES = 10_000
+
 #: Bytes of one chunk when its size is left to the engine.
 TARGET_BYTES = 128 * 1024 * 1024
 
@@ -184,6 +187,15 @@ class Variable:
             return BROADCAST_ROWS
         return bound
 
+    def _cells(self, frags: DataFrame) -> DataFrame:
+        """Cells to read: of the selected files alone, where they are few enough to name."""
+        if self.block.reader is None or not (self.picks or self.bounds):
+            return self.block.cells
+        names = [r["frag_id"] for r in frags.select("frag_id").limit(NAMED_FILES + 1).collect()]
+        if not names or len(names) > NAMED_FILES:
+            return self.block.cells
+        return self.block.reader(names)
+
     def to_df(self) -> DataFrame:
         """Cells of the selection with global indices ``<dim>`` and the value.
 
@@ -191,13 +203,13 @@ class Variable:
         fragments stored by ``frag_id`` Spark prunes their files at run time.
         """
         dims = list(self.block.dims)
-        cells = self.block.cells
+        frags = self.fragments()
+        cells = self._cells(frags)
         for dim, low, high in self.bounds:
             if low is not None:
                 cells = cells.filter(F.col(f"c_{dim}") >= F.lit(low))
             if high is not None:
                 cells = cells.filter(F.col(f"c_{dim}") <= F.lit(high))
-        frags = self.fragments()
         cells = cells.select("frag_id", *[f"l_{d}" for d in dims], self.name)
         offsets = frags.select("frag_id", *[f"o_{d}" for d in dims])
         spread = [f"l_{d}" for d in dims] or [F.lit(0)]

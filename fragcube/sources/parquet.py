@@ -8,7 +8,9 @@ from collections.abc import Iterator
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..model import Block, FragmentError
+from ..model import Block, FragmentError, FragmentSet
+from ..operators.inventory import pad_versions
+from ..session import literal, lookup_join
 
 #: Parquet key under which Spark keeps the schema with its column metadata.
 ROW_SCHEMA = b"org.apache.spark.sql.parquet.row.metadata"
@@ -47,12 +49,52 @@ def open_fragments(spark: SparkSession, paths: str | list[str], variables: list[
         if not has_two(cells):
             raise FragmentError(f"unable to aggregate fewer than two fragments from {paths!r}")
     cells = cells.withColumn("frag_id", F.col("frag_id").cast("string"))
+    return block_of(cells, variables)
+
+
+def block_of(cells: DataFrame, variables: list[str] | None = None, reader=None) -> Block:
+    """A block from cells whose columns follow the naming rule."""
     names = cells.columns
     dims = tuple(c[2:] for c in names if c.startswith("l_"))
     coords = tuple(d for d in dims if f"c_{d}" in names)
     taken = {"frag_id", "file_ord", *(f"l_{d}" for d in dims), *(f"c_{d}" for d in dims)}
     found = tuple(c for c in names if c not in taken and (variables is None or c in variables))
-    return Block(dims, coords, found, cells)
+    return Block(dims, coords, found, cells, reader)
+
+
+def plain_path(path: Column) -> Column:
+    """Path of a local file without its scheme; any other location unchanged."""
+    return F.regexp_replace(path, "^file:/+", "/")
+
+
+def open_files(
+    spark: SparkSession, paths: str | list[str | tuple[str, ...]], variables: list[str] | None = None
+) -> FragmentSet:
+    """Open files that are one fragment each; ``paths`` is a glob or a list.
+
+    A fragment is known by its path.  An entry of the list may be a tuple of
+    alternative locations, of which the first is opened; the others are kept,
+    padded with NULL.  Files of a list keep its order, those of a glob are
+    ordered by path.
+    """
+    if isinstance(paths, str):
+        entries = [(f,) for f in sorted(spark.read.parquet(paths).inputFiles())]
+    else:
+        entries = [(p,) if isinstance(p, str) else tuple(p) for p in paths]
+    if len(entries) < 2:
+        raise FragmentError(f"unable to aggregate fewer than two fragments; found {len(entries)}")
+    listed = literal(spark, [(i, list(e)) for i, e in enumerate(entries)], "file_ord long, uris array<string>")
+    listed = pad_versions(listed).withColumn("frag_id", plain_path(F.col("uris")[0]))
+    orders = listed.select("frag_id", "file_ord")
+
+    def read(names: list[str]) -> DataFrame:
+        found = spark.read.parquet(*names).withColumn("frag_id", plain_path(file_name()))
+        dims = [c for c in found.columns if c.startswith("l_")]
+        return lookup_join(found, orders, ["frag_id"], len(entries), dims or [F.lit(0)])
+
+    return FragmentSet(
+        (block_of(read([e[0] for e in entries]), variables, read),), uris=listed.select("frag_id", "uris")
+    )
 
 
 def file_name() -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 import fragcube.operators.array as array_ops
 import fragcube.operators.infer as infer_ops
 import fragcube.session as session
-from fragcube import FragmentError, FragmentSet, build_manifest, open_fragments, open_variable, write_fragments
+from fragcube import FragmentError, FragmentSet, build_manifest, open_files, open_fragments, open_variable, write_fragments
 from fragcube.functions.axis import arrange
 from fragcube.session import scratch_path
 from fragcube.sources.parquet import header_inventory, scan_headers
@@ -124,3 +124,49 @@ def test_no_cell_level_cross_join_or_python(spark, sf_dir):
     for name in ("assemble_array", "isel_mean", "reduce", "mask_and_scale", "concat_axis"):
         plan = entries.queries()[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
         assert "CartesianProduct" not in plan and "Python" not in plan, name
+
+
+def test_separate_files(spark, tmp_path):
+    """Files that know nothing of each other, with alternative locations for one of them."""
+    import pandas as pd
+
+    paths = []
+    for i, (a, b) in enumerate(((6, 9), (0, 4), (4, 6))):
+        at = np.arange(a, b)
+        pd.DataFrame({"l_t": at - a, "c_t": at.astype(float), "v": at * 1.5}).to_parquet(tmp_path / f"part{i}.parquet", index=False)
+        paths.append(str(tmp_path / f"part{i}.parquet"))
+    fragments = open_files(spark, [paths[0], (paths[1], "s3://other/part1.parquet"), paths[2]])
+    manifest = build_manifest(fragments)
+    assert [r["uris"] for r in manifest.frags.orderBy("file_ord").collect()] == [
+        [paths[0], None], [paths[1], "s3://other/part1.parquet"], [paths[2], None]
+    ]
+    variable = open_variable(fragments, manifest, "v")
+    np.testing.assert_array_equal(to_array(variable.to_df(), ("t",), (9,)), np.arange(9) * 1.5)
+    few = variable.isel(t=slice(4, 6)).to_df()
+    scans = [s for s in scan_metrics(spark, few) if "v#" in s[0]]
+    assert scans[0][1] == 1 and few.count() == 2
+    assert variable.isel(t=slice(0, 0)).to_df().count() == 0
+    by_glob = open_files(spark, f"{tmp_path}/*.parquet")
+    assert build_manifest(by_glob).dim("t").size == 9
+    with pytest.raises(FragmentError):
+        open_files(spark, paths[:1])
+
+
+def test_one_fragment_with_most_of_the_cells(spark, monkeypatch):
+    for module in (session, array_ops, infer_ops):
+        monkeypatch.setattr(module, "BROADCAST_ROWS", 2, raising=False)
+    data = np.random.default_rng(0).normal(size=(600, 3))
+    fragments = fragments_of(spark, data, ("t", "x"), {"t": [0, 5, 590, 600], "x": [0, 3]})
+    manifest = build_manifest(fragments)
+    out = to_array(open_variable(fragments, manifest, "v").to_df(), ("t", "x"), data.shape)
+    np.testing.assert_array_equal(out, data)
+
+
+def test_index_lists(spark, stored):
+    data, fragments, manifest, _ = stored
+    picked = open_variable(fragments, manifest, "v").isel(t=[7, -1, 7], x=slice(0, 10)).isel(x=[1, 2])
+    assert picked.shape == (2, 2)
+    df = picked.to_df()
+    got = df.orderBy("t", "x").toPandas()["v"].to_numpy().reshape(2, 2)
+    np.testing.assert_array_equal(got, data[[7, 39]][:, [1, 2]])
+    assert [s for s in scan_metrics(spark, df) if "v#" in s[0]][0][1] == 2
