@@ -134,7 +134,8 @@ def build_manifest(
         require_full(inventory, placed)
     attrs = None
     if fragments.attrs is not None:
-        attrs = inv.merge_attrs(fragments.attrs, differs).drop("warning")
+        # every file's header is behind this; the edits must not read them again
+        attrs = materialise(inv.merge_attrs(fragments.attrs, differs).drop("warning"), "attrs")
         if updates:
             attrs, _ = infer.apply_updates(attrs, updates)
         if removals:
