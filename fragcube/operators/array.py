@@ -16,9 +16,6 @@ from ..model import Block, FragmentError, FragmentSet, Manifest
 from ..session import BROADCAST_ROWS, lookup_join, within
 from . import infer
 
-#: Files a selection may name one by one; above it all are listed and joined.
-NAMED_FILES = 10_000
-
 #: Bytes of one chunk when its size is left to the engine.
 TARGET_BYTES = 128 * 1024 * 1024
 
@@ -188,13 +185,10 @@ class Variable:
         return bound
 
     def _cells(self, frags: DataFrame) -> DataFrame:
-        """Cells to read: of the selected files alone, where they are few enough to name."""
+        """Cells to read; folders named by ``frag_id`` are pruned by Spark, separate files here."""
         if self.block.reader is None or not (self.picks or self.bounds):
             return self.block.cells
-        names = [r["frag_id"] for r in frags.select("frag_id").limit(NAMED_FILES + 1).collect()]
-        if not names or len(names) > NAMED_FILES:
-            return self.block.cells
-        return self.block.reader(names)
+        return infer.cells_of(self.block, frags)
 
     def to_df(self) -> DataFrame:
         """Cells of the selection with global indices ``<dim>`` and the value.

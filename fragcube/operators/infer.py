@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.axis import arrange, idiv, key_sql
-from ..model import DimClass, FragmentError, FragmentSet
+from ..model import Block, DimClass, FragmentError, FragmentSet
 from ..session import BROADCAST_ROWS, compact, literal, lookup_join
 from .inventory import all_equal
 
@@ -31,6 +31,9 @@ def classify_dims(inventory: DataFrame) -> DataFrame:
     )
 
 
+#: Files that may be named one by one; above it all are listed and joined.
+NAMED_FILES = 10_000
+
 BOUNDS = ("start", "start_s", "stop", "stop_s")
 
 
@@ -105,23 +108,36 @@ def arrange_dimension(wide: DataFrame, classes: list[DimClass], n_rows: int, win
     return arrange(axis_pieces(wide, classes), n_rows, window_rows)
 
 
+def cells_of(block: Block, frags: DataFrame) -> DataFrame:
+    """Cells of some fragments, read from their files alone where these are few enough to name."""
+    names = [r["frag_id"] for r in frags.select("frag_id").limit(NAMED_FILES + 1).collect()]
+    if not names or len(names) > NAMED_FILES:
+        return block.cells
+    return block.reader(names) if block.reader else block.cells.filter(F.col("frag_id").isin(names))
+
+
 def concat_axis(
-    fragments: FragmentSet, frags: DataFrame, n_frags: int, agg_dims: list[str], dims: list[str] | None = None
+    fragments: FragmentSet, frags: DataFrame, n_frags: int, agg_dims: list[str],
+    dims: list[str] | None = None, one_each: bool = False,
 ) -> DataFrame:
     """``coords``: the whole coordinate array of each dimension, as rows.
 
     The offset is added to each cell and one value is kept per index, map-side
     first; fragments side by side supply the same index and merge.  Along the
     only axis of a variable, when no other is aggregated, an index occurs once
-    and nothing is shuffled.  ``start`` and ``local`` say which piece a value belongs to, so that merged
+    and nothing is shuffled.  With ``one_each`` a single fragment is read per
+    piece of an axis, and one for an axis in one piece, instead of all that
+    span it.  ``start`` and ``local`` say which piece a value belongs to, so that merged
     manifests can move it.
     """
     out = None
     for dim in dims or [d for d in fragments.dims if d in fragments.coords]:
         block = next(b for b in sorted(fragments.blocks, key=lambda b: len(b.dims)) if dim in b.coords)
-        once = block.dims == (dim,) and set(agg_dims) <= {dim}
-        values = block.cells.selectExpr("frag_id", f"l_{dim} as local", f"c_{dim} as low", f"c_{dim} as high")
-        pieces = frags.selectExpr("frag_id", f"o_{dim} as _o", f"start_{dim} as start", f"start_s_{dim} as start_s")
+        once = block.dims == (dim,) and (one_each or set(agg_dims) <= {dim})
+        held = project_grid(frags, [dim]) if one_each else frags
+        cells = cells_of(block, held) if one_each else block.cells
+        values = cells.selectExpr("frag_id", f"l_{dim} as local", f"c_{dim} as low", f"c_{dim} as high")
+        pieces = held.selectExpr("frag_id", f"o_{dim} as _o", f"start_{dim} as start", f"start_s_{dim} as start_s")
         if n_frags > BROADCAST_ROWS and not once:
             # the offsets need a shuffle, so send them one row per index and fragment
             values = values.groupBy("frag_id", "local").agg(F.min("low").alias("low"), F.max("high").alias("high"))
@@ -275,7 +291,7 @@ def project_grid(frags: DataFrame, dims: list[str]) -> DataFrame:
     fragments; the one listed first is read.
     """
     pos = [f"f_{d}" for d in dims]
-    rest = [c for d in dims for c in (f"o_{d}", f"s_{d}", f"lo_{d}", f"hi_{d}")]
+    rest = [c for d in dims for c in (f"o_{d}", f"s_{d}", f"lo_{d}", f"hi_{d}", f"start_{d}", f"start_s_{d}")]
     held = ", ".join(["frag_id", "file_ord", *rest])
     first = frags.groupBy(*pos).agg(F.expr(f"min_by(struct({held}), file_ord) as _f"))
     return first.selectExpr(*pos, "_f.*")

@@ -117,7 +117,8 @@ def build_manifest(
     The cells are scanned once, into an inventory with a row per fragment.  It
     is stored, and all else is derived from it.  ``check`` tests the grid on
     the inventory; ``check_values`` also compares the variables that must be
-    the same in every file, which reads those variables.
+    the same in every file, which reads those variables.  Naming ``agg_dims``
+    lets coordinates come from one fragment per piece of an axis.
     """
     spark = fragments.blocks[0].cells.sparkSession
     inventory = scan_inventory(fragments)
@@ -152,7 +153,9 @@ def build_manifest(
         if differing is not None:
             inv.require_none(differing, "variables that are not aggregated differ between fragments")
     variables = variable_rows(spark, fragments, moving)
-    coords = infer.concat_axis(fragments, frags, n_frags, moving) if with_coords and fragments.coords else None
+    coords = None
+    if with_coords and fragments.coords:
+        coords = infer.concat_axis(fragments, frags, n_frags, moving, one_each=agg_dims is not None)
     return Manifest(dims, inventory.wide, placed.dim_frags, frags, variables, attrs, coords, n_frags)
 
 

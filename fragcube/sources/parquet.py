@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..model import Block, FragmentError, FragmentSet
-from ..operators.inventory import pad_versions
+from ..operators.inventory import check_dim_set, check_info_match, check_var_set, info_rows, pad_versions, require_none
 from ..session import literal, lookup_join
 
 #: Parquet key under which Spark keeps the schema with its column metadata.
@@ -32,12 +32,16 @@ def has_two(cells: DataFrame) -> bool:
     return one is not None and bool(cells.filter(F.col("frag_id") != one["frag_id"]).select("frag_id").take(1))
 
 
-def open_fragments(spark: SparkSession, paths: str | list[str], variables: list[str] | None = None) -> Block:
+def open_fragments(
+    spark: SparkSession, paths: str | list[str], variables: list[str] | None = None, verify: bool = False
+) -> Block:
     """Open stored fragments as one block; ``paths`` is a folder, a glob or a list.
 
     Dimensions and coordinates follow from the column names.  At least two
-    fragments are needed.
+    fragments are needed.  ``verify`` first compares the footers of all files.
     """
+    if verify:
+        verify_headers(spark, paths)
     if isinstance(paths, (list, tuple)):
         if len(paths) < 2:
             raise FragmentError(f"unable to aggregate fewer than two fragments; {len(paths)} given")
@@ -102,7 +106,7 @@ def file_name() -> Column:
     return F.col("_metadata.file_path")
 
 
-def list_files(spark: SparkSession, path: str, pattern: str = "*.parquet") -> DataFrame:
+def list_files(spark: SparkSession, path: str | list[str], pattern: str = "*.parquet") -> DataFrame:
     """Paths and sizes under a folder; the content is never read."""
     files = (
         spark.read.format("binaryFile")
@@ -130,7 +134,7 @@ def _read_header(path: str) -> Iterator[tuple]:
         yield path, pos, column.name, str(column.type), own, n_rows
 
 
-def scan_headers(spark: SparkSession, path: str, pattern: str = "*.parquet") -> DataFrame:
+def scan_headers(spark: SparkSession, path: str | list[str], pattern: str = "*.parquet") -> DataFrame:
     """File x column rows from the file footers: type, attributes, row count.
 
     Footers differ from file to file, so each is opened, by whichever task
@@ -171,3 +175,16 @@ def header_inventory(headers: DataFrame) -> DataFrame:
             F.col("c.fill").alias("fill"), F.col("c.column").alias("identifier"),
         )
     )
+
+
+def verify_headers(spark: SparkSession, path: str | list[str]) -> None:
+    """Raise when fragments differ in their variables, dimensions or properties.
+
+    Reading would fill a column that a file lacks with NULL without a word, so
+    this looks into the footers.
+    """
+    found = header_inventory(scan_headers(spark, path)).withColumn("file_ord", F.col("frag_id"))
+    require_none(check_var_set(found), "variables differ between fragments")
+    dims = found.select("frag_id", "file_ord", F.explode(F.split("dims", " ")).alias("dim"))
+    require_none(check_dim_set(dims), "dimensions differ between fragments")
+    require_none(check_info_match(info_rows(found)), "variables differ in type, dimensions or fill value")

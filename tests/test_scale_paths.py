@@ -170,3 +170,31 @@ def test_index_lists(spark, stored):
     got = df.orderBy("t", "x").toPandas()["v"].to_numpy().reshape(2, 2)
     np.testing.assert_array_equal(got, data[[7, 39]][:, [1, 2]])
     assert [s for s in scan_metrics(spark, df) if "v#" in s[0]][0][1] == 2
+
+
+def test_footers_are_verified(spark, tmp_path):
+    import pandas as pd
+
+    def store(name, **columns):
+        folder = tmp_path / name.split("/")[0] / f"frag_id={name.split('/')[1]}"
+        folder.mkdir(parents=True)
+        pd.DataFrame({"file_ord": [0, 0], "l_t": [0, 1], "c_t": [0.0, 1.0], **columns}).to_parquet(folder / "a.parquet", index=False)
+
+    store("good/a", v=[1.0, 2.0])
+    store("good/b", v=[3.0, 4.0])
+    assert open_fragments(spark, str(tmp_path / "good"), verify=True).vars == ("v",)
+    for case, columns in {"lacks": {"w": [1.0, 2.0]}, "type": {"v": [1, 2]}, "dims": {"v": [1.0, 2.0], "l_x": [0, 0]}}.items():
+        store(f"{case}/a", v=[1.0, 2.0])
+        store(f"{case}/b", **columns)
+        with pytest.raises(FragmentError, match="differ"):
+            open_fragments(spark, str(tmp_path / case), verify=True)
+
+
+def test_declared_dimensions_read_fewer_coordinates(spark, stored):
+    _, fragments, manifest, _ = stored
+    declared = build_manifest(fragments, agg_dims=["x", "t"])
+    assert sorted(tuple(r) for r in declared.coords.select("dim", "idx", "value").collect()) == sorted(
+        tuple(r) for r in build_manifest(fragments).coords.select("dim", "idx", "value").collect()
+    )
+    scans = [s for s in scan_metrics(spark, declared.coords.filter("dim = 'x'")) if "c_x" in s[0]]
+    assert scans[0][1] == 2  # of 40 fragments
