@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.axis import arrange, idiv, key_sql
-from ..model import Block, DimClass, FragmentError, FragmentSet
+from ..model import Block, DimClass, FragmentSet
 from ..session import BROADCAST_ROWS, compact, literal, lookup_join
 from .inventory import all_equal
 

@@ -6,7 +6,7 @@ from grids import fragments_of, to_array
 from pyspark.sql import functions as F
 
 from fragcube import (
-    FragmentSet, batched_create, build_manifest, describe, extend_manifests, incremental_append, open_dataset,
+    batched_create, build_manifest, describe, extend_manifests, incremental_append, open_dataset,
     open_fragments, open_variable, read_manifest, write_fragments, write_manifest,
 )
 from fragcube.model import FragmentError

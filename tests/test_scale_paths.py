@@ -3,7 +3,6 @@
 import numpy as np
 import pytest
 from grids import fragments_of, to_array
-from pyspark.sql import functions as F
 
 import fragcube.operators.array as array_ops
 import fragcube.operators.infer as infer_ops
