@@ -294,6 +294,39 @@ def rechunk(block: Block, chunks: dict[str, int], partitions: int | None = None)
     return tagged.repartition(partitions, *keys) if partitions else tagged.repartition(*keys)
 
 
+def pack_chunks(block: Block, var: str, chunks: dict[str, int]) -> DataFrame:
+    """One row per chunk: its place, its shape and its values in row-major order.
+
+    Every dimension needs a chunk size, which bounds the array of a row.
+    """
+    whole = [d for d in block.dims if d not in chunks]
+    if whole:
+        raise FragmentError(f"no chunk size for {whole}")
+    inner = [F.expr(f"pmod(l_{d}, {chunks[d]}) as i_{d}") for d in block.dims]
+    tagged = block.cells.select("frag_id", *chunk_positions(block, chunks), *inner, F.col(var).alias("_value"))
+    place = ", ".join(f"i_{d}" for d in block.dims)
+    sizes = [F.expr(f"max(i_{d}) + 1 as _n_{d}") for d in block.dims]
+    rows = tagged.groupBy("frag_id", *[f"k_{d}" for d in block.dims]).agg(
+        F.expr(f"sort_array(collect_list(struct({place}, _value))) as _cells"), *sizes
+    )
+    return rows.select(
+        "frag_id", *[f"k_{d}" for d in block.dims], F.array(*[f"_n_{d}" for d in block.dims]).alias("shape"),
+        F.expr("transform(_cells, c -> c._value)").alias("data"),
+    )
+
+
+def unpack_chunks(rows: DataFrame, dims: list[str], var: str, chunks: dict[str, int]) -> DataFrame:
+    """Cells of packed chunks, with their indices inside the fragment; no shuffle."""
+    keys = ["frag_id", *[f"k_{d}" for d in dims], "shape"]
+    cells = rows.select(*keys, F.posexplode("data").alias("_rest", var))
+    for i in reversed(range(len(dims))):
+        cells = cells.selectExpr(
+            *[c for c in cells.columns if c != "_rest"],
+            f"k_{dims[i]} * {chunks[dims[i]]} + pmod(_rest, shape[{i}]) as l_{dims[i]}", f"_rest div shape[{i}] as _rest",
+        )
+    return cells.select("frag_id", *[f"l_{d}" for d in dims], var)
+
+
 def chunk_count(cells: Column, itemsize: int, target_bytes: int) -> Column:
     """Chunks needed to keep each below a number of bytes."""
     return F.ceil(cells * F.lit(itemsize) / F.lit(target_bytes))

@@ -447,6 +447,30 @@ def rechunk(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    "chunk_rows",
+    with_sql("em") + """
+select frag_id, l_vec // 50 as k_vec, l_comp // 10 as k_comp,
+       count(distinct l_vec) || 'x' || count(distinct l_comp) as shape, count(*) as n_cells,
+       arg_min(v, l_vec * 1000 + l_comp) as first_v, arg_max(v, l_vec * 1000 + l_comp) as last_v
+from em_f group by 1, 2, 3""",
+)
+def chunk_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Chunks as rows that hold their values as one array."""
+    rows = array.pack_chunks(cubes.em(spark, sf_dir).blocks[0], "v", CHUNKS)
+    return rows.select(
+        "frag_id", "k_vec", "k_comp", F.array_join(F.col("shape").cast("array<string>"), "x").alias("shape"),
+        F.size("data").cast("long").alias("n_cells"), F.get("data", F.lit(0)).alias("first_v"), F.element_at("data", -1).alias("last_v"),
+    )
+
+
+@query("chunk_rows_unpacked", with_sql("em") + " select frag_id, l_vec, l_comp, v from em_f")
+def chunk_rows_unpacked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Chunk rows turned back into cells."""
+    rows = array.pack_chunks(cubes.em(spark, sf_dir).blocks[0], "v", CHUNKS)
+    return array.unpack_chunks(rows, ["vec", "comp"], "v", CHUNKS)
+
+
 @query(
     "chunk_extents",
     with_sql("em") + """

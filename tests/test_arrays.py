@@ -168,3 +168,18 @@ def test_fill_unique_in_three_dimensions(cube):
         for c, d in ((0, 2), (2, 5)):
             want[a:b, :, c:d] = a * 10 + c
     np.testing.assert_array_equal(out, want)
+
+
+def test_chunk_rows_round_trip(cube):
+    data, fragments, _ = cube
+    block, chunks = fragments.blocks[0], {"t": 3, "y": 4, "x": 2}
+    rows = ops.pack_chunks(block, "v", chunks)
+    assert rows.filter("size(data) > 24 or size(data) <> aggregate(shape, 1L, (a, n) -> a * n)").count() == 0
+    back = ops.unpack_chunks(rows, list(DIMS), "v", chunks)
+    key = ["frag_id", "l_t", "l_y", "l_x"]
+    got = back.orderBy(*key).toPandas()
+    want = block.cells.select(*key, "v").orderBy(*key).toPandas()
+    np.testing.assert_array_equal(got[key].to_numpy(), want[key].to_numpy())
+    np.testing.assert_array_equal(got["v"].to_numpy(), want["v"].to_numpy())
+    with pytest.raises(FragmentError):
+        ops.pack_chunks(block, "v", {"t": 3})
