@@ -94,7 +94,7 @@ def fragment_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
     with_sql("ev") + """
 select b_day as f_day, min(day) as o_day, max(day) - min(day) + 1 as s_day, max(day) + 1 as e_day,
        b_bucket as f_bucket, min(bucket) as o_bucket, max(bucket) - min(bucket) + 1 as s_bucket, max(bucket) + 1 as e_bucket,
-       0 as f_kind, 0 as o_kind, max(kind) + 1 as s_kind, max(kind) + 1 as e_kind
+       0::bigint as f_kind, 0::bigint as o_kind, max(kind) + 1 as s_kind, max(kind) + 1 as e_kind
 from ev_f group by b_day, b_bucket""",
 )
 def fragment_extents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -260,7 +260,7 @@ with s as (select (max(datediff('day', date '2024-01-01', ts::date)) + 1)::varch
 select 'v' || p_partkey as var, 'double' as dtype, case when p_partkey % 2 = 0 then 'day bucket' else 'bucket' end as dims,
        case when p_partkey % 2 = 0 then d || 'x' || b else b end as shape,
        case when p_size % 3 = 0 then p_brand when p_size % 3 = 1 then p_type else '' end as units,
-       case when p_size % 3 = 2 then 0 else 1 end as n_attrs
+       (case when p_size % 3 = 2 then 0 else 1 end)::bigint as n_attrs
 from part cross join s""",
 )
 def open_variable_meta(spark: SparkSession, sf_dir: str) -> DataFrame:
