@@ -4,8 +4,9 @@ import pytest
 from oracle import compare, connect
 
 import __spark_entry__ as entries
+from fragcube.plans.registry import QUERIES
 
-NAMES = sorted(entries.queries())
+NAMES = sorted(QUERIES)
 
 
 @pytest.fixture(scope="module")
