@@ -86,3 +86,17 @@ def lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     from fragcube.llm.mixing import score
 
     return score(table(spark, sf_dir, "documents"))
+
+
+@query("op2_ngram_jaccard")
+def ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from fragcube.llm.jaccard import join
+
+    return join(table(spark, sf_dir, "documents"))
+
+
+@query("op5_substring_dedup")
+def substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from fragcube.llm.substring import cut
+
+    return cut(table(spark, sf_dir, "documents"))
