@@ -100,3 +100,17 @@ def substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from fragcube.llm.substring import cut
 
     return cut(table(spark, sf_dir, "documents"))
+
+
+@query("op4_license_scan")
+def license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from fragcube.llm.licenses import scan
+
+    return scan(table(spark, sf_dir, "documents"))
+
+
+@query("op1_url_filter")
+def url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from fragcube.llm.urls import filter_urls
+
+    return filter_urls(table(spark, sf_dir, "pages"))
