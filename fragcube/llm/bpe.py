@@ -18,10 +18,12 @@ import base64
 import functools
 import os
 import re
+from hashlib import sha256
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,8 +33,10 @@ from fragcube.llm.text import doc_text, map_arrow
 WHITE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 #: Cuts that agree with the pattern's own: a word with at most one leading space; white space before it; one left over.
 PIECES = re.compile(f" ?[^{WHITE}]+|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]")
+#: Marks that stand alone after a letter.
+MARKS = frozenset([*".,;:!?", *(b"%c" % c for c in b".,;:!?")])
 #: Distinct pieces that a worker remembers.
-CACHE = 300_000
+CACHE = 500_000
 
 
 def byte_characters() -> list[str]:
@@ -53,6 +57,42 @@ def parts_below(token: bytes, ranks: dict[bytes, int]) -> list[bytes]:
     return parts
 
 
+def learn(library, known: dict, wanted: set, bound: int, lower: bool = False) -> None:
+    """Add the ids of the ``wanted`` pieces (str or bytes) to ``known``; beyond ``bound`` only these stay.
+
+    A mark after a letter at the end of a piece is a token of its own for either
+    pattern, so a piece without it is what the library has to encode; with
+    ``lower`` (for vocabularies that fold case anyhow) so is its lower-case form.
+    """
+    missing = wanted - known.keys()
+    if len(known) + len(missing) > bound:
+        kept = {p: known[p] for p in wanted if p in known}
+        known.clear()
+        known.update(kept)
+    parts = {}
+    for p in missing:
+        core = p.lower() if lower and p.isascii() else p
+        mark = core[:0]
+        if core[-1:] in MARKS and core[-2:-1].isascii() and core[-2:-1].isalpha():
+            core, mark = core[:-1], core[-1:]
+        parts[p] = core, mark
+    encode_each(library, known, list(({x for pair in parts.values() for x in pair if x}) - known.keys()))
+    for p, (core, mark) in parts.items():
+        if p not in known:
+            known[p] = known[core] + known[mark] if mark else known[core]
+
+
+def encode_each(library, known: dict, pieces: list) -> None:
+    """One call for many pieces; the library tells which token comes from which."""
+    for lo in range(0, len(pieces), 2000):
+        some = pieces[lo : lo + 2000]
+        coded = library.encode([p if isinstance(p, str) else p.decode("utf-8", "replace") for p in some], is_pretokenized=True, add_special_tokens=False)
+        ids = coded.ids
+        edges = np.searchsorted(np.array(coded.word_ids, np.int64), np.arange(len(some) + 1)).tolist()
+        for p, i, j in zip(some, edges, edges[1:]):
+            known[p] = ids[i:j]
+
+
 class Codec:
     """Encoder and decoder of one rank file, with a bounded memory of pieces."""
 
@@ -83,11 +123,7 @@ class Codec:
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         cut = [PIECES.findall(t) for t in texts]
-        missing = list({p for pieces in cut for p in pieces} - self.known.keys())
-        if len(self.known) + len(missing) > CACHE:
-            self.known = {}
-            missing = list({p for pieces in cut for p in pieces})
-        self.known.update(zip(missing, (e.ids for e in self.library.encode_batch_fast(missing, add_special_tokens=False))))
+        learn(self.library, self.known, {p for pieces in cut for p in pieces}, CACHE)
         look = self.known.__getitem__
         return [np.fromiter(chain.from_iterable(map(look, pieces)), np.uint32) for pieces in cut]
 
@@ -107,16 +143,14 @@ def codec(ranks_path: str, pattern: str) -> Codec:
     return Codec(ranks_path, pattern)
 
 
-def groups(texts: list[str], chars: int = 4_000_000):
-    """Consecutive texts of about so many characters together."""
-    begin, total = 0, 0
-    for i, t in enumerate(texts):
-        total += len(t)
-        if total >= chars:
-            yield begin, i + 1
-            begin, total = i + 1, 0
-    if begin < len(texts):
-        yield begin, len(texts)
+def slices(batch: pa.RecordBatch, chars: int = 2_000_000):
+    """``doc_id`` and texts (bytes, null as empty) of consecutive rows, few at a time where texts are long."""
+    ids, texts = batch.column("doc_id"), batch.column("text")
+    sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy()
+    part = np.cumsum(sizes) // chars
+    edges = [0, *(np.flatnonzero(part[1:] != part[:-1]) + 1).tolist(), len(texts)] if len(texts) else []
+    for lo, hi in zip(edges, edges[1:]):
+        yield ids.slice(lo, hi - lo), [t or b"" for t in texts.slice(lo, hi - lo).to_pylist()]
 
 
 def encode(docs: DataFrame, ranks_path: str, pattern: str, offsets: bool = True) -> DataFrame:
@@ -126,14 +160,11 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, offsets: bool = True)
     def run(batches):
         own = codec(ranks_path, pattern)
         for b in batches:
-            doc_ids = b.column("doc_id").to_pylist()
-            raw = [t or b"" for t in b.column("text").to_pylist()]
-            texts = [t.decode("utf-8", "replace") for t in raw]
-            for lo, hi in groups(texts):
-                ids = own.encode(texts[lo:hi])
-                out = {"doc_id": doc_ids[lo:hi], "ids": lists(ids)}
+            for doc_ids, raw in slices(b):
+                ids = own.encode([t.decode("utf-8", "replace") for t in raw])
+                out = {"doc_id": doc_ids, "ids": lists(ids)}
                 if offsets:
-                    both = [own.offsets(t, i) for t, i in zip(raw[lo:hi], ids)]
+                    both = [own.offsets(t, i) for t, i in zip(raw, ids)]
                     out |= {"byte_starts": lists([x for x, _ in both]), "char_starts": lists([y for _, y in both])}
                 yield out
 
@@ -159,18 +190,21 @@ def decode(tokens: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     return map_arrow(tokens.select(F.col("doc_id").cast("long").alias("doc_id"), "ids"), run, "doc_id long, ids array<int>, decoded binary")
 
 
-def digest_ids(decoded: DataFrame) -> DataFrame:
-    """Digests of the ids (little-endian unsigned 32-bit) and of the decoded bytes."""
-    from hashlib import sha256
+def round_trip(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
+    """Digests of the ids (little-endian unsigned 32-bit) of every text and of the bytes that they decode to.
+
+    The same as :func:`encode` and :func:`decode` in a row, in one Python worker.
+    """
 
     def run(batches):
+        own = codec(ranks_path, pattern)
         for b in batches:
-            ids, text = b.column("ids"), b.column("decoded").to_pylist()
-            flat, ends = ids.values.to_numpy(), ids.offsets.to_numpy()
-            yield {
-                "doc_id": b.column("doc_id"), "n_tokens": np.diff(ends).astype(np.int64),
-                "ids_sha256": [sha256(flat[i:j].astype("<u4").tobytes()).hexdigest() for i, j in zip(ends, ends[1:])],
-                "decoded_sha256": [sha256(t).hexdigest() for t in text],
-            }
-
-    return map_arrow(decoded, run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+            for doc_ids, raw in slices(b):
+                ids = own.encode([t.decode("utf-8", "replace") for t in raw])
+                yield {
+                    "doc_id": doc_ids, "n_tokens": [len(i) for i in ids],
+                    "ids_sha256": [sha256(i.astype("<u4").tobytes()).hexdigest() for i in ids],
+                    "decoded_sha256": [sha256(own.decode(i.tolist())).hexdigest() for i in ids],
+                }
+
+    return map_arrow(doc_text(docs), run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")

@@ -31,12 +31,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from fragcube.llm.bpe import learn, slices
 from fragcube.llm.text import doc_text, map_arrow
 from fragcube.session import materialise
 
 CAPACITY = 2048
 #: Distinct words that a worker remembers.
-CACHE = 300_000
+CACHE = 500_000
 #: Pieces of one length that one task ranks.
 PART = 5_000
 
@@ -58,12 +59,7 @@ class Words:
 
     def encode(self, texts: list[bytes]) -> list[np.ndarray]:
         cut = [t.split() for t in texts]
-        missing = list({w for words in cut for w in words} - self.known.keys())
-        if len(self.known) + len(missing) > CACHE:
-            self.known = {}
-            missing = list({w for words in cut for w in words})
-        encoded = self.library.encode_batch_fast([w.decode("utf-8", "replace") for w in missing], add_special_tokens=False)
-        self.known.update(zip(missing, (e.ids for e in encoded)))
+        learn(self.library, self.known, {w for words in cut for w in words}, CACHE, lower=True)
         look = self.known.__getitem__
         return [np.fromiter(chain.from_iterable(map(look, words)), np.uint32) for words in cut]
 
@@ -81,11 +77,9 @@ def pieces(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, ids: bool
     def run(batches):
         own = tokenizer(vocabulary)
         for b in batches:
-            doc_ids = b.column("doc_id").to_pylist()
-            texts = [t or b"" for t in b.column("text").to_pylist()]
-            for lo in range(0, len(texts), 500):
+            for doc_ids, texts in slices(b):
                 out = {k: [] for k in ("doc_id", "piece", "start", "length", "ids_crc32", "ids")}
-                for doc_id, own_ids in zip(doc_ids[lo : lo + 500], own.encode(texts[lo : lo + 500])):
+                for doc_id, own_ids in zip(doc_ids.to_pylist(), own.encode(texts)):
                     all_ids = np.append(own_ids, np.uint32(0)).astype("<u4")
                     for p, start in enumerate(range(0, len(all_ids), capacity)):
                         part = all_ids[start : start + capacity]

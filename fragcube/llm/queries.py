@@ -60,10 +60,9 @@ def language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
-    from fragcube.llm.bpe import decode, digest_ids, encode
+    from fragcube.llm.bpe import round_trip
 
-    ranks, pattern = vocabulary("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
-    return digest_ids(decode(encode(table(spark, sf_dir, "documents"), ranks, pattern, offsets=False), ranks, pattern))
+    return round_trip(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
 @query("op8_quality_rules")

@@ -95,7 +95,7 @@ def templates_of(paths: DataFrame) -> DataFrame:
     segments = F.filter(F.split("path", "/"), lambda s: s != "")
     rows = paths.withColumn("segments", segments).withColumn("template", F.lit(""))
     for depth in range(LEVELS):
-        rows = level(rows, depth)
+        rows = materialise(level(rows, depth), "level")
     tail = F.when(F.size("segments") > LEVELS, "/**").otherwise("")
     return rows.withColumn("template", F.concat("template", tail)).drop("segments")
 
@@ -125,7 +125,7 @@ def filter_urls(pages: DataFrame, rules: dict[str, str] = RULES) -> DataFrame:
         F.count(F.lit(1)).alias("n"),
         F.sum((F.col("says") == "block").cast("int")).alias("blocked"), F.sum((F.col("says") == "allow").cast("int")).alias("allowed"),
     ).na.fill(0, ["blocked", "allowed"])
-    paths = materialise(templates_of(materialise(counted, "paths")), "templates")
+    paths = templates_of(materialise(counted, "paths"))
     verdicts = materialise(paths.select("host", "path", "template").join(judged(paths), ["host", "template"]), "verdicts")
     placed = rows.withColumn("masked", masked).join(verdicts.withColumnRenamed("path", "masked"), ["host", "masked"], "left")
     final = F.coalesce("says", F.when(F.col("rejected"), "block").otherwise("allow"))
