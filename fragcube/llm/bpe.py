@@ -18,6 +18,7 @@ import base64
 import functools
 import os
 import re
+import unicodedata
 from hashlib import sha256
 from itertools import chain
 
@@ -34,7 +35,7 @@ WHITE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u
 #: Cuts that agree with the pattern's own: a word with at most one leading space; white space before it; one left over.
 PIECES = re.compile(f" ?[^{WHITE}]+|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]")
 #: Marks that stand alone after a letter.
-MARKS = frozenset([*".,;:!?", *(b"%c" % c for c in b".,;:!?")])
+MARKS = frozenset(".,;:!?")
 #: Distinct pieces that a worker remembers.
 CACHE = 500_000
 
@@ -57,40 +58,83 @@ def parts_below(token: bytes, ranks: dict[bytes, int]) -> list[bytes]:
     return parts
 
 
-def learn(library, known: dict, wanted: set, bound: int, lower: bool = False) -> None:
-    """Add the ids of the ``wanted`` pieces (str or bytes) to ``known``; beyond ``bound`` only these stay.
+@functools.lru_cache(maxsize=10_000)
+def ends_in_letter(char: str) -> bool:
+    """Also after normalisation and folding, which can end a letter in a mark."""
+    return unicodedata.normalize("NFC", char).lower()[-1:].isalpha()
 
-    A mark after a letter at the end of a piece is a token of its own for either
-    pattern, so a piece without it is what the library has to encode; with
-    ``lower`` (for vocabularies that fold case anyhow) so is its lower-case form.
+
+class Memory:
+    """Ids of pieces, each encoded once per worker and remembered up to a bound.
+
+    A mark after a letter at the end of a piece is a token run of its own for
+    the patterns used here, so the library has to encode a piece without it;
+    where the vocabulary folds case anyhow, so has its lower-case form.  Pieces
+    of letters only are encoded many in a row: ``edge`` tells for each id
+    whether its token starts or ends a piece.  Others go one by one.
     """
-    missing = wanted - known.keys()
-    if len(known) + len(missing) > bound:
-        kept = {p: known[p] for p in wanted if p in known}
-        known.clear()
-        known.update(kept)
-    parts = {}
-    for p in missing:
-        core = p.lower() if lower and p.isascii() else p
-        mark = core[:0]
-        if core[-1:] in MARKS and core[-2:-1].isascii() and core[-2:-1].isalpha():
-            core, mark = core[:-1], core[-1:]
-        parts[p] = core, mark
-    encode_each(library, known, list(({x for pair in parts.values() for x in pair if x}) - known.keys()))
-    for p, (core, mark) in parts.items():
-        if p not in known:
-            known[p] = known[core] + known[mark] if mark else known[core]
-
-
-def encode_each(library, known: dict, pieces: list) -> None:
-    """One call for many pieces; the library tells which token comes from which."""
-    for lo in range(0, len(pieces), 2000):
-        some = pieces[lo : lo + 2000]
-        coded = library.encode([p if isinstance(p, str) else p.decode("utf-8", "replace") for p in some], is_pretokenized=True, add_special_tokens=False)
-        ids = coded.ids
-        edges = np.searchsorted(np.array(coded.word_ids, np.int64), np.arange(len(some) + 1)).tolist()
-        for p, i, j in zip(some, edges, edges[1:]):
-            known[p] = ids[i:j]
+
+    def __init__(self, library, folds: bool, bound: int) -> None:
+        self.library, self.folds, self.bound = library, folds, bound
+        names = [library.id_to_token(i) or "" for i in range(library.get_vocab_size())]
+        # with folded case tokens end words, else they start with the character of a space
+        self.edge = np.array([t.endswith("</w>") if folds else t.startswith(byte_characters()[32]) for t in names])
+        self.known: dict[str, bytes] = {}  # ids as four bytes each: small, and nothing for the garbage collector to visit
+
+    def coded(self, pieces: list[str]) -> list[bytes]:
+        missing = set(pieces) - self.known.keys()
+        if len(self.known) + len(missing) > self.bound:
+            self.known = {p: self.known[p] for p in pieces if p in self.known}
+        known, parts = self.known, {}
+        for p in missing:
+            core = p.lower() if self.folds and p.isascii() else p
+            mark = ""
+            if core[-1:] in MARKS and ends_in_letter(core[-2:-1]):
+                core, mark = core[:-1], core[-1]
+            parts[p] = core, mark
+        self._encode(({x for pair in parts.values() for x in pair} - known.keys()) - {""})
+        known.setdefault("", b"")
+        for p, (core, mark) in parts.items():
+            if p not in known:
+                known[p] = known[core] + known[mark]
+        return [known[p] for p in pieces]
+
+    def _encode(self, pieces: set[str]) -> None:
+        if self.folds:
+            plain = [p for p in pieces if p.isalpha()]
+        else:
+            plain = [p for p in pieces if p[0] == " " and p[1:].isalpha()]
+        runs = [plain[i : i + 200] for i in range(0, len(plain), 200)]
+        glue = " " if self.folds else ""
+        for run, coded in zip(runs, self.library.encode_batch_fast([glue.join(r) for r in runs], add_special_tokens=False)):
+            ids = np.array(coded.ids, np.uint32)
+            at = np.flatnonzero(self.edge[ids])
+            edges = np.append(0, at + 1) if self.folds else np.append(at, len(ids))
+            if len(edges) == len(run) + 1:
+                self._keep(run, ids, edges)
+        left = [p for p in pieces if p not in self.known]
+        for lo in range(0, len(left), 1000):
+            some = left[lo : lo + 1000]
+            coded = self.library.encode(some, is_pretokenized=True, add_special_tokens=False)
+            edges = np.searchsorted(np.array(coded.word_ids, np.int64), np.arange(len(some) + 1))
+            self._keep(some, np.array(coded.ids, np.uint32), edges)
+
+    def _keep(self, pieces: list[str], ids: np.ndarray, edges: np.ndarray) -> None:
+        raw, at = ids.tobytes(), (edges * 4).tolist()
+        for p, i, j in zip(pieces, at, at[1:]):
+            self.known[p] = raw[i:j]
+
+    def expand(self, pieces: pa.Array, ends: np.ndarray) -> list[np.ndarray]:
+        """Ids of texts, given all their pieces in a row and where each text's pieces end (from 0)."""
+        table = pieces.dictionary_encode()
+        coded = self.coded(table.dictionary.to_pylist())
+        size = np.fromiter(map(len, coded), np.int64, len(coded)) >> 2
+        flat = np.frombuffer(b"".join(coded), np.uint32)
+        index = table.indices.to_numpy()
+        each = size[index]
+        total = np.concatenate([np.zeros(1, np.int64), np.cumsum(each)])
+        ids = flat[np.repeat((np.cumsum(size) - size)[index] - total[:-1], each) + np.arange(total[-1])]
+        return np.split(ids, total[ends[1:-1]])
 
 
 class Codec:
@@ -119,13 +163,12 @@ class Codec:
         size = max(ranks.values()) + 1
         self.bytes_of = [bytes(back[c] for c in self.library.id_to_token(i) or "") for i in range(size)]
         self.width = np.array([len(b) for b in self.bytes_of], np.int64)
-        self.known: dict[str, list[int]] = {}
+        self.memory = Memory(self.library, False, CACHE)
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         cut = [PIECES.findall(t) for t in texts]
-        learn(self.library, self.known, {p for pieces in cut for p in pieces}, CACHE)
-        look = self.known.__getitem__
-        return [np.fromiter(chain.from_iterable(map(look, pieces)), np.uint32) for pieces in cut]
+        ends = np.cumsum([0, *map(len, cut)])
+        return self.memory.expand(pa.array(list(chain.from_iterable(cut)), pa.string()), ends) if texts else []
 
     def offsets(self, text: bytes, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Byte and character at which each token starts; a token inside a character starts at that character."""
@@ -143,7 +186,7 @@ def codec(ranks_path: str, pattern: str) -> Codec:
     return Codec(ranks_path, pattern)
 
 
-def slices(batch: pa.RecordBatch, chars: int = 2_000_000):
+def slices(batch: pa.RecordBatch, chars: int = 5_000_000):
     """``doc_id`` and texts (bytes, null as empty) of consecutive rows, few at a time where texts are long."""
     ids, texts = batch.column("doc_id"), batch.column("text")
     sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy()

@@ -24,14 +24,15 @@ import functools
 import os
 import zlib
 from collections import Counter
-from itertools import chain
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from fragcube.llm.bpe import learn, slices
+from fragcube.llm.bpe import Memory, slices
 from fragcube.llm.text import doc_text, map_arrow
 from fragcube.session import materialise
 
@@ -55,13 +56,11 @@ class Words:
 
         self.library = Tokenizer.from_file(path)
         self.library.encode_special_tokens = True
-        self.known: dict[bytes, list[int]] = {}
+        self.memory = Memory(self.library, True, CACHE)
 
     def encode(self, texts: list[bytes]) -> list[np.ndarray]:
-        cut = [t.split() for t in texts]
-        learn(self.library, self.known, {w for words in cut for w in words}, CACHE, lower=True)
-        look = self.known.__getitem__
-        return [np.fromiter(chain.from_iterable(map(look, words)), np.uint32) for words in cut]
+        words = pc.ascii_split_whitespace(pa.array([t.decode("utf-8", "replace") for t in texts], pa.string()))
+        return self.memory.expand(words.values, words.offsets.to_numpy()) if texts else []
 
 
 @functools.lru_cache(maxsize=2)
