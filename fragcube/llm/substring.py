@@ -183,8 +183,8 @@ def covered(graph: Graph, words: list[bytes], spans: list[dict]) -> np.ndarray:
 
 def with_spans(docs: DataFrame, window: int, kmer: int) -> DataFrame:
     """``docs`` with a column of its repeated spans (null where none)."""
-    spans = repeated_spans(docs, window, kmer).groupBy("doc").agg(F.collect_list(F.struct("start", "length", "hash")).alias("_spans"))
-    return docs.join(spans, F.col("doc_id").cast("long") == F.col("doc"), "left").drop("doc")
+    spans = repeated_spans(docs, window, kmer).withColumnRenamed("doc", "_span_doc").groupBy("_span_doc").agg(F.collect_list(F.struct("start", "length", "hash")).alias("_spans"))
+    return docs.join(spans, docs["doc_id"].cast("long") == spans["_span_doc"], "left").drop("_span_doc")
 
 
 def cut(docs: DataFrame, window: int = WINDOW, kmer: int = KMER) -> DataFrame:
