@@ -74,8 +74,8 @@ def bit_of(path: Column, doc: Column) -> Column:
     return path.bitwiseXOR(doc).bitwiseXOR(F.shiftleft(doc, 9)).bitwiseAND(F.lit(2**BITS - 1)) + 1
 
 
-def bits_of(path: np.ndarray, doc: int) -> np.ndarray:
-    return (signed(path) ^ np.int64(doc) ^ (np.int64(doc) << np.int64(9))) & np.int64(2**BITS - 1)
+def bits_of(path: np.ndarray, doc: int, size: int) -> np.ndarray:
+    return (signed(path) ^ np.int64(doc) ^ (np.int64(doc) << np.int64(9))) & np.int64(size - 1)
 
 
 def known_documents(docs: DataFrame) -> DataFrame:
@@ -127,7 +127,7 @@ def window_rows(docs: DataFrame, opened: np.ndarray, window: int, kmer: int) ->
                 anchor, path, start, count, p = graph.paths((text or b"").split())
                 if not len(start):
                     continue
-                bit = bits_of(path, doc)
+                bit = bits_of(path, doc, 8 * len(table))
                 hit = (table[bit >> 3] >> (bit & 7)) & 1 == 1
                 if hit.any():
                     start, count = start[hit], count[hit]
