@@ -43,6 +43,30 @@ BITS = 27
 ROW_BITS = 32768
 
 
+#: Low bits of a hash that give way to the place, so that a minimum tells where it stands.
+PLACE = np.uint64((1 << 24) - 1)
+
+
+def first_least(values: np.ndarray, width: int) -> np.ndarray:
+    """Place of the least value in every window, the first of equals; values count by their upper 40 bits.
+
+    Minima from each block's start and to each block's end meet in every window,
+    so the cost does not depend on the width.
+    """
+    n = len(values) - width + 1
+    if len(values) > int(PLACE):
+        upper = values & ~PLACE
+        return np.concatenate([
+            np.lib.stride_tricks.sliding_window_view(upper[i : i + 100_000 + width - 1], width).argmin(axis=1) + i for i in range(0, n, 100_000)
+        ])
+    full = np.full(-(-len(values) // width) * width, ~np.uint64(0))
+    full[: len(values)] = (values & ~PLACE) | np.arange(len(values), dtype=np.uint64)
+    blocks = full.reshape(-1, width)
+    ahead = np.minimum.accumulate(blocks, axis=1).ravel()
+    behind = np.minimum.accumulate(blocks[:, ::-1], axis=1)[:, ::-1].ravel()
+    return (np.minimum(behind[:n], ahead[width - 1 : width - 1 + n]) & PLACE).astype(np.int64)
+
+
 class Graph:
     """Paths of a text."""
 
@@ -62,8 +86,7 @@ class Graph:
             return none.view(np.uint64), none.view(np.uint64), none, none, p
         at = np.arange(len(words) - self.kmer + 1)
         kmers = self.rolling.runs(p, at, at + self.kmer)
-        wide = np.lib.stride_tricks.sliding_window_view(kmers, self.window - self.kmer + 1)
-        place = wide.argmin(axis=1) + np.arange(n)
+        place = first_least(kmers, self.window - self.kmer + 1)
         first = np.flatnonzero(np.append(True, place[1:] != place[:-1]))
         count = np.diff(np.append(first, n))
         return kmers[place[first]], self.rolling.runs(p, first, first + count + self.window - 1), first, count, p
