@@ -19,8 +19,9 @@ a block of more than ``TILE`` members is split into pairs of tiles.
 3. The R-tree runs in every block on points alone; members without a possible
    partner leave.
 4. Texts of members are sent to the largest block of each, verified there, and
-   components found.  Then only blocks that still span several components, and
-   in them only members with a possible partner in another, are verified.
+   components found.  In blocks that still span several components, members
+   with a possible partner in another component are found again, and sent, once
+   each, to the larger of the two components, where these pairs are verified.
 
 Tasks return links that connect what they found connected, not all pairs.  A
 text without words has an empty set and no links; with fewer words than a
@@ -47,6 +48,8 @@ WIDTH = 5
 #: Similarity, in percent.
 PERCENT = 80
 GROUPS = 256
+#: Large sets are counted in up to so many finer groups, about two shingles each; these refine the bound of the tree.
+FINEST = 1 << 14
 TILE = 4096
 LEAF = 16
 #: A shingle in this share of the documents counts as frequent.  It only changes the order of shingles.
@@ -80,9 +83,17 @@ def digests(shingles: np.ndarray) -> tuple[int, int]:
 
 
 def point(shingles: np.ndarray) -> bytes | None:
-    """Counts per group as bytes; None if a count needs more than a byte (such a point bounds nothing)."""
-    counts = np.bincount((shingles >> np.uint64(56)).astype(np.int64), minlength=GROUPS)
-    return counts.astype(np.uint8).tobytes() if counts.max() < 256 else None
+    """Counts per group as bytes; None if a count needs more than a byte (such a point bounds nothing).
+
+    Groups are the leading bits of a shingle's hash, so coarser counts are sums of neighbours.
+    """
+    bits = min(max((len(shingles) // 2).bit_length(), GROUPS.bit_length() - 1), FINEST.bit_length() - 1)
+    counts = np.bincount((shingles >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
+    return counts.astype(np.uint8).tobytes() if folded(counts, GROUPS).max() < 256 else None
+
+
+def folded(counts: np.ndarray, groups: int) -> np.ndarray:
+    return counts.reshape(groups, -1).sum(axis=1, dtype=np.int64)
 
 
 def required(a, b):
@@ -213,8 +224,9 @@ class Tree:
 def possible(points: list[bytes | None], sizes: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
     """For each member the members after it, in order of size, that may be similar enough."""
     order = np.lexsort((np.arange(len(sizes)), sizes))
-    full = np.array([[255] * GROUPS], np.uint8)
-    table = np.concatenate([np.frombuffer(points[i], np.uint8)[None] if points[i] else full for i in order])
+    fine = [np.frombuffer(points[i], np.uint8) if points[i] else None for i in order]
+    full = np.full(GROUPS, 255, np.uint8)
+    table = np.stack([full if f is None else folded(f, GROUPS).astype(np.uint8) for f in fine])
     n = sizes[order]
     unbounded = np.array([points[i] is None for i in order])
     tree = Tree(table, n)
@@ -223,7 +235,16 @@ def possible(points: list[bytes | None], sizes: np.ndarray) -> Iterator[tuple[in
             at = np.flatnonzero((100 * n >= PERCENT * n[k]) & (PERCENT * n <= 100 * n[k]))
         else:
             at = tree.near(table[k], int(n[k]))
-        yield int(i), order[at[at > k]]
+        at = at[at > k]
+        if fine[k] is not None and len(fine[k]) > GROUPS:
+            at = np.array([j for j in at.tolist() if fine[j] is None or _overlap(fine[k], fine[j]) >= required(int(n[k]), int(n[j]))], np.int64)
+        yield int(i), order[at]
+
+
+def _overlap(a: np.ndarray, b: np.ndarray) -> int:
+    """Bound of the overlap by the finest groups that both points have."""
+    groups = min(len(a), len(b))
+    return int(np.minimum(folded(a, groups), folded(b, groups)).sum())
 
 
 def groups(batches: Iterator[pa.RecordBatch], keys: tuple[str, ...]) -> Iterator[pa.Table]:
@@ -275,6 +296,33 @@ def hopeful(members: DataFrame) -> DataFrame:
     return map_arrow(rows, run, "b1 long, b2 long, id long").distinct()
 
 
+def between(members: DataFrame) -> DataFrame:
+    """Where to verify what lies between components: rows (``b1``, ``id``) for every member with a possible partner elsewhere.
+
+    ``members``: ``b1, b2, id, n, point, part, part_size``; the new ``b1`` is the larger component of a pair.
+    """
+
+    def run(batches):
+        out = {"b1": [], "id": []}
+        for g in groups(batches, BLOCK):
+            ids, part, size = (g.column(c).to_numpy() for c in ("id", "part", "part_size"))
+            found = set()
+            for i, after in possible(g.column("point").to_pylist(), g.column("n").to_numpy()):
+                after = after[part[after] != part[i]]
+                other = (size[after] > size[i]) | ((size[after] == size[i]) & (part[after] < part[i]))
+                for j, key in zip(after.tolist(), np.where(other, part[after], part[i]).tolist()):
+                    found |= {(key, int(ids[i])), (key, int(ids[j]))}
+            out["b1"] += [k for k, _ in found]
+            out["id"] += [i for _, i in found]
+            if len(out["id"]) > 50_000:
+                yield out
+                out = {"b1": [], "id": []}
+        yield out
+
+    rows = tiles(members).repartition(*BLOCK).sortWithinPartitions(*BLOCK)
+    return map_arrow(rows, run, "b1 long, id long").distinct()
+
+
 def verified(members: DataFrame, texts: DataFrame) -> DataFrame:
     """Links ``a``, ``b`` (doc_ids) that connect what is connected in each block (``b1, b2, id, doc, part``)."""
 
@@ -334,10 +382,11 @@ def join(docs: DataFrame) -> DataFrame:
 
     labelled = members.join(labels.withColumnRenamed("node", "doc"), "doc", "left").withColumn("part", F.coalesce("component", "doc")).drop("component")
     open_blocks = labelled.groupBy("b1", "b2").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).filter("lo < hi").select("b1", "b2")
-    rest = labelled.join(open_blocks, ["b1", "b2"], "left_semi").join(classes.select("doc", "n", "point"), "doc")
-    rest = hopeful(rest.select("b1", "b2", F.col("doc").alias("id"), "n", "point", "part"))
+    part_sizes = labels.groupBy(F.col("component").alias("part")).agg((F.count(F.lit(1)) + 1).alias("part_size"))
+    rest = labelled.join(open_blocks, ["b1", "b2"], "left_semi").join(classes.select("doc", "n", "point"), "doc").join(part_sizes, "part", "left")
+    rest = between(rest.select("b1", "b2", F.col("doc").alias("id"), "n", "point", "part", F.coalesce("part_size", F.lit(1)).alias("part_size")))
     rest = rest.withColumnRenamed("id", "doc").join(labels.withColumnRenamed("node", "doc"), "doc", "left")
-    rest = rest.select("b1", "b2", F.col("doc").alias("id"), "doc", F.coalesce("component", "doc").alias("part"))
+    rest = rest.select("b1", F.lit(0).cast("long").alias("b2"), F.col("doc").alias("id"), "doc", F.coalesce("component", "doc").alias("part"))
     more = materialise(verified(rest, texts), "links")
     final = components(links.unionByName(more))
 
