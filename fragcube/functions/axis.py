@@ -7,9 +7,9 @@ import datetime
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import WINDOW_ROWS
+from ..session import materialise
 
-#: Pieces an oversized axis is cut into per task.
+#: Pieces of axes that one task ranks.
 BLOCK_ROWS = 200_000
 
 
@@ -35,8 +35,10 @@ def idiv(value: Column, by: int | Column) -> Column:
     return ((value - F.pmod(value, by)) / by).cast("long")
 
 
-def bound_key(value: object) -> float | None:
-    """A literal on the scale of :func:`start_key`; None for text."""
+def bound_key(value: object, dtype: str = "") -> float | None:
+    """A literal on the scale of :func:`start_key` for an axis of type ``dtype``; None for text."""
+    if isinstance(value, datetime.date) and not isinstance(value, datetime.datetime) and dtype.startswith("timestamp"):
+        value = datetime.datetime(value.year, value.month, value.day)
     if isinstance(value, datetime.datetime):
         return float(value.replace(tzinfo=datetime.timezone.utc).timestamp() * 1_000_000)
     if isinstance(value, datetime.date):
@@ -57,50 +59,20 @@ def _orient(pieces: DataFrame, total: str, count: str) -> DataFrame:
     )
 
 
-def arrange(pieces: DataFrame, n_rows: int, window_rows: int | None = None) -> DataFrame:
+def arrange(pieces: DataFrame, n_rows: int, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Position and offset of every piece ``(dim, start, start_s, descending, size, ...)``.
 
-    One window task per dimension serves the usual manifest.  An axis with
-    more pieces than ``window_rows`` is cut at sampled quantiles first: the
-    cut values are bounded in number and fixed on the driver, each cut is
-    ranked on its own, and the totals of the cuts before it are added.
+    Pieces are dealt out in ranges of (dimension, start), each range is ranked
+    on its own, and the totals of the ranges before it in the same dimension
+    are added.  A short axis is one range.  An axis in one piece, whose start
+    is NULL, sorts like any other.
     """
-    limit = WINDOW_ROWS if window_rows is None else window_rows
-    if n_rows <= limit:
-        order = "over (partition by dim order by start, start_s"
-        ranked = pieces.selectExpr(
-            "*", f"row_number() {order}) - 1 as _rank",
-            f"sum(size) {order} rows between unbounded preceding and current row) as _sum",
-            "sum(size) over (partition by dim) as _total", "count(*) over (partition by dim) as _count",
-        )
-        return _orient(ranked, "_total", "_count")
-    return _arrange_blocks(pieces, n_rows, limit)
-
-
-def _arrange_blocks(pieces: DataFrame, n_rows: int, limit: int) -> DataFrame:
-    block_rows = min(BLOCK_ROWS, max(limit, 1))
-    n_cuts = min(4096, -(-n_rows // block_rows))
-    shares = [i / n_cuts for i in range(1, n_cuts)] or [0.5]
-    # Text cannot be sampled as a number, so its first six bytes stand in: equal
-    # prefixes share a cut, and order between cuts follows byte order.
-    numeric = F.coalesce(
-        F.col("start"),
-        F.conv(F.rpad(F.hex(F.substring(F.encode("start_s", "UTF-8"), 1, 6)), 12, "0"), 16, 10).cast("double"),
-    )
-    keyed = pieces.withColumn("_key", numeric)
-    cut_rows = keyed.groupBy("dim").agg(F.percentile_approx("_key", shares, 10_000).alias("cuts")).collect()
-    cuts = F.create_map(
-        *[
-            item
-            for row in cut_rows
-            for item in (F.lit(row["dim"]), F.array(*[F.lit(float(c)) for c in sorted(set(row["cuts"]))]))
-        ]
-    )
-    block = F.size(F.filter(cuts[F.col("dim")], lambda c: c <= F.col("_key")))
-    blocked = keyed.withColumn("_block", block)
-    totals = blocked.groupBy("dim", "_block").agg(
-        F.sum("size").alias("_bsize"), F.count("*").alias("_bcount")
-    )
+    n_blocks = max(1, -(-n_rows // block_rows))
+    blocked = pieces.withColumn("_block", F.lit(0))
+    if n_blocks > 1:  # borders of ranges are sampled, so they are written down before use
+        ranges = pieces.repartitionByRange(n_blocks, "dim", "start", "start_s")
+        blocked = materialise(ranges.withColumn("_block", F.spark_partition_id()), "axis")
+    totals = blocked.groupBy("dim", "_block").agg(F.sum("size").alias("_bsize"), F.count("*").alias("_bcount"))
     ahead = Window.partitionBy("dim").orderBy("_block")
     before = ahead.rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy("dim")
@@ -113,8 +85,8 @@ def _arrange_blocks(pieces: DataFrame, n_rows: int, limit: int) -> DataFrame:
     )
     inner = Window.partitionBy("dim", "_block").orderBy("start", "start_s")
     ranked = (
-        # at most 4097 cuts per dimension
-        blocked.join(F.broadcast(totals), ["dim", "_block"])
+        # one row per range and dimension: n_rows / block_rows of them
+        blocked.join(totals, ["dim", "_block"])
         .withColumn("_rank", F.col("_count_before") + F.row_number().over(inner) - 1)
         .withColumn(
             "_sum",

@@ -19,6 +19,13 @@ MICROSECONDS = {
     "hours": 3_600_000_000,
     "days": 86_400_000_000,
     "weeks": 604_800_000_000,
+    # short spellings, brought to the form with a final s
+    "s": 1_000_000,
+    "secs": 1_000_000,
+    "mins": 60_000_000,
+    "hs": 3_600_000_000,
+    "hrs": 3_600_000_000,
+    "ds": 86_400_000_000,
 }
 NOLEAP_DAYS_BEFORE = (0, 31, 59, 90, 120, 151, 181, 212, 243, 273, 304, 334)
 UNITS = {
@@ -115,19 +122,25 @@ def concat_characters(cells: DataFrame, keys: list[str], position: str, char: st
 
 def _unit_us(unit: Column) -> Column:
     plural = F.concat(F.regexp_replace(F.lower(unit), "s$", ""), F.lit("s"))
-    return _lookup(plural, MICROSECONDS).cast("long")
+    return F.when(F.trim(unit) != "", _lookup(plural, MICROSECONDS)).cast("long")
+
+
+def _known_unit_us(unit: Column) -> Column:
+    """Microseconds of a unit; a unit that is no fixed length of time is an error, a missing one NULL."""
+    us = _unit_us(unit)
+    return F.when(us.isNull() & unit.isNotNull(), F.raise_error(F.concat(F.lit("not a unit of time: "), unit))).otherwise(us)
 
 
 def decode_times(value: Column, units: Column) -> Column:
     """``"<unit> since <epoch>"`` to a zone-free timestamp; whole microseconds."""
     unit = F.regexp_extract(units, r"^\s*(\w+)\s+since\s+", 1)
-    epoch = F.regexp_replace(F.regexp_extract(units, r"since\s+(.+?)\s*$", 1), "T", " ").cast("timestamp_ntz")
-    return F.timestamp_add("MICROSECOND", F.round(value * _unit_us(unit)).cast("long"), epoch)
+    epoch = F.regexp_replace(F.regexp_extract(units, r"since\s+(.+?)\s*(?:UTC|Z)?\s*$", 1), "T", " ").cast("timestamp_ntz")
+    return F.timestamp_add("MICROSECOND", F.round(value * _known_unit_us(unit)).cast("long"), epoch)
 
 
 def decode_timedelta(value: Column, unit: Column) -> Column:
     """Number and unit to a day-time interval."""
-    us = F.round(value * _unit_us(unit)).cast("long")
+    us = F.round(value * _known_unit_us(unit)).cast("long")
     seconds = (us / F.lit(1_000_000)).cast("decimal(18,6)")
     zero = F.lit(0)
     return F.make_dt_interval(zero, zero, zero, seconds)
@@ -157,7 +170,7 @@ def decode_calendar(days: Column, year0: int, calendar: str) -> Column:
 
 def is_time_unit(unit: str) -> bool:
     """A plain length of time, singular or plural."""
-    return unit.lower().rstrip("s") + "s" in MICROSECONDS
+    return bool(unit.strip()) and unit.lower().rstrip("s") + "s" in MICROSECONDS
 
 
 def decode_calendar_times(value: Column, units: str, calendar: str) -> Column:

@@ -24,9 +24,9 @@ def raise_conventions(value: Column, minor: int = MIN_MINOR) -> Column:
     Entries are separated by commas, or by blanks where there is no comma.
     """
     def lift(entry: Column) -> Column:
-        found = F.regexp_extract(entry, r"CF-1\.(\d+)", 1).cast("int")
+        found = F.regexp_extract(entry, r"^\s*CF-1\.(\d+)\s*$", 1).try_cast("int")
         return F.when(
-            entry.contains("CF"),
+            entry.rlike(r"^\s*CF(-1(\.\d+)?)?\s*$"),
             F.concat(
                 F.regexp_extract(entry, r"^(\s*)", 1),
                 F.lit("CF-1."),

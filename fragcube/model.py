@@ -16,7 +16,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 
-#: Stands in for an attribute that differs between fragments.
+#: Stands in for an attribute that differs between fragments (a fixed value).
 DIFFERS = "See individual datasets for more information."
 
 

@@ -169,7 +169,8 @@ class Variable:
         for dim, pick in self.picks.items():
             frags = frags.filter(pick.fragments(f"o_{dim}", f"s_{dim}"))
         for dim, low, high in self.bounds:
-            low, high = bound_key(low), bound_key(high)
+            dtype = self.block.dtype(f"c_{dim}")
+            low, high = bound_key(low, dtype), bound_key(high, dtype)
             if low is not None:
                 frags = frags.filter(f"coalesce(hi_{dim}, {low}D) >= {low}D")
             if high is not None:
@@ -188,7 +189,7 @@ class Variable:
         """Cells to read; folders named by ``frag_id`` are pruned by Spark, separate files here."""
         if self.block.reader is None or not (self.picks or self.bounds):
             return self.block.cells
-        return infer.cells_of(self.block, frags)
+        return infer.cells_of(self.block, frags, self._n_fragments(frags))
 
     def to_df(self) -> DataFrame:
         """Cells of the selection with global indices ``<dim>`` and the value.

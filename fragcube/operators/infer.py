@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.axis import arrange, idiv, key_sql
-from ..model import Block, DimClass, FragmentSet
+from ..model import Block, DimClass, FragmentError, FragmentSet
 from ..session import BROADCAST_ROWS, compact, literal, lookup_join
 from .inventory import all_equal
 
@@ -31,18 +31,16 @@ def classify_dims(inventory: DataFrame) -> DataFrame:
     )
 
 
-#: Files that may be named one by one; above it all are listed and joined.
-NAMED_FILES = 10_000
-
 BOUNDS = ("start", "start_s", "stop", "stop_s")
 
 
 def class_measures(dims: list[str]) -> list[Column]:
     """What decides about each dimension, as aggregates over a wide inventory."""
-    out = ["count(1) as n_frags"]
+    out = ["count(1) as n_frags", "count_if(not whole) as broken"]
     for dim in dims:
         out += [f"max(size_{dim}) as largest_{dim}", f"min(size_{dim}) as smallest_{dim}"]
         out.append(f"count_if(stop_{dim} < start_{dim} or stop_s_{dim} < start_s_{dim}) as falls_{dim}")
+        out.append(f"count_if(stop_{dim} > start_{dim} or stop_s_{dim} > start_s_{dim}) as rises_{dim}")
         out += [f"{fn}({m}_{dim}) as {fn}_{m}_{dim}" for fn in ("min", "max") for m in BOUNDS]
     return [F.expr(o) for o in out]
 
@@ -51,6 +49,8 @@ def classes_of(measured: dict, dims: list[str], coords: set[str]) -> list[DimCla
     """:func:`classify_dims` from the measures of :func:`class_measures`."""
     out = []
     for order, dim in enumerate(dims):
+        if measured[f"falls_{dim}"] and measured[f"rises_{dim}"]:
+            raise FragmentError(f"the values of {dim} rise in some fragments and fall in others")
         moves = {m: measured[f"min_{m}_{dim}"] != measured[f"max_{m}_{dim}"] for m in BOUNDS}
         largest = measured[f"largest_{dim}"]
         out.append(DimClass(
@@ -103,17 +103,24 @@ def axis_pieces(wide: DataFrame, classes: list[DimClass]) -> DataFrame:
     return out
 
 
-def arrange_dimension(wide: DataFrame, classes: list[DimClass], n_rows: int, window_rows: int | None = None) -> DataFrame:
+def arrange_dimension(wide: DataFrame, classes: list[DimClass], n_rows: int) -> DataFrame:
     """``dim_frags``: position, offset and size of every piece of every axis."""
-    return arrange(axis_pieces(wide, classes), n_rows, window_rows)
+    return arrange(axis_pieces(wide, classes), n_rows)
+
 
+def cells_of(block: Block, frags: DataFrame, n_frags: int) -> DataFrame:
+    """Cells of some fragments, read from their files alone.
 
-def cells_of(block: Block, frags: DataFrame) -> DataFrame:
-    """Cells of some fragments, read from their files alone where these are few enough to name."""
-    names = [r["frag_id"] for r in frags.select("frag_id").limit(NAMED_FILES + 1).collect()]
-    if not names or len(names) > NAMED_FILES:
-        return block.cells
-    return block.reader(names) if block.reader else block.cells.filter(F.col("frag_id").isin(names))
+    Folders named by ``frag_id`` are pruned by the join at run time.  Separate
+    files were listed one by one when the set was opened, and are again.
+    """
+    if block.reader:
+        names = [r["frag_id"] for r in frags.select("frag_id").distinct().collect()]
+        return block.reader(names) if names else block.cells.filter(F.lit(False))
+    spread = [f"l_{d}" for d in block.dims] or [F.lit(0)]
+    # the comparison makes this side a filter in Spark's eyes, so that it prunes folders by it
+    wanted = frags.select("frag_id").filter("frag_id >= ''").distinct()
+    return lookup_join(block.cells, wanted, ["frag_id"], n_frags, spread, how="left_semi")
 
 
 def concat_axis(
@@ -135,7 +142,7 @@ def concat_axis(
         block = next(b for b in sorted(fragments.blocks, key=lambda b: len(b.dims)) if dim in b.coords)
         once = block.dims == (dim,) and (one_each or set(agg_dims) <= {dim})
         held = project_grid(frags, [dim]) if one_each else frags
-        cells = cells_of(block, held) if one_each else block.cells
+        cells = cells_of(block, held, n_frags) if one_each else block.cells
         values = cells.selectExpr("frag_id", f"l_{dim} as local", f"c_{dim} as low", f"c_{dim} as high")
         pieces = held.selectExpr("frag_id", f"o_{dim} as _o", f"start_{dim} as start", f"start_s_{dim} as start_s")
         if n_frags > BROADCAST_ROWS and not once:
@@ -400,6 +407,20 @@ def validate_manifest(dim_frags: DataFrame, frags: DataFrame, space: dict[str, i
     return out.unionByName(faulty)
 
 
+def axis_overlaps(frags: DataFrame, dims: list[str], falling: set[str]) -> DataFrame | None:
+    """Neighbours on an axis whose ranges of values meet; text axes, which have no numeric range, are left out."""
+    out = None
+    for d in dims:
+        pieces = frags.groupBy(F.col(f"f_{d}").alias("at")).agg(F.min(f"lo_{d}").alias("lo"), F.max(f"hi_{d}").alias("hi"))
+        ahead = pieces.select((F.col("at") + 1).alias("at"), F.col("lo").alias("lo_before"), F.col("hi").alias("hi_before"))
+        meet = "hi >= lo_before" if d in falling else "lo <= hi_before"
+        part = pieces.join(ahead, "at").filter(meet).selectExpr(
+            "'overlap' as check", f"concat('{d}:', at) as item", "0L as expected", "1L as actual"
+        )
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 def size_violations(inventory: DataFrame) -> DataFrame:
     """Pieces with one start but several sizes or last values, on any axis."""
     classes = F.broadcast(classify_dims(inventory).select("dim", "aggregated"))  # a row per dimension

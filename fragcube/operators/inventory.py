@@ -43,6 +43,13 @@ def _extent_aggs(block: Block, dims: list[str]) -> list[Column]:
     return [F.expr(a) for a in aggs]
 
 
+def _whole(block: Block) -> Column:
+    """Whether a fragment has as many cells as its box, with the right sum of indices along each dimension."""
+    tests = [f"count(1) = {' * '.join(f'cast(max(l_{d}) + 1 as bigint)' for d in block.dims) or '1'}"]
+    tests += [f"2 * sum(l_{d}) = count(1) * cast(max(l_{d}) as bigint) and min(l_{d}) = 0" for d in block.dims]
+    return F.expr(" and ".join(tests)).alias("whole")
+
+
 def wide_inventory(fragments: FragmentSet, dims: list[str] | None = None) -> DataFrame:
     """One row per fragment: size, first and last coordinate of each dimension.
 
@@ -52,7 +59,7 @@ def wide_inventory(fragments: FragmentSet, dims: list[str] | None = None) -> Dat
     """
     wanted = dims or fragments.dims
     parts = [
-        block.cells.groupBy("frag_id").agg(F.min("file_ord").alias("file_ord"), *_extent_aggs(block, covers))
+        block.cells.groupBy("frag_id").agg(F.min("file_ord").alias("file_ord"), _whole(block), *_extent_aggs(block, covers))
         for block, covers in _covering_blocks(fragments, wanted)
     ]
     merged = parts[0]
@@ -60,11 +67,11 @@ def wide_inventory(fragments: FragmentSet, dims: list[str] | None = None) -> Dat
         for part in parts[1:]:
             merged = merged.unionByName(part, allowMissingColumns=True)
         rest = [c for c in merged.columns if c != "frag_id"]
-        merged = merged.groupBy("frag_id").agg(*[(F.min(c) if c == "file_ord" else F.max(c)).alias(c) for c in rest])
+        merged = merged.groupBy("frag_id").agg(*[(F.min(c) if c in ("file_ord", "whole") else F.max(c)).alias(c) for c in rest])
     have = set(merged.columns)
     names = [(f"{mark}_{dim}", kind) for dim in wanted for mark, kind in MARKS.items()]
     return merged.selectExpr(
-        "frag_id", "file_ord", *[n if n in have else f"cast(null as {kind}) as {n}" for n, kind in names]
+        "frag_id", "file_ord", "whole", *[n if n in have else f"cast(null as {kind}) as {n}" for n, kind in names]
     )
 
 

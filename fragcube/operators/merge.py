@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..model import DIFFERS, FragmentError, FragmentSet, Manifest
 from ..plans.manifest import Inventory, place, require_full, scan_inventory, store_inventory, variable_rows
-from ..session import lookup_join
+from ..session import lookup_join, materialise
 from . import infer
 from . import inventory as inv
 
@@ -20,9 +20,16 @@ def _union(tables: list[DataFrame]) -> DataFrame:
 
 
 def merge_inventories(parts: list[DataFrame], dims: list[str], coords: set[str]) -> Inventory:
-    """One stored inventory in which each fragment appears once."""
-    merged = _union(parts)
+    """One stored inventory in which each fragment appears once.
+
+    Rows with one ``frag_id`` must describe the same extent: else they are
+    different fragments of one name, or parts of a fragment, and an error.
+    """
+    merged = materialise(_union(parts), "parts")
     rest = [c for c in merged.columns if c != "frag_id"]
+    extent = F.struct(*[f"{mark}_{d}" for d in dims for mark in inv.MARKS])
+    clash = merged.groupBy("frag_id").agg(F.min(extent).alias("one"), F.max(extent).alias("other"))
+    inv.require_none(clash.filter("not (one <=> other)").select("frag_id"), "fragments of one name differ in their extent")
     once = merged.groupBy("frag_id").agg(F.min_by(F.struct(*rest), F.col("file_ord")).alias("_r"))
     return store_inventory(once.select("frag_id", "_r.*"), dims, coords)
 

@@ -18,17 +18,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-#: Fragments a growing axis is cut into at most; beyond that they grow instead.
-MOST_FRAGMENTS = 10_000
-
-
 def step_of(whole: DataFrame, least: int) -> int:
-    """Rows per fragment: ``least``, more where that gives too many files, fewer where it gives one.
+    """Rows per fragment: ``least``, fewer where that gives one file.
 
     The count comes from the file footers.
     """
     n = whole.count()
-    return max(min(least, -(-n // 2)), -(-n // MOST_FRAGMENTS))
+    return max(1, min(least, -(-n // 2)))
 
 
 def file_order(frag_id: Column) -> Column:
@@ -226,12 +222,12 @@ ev as (select d.day_c, d.day_c - (select min(day_c) from ev_c) as day, b.bucket,
 ev_f as (select *, day // 7 as b_day, bucket // 4 as b_bucket,
                 'ev_' || (bucket // 4) || '_' || (day // 7) as frag_id from ev)""",
     "e1": """
-e1_n as (select greatest(least(1000, (count(*) + 1) // 2), (count(*) + 9999) // 10000) as step from events),
+e1_n as (select least(1000, (count(*) + 1) // 2) as step from events),
 e1 as (select event_id as event, value, user_id, ts, event_id // step as b, 'e1_' || (event_id // step) as frag_id
        from events, e1_n)""",
     "em": """
 em as (select vec_id as vec, unnest(range(0, len(embedding))) as comp, unnest(embedding)::double as v from embeddings),
-em_n as (select greatest(least(128, (count(*) + 1) // 2), (count(*) + 9999) // 10000) as step from embeddings),
+em_n as (select least(128, (count(*) + 1) // 2) as step from embeddings),
 em_f as (select *, vec // step as b_vec, comp // 24 as b_comp, vec % step as l_vec, comp % 24 as l_comp,
                 'em_' || (comp // 24) || '_' || (vec // step) as frag_id from em, em_n)""",
     "li": """

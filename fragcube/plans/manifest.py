@@ -45,7 +45,12 @@ class Placement:
 
 
 def store_inventory(wide: DataFrame, dims: list[str], coords: set[str]) -> Inventory:
-    """Write an inventory to the shared folder; later steps read no cell again."""
+    """Write an inventory to the shared folder; later steps read no cell again.
+
+    An inventory that was not counted from cells is taken to be of whole fragments.
+    """
+    if "whole" not in wide.columns:
+        wide = wide.withColumn("whole", F.lit(True))
     stored, measured = materialise_observed(wide, "inventory", *infer.class_measures(dims))
     n_frags = measured["n_frags"]
     return Inventory(compact(stored, n_frags), tuple(dims), frozenset(coords), n_frags, measured)
@@ -75,7 +80,13 @@ def place(inventory: Inventory) -> Placement:
 
 
 def require_full(inventory: Inventory, placed: Placement) -> None:
-    """Raise with the faults when fragments overlap, leave holes or differ in size."""
+    """Raise with the faults when fragments are not whole, overlap, leave holes or differ in size."""
+    if inventory.measured["broken"]:
+        inv.require_none(inventory.wide.filter("not whole").select("frag_id"), "fragments lack cells or hold some twice")
+    moving = [d.dim for d in placed.dims if d.f_size > 1]
+    if moving:
+        meeting = infer.axis_overlaps(placed.frags, moving, {d.dim for d in placed.dims if d.descending})
+        inv.require_none(meeting, "fragments overlap")
     if not placed.full:
         space = {d.dim: d.f_size for d in placed.dims}
         faults = infer.size_violations(inventory.long).unionByName(

@@ -21,8 +21,6 @@ from pyspark.sql.types import StructType
 
 #: Metadata rows (about 100 bytes each) that may be broadcast.
 BROADCAST_ROWS = 1_000_000
-#: Metadata rows of one dimension that a single window task may sort.
-WINDOW_ROWS = 1_000_000
 #: Metadata rows one task handles faster than a shuffle would.
 SINGLE_TASK_ROWS = 50_000
 #: Sub-keys given to each join key when the metadata side is too big to broadcast.
@@ -47,11 +45,15 @@ _OWN_ROOTS: dict[str, str] = {}
 def scratch_root(spark: SparkSession) -> str:
     """Shared folder of the cluster (``spark.checkpoint.dir``).
 
-    Only when the session names none, as in local tests, one new temporary
-    folder is made for the application.
+    Only where a local session names none, as in tests, one new temporary
+    folder is made for the application.  On a cluster every executor would
+    write to its own disk, so there the setting is required.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        master = spark.conf.get("spark.master", "")
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError(f"set spark.checkpoint.dir to a folder that all executors of {master!r} share")
         app = spark.sparkContext.applicationId
         if app not in _OWN_ROOTS:
             _OWN_ROOTS[app] = tempfile.mkdtemp(prefix="run-", dir="/tmp")

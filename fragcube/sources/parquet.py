@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Iterator
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ..model import Block, FragmentError, FragmentSet
 from ..operators.inventory import check_dim_set, check_info_match, check_var_set, info_rows, pad_versions, require_none
@@ -46,16 +49,23 @@ def open_fragments(
         if len(paths) < 2:
             raise FragmentError(f"unable to aggregate fewer than two fragments; {len(paths)} given")
         base = paths[0].rsplit("/frag_id=", 1)[0]
-        cells = spark.read.option("basePath", base).parquet(*paths)
+        cells = _read_folders(spark, base, list(paths))
     else:
         root = paths.split("/frag_id=", 1)[0]
-        cells = spark.read.option("basePath", root).parquet(paths)
+        cells = _read_folders(spark, root, [paths])
         if not has_two(cells):
             raise FragmentError(f"unable to aggregate fewer than two fragments from {paths!r}")
-    cells = cells.withColumn("frag_id", F.col("frag_id").cast("string"))
     return block_of(cells, variables)
 
 
+def _read_folders(spark: SparkSession, base: str, paths: list[str]) -> DataFrame:
+    """Cells with ``frag_id`` as the text of its folder; types guessed from names would make ``007`` a 7."""
+    reader = spark.read.option("basePath", base)
+    guessed = reader.parquet(*paths).schema
+    fields = [StructField(f.name, StringType() if f.name == "frag_id" else f.dataType, f.nullable, f.metadata) for f in guessed]
+    return spark.read.option("basePath", base).schema(StructType(fields)).parquet(*paths)
+
+
 def block_of(cells: DataFrame, variables: list[str] | None = None, reader=None) -> Block:
     """A block from cells whose columns follow the naming rule."""
     names = cells.columns
@@ -71,6 +81,22 @@ def plain_path(path: Column) -> Column:
     return F.regexp_replace(path, "^file:/+", "/")
 
 
+def _qualified(spark: SparkSession, path: str) -> str:
+    """A location spelled as Spark reports it, but not percent-encoded."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(where).toString()
+
+
+def _local(path: str) -> str:
+    """:func:`plain_path` of a name on the driver."""
+    return re.sub("^file:/+", "/", path)
+
+
+def _decoded(uri: Column) -> Column:
+    """A reported location without percent-encoding; a plus sign stays one."""
+    return F.url_decode(F.replace(uri, F.lit("+"), F.lit("%2B")))
+
+
 def open_files(
     spark: SparkSession, paths: str | list[str | tuple[str, ...]], variables: list[str] | None = None
 ) -> FragmentSet:
@@ -82,17 +108,22 @@ def open_files(
     ordered by path.
     """
     if isinstance(paths, str):
-        entries = [(f,) for f in sorted(spark.read.parquet(paths).inputFiles())]
+        entries = [(unquote(f),) for f in sorted(spark.read.parquet(paths).inputFiles())]
     else:
         entries = [(p,) if isinstance(p, str) else tuple(p) for p in paths]
     if len(entries) < 2:
         raise FragmentError(f"unable to aggregate fewer than two fragments; found {len(entries)}")
     listed = literal(spark, [(i, list(e)) for i, e in enumerate(entries)], "file_ord long, uris array<string>")
-    listed = pad_versions(listed).withColumn("frag_id", plain_path(F.col("uris")[0]))
+    known = literal(spark, [(i, _qualified(spark, e[0])) for i, e in enumerate(entries)], "file_ord long, found string")
+    listed = pad_versions(listed).join(known, "file_ord").withColumn("frag_id", plain_path(F.col("found"))).drop("found")
     orders = listed.select("frag_id", "file_ord")
 
     def read(names: list[str]) -> DataFrame:
-        found = spark.read.parquet(*names).withColumn("frag_id", plain_path(file_name()))
+        cells = spark.read.parquet(*names)
+        wanted, got = ({_local(f) for f in some} for some in ([_qualified(spark, n) for n in names], map(unquote, cells.inputFiles())))
+        if wanted != got:
+            raise FragmentError(f"files are not read as they are listed, such as {sorted(wanted ^ got)[:3]}")
+        found = cells.withColumn("frag_id", plain_path(_decoded(file_name())))
         dims = [c for c in found.columns if c.startswith("l_")]
         return lookup_join(found, orders, ["frag_id"], len(entries), dims or [F.lit(0)])
 
@@ -122,6 +153,7 @@ def _read_header(path: str) -> Iterator[tuple]:
     import pyarrow.parquet as pq
 
     uri = "file://" + path[len("file:"):] if path.startswith("file:/") and not path.startswith("file://") else path
+    uri = re.sub("^s3[an]://", "s3://", uri)  # names of the same store
     filesystem, inner = pafs.FileSystem.from_uri(uri)
     with filesystem.open_input_file(inner) as handle:
         header = pq.ParquetFile(handle)

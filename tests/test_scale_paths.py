@@ -109,11 +109,11 @@ def test_blocked_axis_equals_one_window(spark, text):
     rng = np.random.default_rng(3)
     starts = rng.choice(10_000, size=700, replace=False)
     rows = [
-        ("a", None if text else float(s), f"k{s:05d}" if text else None, False, int(rng.integers(1, 9))) for s in starts
-    ] + [("b", float(s), None, True, int(rng.integers(1, 9))) for s in starts[:300]]
+        ("a", None if text else float(s), f"s3://bucket/{s:05d}" if text else None, False, int(rng.integers(1, 9))) for s in starts
+    ] + [("b", float(s), None, True, int(rng.integers(1, 9))) for s in starts[:300]] + [("whole", None, None, False, 12)]
     pieces = spark.createDataFrame(rows, "dim string, start double, start_s string, descending boolean, size long")
     plain = sorted(map(tuple, arrange(pieces, 1000).collect()), key=repr)
-    blocked = sorted(map(tuple, arrange(pieces, 1000, window_rows=50).collect()), key=repr)
+    blocked = sorted(map(tuple, arrange(pieces, 1000, block_rows=50).collect()), key=repr)
     assert plain == blocked
 
 
