@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fragcube.llm.licenses import PHRASES, TEMPLATES, THRESHOLD
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
@@ -87,21 +89,67 @@ def lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score(table(spark, sf_dir, "documents"))
 
 
-@query("op2_ngram_jaccard")
+@query("op2_ngram_jaccard", """
+    with recursive w as (
+      select doc_id, [x for x in string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+             '[\\x20\\x09-\\x0D]+') if x <> ''] as ws from documents),
+    s as (select distinct doc_id, array_to_string(ws[i:i + 4], ' ') as s from w, unnest(range(1, greatest(len(ws) - 3, 2))) t(i) where len(ws) > 0),
+    n as (select doc_id, count(*) as n from s group by doc_id),
+    o as (select a.doc_id as a, b.doc_id as b, count(*) as k from s a join s b on a.s = b.s and a.doc_id <> b.doc_id group by 1, 2),
+    links as (select a, b from o join n x on x.doc_id = a join n y on y.doc_id = b where 100 * k >= 80 * (x.n + y.n - k)),
+    reach as (select doc_id as a, doc_id as b from documents union select r.a, l.b from reach r join links l on l.a = r.b)
+    select d.doc_id, coalesce(any_value(n.n), 0) as n_shingles, min(r.b) as component_id
+    from documents d left join n on n.doc_id = d.doc_id join reach r on r.a = d.doc_id group by d.doc_id
+""")
 def ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     from fragcube.llm.jaccard import join
 
     return join(table(spark, sf_dir, "documents"))
 
 
-@query("op5_substring_dedup")
+@query("op5_substring_dedup", """
+    with w as (
+      select doc_id, [x for x in string_split_regex(coalesce(text, ''), '[\\x20\\x09-\\x0D]+') if x <> ''] as ws from documents),
+    win as (select doc_id, i, array_to_string(ws[i:i + 49], ' ') as s from w, unnest(range(1, len(ws) - 48)) t(i)),
+    least_doc as (select s, min(doc_id) as lo from win group by s),
+    gone as (select distinct doc_id, unnest(range(i, i + 50)) as p from win join least_doc using (s) where lo < doc_id),
+    words as (select doc_id, unnest(ws) as x, unnest(range(1, len(ws) + 1)) as p from w),
+    kept as (select doc_id, count(*) as n, string_agg(x, ' ' order by p) as t from words anti join gone using (doc_id, p) group by doc_id)
+    select w.doc_id, len(ws)::bigint as n_words, (len(ws) - coalesce(kept.n, 0))::bigint as n_removed, sha256(coalesce(t, '')) as kept_sha256
+    from w left join kept using (doc_id)
+""")
 def substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from fragcube.llm.substring import cut
 
     return cut(table(spark, sf_dir, "documents"))
 
 
-@query("op4_license_scan")
+def _values(rows: list[tuple]) -> str:
+    return ", ".join("(" + ", ".join(f"'{x}'" if isinstance(x, str) else str(x) for x in r) + ")" for r in rows)
+
+
+LICENSE_SQL = f"""
+    with low as (
+      select doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as low from documents),
+    w as (select doc_id, [x for x in string_split_regex(low, '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') if x <> ''] as ws from low),
+    phrases(phrase, label, k) as (values {_values([(p, x, len(p.split())) for p, x in PHRASES.items()])}),
+    places as (select doc_id, i, label from w, phrases, unnest(range(1, len(ws) - k + 2)) t(i) where array_to_string(ws[i:i + k - 1], ' ') = phrase),
+    base as (select doc_id, count(*) as n, min(i) - 1 as first_word, max(i) - 1 as last_word, list(distinct label) as labels from places group by doc_id),
+    templates(id, label, words) as (values {", ".join(f"({i}, '{x}', {sorted(set(t.split()))!r})" for i, (x, t) in enumerate(TEMPLATES))}),
+    block as (select doc_id, unnest(string_split(regexp_replace(low, '[.!?]([ \\t\\n\\x0B\\f\\r])', chr(10) || '\\1', 'g'), chr(10))) as line from low),
+    sets as (select doc_id, string_split_regex(line, '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') as own from block),
+    hits as (select doc_id, label, len(list_intersect(words, own)) / len(words) as share from sets, templates
+             where len(list_intersect(words, own)) >= {THRESHOLD} * len(words)),
+    more as (select doc_id, list(distinct label) as labels, max(share) as best from hits group by doc_id)
+    select w.doc_id, len(ws)::bigint as n_words, coalesce(n, 0) as n_base, first_word::bigint as first_word, last_word::bigint as last_word,
+           array_to_string(list_sort(coalesce(base.labels, [])), ',') as base_labels,
+           array_to_string(list_sort(list_distinct(list_concat(coalesce(base.labels, []), coalesce(more.labels, [])))), ',') as labels,
+           (case when n > 0 then 1.0 else coalesce(best, 0.0) end)::double as score
+    from w left join base using (doc_id) left join more using (doc_id)
+"""
+
+
+@query("op4_license_scan", LICENSE_SQL)
 def license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     from fragcube.llm.licenses import scan
 
