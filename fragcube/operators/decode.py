@@ -51,8 +51,9 @@ def fragment_extents(axis: DataFrame, space: dict[str, int]) -> DataFrame:
 
 
 def broadcast_scalar(frags: DataFrame, values: DataFrame, column: str) -> DataFrame:
-    """Fill ``column`` from a one-row table wherever a fragment has none of its own."""
-    single = values.agg(F.max(column)).scalar()
+    """Fill ``column`` from a table of one value wherever a fragment has none of its own; several values are an error."""
+    several = F.raise_error(F.lit(f"more than one value of {column} to fill in"))
+    single = values.agg(F.when(F.min(column) != F.max(column), several).otherwise(F.max(column))).scalar()
     own = F.col(column) if column in frags.columns else F.lit(None).cast("string")
     return frags.withColumn(column, F.coalesce(own, single))
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import cf
 from ..functions.text import DEFAULT_SUBSTITUTIONS, substitute_all
-from ..model import Block, FragmentError, FragmentSet, Manifest
+from ..model import DIFFERS, Block, FragmentError, FragmentSet, Manifest
 from ..operators import array
 from ..operators.decode import drop_variables
 from ..session import literal
@@ -87,6 +87,9 @@ class Dataset:
     def decoded(self, name: str, mask_and_scale: bool = True, decode_times: bool = True, decode_timedelta: bool = True) -> DataFrame:
         """Cells of a variable with its packing undone and its times decoded."""
         attrs, value = self.attrs_of(name), F.col(name)
+        unclear = [k for k in ("units", "calendar", "scale_factor", "add_offset") if attrs.get(k) == DIFFERS]
+        if unclear:
+            raise FragmentError(f"{unclear} of {name!r} differ between fragments, so it cannot be decoded as a whole")
         row = self.variables.filter(F.col("var") == name).first()
         cells = self[name].to_df()
         if cells.schema[name].dataType.simpleString() in ("string", "timestamp_ntz", "timestamp", "date"):
