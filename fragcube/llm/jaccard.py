@@ -27,7 +27,7 @@ Tasks return links that connect what they found connected, not all pairs.  A
 text without words has an empty set and no links; with fewer words than a
 shingle the whole sequence is its one shingle.  Null ``doc_id`` rows are
 components of their own (null).  Rows repeating a ``doc_id`` are one node of the
-graph and give one row each.  Only ``doc_id`` and ``text`` are read.  Shingles
+graph with all their texts, and give one row each.  Only ``doc_id`` and ``text`` are read.  Shingles
 and sets are compared by 64- and 128-bit hashes.
 """
 
@@ -41,6 +41,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fragcube.llm.components import components
+from fragcube.llm.substring import BITS, bitmap
 from fragcube.llm.text import Rolling, WordHash, doc_text, map_arrow, mix, signed
 from fragcube.session import materialise
 
@@ -92,6 +93,10 @@ def point(shingles: np.ndarray) -> bytes | None:
     return counts.astype(np.uint8).tobytes() if folded(counts, GROUPS).max() < 256 else None
 
 
+def coarse(fine: bytes | None) -> bytes | None:
+    return None if fine is None else folded(np.frombuffer(fine, np.uint8), GROUPS).astype(np.uint8).tobytes()
+
+
 def folded(counts: np.ndarray, groups: int) -> np.ndarray:
     return counts.reshape(groups, -1).sum(axis=1, dtype=np.int64)
 
@@ -116,12 +121,13 @@ def sets_of(docs: DataFrame) -> DataFrame:
     def run(batches):
         shingler = Shingler()
         for b in batches:
-            rows = {k: [] for k in ("n_shingles", "id", "id2", "point", "often", "often_n")}
+            rows = {k: [] for k in ("n_shingles", "id", "id2", "fine", "point", "often", "often_n")}
             all_sets = []
             for text in b.column("text").to_pylist():
                 s = shingler.of(text)
                 id1, id2 = digests(s)
-                for k, v in zip(rows, (len(s), id1, id2, point(s), None, None)):
+                fine = point(s)
+                for k, v in zip(rows, (len(s), id1, id2, fine, coarse(fine), None, None)):
                     rows[k].append(v)
                 all_sets.append(s)
             if all_sets:
@@ -130,7 +136,7 @@ def sets_of(docs: DataFrame) -> DataFrame:
                 rows["often"][0], rows["often_n"][0] = signed(values[many]), counts[many]
             yield {"doc_id": b.column("doc_id"), **rows}
 
-    ddl = "doc_id long, n_shingles long, id long, id2 long, point binary, often array<long>, often_n array<long>"
+    ddl = "doc_id long, n_shingles long, id long, id2 long, fine binary, point binary, often array<long>, often_n array<long>"
     return map_arrow(doc_text(docs), run, ddl)
 
 
@@ -271,16 +277,15 @@ def groups(batches: Iterator[pa.RecordBatch], keys: tuple[str, ...]) -> Iterator
 BLOCK = ("b1", "b2", "tile")
 
 
-def hopeful(members: DataFrame) -> DataFrame:
-    """Members (``b1, b2, id, n, point, part``) with a possible partner of another ``part`` in their block."""
+def hopeful(members: DataFrame, points: DataFrame) -> DataFrame:
+    """Members (``b1, b2, id``) with a possible partner in their block; ``points``: ``id``, ``n``, ``point``, ``doc``."""
 
     def run(batches):
         out = {k: [] for k in ("b1", "b2", "id")}
         for g in groups(batches, BLOCK):
-            ids, part = g.column("id").to_numpy(), g.column("part").to_numpy()
+            ids = g.column("doc").to_numpy()
             keep = np.zeros(len(ids), bool)
             for i, after in possible(g.column("point").to_pylist(), g.column("n").to_numpy()):
-                after = after[part[after] != part[i]]
                 if len(after):
                     keep[i] = True
                     keep[after] = True
@@ -292,7 +297,8 @@ def hopeful(members: DataFrame) -> DataFrame:
                 out = {k: [] for k in out}
         yield out
 
-    rows = tiles(members).repartition(*BLOCK).sortWithinPartitions(*BLOCK)
+    # points join last, so that they are sent once
+    rows = tiles(members).join(points, "id").repartition(*BLOCK).sortWithinPartitions(*BLOCK)
     return map_arrow(rows, run, "b1 long, b2 long, id long").distinct()
 
 
@@ -360,19 +366,36 @@ def verified(members: DataFrame, texts: DataFrame) -> DataFrame:
     return map_arrow(rows, run, "a long, b long")
 
 
+def texts_of(docs: DataFrame, members: DataFrame) -> DataFrame:
+    """``doc`` and ``text`` of the members, and of a few others whose hash shares a bit of a bitmap of fixed size.
+
+    So the texts of all other documents are not shuffled.
+    """
+    bit = F.pmod(F.xxhash64("doc"), F.lit(2**BITS)) + 1
+    bits = docs.sparkSession.sparkContext.broadcast(bitmap(members.select(bit.alias("b"))))
+
+    def run(batches):
+        table = bits.value
+        for b in batches:
+            at = b.column("b").to_numpy() - 1
+            hit = (table[at >> 3] >> (at & 7)) & 1 == 1
+            some = b.filter(pa.array(hit))
+            yield {"doc": some.column("doc"), "text": some.column("text")}
+
+    rows = doc_text(docs).filter("doc_id is not null").withColumnRenamed("doc_id", "doc").withColumn("b", bit)
+    return map_arrow(rows, run, "doc long, text binary")
+
+
 def join(docs: DataFrame) -> DataFrame:
     """``doc_id``, ``n_shingles`` and ``component_id`` of every row."""
     sets = materialise(sets_of(docs), "sets")
     n_docs = sets.count()
-    classes = sets.filter("n_shingles > 0 and doc_id is not null").groupBy("id", "id2", "n_shingles").agg(F.min("doc_id").alias("doc"), F.first("point").alias("point"))
+    classes = sets.filter("n_shingles > 0 and doc_id is not null").groupBy("id", "id2", "n_shingles").agg(F.min("doc_id").alias("doc"), F.first("fine").alias("fine"), F.first("point").alias("point"))
     classes = materialise(classes.withColumnRenamed("n_shingles", "n"), "classes")
     found = blocks_of(docs, frequent_shingles(sets, n_docs))
     # a member is a class; where two classes share the first digest both are members
-    members = found.join(classes.select("id", "n", "point", "doc"), "id")
-    members = members.select("b1", "b2", F.col("doc").alias("id"), "n", "point", F.col("doc").alias("part"))
-    members = materialise(hopeful(members).withColumnRenamed("id", "doc"), "members")
-    wanted = members.select("doc").distinct()
-    texts = materialise(doc_text(docs).withColumnRenamed("doc_id", "doc").join(wanted, "doc", "left_semi").groupBy("doc").agg(F.max("text").alias("text")), "texts")
+    members = materialise(hopeful(found, classes.select("id", "n", "point", "doc")).withColumnRenamed("id", "doc"), "members")
+    texts = materialise(texts_of(docs, members), "texts")
 
     sizes = members.groupBy("b1", "b2").agg(F.count(F.lit(1)).alias("m"))
     largest = members.join(sizes, ["b1", "b2"]).groupBy("doc").agg(F.max(F.struct("m", "b1", "b2")).alias("x"))
@@ -383,7 +406,7 @@ def join(docs: DataFrame) -> DataFrame:
     labelled = members.join(labels.withColumnRenamed("node", "doc"), "doc", "left").withColumn("part", F.coalesce("component", "doc")).drop("component")
     open_blocks = labelled.groupBy("b1", "b2").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).filter("lo < hi").select("b1", "b2")
     part_sizes = labels.groupBy(F.col("component").alias("part")).agg((F.count(F.lit(1)) + 1).alias("part_size"))
-    rest = labelled.join(open_blocks, ["b1", "b2"], "left_semi").join(classes.select("doc", "n", "point"), "doc").join(part_sizes, "part", "left")
+    rest = labelled.join(open_blocks, ["b1", "b2"], "left_semi").join(classes.select("doc", "n", F.col("fine").alias("point")), "doc").join(part_sizes, "part", "left")
     rest = between(rest.select("b1", "b2", F.col("doc").alias("id"), "n", "point", "part", F.coalesce("part_size", F.lit(1)).alias("part_size")))
     rest = rest.withColumnRenamed("id", "doc").join(labels.withColumnRenamed("node", "doc"), "doc", "left")
     rest = rest.select("b1", F.lit(0).cast("long").alias("b2"), F.col("doc").alias("id"), "doc", F.coalesce("component", "doc").alias("part"))

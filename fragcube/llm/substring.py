@@ -127,10 +127,9 @@ def path_rows(docs: DataFrame, window: int, kmer: int) -> DataFrame:
     return map_arrow(known_documents(docs), run, "anchor long, path long, doc long, start int, n int")
 
 
-def bitmap(paths: DataFrame) -> np.ndarray:
-    """The bits of (``path``, ``lo``) rows: at most 2**BITS / ROW_BITS rows come to the driver."""
-    bit = bit_of(F.col("path"), F.col("lo"))
-    places = paths.select(bit.alias("b")).selectExpr("bitmap_bucket_number(b) as bucket", "bitmap_bit_position(b) as place")
+def bitmap(bits: DataFrame) -> np.ndarray:
+    """The bits ``b`` (from 1) as bytes: at most 2**BITS / ROW_BITS rows come to the driver."""
+    places = bits.selectExpr("bitmap_bucket_number(b) as bucket", "bitmap_bit_position(b) as place")
     rows = places.groupBy("bucket").agg(F.expr("bitmap_construct_agg(place)").alias("bits")).toArrow()
     out = np.zeros((2**BITS // ROW_BITS, ROW_BITS // 8), np.uint8)
     for bucket, bits in zip(rows.column("bucket").to_pylist(), rows.column("bits").to_pylist()):
@@ -181,7 +180,8 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, kmer: int = KMER) -> D
     )
     branches = paths.groupBy("anchor").agg(F.count(F.lit(1)).alias("n"), F.min("lo").alias("least"), F.max("lo").alias("most")).filter("n > 1 and least < most")
     # the smallest document of an anchor has nothing before it, but its windows are what the others repeat
-    opened = bitmap(paths.join(branches.select("anchor"), "anchor", "left_semi").select("path", "lo"))
+    meeting = paths.join(branches.select("anchor"), "anchor", "left_semi")
+    opened = bitmap(meeting.select(bit_of(F.col("path"), F.col("lo")).alias("b")))
     windows = window_rows(docs, opened, window, kmer)
     least = windows.groupBy("anchor", "window").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi")).filter("lo < hi").select("anchor", "window", "lo")
     single = (
