@@ -265,6 +265,19 @@ def _end_after(model, b):
         out += math.log10(p if model.bit[k] else 1 - p)
     return out
 
+def test_contexts_are_counted_apart(spark, docs, rows):
+    """Every two and three bytes and every word so far have counts of their own, wherever these are looked up."""
+    words = [bytes([97 + i // 676, 97 + i // 26 % 26, 97 + i % 26]).decode() for i in range(6000)]
+    many = spark.createDataFrame([(1, " ".join(words), None)], "doc_id long, text string, lang string")
+    assert mixing.trained(1)
+    text = " ".join(words).encode() + b"\0"
+    so_far = lambda k: text[:k].rsplit(b" ", 1)[-1]
+    seen = [{text[max(0, k - i) : k] for k in range(len(text))} for i in (1, 2, 3)] + [{so_far(k) for k in range(len(text))}]
+    got = Counter(r["context"] // mixing.SLOTS for r in mixing.context_counts(many).collect())
+    assert got == {i: len(s) for i, s in enumerate(seen)} and got[3] > 4096
+    far, near = ({(r["doc_id"], r["n_tokens"]): r["score"] for r in mixing.score(docs, context_share=x).collect()} for x in (1.0, 0.0))
+    assert far == pytest.approx(near, rel=1e-6)
+
 
 def licenses_by_hand(text):
     low = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
