@@ -9,6 +9,12 @@ words at all (length filter), and the places of a shared word in both orders
 must leave room for enough others (positional filter).  Pairs that pass are
 counted exactly.
 
+A notice that is wrapped has no such block, so with ``wrapped``, as in the query,
+runs of words are compared as well, whatever line or sentence ends are in them:
+``length of the template / THRESHOLD`` words, rounded up.  Every such run contains
+a first word, so only runs around these are looked at; those with enough template
+words within reach are counted exactly, from every start.
+
 Everything is DataFrame functions.  Only template words and templates, which are
 parameters, are broadcast; documents without any first word leave early.
 
@@ -116,9 +122,9 @@ def template_tables(docs: DataFrame, templates: tuple, threshold: float) -> tupl
     return words, table, sorted({names[p[0]] for p in prefixes})
 
 
-def matches(docs: DataFrame, templates: tuple = TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
+def matches(docs: DataFrame, templates: tuple = TEMPLATES, threshold: float = THRESHOLD, tables: tuple | None = None) -> DataFrame:
     """``doc_id``, ``key`` (of the text), ``block`` (number), ``template``, ``label`` and ``containment`` of every match."""
-    words, prefixes, first_words = template_tables(docs, templates, threshold)
+    words, prefixes, first_words = tables or template_tables(docs, templates, threshold)
     texts = docs.select("doc_id", "text", lowered(F.col("text")).alias("low"))
     some = texts.filter(F.exists(F.split(spaced(F.col("low")), " "), lambda w: w.isin(first_words)))
     blocks = some.select("doc_id", F.md5("text").alias("key"), F.posexplode(F.split("low", BLOCK_END)).alias("block", "line"))
@@ -133,12 +139,47 @@ def matches(docs: DataFrame, templates: tuple = TEMPLATES, threshold: float = TH
     return counted.select("doc_id", "key", "block", "template", "label", (F.col("shared") / F.col("size")).alias("containment")).distinct()
 
 
-def scan(docs: DataFrame, phrases: dict[str, str] = PHRASES, templates: tuple = TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
+def run_matches(docs: DataFrame, templates: tuple = TEMPLATES, threshold: float = THRESHOLD, tables: tuple | None = None) -> DataFrame:
+    """``doc_id``, ``key`` (of the text), ``template``, ``label`` and ``containment`` of the best run of words for each template that has one."""
+    words, prefixes, first_words = tables or template_tables(docs, templates, threshold)
+    widths = [math.ceil(len(text.split()) / threshold - 1e-9) for _, text in templates]
+    sets = literal(
+        docs.sparkSession, [(t, widths[t], sorted(set(text.split()))) for t, (_, text) in enumerate(templates)], "template int, width int, words array<string>"
+    )
+    anchors = prefixes.join(words, "rank").join(sets, "template").select("template", "label", "size", "need", "width", "words", "word")
+    wide = max(widths, default=1)
+    texts = docs.select("doc_id", F.md5("text").alias("key"), F.split(F.trim(spaced(lowered(F.col("text")))), " ").alias("own"))
+    some = texts.filter(F.exists("own", lambda w: w.isin(first_words)))
+
+    def around(w: Column, i: Column) -> Column:
+        """A first word with the words that can share a run with it; ``at`` is its place among them."""
+        before = F.least(i, F.lit(wide - 1))
+        near = F.slice("own", i - before + 1, before + wide)
+        return F.when(w.isin(first_words), F.struct(w.alias("word"), (before + 1).alias("at"), near.alias("near")))
+
+    each = some.select("doc_id", "key", F.explode(F.array_compact(F.transform("own", around))).alias("a")).select("doc_id", "key", "a.*")
+    pairs = each.join(F.broadcast(anchors), "word")
+    start = F.greatest(F.col("at") - F.col("width") + 1, F.lit(1))
+    reach = F.slice("near", start, F.col("at") - start + F.col("width"))
+    close = pairs.filter(F.size(F.array_intersect(reach, "words")) >= F.col("need"))
+    shared = F.array_max(F.transform(F.sequence(start, F.col("at")), lambda s: F.size(F.array_intersect(F.slice("near", s, F.col("width")), "words"))))
+    counted = close.withColumn("shared", shared).filter("shared >= need")
+    return counted.groupBy("doc_id", "key", "template", "label").agg(F.max(F.col("shared") / F.col("size")).alias("containment"))
+
+
+def scan(
+    docs: DataFrame, phrases: dict[str, str] = PHRASES, templates: tuple = TEMPLATES, threshold: float = THRESHOLD, wrapped: bool = False
+) -> DataFrame:
+    """One row per document; ``wrapped`` also finds notices over several lines, in :func:`run_matches`."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     t = F.col("t")
     base = docs.select("doc_id", F.coalesce(F.md5("text"), F.lit("")).alias("key"), spaced(lowered(F.col("text"))).alias("t"))
     base = base.select("doc_id", "key", *phrase_columns(t, phrases))
-    found = matches(docs, templates, threshold).groupBy("doc_id", "key").agg(F.collect_set("label").alias("more"), F.max("containment").alias("best"))
+    tables = template_tables(docs, templates, threshold)
+    hits = matches(docs, templates, threshold, tables).select("doc_id", "key", "label", "containment")
+    if wrapped:
+        hits = hits.unionByName(run_matches(docs, templates, threshold, tables).select("doc_id", "key", "label", "containment"))
+    found = hits.groupBy("doc_id", "key").agg(F.collect_set("label").alias("more"), F.max("containment").alias("best"))
     same = F.col("b.doc_id").eqNullSafe(F.col("f.doc_id")) & (F.col("b.key") == F.col("f.key"))
     joined = base.alias("b").join(found.alias("f"), same, "left")
     all_labels = F.array_union("base", F.coalesce("more", F.array().cast("array<string>")))

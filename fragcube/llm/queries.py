@@ -153,7 +153,7 @@ LICENSE_SQL = f"""
 def license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     from fragcube.llm.licenses import scan
 
-    return scan(table(spark, sf_dir, "documents"))
+    return scan(table(spark, sf_dir, "documents"), wrapped=True)
 
 
 @query("op1_url_filter")

@@ -317,6 +317,46 @@ def test_licenses(spark, rows, empty):
     assert licenses.scan(empty).count() == 0
 
 
+WRAPPED = {
+    "mit": "Permission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated documentation files (the \"Software\"), to deal\n",
+    "bsd": "Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the following conditions\nare met:\n",
+    "isc": "Permission to use, copy, modify, and/or distribute this software for any\npurpose with or without fee is hereby granted, provided that\n",
+    "gpl": " * This program is free software: you can redistribute it and/or modify\n * it under the terms of the GNU General Public License as published by\n * the Free Software Foundation, either version 3\n",
+    "mpl": "# This Source Code Form is subject to the terms of the Mozilla Public\n# License, v. 2.0. If a copy of the MPL was not distributed with this\n",
+}
+
+
+def runs_by_hand(text):
+    words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or ""))
+    best = {}
+    for k, (label, template) in enumerate(licenses.TEMPLATES):
+        t, width = set(template.split()), math.ceil(len(template.split()) / licenses.THRESHOLD - 1e-9)
+        share = max((len(t & set(words[i : i + width])) / len(t) for i in range(len(words))), default=0)
+        if share >= licenses.THRESHOLD - 1e-9:
+            best[k, label] = share
+    return best
+
+
+def test_wrapped_licenses(spark, rows):
+    rng = random.Random(3)
+    texts = [f"some words before\n{t}and after" for t in WRAPPED.values()] + list(WRAPPED.values())
+    for _ in range(40):  # cut, doubled and shuffled notices, with other words between
+        words = " ".join(rng.choices(list(WRAPPED.values()), k=2)).split()
+        for _ in range(rng.randrange(8)):
+            words[rng.randrange(len(words))] = rng.choice(["x", "the", "license", "\n"])
+        k = rng.randrange(12)
+        texts.append(rng.choice([" ", "\n"]).join(words[k:]))
+    mine = [(1000 + i, t, None) for i, t in enumerate(texts)] + [(None, WRAPPED["mit"], None)]
+    docs = spark.createDataFrame(mine + rows, "doc_id long, text string, lang string")
+    got = Counter((r["doc_id"], r["template"], r["label"], round(r["containment"], 9)) for r in licenses.run_matches(docs).collect())
+    assert got == Counter((i, k, label, round(x, 9)) for i, t, _ in {r[:2]: r for r in mine + rows}.values() for (k, label), x in runs_by_hand(t).items())
+    found = {r["doc_id"]: r for r in licenses.scan(docs, wrapped=True).collect()}
+    for i, label in enumerate([*WRAPPED, *WRAPPED]):
+        assert label in found[1000 + i]["labels"].split(",") and found[1000 + i]["score"] >= licenses.THRESHOLD
+    by_line = {r["doc_id"]: r for r in licenses.scan(docs).collect()}
+    assert all(set(by_line[i]["labels"].split(",")) <= {"", *r["labels"].split(",")} and r["score"] >= by_line[i]["score"] for i, r in found.items())
+
+
 def located_by_hand(url):
     if url is None or "://" not in url:
         return "", ""
