@@ -265,6 +265,39 @@ def _end_after(model, b):
         out += math.log10(p if model.bit[k] else 1 - p)
     return out
 
+def test_short_texts_are_refined_from_learnt_start():
+    """Symbol by symbol by the definition, for texts of less than 128 bytes, from weights that training texts moved."""
+    rng = random.Random(5)
+    made = ["".join(rng.choice("abc de") for _ in range(n)).encode() for n in [0, 1, 60, 127, 90, 127]]
+    texts = [np.frombuffer(t, np.uint8) for t in made]
+    base = (np.arange(mixing.ORDERS) * mixing.SLOTS)[:, None]
+    at = [((mixing.contexts(x) + base) * mixing.SYMBOLS + np.append(x, np.uint16(mixing.END))).ravel() for x in texts]
+    at, n = np.unique(np.concatenate(at), return_counts=True)
+    tree = mixing.Model(at, n).tree
+    start, odds = mixing.Start(), mixing.Odds(tree, at, n, counts=True)
+    start = start.newton(mixing.lessons(tree, odds, start, texts))
+    start = start.mapped(mixing.lessons(tree, odds, start, texts))
+    assert abs(start.weights - 0.35).max() > 0.01
+    model = mixing.Model(at, n, tree, start)
+    for x, got in zip(texts, model.score(texts)):
+        weights, cells, want = start.weights.copy(), start.cells.copy(), 0.0
+        keys, kinds = mixing.contexts(x) + base, np.append(0, mixing.KINDS[x])
+        for pos, s in enumerate(np.append(x, np.uint16(mixing.END)).tolist()):
+            taught = []
+            for k in range(model.first[s], model.first[s] + model.length[s]):
+                st = np.array([model.odds[keys[o, pos] * model.n_inner + model.node[k]] for o in range(mixing.ORDERS)], float)
+                gate = kinds[pos] * mixing.DEPTHS + model.depth[k]
+                z = float(np.clip(weights[gate] @ st, -11.5, 11.5))
+                p, cell = 1 / (1 + math.exp(-z)), int((min(max(z, -6), 6) + 6) * (mixing.CELLS - 1) / 12 + 0.5)
+                final, bit = min(max(0.75 * p + 0.25 * cells[cell], 1e-6), 1 - 1e-6), float(model.bit[k])
+                want += math.log10(final if bit else 1 - final)
+                taught.append((gate, (bit - p) * mixing.RATE * st, cell, (bit - cells[cell]) * mixing.MAP_RATE))
+            for gate, step, cell, drift in taught:
+                weights[gate] += step
+                cells[cell] += drift
+        assert got == pytest.approx(want, rel=2e-3)
+
+
 def test_contexts_are_counted_apart(spark, docs, rows):
     """Every two and three bytes and every word so far have counts of their own, wherever these are looked up."""
     words = [bytes([97 + i // 676, 97 + i // 26 % 26, 97 + i % 26]).decode() for i in range(6000)]
