@@ -161,3 +161,77 @@ def url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     from fragcube.llm.urls import filter_urls
 
     return filter_urls(table(spark, sf_dir, "pages"))
+
+
+@query("op11_periodic_runs")
+def periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of the documents, of which one in ten first repeats a stretch of its words up to its end."""
+    from fragcube.llm.periods import repeated_runs
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", F.crc32(F.col("doc_id").cast("string").cast("binary")).alias("h"))
+    docs = docs.withColumn("words", F.when(F.col("h") % 10 == 0, F.expr("filter(split(text, '[\\\\x20\\\\x09-\\\\x0D]+'), w -> w <> '')")))
+    docs = docs.withColumn("n", F.size("words")).withColumn("a", F.expr("if(n > 0, (h div 10) % n, 0)"))
+    again = F.expr("array_join(transform(sequence(0, n - 1), i -> words[int(if(i < a, i, a + (i - a) % (1 + (n - a) div (3 + (h div 10) % 8))))]), ' ')")
+    found = repeated_runs(docs.select("doc_id", F.when(F.col("n") > 0, again).otherwise(F.col("text")).alias("text")))
+    longest = F.expr("array_max(transform(runs, r -> struct(r.length, -r.start as s, -r.period as p)))")
+    lines = F.expr("array_join(transform(runs, r -> concat_ws(',', r.start, r.length, r.period) || chr(10)), '')")
+    found = found.select("doc_id", "runs", "collapsed", longest.alias("x"))
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), F.expr("-x.s").alias("start"), F.expr("x.length").alias("length"), F.expr("-x.p").alias("period"),
+        F.expr("1000 * x.length div -x.p").alias("exponent_milli"), F.sha2(lines, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+#: CRC-32 of a number in decimal, bit by bit.
+CRC32_SQL = """xor(list_reduce(list_prepend(4294967295::bigint, [ascii(x)::bigint for x in string_split({}::varchar, '')]), lambda a, b:
+      list_reduce([xor(a, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda c, z: if(c % 2 = 1, xor(c // 2, 3988292384), c // 2))), 4294967295)"""
+
+
+@query("op12_conversation_trie", f"""
+    with t as (select conv_id, coalesce(role, '') as r, coalesce(text, '') as x from conversations where conv_id is not null),
+    k as (select conv_id, coalesce(role, '') as r, coalesce(text, '') as x,
+                 row_number() over (partition by conv_id order by turn nulls first, coalesce(role, ''), sha256(coalesce(text, ''))) as k
+          from conversations where conv_id is not null),
+    ids as (select conv_id, conv_id - conv_id % 100 as base, {CRC32_SQL.format("conv_id")} % 6 as h from (select distinct conv_id from t)),
+    turns as (
+      select i.conv_id, 0 as part, k.k, k.r, k.x from ids i join k on k.conv_id = i.base and k.k <= i.h
+      union all select i.conv_id, 1, k.k, k.r, k.x from ids i join k on k.conv_id = i.conv_id and k.k > i.h),
+    seqs as (select i.conv_id, coalesce(list({{'r': r, 'x': x}} order by part, k) filter (where r is not null), []) as s
+             from ids i left join turns using (conv_id) group by i.conv_id),
+    steps as (select conv_id, unnest(range(0, len(s) + 1)) as d, s from seqs),
+    nodes as (select s[1:d] as path, d, min(conv_id) as conv_id, count(*) as n, any_value(coalesce(length(s[d].x), 0)) as chars,
+                     coalesce(string_agg(conv_id::varchar, ',' order by conv_id) filter (where len(s) = d), '') as ends
+              from steps group by all),
+    children as (select path[1:d - 1] as path, count(*) as c from nodes where d > 0 group by 1),
+    own as (select n.*, coalesce(c, 0) as c, case when d = 0 then 0 else (n - 1) * chars end as saved from nodes n left join children using (path)),
+    below as (select path[1:u] as path, count(*) filter (where c = 0) as leaves, sum(saved) as saved
+              from (select path, c, saved, unnest(range(0, d + 1)) as u from own) group by 1)
+    select o.conv_id, o.d as depth, p.conv_id as parent_conv_id, o.n as n_convs, o.c as n_children, b.leaves as n_leaves,
+           b.saved::bigint as saved_tokens, sha256(o.ends) as ends_sha256
+    from own o join below b using (path) left join nodes p on p.path = o.path[1:o.d - 1] and o.d > 0
+""")
+def conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nodes of the conversations, which first borrow up to five turns from the first conversation of their hundred."""
+    from fragcube.llm.tries import sequences, trie, with_heads
+
+    conversations = table(spark, sf_dir, "conversations")
+    lent = sequences(conversations.filter("conv_id % 100 = 0"))
+    return trie(with_heads(sequences(conversations), lent, "conv_id - conv_id % 100", "crc32(cast(cast(conv_id as string) as binary)) % 6"))
+
+
+@query("op13_embedding_near_dedup", """
+    with recursive v as (
+      select vec_id, list_transform(embedding, lambda x: x::double) as e from embeddings),
+    ok as (select vec_id, e from v where e is not null and len(list_filter(e, lambda x: x is null or not isfinite(x))) = 0
+           and len(list_filter(e, lambda x: x <> 0)) > 0),
+    links as (select a.vec_id as a, b.vec_id as b from ok a join ok b on a.vec_id <> b.vec_id where list_cosine_similarity(a.e, b.e) >= 0.9),
+    n as (select a, count(*) as n from links group by a),
+    reach as (select vec_id as a, vec_id as b from embeddings union select r.a, l.b from reach r join links l on l.a = r.b),
+    least as (select a, min(b) as component_id from reach group by a)
+    select vec_id, coalesce(n.n, 0) as n_links, component_id, vec_id = component_id as kept
+    from embeddings left join n on n.a = vec_id join least on least.a = vec_id
+""")
+def embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from fragcube.llm.vectors import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "embeddings"))
