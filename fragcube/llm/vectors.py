@@ -51,11 +51,11 @@ THRESHOLD = 0.9
 #: Dimensions of a block.
 BLOCK = 16
 #: Rows of a cell that one task compares with each other.
-TILE = 8192
+TILE = 32_768
 #: Vectors that the rotation is fitted to, those with the smallest digests; any rotation gives the same result.
 SAMPLE = 4096
-#: Rows compared with a whole tile at a time.
-CHUNK = 256
+#: Rows and columns compared at a time, so that the distances stay in the cache.
+CHUNK, COLUMNS = 256, 2048
 #: Slack for the rounding of distances in doubles.
 SLACK = 1e-6
 #: Neighbour cells that come after a cell.
@@ -169,59 +169,102 @@ class Forest:
         return others[first[apart]].tolist()
 
 
-def compare(space: Subspaces, block: int, cross: bool, ids, weights, errors, home, tile, codes) -> tuple[np.ndarray, list, list]:
-    """Weights of links per row, connecting links, and pairs left to compare, of one pair of tiles."""
-    order = np.lexsort((ids, tile, ~home))
-    ids, weights, errors, home, tile, codes = (x[order] for x in (ids, weights, errors, home, tile, codes))
-    n, m = len(ids), int(home.sum())
-    values = codes.astype(np.float32)
-    pieces = values.reshape(n, space.parts, space.width)
-    squares = (pieces * pieces).sum(axis=2)
-    found, links, open_pairs = np.zeros(n, np.int64), [], []
-    forest = Forest(n)
-
-    def distances(rows: slice, k: int) -> np.ndarray:
-        return squares[rows, k][:, None] + squares[None, :, k] - 2 * (pieces[rows, k] @ pieces[:, k].T)
-
-    for lo in range(0, m, CHUNK):
-        rows = slice(lo, min(m, lo + CHUNK))
-        hit = distances(rows, block) <= space.budgets[block]
-        hit &= np.arange(n)[None, :] > np.arange(rows.start, rows.stop)[:, None]  # own rows first, so each pair once
-        if cross:
-            hit &= tile[rows][:, None] != tile[None, :]
-        if not hit.any():
-            continue
-        if hit.mean() > 0.02:
-            whole = distances(rows, block).astype(np.float64)
+class Rows:
+    """Some rows of a cell, with all that comparing needs."""
+
+    def __init__(self, space: Subspaces, ids, weights, errors, codes) -> None:
+        self.ids, self.weights, self.errors = ids, weights, errors
+        self.values = codes.astype(np.float32).reshape(len(ids), space.parts, space.width)
+        self.squares = (self.values * self.values).sum(axis=2)
+
+    def left(self, block: int) -> np.ndarray:
+        """Together with :meth:`right`, a product that is the squared distance in a block."""
+        ones = np.ones((len(self.ids), 1), np.float32)
+        return np.concatenate([-2 * self.values[:, block], self.squares[:, block, None], ones], axis=1)
+
+    def right(self, block: int) -> np.ndarray:
+        ones = np.ones((len(self.ids), 1), np.float32)
+        return np.concatenate([self.values[:, block], ones, self.squares[:, block, None]], axis=1)
+
+
+class Comparison:
+    """What comparing rows of a cell finds."""
+
+    def __init__(self, space: Subspaces, block: int, rows: Rows) -> None:
+        self.space, self.block, self.rows = space, block, rows
+        self.found = np.zeros(len(rows.ids), np.int64)
+        self.links: list[tuple[int, int]] = []
+        self.open: list[tuple[int, int]] = []
+        self.forest = Forest(len(rows.ids))
+        self.lefts, self.rights = {}, {}
+
+    def distances(self, block: int, some: slice, others: slice) -> np.ndarray:
+        if block not in self.lefts:
+            self.lefts[block], self.rights[block] = self.rows.left(block), self.rows.right(block)
+        return self.lefts[block][some] @ self.rights[block][others].T
+
+    def all_pairs(self, some: slice, others: slice | None) -> None:
+        """Compares ``some`` rows with ``others``, or with each other."""
+        for lo in range(some.start, some.stop, CHUNK):
+            part = slice(lo, min(some.stop, lo + CHUNK))
+            start, stop = (others.start, others.stop) if others else (lo, some.stop)
+            for at in range(start, stop, COLUMNS):
+                self._part(part, slice(at, min(stop, at + COLUMNS)), others is None and at == lo)
+
+    def _part(self, part: slice, others: slice, own: bool) -> None:
+        space, block, rows = self.space, self.block, self.rows
+        hit = self.distances(block, part, others) <= space.budgets[block]
+        if own:  # each pair once: the later row is the column
+            width = part.stop - part.start
+            hit[:, :width] &= np.tri(width, k=-1, dtype=bool).T
+        n = np.count_nonzero(hit)
+        if not n:
+            return
+        if n > 0.02 * hit.size:
+            whole = np.zeros(hit.shape)
             for k in range(space.parts):
-                if k != block:
-                    d = distances(rows, k)
-                    whole += d
-                    if k < block:
-                        hit &= d > space.budgets[k]
+                d = self.distances(k, part, others)
+                whole += d
+                if k < block:
+                    hit &= d > space.budgets[k]
             i, j = np.nonzero(hit & (whole <= space.most))
-            total = whole[i, j].astype(np.float64)
-            i += lo
+            total = whole[i, j]
+            i, j = i + part.start, j + others.start
         else:
-            i, j = np.nonzero(hit)
-            i += lo
-            apart = ((pieces[i] - pieces[j]) ** 2).sum(axis=2, dtype=np.float64)
+            i, j = np.divmod(np.flatnonzero(hit), hit.shape[1])
+            i, j = i + part.start, j + others.start
+            apart = ((rows.values[i] - rows.values[j]) ** 2).sum(axis=2, dtype=np.float64)
             total = apart.sum(axis=1)
             keep = (total <= space.most) & (apart[:, :block] > space.budgets[:block]).all(axis=1)
             i, j, total = i[keep], j[keep], total[keep]
-        distance, unsure = np.sqrt(total) / space.scale, errors[i] + errors[j]
+        distance, unsure = np.sqrt(total) / space.scale, rows.errors[i] + rows.errors[j]
         sure = distance + unsure < space.limit - SLACK
         check = ~sure & (distance - unsure <= space.limit + SLACK)
-        open_pairs += zip(ids[i[check]].tolist(), ids[j[check]].tolist())
+        self.open += zip(rows.ids[i[check]].tolist(), rows.ids[j[check]].tolist())
         i, j = i[sure], j[sure]
-        np.add.at(found, i, weights[j])
-        np.add.at(found, j, weights[i])
+        np.add.at(self.found, i, rows.weights[j])
+        np.add.at(self.found, j, rows.weights[i])
         starts = np.flatnonzero(np.append(True, i[1:] != i[:-1])) if len(i) else []
         for a, b in zip(starts, [*starts[1:], len(i)]):
-            links += [(int(ids[i[a]]), int(ids[k])) for k in forest.joined(int(i[a]), j[a:b])]
-    back = np.empty(n, np.int64)
-    back[order] = found
-    return back, links, open_pairs
+            self.links += [(int(rows.ids[i[a]]), int(rows.ids[k])) for k in self.forest.joined(int(i[a]), j[a:b])]
+
+
+def compare(space: Subspaces, block: int, cross: bool, ids, weights, errors, home, tile, codes) -> tuple[np.ndarray, list, list]:
+    """Weights of links per row, connecting links, and pairs left to compare, of one tile or a pair of tiles."""
+    order = np.lexsort((ids, ~home, tile if cross else np.zeros(len(ids))))
+    found = Comparison(space, block, Rows(space, ids[order], weights[order], errors[order], codes[order]))
+    first = int((tile == tile.min()).sum()) if cross else len(ids)
+    homes = int(home[order][:first].sum())
+    if cross:  # own rows of either tile with all of the other, but not two visitors
+        end = first + int(home[order][first:].sum())
+        found.all_pairs(slice(0, homes), slice(first, len(ids)))
+        found.all_pairs(slice(homes, first), slice(first, end))
+    else:
+        found.all_pairs(slice(0, homes), None)
+        found.all_pairs(slice(0, homes), slice(homes, first))
+    back = np.empty(len(ids), np.int64)
+    back[order] = found.found
+    return back, found.links, found.open
 
 
 CELL = ("block", "cell", "pair")
