@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fragcube.llm.components import components
-from fragcube.llm.substring import BITS, bitmap
+from fragcube.llm.substring import bitmap, bits_for
 from fragcube.llm.text import Rolling, WordHash, doc_text, map_arrow, mix, signed
 from fragcube.session import materialise
 
@@ -191,7 +191,9 @@ def blocks_of(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
         yield {"b1": signed(np.repeat(b1[several], sizes)), "b2": signed(np.repeat(b2[several], sizes)), "id": ids[at]}
 
     rows = map_arrow(doc_text(docs), emit, "key long, id long").repartition("key")
-    return map_arrow(rows, meet, "b1 long, b2 long, id long").distinct()
+    stored = materialise(map_arrow(rows, meet, "b1 long, b2 long, id long").distinct(), "blocks")
+    late.destroy()
+    return stored
 
 
 def tiles(members: DataFrame) -> DataFrame:
@@ -367,12 +369,13 @@ def verified(members: DataFrame, texts: DataFrame) -> DataFrame:
 
 
 def texts_of(docs: DataFrame, members: DataFrame) -> DataFrame:
-    """``doc`` and ``text`` of the members, and of a few others whose hash shares a bit of a bitmap of fixed size.
+    """``doc`` and ``text`` of the members, and of a few others whose hash shares a bit of a bitmap, stored.
 
-    So the texts of all other documents are not shuffled.
+    So the texts of all other documents are not shuffled.  The bitmap is sized by the number of members.
     """
-    bit = F.pmod(F.xxhash64("doc"), F.lit(2**BITS)) + 1
-    bits = docs.sparkSession.sparkContext.broadcast(bitmap(members.select(bit.alias("b"))))
+    size = bits_for(members.count())
+    bit = F.pmod(F.xxhash64("doc"), F.lit(2**size)) + 1
+    bits = docs.sparkSession.sparkContext.broadcast(bitmap(members.select(bit.alias("b")), size))
 
     def run(batches):
         table = bits.value
@@ -383,7 +386,9 @@ def texts_of(docs: DataFrame, members: DataFrame) -> DataFrame:
             yield {"doc": some.column("doc"), "text": some.column("text")}
 
     rows = doc_text(docs).filter("doc_id is not null").withColumnRenamed("doc_id", "doc").withColumn("b", bit)
-    return map_arrow(rows, run, "doc long, text binary")
+    stored = materialise(map_arrow(rows, run, "doc long, text binary"), "texts")
+    bits.destroy()
+    return stored
 
 
 def join(docs: DataFrame) -> DataFrame:
@@ -395,11 +400,11 @@ def join(docs: DataFrame) -> DataFrame:
     found = blocks_of(docs, frequent_shingles(sets, n_docs))
     # a member is a class; where two classes share the first digest both are members
     members = materialise(hopeful(found, classes.select("id", "n", "point", "doc")).withColumnRenamed("id", "doc"), "members")
-    texts = materialise(texts_of(docs, members), "texts")
+    texts = texts_of(docs, members)
 
     sizes = members.groupBy("b1", "b2").agg(F.count(F.lit(1)).alias("m"))
     largest = members.join(sizes, ["b1", "b2"]).groupBy("doc").agg(F.max(F.struct("m", "b1", "b2")).alias("x"))
-    once = largest.select("x.b1", "x.b2", F.col("doc").alias("id"), "doc", F.col("doc").alias("part"))
+    once = materialise(largest.select("x.b1", "x.b2", F.col("doc").alias("id"), "doc", F.col("doc").alias("part")), "once")
     links = materialise(verified(once, texts), "links")
     labels = components(links)
 
@@ -407,9 +412,10 @@ def join(docs: DataFrame) -> DataFrame:
     open_blocks = labelled.groupBy("b1", "b2").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).filter("lo < hi").select("b1", "b2")
     part_sizes = labels.groupBy(F.col("component").alias("part")).agg((F.count(F.lit(1)) + 1).alias("part_size"))
     rest = labelled.join(open_blocks, ["b1", "b2"], "left_semi").join(classes.select("doc", "n", F.col("fine").alias("point")), "doc").join(part_sizes, "part", "left")
-    rest = between(rest.select("b1", "b2", F.col("doc").alias("id"), "n", "point", "part", F.coalesce("part_size", F.lit(1)).alias("part_size")))
+    # stored, as the sizes of blocks and the rows themselves are read from them
+    rest = between(materialise(rest.select("b1", "b2", F.col("doc").alias("id"), "n", "point", "part", F.coalesce("part_size", F.lit(1)).alias("part_size")), "open"))
     rest = rest.withColumnRenamed("id", "doc").join(labels.withColumnRenamed("node", "doc"), "doc", "left")
-    rest = rest.select("b1", F.lit(0).cast("long").alias("b2"), F.col("doc").alias("id"), "doc", F.coalesce("component", "doc").alias("part"))
+    rest = materialise(rest.select("b1", F.lit(0).cast("long").alias("b2"), F.col("doc").alias("id"), "doc", F.coalesce("component", "doc").alias("part")), "rest")
     more = materialise(verified(rest, texts), "links")
     final = components(links.unionByName(more))
 

@@ -12,8 +12,9 @@ window) describes the corpus: about one row for twenty words.
 2. Where documents meet at an anchor with different paths the graph branches.
    Only there, and only for the first document of each path, paths are opened
    into their windows, and windows are joined with the smallest ``doc_id`` that
-   has them.  Which paths to open is told to the second scan by a bitmap of
-   fixed size; where unrelated paths share a bit they are opened for nothing.
+   has them.  Which paths to open is told to the second scan by a bitmap, sized
+   by their number up to ``MOST_BITS``; where unrelated paths share a bit they are
+   opened for nothing.
 3. Spans return to their documents by coordinates.  A span is removed only if
    the words there have the hash that was compared.
 
@@ -37,8 +38,9 @@ from fragcube.session import materialise
 
 WINDOW = 50
 KMER = 10
-#: Bits of the map of paths to open (a fixed 16 MB).
-BITS = 27
+#: Exponents of the least and greatest number of bits of the map of paths to open (4 KB, 128 MB), and its bits for each path.
+LEAST_BITS, MOST_BITS = 15, 30
+SPARSE = 32
 #: Bits in one row of Spark's bitmaps.
 ROW_BITS = 32768
 
@@ -92,9 +94,14 @@ class Graph:
         return kmers[place[first]], self.rolling.runs(p, first, first + count + self.window - 1), first, count, p
 
 
-def bit_of(path: Column, doc: Column) -> Column:
+def bits_for(n: int) -> int:
+    """Exponent of the bits of a map of ``n`` entries."""
+    return min(MOST_BITS, max(LEAST_BITS, (SPARSE * n).bit_length()))
+
+
+def bit_of(path: Column, doc: Column, bits: int) -> Column:
     """Bit (from 1) of a path in a document; :func:`bits_of` is the same on arrays."""
-    return path.bitwiseXOR(doc).bitwiseXOR(F.shiftleft(doc, 9)).bitwiseAND(F.lit(2**BITS - 1)) + 1
+    return path.bitwiseXOR(doc).bitwiseXOR(F.shiftleft(doc, 9)).bitwiseAND(F.lit(2**bits - 1)) + 1
 
 
 def bits_of(path: np.ndarray, doc: int, size: int) -> np.ndarray:
@@ -127,19 +134,19 @@ def path_rows(docs: DataFrame, window: int, kmer: int) -> DataFrame:
     return map_arrow(known_documents(docs), run, "anchor long, path long, doc long, start int, n int")
 
 
-def bitmap(bits: DataFrame) -> np.ndarray:
-    """The bits ``b`` (from 1) as bytes: at most 2**BITS / ROW_BITS rows come to the driver."""
-    places = bits.selectExpr("bitmap_bucket_number(b) as bucket", "bitmap_bit_position(b) as place")
+def bitmap(numbers: DataFrame, bits: int) -> np.ndarray:
+    """The bits ``b`` (from 1, at most 2**bits) as bytes: at most 2**bits / ROW_BITS rows come to the driver."""
+    places = numbers.selectExpr("bitmap_bucket_number(b) as bucket", "bitmap_bit_position(b) as place")
     rows = places.groupBy("bucket").agg(F.expr("bitmap_construct_agg(place)").alias("bits")).toArrow()
-    out = np.zeros((2**BITS // ROW_BITS, ROW_BITS // 8), np.uint8)
-    for bucket, bits in zip(rows.column("bucket").to_pylist(), rows.column("bits").to_pylist()):
-        out[bucket - 1] = np.frombuffer(bits, np.uint8)
+    out = np.zeros((2**bits // ROW_BITS, ROW_BITS // 8), np.uint8)
+    for bucket, row in zip(rows.column("bucket").to_pylist(), rows.column("bits").to_pylist()):
+        out[bucket - 1] = np.frombuffer(row, np.uint8)
     return out.ravel()
 
 
 def window_rows(docs: DataFrame, opened: np.ndarray, window: int, kmer: int) -> DataFrame:
-    """The windows of the paths whose bit is set."""
-    bits = docs.sparkSession.sparkContext.broadcast(opened)  # 2**BITS bits
+    """The windows of the paths whose bit is set, stored."""
+    bits = docs.sparkSession.sparkContext.broadcast(opened)  # at most 2**MOST_BITS bits
 
     def run(batches):
         graph, table = Graph(window, kmer), bits.value
@@ -162,7 +169,9 @@ def window_rows(docs: DataFrame, opened: np.ndarray, window: int, kmer: int) ->
             if held:
                 yield _columns(held)
 
-    return map_arrow(known_documents(docs), run, "anchor long, window long, doc long, start int")
+    stored = materialise(map_arrow(known_documents(docs), run, "anchor long, window long, doc long, start int"), "windows")
+    bits.destroy()
+    return stored
 
 
 def _columns(held: list[tuple]) -> dict:
@@ -172,7 +181,7 @@ def _columns(held: list[tuple]) -> dict:
 
 def repeated_spans(docs: DataFrame, window: int = WINDOW, kmer: int = KMER) -> DataFrame:
     """``doc``, ``start``, ``length`` and ``hash`` of spans whose windows all start in a smaller ``doc``."""
-    rows = path_rows(docs, window, kmer)
+    rows = materialise(path_rows(docs, window, kmer), "rows")
     paths = materialise(rows.groupBy("anchor", "path").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi")), "paths")
     whole = (
         rows.join(paths.filter("lo < hi").select("anchor", "path", "lo"), ["anchor", "path"]).filter("doc > lo")
@@ -180,8 +189,9 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, kmer: int = KMER) -> D
     )
     branches = paths.groupBy("anchor").agg(F.count(F.lit(1)).alias("n"), F.min("lo").alias("least"), F.max("lo").alias("most")).filter("n > 1 and least < most")
     # the smallest document of an anchor has nothing before it, but its windows are what the others repeat
-    meeting = paths.join(branches.select("anchor"), "anchor", "left_semi")
-    opened = bitmap(meeting.select(bit_of(F.col("path"), F.col("lo")).alias("b")))
+    meeting = materialise(paths.join(branches.select("anchor"), "anchor", "left_semi").select("path", "lo"), "meeting")
+    bits = bits_for(meeting.count())
+    opened = bitmap(meeting.select(bit_of(F.col("path"), F.col("lo"), bits).alias("b")), bits)
     windows = window_rows(docs, opened, window, kmer)
     least = windows.groupBy("anchor", "window").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi")).filter("lo < hi").select("anchor", "window", "lo")
     single = (
@@ -204,21 +214,25 @@ def covered(graph: Graph, words: list[bytes], spans: list[dict]) -> np.ndarray:
     return np.cumsum(change[:-1]) > 0
 
 
-def with_spans(docs: DataFrame, window: int, kmer: int) -> DataFrame:
-    """``docs`` with a column of its repeated spans (null where none)."""
-    spans = repeated_spans(docs, window, kmer).withColumnRenamed("doc", "_span_doc").groupBy("_span_doc").agg(F.collect_list(F.struct("start", "length", "hash")).alias("_spans"))
-    return docs.join(spans, docs["doc_id"].cast("long") == spans["_span_doc"], "left").drop("_span_doc")
+def with_spans(docs: DataFrame, window: int, kmer: int) -> tuple[DataFrame, str]:
+    """``docs`` with a further column of its repeated spans (null where none), and that column's name."""
+    name = "_spans"
+    while name.lower() in {c.lower() for c in docs.columns}:
+        name += "_"
+    spans = repeated_spans(docs, window, kmer).groupBy("doc").agg(F.collect_list(F.struct("start", "length", "hash")).alias("spans"))
+    found = spans.select(F.col("doc").alias(f"{name}doc"), F.col("spans").alias(name))
+    return docs.join(found, docs["doc_id"].cast("long") == found[f"{name}doc"], "left").select(*(docs[c] for c in docs.columns), found[name]), name
 
 
 def cut(docs: DataFrame, window: int = WINDOW, kmer: int = KMER) -> DataFrame:
     """Per document ``n_words``, ``n_removed`` and ``kept_sha256`` of the words that stay, joined by single spaces."""
-    rows = with_spans(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text")), window, kmer)
+    rows, name = with_spans(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text")), window, kmer)
 
     def run(batches):
         graph = Graph(window, kmer)
         for b in batches:
             n, gone, digest = [], [], []
-            for text, spans in zip(b.column("text").to_pylist(), b.column("_spans").to_pylist()):
+            for text, spans in zip(b.column("text").to_pylist(), b.column(name).to_pylist()):
                 words = (text or b"").split()
                 kept = words
                 if spans:
@@ -233,7 +247,7 @@ def cut(docs: DataFrame, window: int = WINDOW, kmer: int = KMER) -> DataFrame:
 
 def strip(docs: DataFrame, window: int = WINDOW, kmer: int = KMER) -> DataFrame:
     """``docs`` with repeated words taken out of ``text``; untouched texts stay as they are, all columns remain."""
-    rows = with_spans(docs, window, kmer)
+    rows, name = with_spans(docs, window, kmer)
     fields = docs.columns
 
     def run(batches):
@@ -241,7 +255,7 @@ def strip(docs: DataFrame, window: int = WINDOW, kmer: int = KMER) -> DataFrame:
         for b in batches:
             at = b.schema.get_field_index("text")
             texts = b.column(at).cast(pa.binary()).to_pylist()
-            for i, spans in enumerate(b.column(b.schema.get_field_index("_spans")).to_pylist()):
+            for i, spans in enumerate(b.column(b.schema.get_field_index(name)).to_pylist()):
                 if spans:
                     words = (texts[i] or b"").split()
                     out = covered(graph, words, spans).tolist()

@@ -141,7 +141,8 @@ def test_substring(docs, rows, width, kmer):
 
 
 def test_substring_where_every_path_is_opened(docs, rows, monkeypatch):
-    monkeypatch.setattr(substring, "BITS", 15)
+    monkeypatch.setattr(substring, "MOST_BITS", 15)
+    monkeypatch.setattr(substring, "SPARSE", 1)
     assert as_rows(substring.cut(docs)) == spans_by_hand(rows, 50)
 
 
