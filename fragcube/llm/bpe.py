@@ -76,6 +76,8 @@ class Memory:
 
     def __init__(self, library, folds: bool, bound: int) -> None:
         self.library, self.folds, self.bound = library, folds, bound
+        added = [t.content for t in library.get_added_tokens_decoder().values()]
+        self.added = re.compile("|".join(map(re.escape, added)) or "(?!)", re.IGNORECASE)  # these keep their case
         names = [library.id_to_token(i) or "" for i in range(library.get_vocab_size())]
         # with folded case tokens end words, else they start with the character of a space
         self.edge = np.array([t.endswith("</w>") if folds else t.startswith(byte_characters()[32]) for t in names])
@@ -87,7 +89,7 @@ class Memory:
             self.known = {p: self.known[p] for p in pieces if p in self.known}
         known, parts = self.known, {}
         for p in missing:
-            core = p.lower() if self.folds and p.isascii() else p
+            core = p.lower() if self.folds and p.isascii() and not self.added.search(p) else p
             mark = ""
             if core[-1:] in MARKS and ends_in_letter(core[-2:-1]):
                 core, mark = core[:-1], core[-1]
@@ -124,19 +126,31 @@ class Memory:
         for p, i, j in zip(pieces, at, at[1:]):
             self.known[p] = raw[i:j]
 
-    def expand(self, pieces: pa.Array, ends: np.ndarray) -> list[np.ndarray]:
-        """Ids of texts, given all their pieces in a row and where each text's pieces end (from 0)."""
+    def expand(self, pieces: pa.Array, ends: np.ndarray, index: np.ndarray | None = None) -> list[np.ndarray]:
+        """Ids of texts, given all their pieces in a row (or ``index`` into the pieces) and where each text's pieces end (from 0)."""
         table = pieces.dictionary_encode()
-        coded = self.coded(table.dictionary.to_pylist())
+        own = table.indices.to_numpy()
+        index = own if index is None else own[index]
+        # a mark after a letter is split off here for most pieces at once, so that words with and without it are one
+        marked = pc.match_substring_regex(table.dictionary, f"[a-z][{''.join(sorted(MARKS))}]$")
+        cores = pc.if_else(marked, pc.utf8_slice_codeunits(table.dictionary, 0, -1), table.dictionary).dictionary_encode()
+        marks = pc.if_else(marked, pc.utf8_slice_codeunits(table.dictionary, -1), "").dictionary_encode()
+        coded = self.coded([*cores.dictionary.to_pylist(), *marks.dictionary.to_pylist()])
+        both = np.stack([cores.indices.to_numpy(), marks.indices.to_numpy() + len(cores.dictionary)], axis=1)
         size = np.fromiter(map(len, coded), np.int64, len(coded)) >> 2
         flat = np.frombuffer(b"".join(coded), np.uint32)
-        index = table.indices.to_numpy()
-        each = size[index]
-        total = np.concatenate([np.zeros(1, np.int64), np.cumsum(each)])
-        ids = flat[np.repeat((np.cumsum(size) - size)[index] - total[:-1], each) + np.arange(total[-1])]
+        flat, _ = _taken(flat, size, both.ravel())
+        ids, total = _taken(flat, size[both].sum(axis=1), index)
         return np.split(ids, total[ends[1:-1]])
 
 
+def _taken(flat: np.ndarray, size: np.ndarray, index: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pieces of ``flat``, of the given sizes, in order of ``index``; and where each begins."""
+    each = size[index]
+    total = np.concatenate([np.zeros(1, np.int64), np.cumsum(each)])
+    return flat[np.repeat((np.cumsum(size) - size)[index] - total[:-1], each) + np.arange(total[-1])], total
+
+
 class Codec:
     """Encoder and decoder of one rank file, with a bounded memory of pieces."""
 

@@ -40,14 +40,15 @@ CAPACITY = 2048
 #: Distinct words that a worker remembers.
 CACHE = 500_000
 #: Pieces of one length that one task ranks.
-PART = 5_000
+PART = 1_000
 
 
 class Words:
     """Ids of white-space separated words, remembered up to a bound.
 
     White space always ends a token and no normalisation reaches across it, so
-    the ids of a text are those of its words in a row.
+    the ids of a text are those of its words in a row.  The vocabulary's own special
+    tokens are found in texts, as the library does by default.
     """
 
     def __init__(self, path: str) -> None:
@@ -55,12 +56,18 @@ class Words:
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True
         self.memory = Memory(self.library, True, CACHE)
+        self.added = os.path.commonprefix([t.content for t in self.library.get_added_tokens_decoder().values()])
 
     def encode(self, texts: list[bytes]) -> list[np.ndarray]:
+        if not texts:
+            return []
         words = pc.ascii_split_whitespace(pa.array([t.decode("utf-8", "replace") for t in texts], pa.string()))
-        return self.memory.expand(words.values, words.offsets.to_numpy()) if texts else []
+        table = words.values.dictionary_encode()
+        # the vocabulary folds case; special tokens keep theirs
+        plain = pc.and_not(pc.string_is_ascii(table.dictionary), pc.match_substring(table.dictionary, self.added))
+        folded = pc.if_else(plain, pc.ascii_lower(table.dictionary), table.dictionary)
+        return self.memory.expand(folded, words.offsets.to_numpy(), table.indices.to_numpy())
 
 
 @functools.lru_cache(maxsize=2)
