@@ -29,15 +29,13 @@ def reference_bpe():
 def reference_words():
     from tokenizers import Tokenizer
 
-    t = Tokenizer.from_file(VOCABULARY)
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(VOCABULARY)
 
 
 def odd_texts():
     rng = random.Random(3)
     letters = "abcDE's .,!?\n\t 12é漢字ñß\u0301\U0001F600—İΣ\x1c\x85\r|<>स्ﬁ\u0958"
-    return ["".join(rng.choice(letters) for _ in range(rng.randint(0, 60))) for _ in range(1500)] + ["", " ", "<|endoftext|>", "a" * 3000]
+    return ["".join(rng.choice(letters) for _ in range(rng.randint(0, 60))) for _ in range(1500)] + ["", " ", "<|endoftext|>", "a" * 3000, "x<|endoftext|>.y <|ENDOFTEXT|> a<|startoftext|>B. <|endoftext|>c."]
 
 
 def test_codec_equals_other_library(reference_bpe):
@@ -221,7 +219,7 @@ def test_scores(docs, rows, clashing, empty):
         base = sum(math.log10((counts[w] + 0.1) / (total + 0.1 * (distinct + 1))) for w in tokens)
         want[i, t] = len(tokens), sum(counts[w] > 0 for w in tokens), base
     got = mixing.score(clashing, share=0.02).collect()
-    assert len(got) == len(want)
+    assert len(got) == len(rows)  # repeated rows too
     by_id = {i: v for (i, _), v in want.items()}
     for r in got:
         n, known, base = by_id[r["doc_id"]]
@@ -422,6 +420,21 @@ def test_urls(spark):
     assert urls.filter_urls(pages.limit(0)).count() == 0
 
 
+def test_deep_paths_are_told_apart(spark):
+    paths = [f"/a/b/c/d/{kind}/x{k}" for k in range(60) for kind in ("bad", "good")] + ["/a/b/c/d/e/f/g/h/i/last9", "/" + "z/" * 40]
+    pages = spark.createDataFrame([(i, f"http://deep.example.org{p}") for i, p in enumerate(paths)] * 2, "page_id long, url string")
+    got = {r["path"]: r["template"] for r in urls.filter_urls(pages, {"example.org/a/b/c/d/bad/": "block", "example.org/a/b/c/d/good/x1": "allow"}).collect()}
+    bad, good = ({got[p] for p in paths if kind in p} for kind in ("/bad/", "/good/"))
+    assert len(bad) == len(good) == 1 and bad.pop().endswith("/bad/*") and good.pop().endswith("/good/*")
+    assert got["/a/b/c/d/e/f/g/h/i/last9"].endswith("/f/g/h/i/*") and got[paths[-1]].endswith("/z" * 30)
+
+
+def test_pure_template_is_rejected_however_few_its_labels(spark):
+    pages = spark.createDataFrame([(i, f"http://half.example.net/t{i % 7}/{'p' if i < 40 else 'q'}{i}") for i in range(100)], "page_id long, url string")
+    got = urls.filter_urls(pages, {f"example.net/t{k}/p": "block" for k in range(7)}).collect()
+    assert {r["template"] for r in got} == {"/*/*"} and {r["verdict"] for r in got} == {"block"} and got[0]["purity"] > 0.9
+
+
 def test_template_is_rejected_by_its_labels(spark):
     pages = spark.createDataFrame([(i, f"http://bad.example.com/{'de' if i % 10 else 'en'}/{i}") for i in range(200)], "page_id long, url string")
     rules = {"example.com/de/1": "allow", "example.com/de/2": "block"}
