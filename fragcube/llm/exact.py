@@ -78,3 +78,18 @@ def decide(docs: DataFrame, digest: Callable[[Column], Column] | None = None, sa
         out = single.unionByName(rows.join(several, ["digest", "norm"]).drop("digest", "norm"))
     kept = F.col("doc_id").eqNullSafe(F.col("keep_id"))
     return out.select("doc_id", "keep_id", "group_size", kept.alias("kept"), "text_sha256")
+
+
+def keep(docs: DataFrame, salts: int = SALTS) -> DataFrame:
+    """One row of each group of equal texts, with all columns: the winner; of rows that repeat its id and text any one."""
+    won = decide(docs, salts=salts).filter("kept").groupBy("doc_id", "text_sha256").agg(F.count(F.lit(1)).alias("rows"))
+    won = materialise(won.select(F.col("doc_id").alias("won_id"), F.col("text_sha256").alias("won_text"), "rows"), "winners")
+    sha = F.sha2(normalised(docs["text"]), 256)
+    same = docs["doc_id"].cast("long").eqNullSafe(won["won_id"]) & (sha == won["won_text"])
+    single = docs.join(won.filter("rows = 1"), same, "left_semi")
+    several = docs.join(won.filter("rows > 1"), same, "left_semi")
+    # partial results inside each task first, so a row that a third of the table repeats is few rows by then
+    name = "_sha"
+    while name in docs.columns:
+        name += "_"
+    return single.unionByName(several.withColumn(name, sha).dropDuplicates(["doc_id", name]).drop(name))
