@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from ..model import FragmentError
+
 # Lowest convention minor version an aggregation may claim, the
 # feature keywords of each known layout in rising priority, and the
 # substitutions that always apply to a location.
@@ -69,9 +73,11 @@ def substitute_all(locations: Column, substitutions: dict[str, str]) -> Column:
 
 
 def parse_substitutions(text: str) -> dict[str, str]:
-    """``"${a}: x ${b}: y"`` as an ordered dictionary."""
-    parts = text.split()
-    return {key.removesuffix(":"): value for key, value in zip(parts[0::2], parts[1::2])}
+    """``"${a}: x ${b}: y"`` as an ordered dictionary; text that is not made of such pairs is an error."""
+    pair = r"\s*(\S+):\s+(\S+)(?=\s|$)"
+    if not re.fullmatch(f"(?:{pair})*\\s*", text):
+        raise FragmentError(f"substitutions are pairs of 'key: value', not {text!r}")
+    return dict(re.findall(pair, text))
 
 
 def is_absolute(location: Column) -> Column:

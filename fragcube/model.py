@@ -29,7 +29,9 @@ class Block:
     """Variables that share one tuple of dimensions.
 
     ``reader`` reads the cells of some fragments by name, where each fragment
-    is a file of its own.
+    is a file of its own.  ``scan`` reads the given columns of the fragments in a table
+    of the manifest, within bounds (column, low, high); its block has a schema and no
+    cells.
     """
 
     dims: tuple[str, ...]
@@ -37,6 +39,7 @@ class Block:
     vars: tuple[str, ...]
     cells: DataFrame
     reader: Callable[[list[str]], DataFrame] | None = None
+    scan: Callable[[DataFrame, list[str], list[tuple]], DataFrame] | None = None
 
     def dtype(self, column: str) -> str:
         return self.cells.schema[column].dataType.simpleString()
@@ -87,7 +90,10 @@ class DimClass:
 
 @dataclass(frozen=True)
 class DimInfo:
-    """One row of ``dims``; there are only a handful of dimensions."""
+    """One row of ``dims``; there are only a handful of dimensions.
+
+    ``dtype`` is the type of the coordinate, empty where there is none or it is not known.
+    """
 
     dim: str
     dim_ord: int
@@ -95,6 +101,7 @@ class DimInfo:
     size: int
     f_size: int
     descending: bool
+    dtype: str = ""
 
 
 @dataclass(frozen=True)
@@ -102,6 +109,8 @@ class Manifest:
     """The aggregation: small tables that place fragments in the whole grid.
 
     ``inventory`` is what the scan of the cells left behind, a row per fragment.
+    It and ``frags`` may name the fragment's ``uris`` (alternative locations) or give
+    the one value ``unique_<var>`` that a variable has all over the fragment.
     ``frags`` has one row per fragment with ``f_<dim>`` (grid position),
     ``o_<dim>`` (offset in the whole array) and ``s_<dim>`` (size); it holds at
     most ``n_frags`` rows.

@@ -178,6 +178,13 @@ class Variable:
         lacking = [d for d in self.manifest.agg_dims if d not in self.block.dims]
         return infer.project_grid(frags, list(self.block.dims)) if lacking else frags
 
+    def constants(self, frags: DataFrame) -> tuple[DataFrame | None, DataFrame]:
+        """Fragments in which this variable has one value, if the manifest names such, and those to be read."""
+        own = f"unique_{self.name}"
+        if own not in frags.columns:
+            return None, frags
+        return frags.filter(f"`{own}` is not null"), frags.filter(f"`{own}` is null")
+
     def _n_fragments(self, frags: DataFrame) -> int:
         """Upper bound of the rows to join; a narrow selection on a huge manifest is probed."""
         bound = self.manifest.n_frags
@@ -187,6 +194,10 @@ class Variable:
 
     def _cells(self, frags: DataFrame) -> DataFrame:
         """Cells to read; folders named by ``frag_id`` are pruned by Spark, separate files here."""
+        if self.block.scan:
+            dims = self.block.dims
+            wanted = [*(f"l_{d}" for d in dims), *dict.fromkeys(f"c_{d}" for d, _, _ in self.bounds), self.name]
+            return self.block.scan(frags, wanted, [(f"c_{d}", low, high) for d, low, high in self.bounds])
         if self.block.reader is None or not (self.picks or self.bounds):
             return self.block.cells
         return infer.cells_of(self.block, frags, self._n_fragments(frags))
@@ -198,7 +209,7 @@ class Variable:
         fragments stored by ``frag_id`` Spark prunes their files at run time.
         """
         dims = list(self.block.dims)
-        frags = self.fragments()
+        constant, frags = self.constants(self.fragments())  # the former are made, not read
         cells = self._cells(frags)
         for dim, low, high in self.bounds:
             if low is not None:
@@ -211,6 +222,12 @@ class Variable:
         placed = lookup_join(cells, offsets, ["frag_id"], self._n_fragments(frags), spread).selectExpr(
             *[f"o_{d} + l_{d} as {d}" for d in dims], self.name
         )
+        if constant is not None:
+            if self.bounds:
+                raise FragmentError(f"{self.name!r} has constant fragments, which hold no coordinates: select their range by index")
+            own = f"unique_{self.name}"
+            made = fill_unique(constant, dims, own).select(*dims, F.col(own).cast(self.block.dtype(self.name)).alias(self.name))
+            placed = placed.unionByName(made)
         for dim, pick in self.picks.items():
             placed = placed.filter(pick.cells(dim))
         kept = [d for d in dims if not (d in self.picks and self.picks[d].scalar)]

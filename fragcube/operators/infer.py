@@ -114,6 +114,8 @@ def cells_of(block: Block, frags: DataFrame, n_frags: int) -> DataFrame:
     Folders named by ``frag_id`` are pruned by the join at run time.  Separate
     files were listed one by one when the set was opened, and are again.
     """
+    if block.scan:
+        return block.scan(frags, [c for c in block.cells.columns if c != "frag_id"], [])
     if block.reader:
         names = [r["frag_id"] for r in frags.select("frag_id").distinct().collect()]
         return block.reader(names) if names else block.cells.filter(F.lit(False))
@@ -299,6 +301,7 @@ def project_grid(frags: DataFrame, dims: list[str]) -> DataFrame:
     """
     pos = [f"f_{d}" for d in dims]
     rest = [c for d in dims for c in (f"o_{d}", f"s_{d}", f"lo_{d}", f"hi_{d}", f"start_{d}", f"start_s_{d}")]
+    rest += [c for c in frags.columns if c == "uris" or c.startswith("unique_")]
     held = ", ".join(["frag_id", "file_ord", *rest])
     first = frags.groupBy(*pos).agg(F.expr(f"min_by(struct({held}), file_ord) as _f"))
     return first.selectExpr(*pos, "_f.*")

@@ -4,15 +4,16 @@ from __future__ import annotations
 
 from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import cf
-from ..functions.text import DEFAULT_SUBSTITUTIONS, substitute_all
+from ..functions.text import DEFAULT_SUBSTITUTIONS, parse_substitutions, resolve_relative, substitute_all
 from ..model import DIFFERS, Block, FragmentError, FragmentSet, Manifest
 from ..operators import array
 from ..operators.decode import drop_variables
 from ..session import literal
+from ..sources import located
 from .manifest import read_manifest
 
 
@@ -21,7 +22,7 @@ class Dataset:
     """Manifests from the root to the opened group, with the fragments behind them."""
 
     layers: tuple[Manifest, ...]
-    fragments: FragmentSet
+    fragments: FragmentSet | None = None
     chunks: dict[str, int | str] | None = None
 
     @property
@@ -59,8 +60,11 @@ class Dataset:
 
     def __getitem__(self, name: str) -> array.Variable:
         for layer in reversed(self.layers):
-            if layer.vars.filter(F.col("var") == name).take(1):
-                return array.open_variable(self.fragments, layer, name)
+            row = layer.vars.filter(F.col("var") == name).first()
+            if row is not None:
+                if self.fragments is not None:
+                    return array.open_variable(self.fragments, layer, name)
+                return array.Variable(located_block(layer, row), layer, name)
         raise FragmentError(f"no variable named {name!r}")
 
     def attrs_of(self, name: str) -> dict[str, str]:
@@ -80,8 +84,12 @@ class Dataset:
         return {d: int(n) for d, n in wanted.items() if d in block.dims}
 
     def chunked(self, name: str) -> DataFrame:
-        """Cells of a variable partitioned by chunk."""
-        block = self.fragments.block_of(name)
+        """Stored cells of a variable partitioned by chunk."""
+        variable = self[name]
+        block = variable.block
+        if block.scan:
+            _, held = variable.constants(variable.fragments())
+            block = replace(block, cells=block.scan(held, [*(f"l_{d}" for d in block.dims), name], []))
         return array.rechunk(block, self.chunk_sizes(block))
 
     def decoded(self, name: str, mask_and_scale: bool = True, decode_times: bool = True, decode_timedelta: bool = True) -> DataFrame:
@@ -111,10 +119,36 @@ class Dataset:
         return cells.withColumn(name, value)
 
 
+def own_substitutions(manifest: Manifest) -> dict[str, str]:
+    """Substitutions that the manifest itself asks for, in its global attribute of that name."""
+    if manifest.attrs is None:
+        return {}
+    row = manifest.attrs.filter((F.col("scope") == "global") & (F.col("attr") == "substitutions")).first()
+    return parse_substitutions(row["value"]) if row is not None and row["value"] else {}
+
+
+def located_block(manifest: Manifest, row: Row) -> Block:
+    """What a row of ``vars`` says of its variable, to be read from the locations that the manifest names."""
+    name, dims = row["var"], tuple(d for d in row["dims"].split(" ") if d)
+    if "uris" not in manifest.frags.columns:
+        raise FragmentError(f"the manifest names no locations, so {name!r} needs its fragments given")
+    coords = tuple(d for d in dims if manifest.dim(d).dtype)
+    columns = {f"l_{d}": located.Column(f"l_{d}", f"l_{d}", "bigint") for d in dims}
+    columns |= {f"c_{d}": located.Column(f"c_{d}", f"c_{d}", manifest.dim(d).dtype) for d in coords}
+    columns[name] = located.Column(name, row["identifier"], row["dtype"])
+    schema = ", ".join(["frag_id string", *(f"`{c.name}` {c.dtype}" for c in columns.values())])
+
+    def scan(frags: DataFrame, wanted: list[str], bounds: list[tuple]) -> DataFrame:
+        stored = [(columns[c].stored, low, high) for c, low, high in bounds]
+        return located.scan_located(frags.select("frag_id", "uris"), [columns[c] for c in wanted], stored)
+
+    return Block(dims, coords, (name,), literal(manifest.frags.sparkSession, [], schema), scan=scan)
+
+
 def open_dataset(
     spark: SparkSession,
     path: str,
-    fragments: FragmentSet,
+    fragments: FragmentSet | None = None,
     drop: list[str] | None = None,
     substitutions: dict[str, str] | None = None,
     group: str | None = None,
@@ -122,17 +156,24 @@ def open_dataset(
 ) -> Dataset:
     """Open the manifest at ``path``, or a group of it with all it inherits.
 
-    Nothing but the tables of the manifest is read.
+    Nothing but the tables of the manifest is read.  Without ``fragments`` the
+    variables are read from the locations that the manifest names: of each fragment
+    the first that exists, after substitutions (those of the manifest's own
+    ``substitutions`` attribute before the given ones), relative ones counted from
+    the manifest's folder.
     """
     parts = [p for p in (group or "").strip("/").split("/") if p]
-    subs = {**DEFAULT_SUBSTITUTIONS, **(substitutions or {})}
     layers = []
     for depth in range(len(parts) + 1):
         manifest = read_manifest(spark, path, "/".join(parts[:depth]))
         if drop:
             manifest = replace(manifest, vars=drop_variables(manifest.vars, drop))
         if "uris" in manifest.frags.columns:
-            manifest = replace(manifest, frags=manifest.frags.withColumn("uris", substitute_all(F.col("uris"), subs)))
+            subs = {**DEFAULT_SUBSTITUTIONS, **own_substitutions(manifest), **(substitutions or {})}
+            uris = substitute_all(F.col("uris"), subs)
+            if fragments is None:
+                uris = F.transform(uris, lambda u: resolve_relative(u, path.rstrip("/")))
+            manifest = replace(manifest, frags=manifest.frags.withColumn("uris", uris))
         layers.append(manifest)
     return Dataset(tuple(layers), fragments, chunks)
 
@@ -143,7 +184,7 @@ def describe(manifest: Manifest) -> DataFrame:
     dims = literal(
         spark,
         [("dim", d.dim, k, str(v)) for d in manifest.dims
-         for k, v in (("kind", d.kind), ("size", d.size), ("f_size", d.f_size))],
+         for k, v in (("kind", d.kind), ("size", d.size), ("f_size", d.f_size), ("dtype", d.dtype)) if v != ""],
         "section string, item string, property string, value string",
     )
     entries = F.array(*[

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.text import raise_conventions
 from ..model import DIFFERS, DimClass, DimInfo, FragmentError, FragmentSet, Manifest
 from ..operators import infer, inventory as inv
-from ..session import SINGLE_TASK_ROWS, compact, literal, materialise, materialise_observed
+from ..session import SINGLE_TASK_ROWS, compact, literal, lookup_join, materialise, materialise_observed
 
 TABLES = ("inventory", "dim_frags", "frags", "vars", "attrs", "coords")
 
@@ -167,10 +167,31 @@ def build_manifest(
     coords = None
     if with_coords and fragments.coords:
         coords = infer.concat_axis(fragments, frags, n_frags, moving, one_each=agg_dims is not None)
-    return Manifest(dims, inventory.wide, placed.dim_frags, frags, variables, attrs, coords, n_frags)
+    return Manifest(typed(dims, fragments), inventory.wide, placed.dim_frags, frags, variables, attrs, coords, n_frags)
 
 
-_DIMS = "dim string, dim_ord int, kind string, size long, f_size long, descending boolean"
+_DIMS = "dim string, dim_ord int, kind string, size long, f_size long, descending boolean, dtype string"
+
+
+def typed(dims: tuple[DimInfo, ...], fragments: FragmentSet) -> tuple[DimInfo, ...]:
+    """Dimensions with the types of their coordinates."""
+    types = {d: b.dtype(f"c_{d}") for b in fragments.blocks for d in b.coords}
+    return tuple(replace(d, dtype=types.get(d.dim, "")) for d in dims)
+
+
+def with_locations(manifest: Manifest, uris: DataFrame | None = None, values: DataFrame | None = None) -> Manifest:
+    """The manifest with ``uris(frag_id, uris)`` and ``values(frag_id, var, value)``, constants of a fragment.
+
+    A fragment of which every variable is constant needs no location.
+    """
+    frags, n = manifest.frags, manifest.n_frags
+    if uris is not None:
+        frags = lookup_join(frags.drop("uris"), uris.select("frag_id", "uris"), ["frag_id"], n, ["frag_id"], "left")
+    if values is not None:
+        names = [r["var"] for r in manifest.vars.select("var").collect()]  # a header's worth of rows
+        one = values.groupBy("frag_id").agg(*[F.max(F.when(F.col("var") == v, F.col("value"))).cast("double").alias(f"unique_{v}") for v in names])
+        frags = lookup_join(frags.drop(*[f"unique_{v}" for v in names]), one, ["frag_id"], n, ["frag_id"], "left")
+    return replace(manifest, frags=frags)
 
 
 def group_path(path: str, group: str | None) -> str:
@@ -183,7 +204,7 @@ def write_manifest(manifest: Manifest, path: str, group: str | None = None) -> N
     """One Parquet folder per table under ``path``, or under a group of it."""
     path = group_path(path, group)
     spark = manifest.frags.sparkSession
-    rows = [(d.dim, d.dim_ord, d.kind, d.size, d.f_size, d.descending) for d in manifest.dims]
+    rows = [(d.dim, d.dim_ord, d.kind, d.size, d.f_size, d.descending, d.dtype) for d in manifest.dims]
     literal(spark, rows, _DIMS).write.parquet(f"{path}/dims")
     for name in TABLES:
         table = getattr(manifest, name)
@@ -202,7 +223,7 @@ def read_manifest(spark: SparkSession, path: str, group: str | None = None) -> M
     if not _exists(spark, f"{path}/dims"):
         raise FragmentError(f"no aggregation at {path!r}" + (f": group {group!r} not found" if group else ""))
     rows = spark.read.parquet(f"{path}/dims").orderBy("dim_ord").collect()
-    dims = tuple(DimInfo(r.dim, r.dim_ord, r.kind, r.size, r.f_size, r.descending) for r in rows)
+    dims = tuple(DimInfo(r.dim, r.dim_ord, r.kind, r.size, r.f_size, r.descending, r.asDict().get("dtype") or "") for r in rows)
     tables = {n: spark.read.parquet(f"{path}/{n}") if _exists(spark, f"{path}/{n}") else None for n in TABLES}
     n_frags = tables["frags"].count()
     for name in ("inventory", "dim_frags", "frags"):

@@ -475,11 +475,11 @@ def merge_conventions(spark: SparkSession, sf_dir: str) -> DataFrame:
     "describe",
     with_sql("ev") + """
 select 'dim' as section, d.item, d.property, d.value from (
-  select 'day' as item, unnest(['kind', 'size', 'f_size']) as property,
-         unnest(['coord', (max(day) + 1)::varchar, count(distinct b_day)::varchar]) as value from ev_f
-  union all select 'bucket', unnest(['kind', 'size', 'f_size']),
-         unnest(['coord', (max(bucket) + 1)::varchar, count(distinct b_bucket)::varchar]) from ev_f
-  union all select 'kind', unnest(['kind', 'size', 'f_size']), unnest(['coord', (max(kind) + 1)::varchar, '1']) from ev_f) d
+  select 'day' as item, unnest(['kind', 'size', 'f_size', 'dtype']) as property,
+         unnest(['coord', (max(day) + 1)::varchar, count(distinct b_day)::varchar, 'bigint']) as value from ev_f
+  union all select 'bucket', unnest(['kind', 'size', 'f_size', 'dtype']),
+         unnest(['coord', (max(bucket) + 1)::varchar, count(distinct b_bucket)::varchar, 'bigint']) from ev_f
+  union all select 'kind', unnest(['kind', 'size', 'f_size', 'dtype']), unnest(['coord', (max(kind) + 1)::varchar, '1', 'string']) from ev_f) d
 union all select 'var', v.* from (values
   ('p', 'dtype', 'double'), ('p', 'dims', 'day bucket kind'), ('p', 'class', 'aggregated'), ('p', 'adims', 'day bucket'), ('p', 'fill', '-999.0'),
   ('n', 'dtype', 'bigint'), ('n', 'dims', 'day bucket kind'), ('n', 'class', 'aggregated'), ('n', 'adims', 'day bucket'),
