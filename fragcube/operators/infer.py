@@ -7,9 +7,9 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions.axis import arrange, idiv, key_sql
+from ..functions.axis import BLOCK_ROWS, arrange, idiv, key_sql
 from ..model import Block, DimClass, FragmentError, FragmentSet
-from ..session import BROADCAST_ROWS, compact, literal, lookup_join
+from ..session import BROADCAST_ROWS, compact, literal, lookup_join, materialise
 from .inventory import all_equal
 
 def classify_dims(inventory: DataFrame) -> DataFrame:
@@ -253,7 +253,7 @@ def place_fragments(wide: DataFrame, dim_frags: DataFrame, classes: list[DimClas
         cols += [f"f_{d}", f"o_{d}"] if c.aggregated else [f"0L as f_{d}", f"0L as o_{d}"]
         cols += [
             f"size_{d} as s_{d}", f"least(start_{d}, stop_{d}) as lo_{d}", f"greatest(start_{d}, stop_{d}) as hi_{d}",
-            f"start_{d}", f"start_s_{d}",
+            f"least(start_s_{d}, stop_s_{d}) as lo_s_{d}", f"greatest(start_s_{d}, stop_s_{d}) as hi_s_{d}", f"start_{d}", f"start_s_{d}",
         ]
         fits.append(f"_even_{d}" if c.aggregated else str(c.even).lower())
     if "uris" in wide.columns:
@@ -300,7 +300,7 @@ def project_grid(frags: DataFrame, dims: list[str]) -> DataFrame:
     fragments; the one listed first is read.
     """
     pos = [f"f_{d}" for d in dims]
-    rest = [c for d in dims for c in (f"o_{d}", f"s_{d}", f"lo_{d}", f"hi_{d}", f"start_{d}", f"start_s_{d}")]
+    rest = [c for d in dims for c in (f"o_{d}", f"s_{d}", f"lo_{d}", f"hi_{d}", f"lo_s_{d}", f"hi_s_{d}", f"start_{d}", f"start_s_{d}") if c in frags.columns]
     rest += [c for c in frags.columns if c == "uris" or c.startswith("unique_")]
     held = ", ".join(["frag_id", "file_ord", *rest])
     first = frags.groupBy(*pos).agg(F.expr(f"min_by(struct({held}), file_ord) as _f"))
@@ -411,19 +411,51 @@ def validate_manifest(dim_frags: DataFrame, frags: DataFrame, space: dict[str, i
 
 
 def axis_overlaps(frags: DataFrame, dims: list[str], falling: set[str]) -> DataFrame | None:
-    """Neighbours on an axis whose ranges of values meet; text axes, which have no numeric range, are left out."""
+    """Neighbours on an axis whose ranges of values meet, be they numbers or text."""
     out = None
     for d in dims:
-        pieces = frags.groupBy(F.col(f"f_{d}").alias("at")).agg(F.min(f"lo_{d}").alias("lo"), F.max(f"hi_{d}").alias("hi"))
-        ahead = pieces.select((F.col("at") + 1).alias("at"), F.col("lo").alias("lo_before"), F.col("hi").alias("hi_before"))
-        meet = "hi >= lo_before" if d in falling else "lo <= hi_before"
-        part = pieces.join(ahead, "at").filter(meet).selectExpr(
+        pieces = frags.groupBy(F.col(f"f_{d}").alias("at")).agg(*[
+            F.expr(f"{fn}({m}_{d}) as {m}") for m, fn in (("lo", "min"), ("hi", "max"), ("lo_s", "min"), ("hi_s", "max"))
+        ])
+        ahead = pieces.selectExpr("at + 1 as at", *[f"{m} as {m}_before" for m in ("lo", "hi", "lo_s", "hi_s")])
+        meet = "hi{0} >= lo{0}_before" if d in falling else "lo{0} <= hi{0}_before"
+        part = pieces.join(ahead, "at").filter(f"{meet.format('')} or {meet.format('_s')}").selectExpr(
             "'overlap' as check", f"concat('{d}:', at) as item", "0L as expected", "1L as actual"
         )
         out = part if out is None else out.unionByName(part)
     return out
 
 
+def grid_faults(frags: DataFrame, dims: list[str], space: dict[str, int], n_frags: int, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """Positions held by several fragments, and the stretches of positions that none holds, from the fragments alone.
+
+    Linear positions are sorted in ranges; a stretch is what lies between neighbours,
+    the last of one range and the first of the next included, so a million fragments
+    on a diagonal cost a million rows and not the grid.  ``item`` is the position, or
+    the first of a stretch; ``actual`` how many fragments are there, ``expected`` how many should be.
+    """
+    held = frags.groupBy(linear_position(dims, space).alias("at")).agg(F.count(F.lit(1)).alias("n"))
+    n_blocks = max(1, -(-n_frags // block_rows))
+    ranged = held.withColumn("block", F.lit(0))
+    if n_blocks > 1:  # borders of ranges are sampled, so they are written down before use
+        ranged = materialise(held.repartitionByRange(n_blocks, "at").withColumn("block", F.spark_partition_id()), "positions")
+    total = math.prod(space.values())
+    inner = Window.partitionBy("block").orderBy("at")
+    steps = ranged.select(F.lag("at").over(inner).alias("low"), F.col("at").alias("high")).filter("low is not null")
+    ends = ranged.groupBy("block").agg(F.min("at").alias("first"), F.max("at").alias("last"))
+    across = Window.partitionBy(F.lit(0)).orderBy("first")  # a row per range
+    borders = ends.select(F.coalesce(F.lag("last").over(across), F.lit(-1)).cast("long").alias("low"), F.col("first").alias("high"))
+    after = ends.agg(F.coalesce(F.max("last"), F.lit(-1)).cast("long").alias("low")).select("low", F.lit(total).cast("long").alias("high"))
+    gaps = steps.unionByName(borders).unionByName(after).filter("high > low + 1")
+    holes = gaps.selectExpr("'hole' as check", "low + 1 as at", "high - low - 1 as expected", "0L as actual")
+    doubles = held.filter("n > 1").selectExpr("'double' as check", "at", "1L as expected", "n as actual")
+    parts, stride = [], total
+    for d in dims:
+        stride //= space[d]
+        parts.append(F.pmod(idiv(F.col("at"), stride), F.lit(space[d])).cast("long").cast("string"))
+    return holes.unionByName(doubles).select("check", F.concat_ws(",", *parts).alias("item"), "expected", "actual")
+
+
 def size_violations(inventory: DataFrame) -> DataFrame:
     """Pieces with one start but several sizes or last values, on any axis."""
     classes = F.broadcast(classify_dims(inventory).select("dim", "aggregated"))  # a row per dimension

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.axis import key_sql
 from ..model import DIFFERS, Block, FragmentError, FragmentSet
+from ..session import lookup_join
 
 
 def pad_versions(files: DataFrame, column: str = "uris") -> DataFrame:
@@ -50,6 +51,42 @@ def _whole(block: Block) -> Column:
     return F.expr(" and ".join(tests)).alias("whole")
 
 
+def coverage_violations(fragments: FragmentSet, wide: DataFrame, n_frags: int) -> DataFrame | None:
+    """Fragments that do not hold each index of their box once: what is missing (hole) and what repeats (double).
+
+    ``wide`` tells the boxes.  A cell's place in its box is one bit; bitmaps of 32,768
+    places combine map-side and their set bits are counted, so an index that stands
+    in for another is found, and the cells of a huge fragment are shared by many tasks.
+    Only the index columns are read.
+    """
+    out = None
+    for block in fragments.blocks:
+        if not block.dims:
+            continue
+        sizes = wide.selectExpr("frag_id", *[f"size_{d}" for d in block.dims])
+        cells = lookup_join(block.cells.select("frag_id", *[f"l_{d}" for d in block.dims]), sizes, ["frag_id"], n_frags, [f"l_{d}" for d in block.dims])
+        place = "0L"
+        for d in block.dims:
+            place = f"({place}) * size_{d} + l_{d}"
+        box = " * ".join(f"size_{d}" for d in block.dims)
+        # what lies outside the box of the fragment is counted as a cell and sets no bit
+        inside = " and ".join(f"l_{d} >= 0 and l_{d} < size_{d}" for d in block.dims)
+        placed = cells.selectExpr("frag_id", f"{box} as box", f"if({inside}, {place} + 1, null) as at")
+        maps = placed.groupBy("frag_id", F.expr("coalesce(bitmap_bucket_number(at), -1L)").alias("bucket")).agg(
+            F.max("box").alias("box"), F.count(F.lit(1)).alias("n"), F.expr("bitmap_construct_agg(bitmap_bit_position(at))").alias("bits"),
+        )
+        held = maps.groupBy("frag_id").agg(
+            F.max("box").alias("box"), F.sum("n").alias("n"), F.sum(F.when(F.col("bucket") >= 0, F.expr("bitmap_count(bits)")).otherwise(0)).alias("places"),
+        )
+        faults = F.expr(
+            "filter(array(if(places < box, struct('hole' as check, box as expected, places as actual), null),"
+            " if(n > places, struct('double' as check, places as expected, n as actual), null)), f -> f is not null)"
+        )
+        part = held.filter("places < box or n > places").select("frag_id", F.lit(" ".join(block.dims)).alias("dims"), F.explode(faults).alias("f")).select("frag_id", "dims", "f.*")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 def wide_inventory(fragments: FragmentSet, dims: list[str] | None = None) -> DataFrame:
     """One row per fragment: size, first and last coordinate of each dimension.
 

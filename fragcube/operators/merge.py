@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..model import DIFFERS, FragmentError, FragmentSet, Manifest
-from ..plans.manifest import Inventory, place, require_full, scan_inventory, store_inventory, variable_rows
+from ..plans.manifest import Inventory, place, require_cells, require_full, scan_inventory, store_inventory, variable_rows
 from ..session import lookup_join, materialise
 from . import infer
 from . import inventory as inv
@@ -61,7 +61,8 @@ def extend_manifests(manifests: list[Manifest], differs: str = DIFFERS) -> Manif
     inventory = merge_inventories([m.inventory for m in manifests], names, set(first.coord_dims))
     placed = place(inventory)
     require_full(inventory, placed)
-    dims = placed.dims
+    types = {d.dim: d.dtype for m in manifests for d in m.dims if d.dtype}
+    dims = tuple(replace(d, dtype=types.get(d.dim, "")) for d in placed.dims)
     attrs = None
     if first.attrs is not None:
         each = [m.attrs.withColumn("file_ord", F.lit(i)) for i, m in enumerate(manifests)]
@@ -102,25 +103,53 @@ def batched_create(fragments: FragmentSet, batch: Column, n_batches: int) -> Man
     return extend_manifests(partial_manifests(fragments, batch, n_batches))
 
 
-def incremental_append(manifest: Manifest, arrived: FragmentSet) -> Manifest:
-    """Add fragments that the manifest does not hold yet; a repeat changes nothing.
+def unknown_fragments(manifest: Manifest, arrived: FragmentSet) -> FragmentSet:
+    """The fragments of ``arrived`` that the manifest does not hold; the cells of others are not read.
 
-    Known fragments leave before the scan aggregates, so only new cells are
-    reduced.
+    Names come from the folders alone; the join by them prunes folders at run time.
     """
     known = manifest.inventory.select("frag_id")
     blocks = []
     for block in arrived.blocks:
-        spread = [F.col(f"l_{d}") for d in block.dims] or [F.lit(0)]
-        fresh = lookup_join(block.cells, known, ["frag_id"], manifest.n_frags, spread, how="left_anti")
-        blocks.append(replace(block, cells=fresh))
-    added = scan_inventory(replace(arrived, blocks=tuple(blocks)))
-    if added.n_frags == 0:
+        names = block.cells.select("frag_id").distinct()
+        fresh = materialise(lookup_join(names, known, ["frag_id"], manifest.n_frags, ["frag_id"], how="left_anti"), "fresh")
+        blocks.append(replace(block, cells=infer.cells_of(block, fresh, fresh.count())))
+    return replace(arrived, blocks=tuple(blocks))
+
+
+def incremental_append(manifest: Manifest, arrived: FragmentSet, differs: str = DIFFERS) -> Manifest:
+    """Add fragments that the manifest does not hold yet; a repeat changes nothing.
+
+    What comes has to fit: fragments that lack cells, overlap or leave holes are
+    errors, as on creation.  Coordinates move with the axes, and attributes
+    merge, those of the manifest first.
+    """
+    added = unknown_fragments(manifest, arrived)
+    inventory = scan_inventory(added)
+    if inventory.n_frags == 0:
         return manifest
+    require_cells(added, inventory)
     names = [d.dim for d in manifest.dims]
-    inventory = merge_inventories([manifest.inventory, added.wide], names, set(manifest.coord_dims))
-    placed = place(inventory)
+    merged = merge_inventories([manifest.inventory, inventory.wide], names, set(manifest.coord_dims))
+    placed = place(merged)
+    require_full(merged, placed)
+    dims = tuple(replace(d, dtype=manifest.dim(d.dim).dtype) for d in placed.dims)
+    coords = None
+    if manifest.coords is not None:
+        moving = [d.dim for d in dims if d.f_size > 1]
+        mine = infer.place_fragments(inventory.wide, placed.dim_frags, merged.classes, inventory.n_frags)
+        fresh = infer.concat_axis(added, mine, inventory.n_frags, moving)
+        along = {d.dim: d.f_size for d in dims if d.kind != "pure"}
+        coords = infer.move_axis(_union([manifest.coords.drop("idx"), fresh.drop("idx")]), placed.dim_frags, along)
+    attrs = manifest.attrs
+    if attrs is not None and added.attrs is not None:
+        later = lookup_join(added.attrs, inventory.wide.select("frag_id"), ["frag_id"], inventory.n_frags, ["attr"], how="left_semi")
+        each = [attrs.select("scope", "owner", "attr", "value", F.lit(0).cast("long").alias("file_ord")), inv.merge_attrs(later, differs).select("scope", "owner", "attr", "value", F.lit(1).cast("long").alias("file_ord"))]
+        attrs = inv.merge_attrs(_union(each), differs).drop("warning")
+    kept = [c for c in manifest.frags.columns if c.startswith("unique_")]
+    frags = placed.frags
+    if kept:
+        frags = lookup_join(frags, manifest.frags.select("frag_id", *kept), ["frag_id"], manifest.n_frags, ["frag_id"], "left")
     return replace(
-        manifest, dims=placed.dims, inventory=inventory.wide, dim_frags=placed.dim_frags, frags=placed.frags,
-        coords=None, n_frags=inventory.n_frags,
+        manifest, dims=dims, inventory=merged.wide, dim_frags=placed.dim_frags, frags=frags, coords=coords, attrs=attrs, n_frags=merged.n_frags,
     )

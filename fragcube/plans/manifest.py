@@ -90,11 +90,18 @@ def require_full(inventory: Inventory, placed: Placement) -> None:
     if not placed.full:
         space = {d.dim: d.f_size for d in placed.dims}
         faults = infer.size_violations(inventory.long).unionByName(
-            infer.validate_manifest(placed.dim_frags, placed.frags, space)
+            infer.grid_faults(placed.frags, list(space), space, inventory.n_frags)
         )
         inv.require_none(faults, "invalid aggregation")
 
 
+def require_cells(fragments: FragmentSet, inventory: Inventory) -> None:
+    """Raise when a fragment lacks cells or holds some twice; reads the index columns."""
+    faults = inv.coverage_violations(fragments, inventory.wide, inventory.n_frags)
+    if faults is not None:
+        inv.require_none(faults, "fragments lack cells or hold some twice")
+
+
 _VARS = "var string, dtype string, dims string, identifier string, block_ord int, fill string, adims string, class string"
 
 
@@ -122,13 +129,15 @@ def build_manifest(
     with_coords: bool = True,
     check: bool = True,
     check_values: bool = True,
+    check_cells: bool = True,
 ) -> Manifest:
     """Infer the aggregation of a set of fragments.
 
     The cells are scanned once, into an inventory with a row per fragment.  It
     is stored, and all else is derived from it.  ``check`` tests the grid on
-    the inventory; ``check_values`` also compares the variables that must be
-    the same in every file, which reads those variables.  Naming ``agg_dims``
+    the inventory; ``check_cells`` proves that each fragment holds every index once,
+    which reads the indices again; ``check_values`` also compares the variables that
+    must be the same in every file, which reads those variables.  Naming ``agg_dims``
     lets coordinates come from one fragment per piece of an axis.
     """
     spark = fragments.blocks[0].cells.sparkSession
@@ -144,6 +153,8 @@ def build_manifest(
             raise FragmentError(f"aggregated dimensions are {derived}, not {sorted(agg_dims)}")
     if check:
         require_full(inventory, placed)
+        if check_cells:
+            require_cells(fragments, inventory)
     attrs = None
     if fragments.attrs is not None:
         # every file's header is behind this; the edits must not read them again

@@ -7,11 +7,17 @@ from dataclasses import replace
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..model import FragmentSet
+from ..operators import infer
+from ..operators.inventory import coverage_violations
 from ..session import literal, scratch_path
-from . import cubes
+from ..sources.datasource import register
+from ..sources.parquet import write_fragments
+from . import cubes, snapshots
 from .cubes import with_sql
 from .dataset import Dataset, open_dataset
-from .manifest import build_manifest, with_locations, write_manifest
+from .manifest import build_manifest, place, scan_inventory, with_locations, write_manifest
+from .queries_create import SPARSE_SQL, _sparse
 from .registry import query
 
 # -- B7, B8, B9, B15: open by the manifest alone ------------------------------
@@ -52,3 +58,121 @@ def open_by_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 def select_by_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     picked = by_manifest(spark, sf_dir)["v"].isel(comp=slice(20, 52), vec=slice(0, None, 3))
     return picked.reduce("mean", "comp").withColumn("v_mean", F.round("v_mean", 6))
+
+
+# -- A1, A4: fragments as a source that Spark plans ---------------------------
+
+
+def _source(spark: SparkSession, sf_dir: str, **options: str) -> DataFrame:
+    """Events by identifier, stored as fragments and read through ``format("fragments")``."""
+    register(spark)
+    path = scratch_path(spark, "e1 with space")
+    write_fragments(cubes.e1(spark, sf_dir).blocks[0], path)
+    return spark.read.format("fragments").options(**options).load(path)
+
+
+@query(
+    "fragment_source",
+    with_sql("e1") + """
+select frag_id, count(*) as n_cells, round(sum(value), 4) as total, min(event) as first_event, max(event) as last_event
+from e1 where event >= 700 group by frag_id""",
+)
+def fragment_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cells = _source(spark, sf_dir, columns="c_event, value").filter("c_event >= 700")
+    return cells.groupBy("frag_id").agg(
+        F.count("*").alias("n_cells"), F.round(F.sum("value"), 4).alias("total"),
+        F.min("c_event").alias("first_event"), F.max("c_event").alias("last_event"),
+    )
+
+
+@query(
+    "fragment_footers",
+    with_sql("e1") + """
+select frag_id, c.name as "column", c.kind as dtype, count(*) as n_rows from e1,
+       (values ('file_ord', 'int64'), ('l_event', 'int64'), ('c_event', 'int64'), ('value', 'double'), ('user_id', 'int64'), ('ts', 'timestamp[us]')) c(name, kind)
+group by all""",
+)
+def fragment_footers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _source(spark, sf_dir, report="footers")
+    frag = F.regexp_extract("path", "frag_id=([^/]+)", 1)
+    return rows.groupBy(frag.alias("frag_id"), "column", "dtype").agg(F.sum("n_rows").alias("n_rows"))
+
+
+# -- A3, A24: every kind of fault is found ------------------------------------
+
+FAULTS_SQL = """
+, b as (select b, frag_id, count(*) as n, min(event) as lo from e1 group by all)
+select 'cells' as part, frag_id as item, 'hole' as "check", n as expected, n - 1 as actual from b where b % 5 in (1, 2)
+union all select 'cells', frag_id, 'double', n - 1, n from b where b % 5 = 2
+union all select 'numbers', 'event:' || b, 'overlap', 0, 1 from b where b % 5 = 3
+union all select 'text', 'event:' || b, 'overlap', 0, 1 from b where b % 5 = 3"""
+
+
+@query("validate_faults", with_sql("e1") + FAULTS_SQL)
+def validate_faults(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events in fragments, some of which lack a cell, hold one twice in place of another, or reach into their neighbour."""
+    whole = cubes.e1(spark, sf_dir)
+    block = whole.blocks[0]
+    kind = F.pmod(F.substring_index("frag_id", "_", -1).cast("int"), F.lit(5))
+    broken = block.cells.filter(~((kind == 1) & (F.col("l_event") == 3)))
+    broken = broken.withColumn("l_event", F.when((kind == 2) & (F.col("l_event") == 3), F.lit(4)).otherwise(F.col("l_event")))
+    found = FragmentSet((replace(block, cells=broken),))
+    inventory = scan_inventory(found)
+    cells = coverage_violations(found, inventory.wide, inventory.n_frags)
+    out = cells.select(F.lit("cells").alias("part"), F.col("frag_id").alias("item"), "check", "expected", "actual")
+    shifted = F.when(kind == 3, F.col("c_event") - 1).otherwise(F.col("c_event"))
+    for part, value in (("numbers", shifted), ("text", F.lpad(shifted.cast("string"), 12, "0"))):
+        moved = FragmentSet((replace(block, cells=block.cells.withColumn("c_event", value)),))
+        placed = place(scan_inventory(moved))
+        meeting = infer.axis_overlaps(placed.frags, ["event"], set())
+        out = out.unionByName(meeting.select(F.lit(part).alias("part"), "item", "check", "expected", "actual"))
+    return out
+
+
+GRID_FAULTS_SQL = SPARSE_SQL + """
+, lin as (select distinct (f_sup * (select max(f_prt) + 1 from f) + f_prt) * (select max(f_line) + 1 from f) + f_line as pos from f),
+n as (select (select max(f_sup) + 1 from f) as n_sup, (select max(f_prt) + 1 from f) as n_prt, (select max(f_line) + 1 from f) as n_line),
+edge as (select pos from lin union all select -1 union all select n_sup * n_prt * n_line from n),
+gap as (select pos as low, lead(pos) over (order by pos) as high from edge)
+select 'hole' as "check", ((low + 1) // (n_prt * n_line)) || ',' || ((low + 1) // n_line % n_prt) || ',' || ((low + 1) % n_line) as item,
+       high - low - 1 as expected, 0::bigint as actual from gap, n where high > low + 1"""
+
+
+@query("grid_faults", GRID_FAULTS_SQL)
+def grid_faults(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stretches of the grid that no file holds, without making the grid."""
+    placed, space = _sparse(spark, sf_dir)
+    n = placed.frags.count()
+    return infer.grid_faults(placed.frags, list(space), space, n, block_rows=max(1, n // 3))
+
+
+# -- S1, S4: snapshots ---------------------------------------------------------
+
+
+def _some(whole: FragmentSet, keep: Column) -> FragmentSet:
+    return replace(whole, blocks=tuple(replace(b, cells=b.cells.filter(keep)) for b in whole.blocks))
+
+
+@query(
+    "manifest_snapshots",
+    with_sql("e1") + """
+, f as (select b, frag_id, min(event) as lo, count(*) as n from e1 group by all), m as (select max(b) as last from f)
+select 1 as number, frag_id, b as f_event, lo as o_event, n as s_event from f, m where b * 2 <= last
+union all select 2, frag_id, b, lo, n from f, m where b < last or b * 2 <= last
+union all select 3, frag_id, b, lo, n from f""",
+)
+def manifest_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events whose later fragments arrive in two appends; every snapshot as it was."""
+    whole = cubes.e1(spark, sf_dir)
+    path = scratch_path(spark, "snapshots")
+    place_of = F.substring_index("frag_id", "_", -1).cast("long")
+    last = whole.blocks[0].cells.agg(F.max(place_of)).first()[0]
+    create = lambda f: build_manifest(f)
+    for keep in (place_of * 2 <= last, (place_of < last) | (place_of * 2 <= last), F.lit(True)):
+        snapshots.append(spark, path, _some(whole, keep), create)
+    out = None
+    for number in snapshots.versions(spark, path):
+        frags = snapshots.read_snapshot(spark, path, number).manifest.frags
+        part = frags.select(F.lit(number).alias("number"), "frag_id", "f_event", "o_event", "s_event")
+        out = part if out is None else out.unionByName(part)
+    return out

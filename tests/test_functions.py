@@ -119,7 +119,7 @@ def test_shared_folder_comes_from_the_session(spark):
 
     class Bare:
         class conf:
-            get = staticmethod(lambda key, default=None: default)
+            get = staticmethod(lambda key, default=None: "local[2]" if key == "spark.master" else default)
 
         class sparkContext:
             applicationId = "app"
