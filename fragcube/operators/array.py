@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.axis import bound_key, idiv
 from ..model import Block, FragmentError, FragmentSet, Manifest
-from ..session import BROADCAST_ROWS, lookup_join, within
+from ..session import BROADCAST_ROWS, literal, lookup_join, within
 from . import infer
 
 #: Bytes of one chunk when its size is left to the engine.
@@ -32,34 +32,38 @@ REDUCERS = {
 
 @dataclass(frozen=True)
 class Range:
-    """Indices ``start, start+step, ...`` below ``stop``; ``scalar`` drops the dimension."""
+    """Indices ``start, start+step, ...`` below ``stop``, read from the last one on if ``falling``; ``scalar`` drops the dimension."""
 
     start: int
     stop: int
     step: int = 1
     scalar: bool = False
+    falling: bool = False
 
     @classmethod
-    def of(cls, index: int | slice, size: int) -> "Range":
-        """Python and numpy rules: negative counts from the end, slices are clipped."""
-        if isinstance(index, slice):
-            picked = range(size)[index]
-            if picked.step > 0:
-                return cls(picked.start, max(picked.stop, picked.start), picked.step)
-            # a falling slice holds the same cells as the rising one
-            if not len(picked):
-                return cls(0, 0, 1)
-            return cls(picked[-1], picked[0] + 1, -picked.step)
-        if not -size <= index < size:
-            raise IndexError(f"index {index} is out of range for size {size}")
-        at = index % size
-        return cls(at, at + 1, 1, True)
+    def over(cls, indices: range, scalar: bool = False) -> "Range":
+        if not len(indices):
+            return cls(0, 0)
+        if indices.step > 0:
+            return cls(indices[0], indices[-1] + 1, indices.step, scalar)
+        return cls(indices[-1], indices[0] + 1, -indices.step, scalar, True)
+
+    @property
+    def indices(self) -> range:
+        """In the order of the selection."""
+        rising = range(self.start, self.stop, self.step)
+        return rising[::-1] if self.falling else rising
 
     def cells(self, index: str) -> str:
         """Predicate on a global index."""
         inside = f"{index} >= {self.start} and {index} < {self.stop}"
         return inside if self.step == 1 else f"{inside} and pmod({index} - {self.start}, {self.step}) = 0"
 
+    def place(self, index: str) -> str:
+        """Where a selected index stands in the selection."""
+        last = self.start + (len(self.indices) - 1) * self.step
+        return f"({last} - {index}) div {self.step}" if self.falling else f"({index} - {self.start}) div {self.step}"
+
     def fragments(self, offset: str, size: str) -> str:
         """Predicate on the manifest, exact for steps too: the first wanted index at or after the offset is inside."""
         if self.stop <= self.start:
@@ -74,34 +78,61 @@ class Range:
 
 @dataclass(frozen=True)
 class Points:
-    """A list of indices; each is kept once, in the order of the axis."""
+    """A list of indices in its own order; an index that comes twice is selected twice."""
 
     values: tuple[int, ...]
     scalar: bool = False
 
-    @classmethod
-    def of(cls, indices: list[int], size: int) -> "Points":
-        return cls(tuple(sorted({Range.of(int(i), size).start for i in indices})))
+    @property
+    def indices(self) -> tuple[int, ...]:
+        return self.values
+
+    @property
+    def repeats(self) -> bool:
+        return len(set(self.values)) < len(self.values)
+
+    def _distinct(self) -> list[int]:
+        return sorted(set(self.values))
 
     def cells(self, index: str) -> str:
-        return f"{index} in ({', '.join(map(str, self.values))})" if self.values else "false"
+        return f"{index} in ({', '.join(map(str, self._distinct()))})" if self.values else "false"
 
     def fragments(self, offset: str, size: str) -> str:
         if not self.values:
             return "false"
-        listed = ", ".join(f"{v}L" for v in self.values)
-        return f"{offset} <= {self.values[-1]} and exists(array({listed}), i -> i >= {offset} and i < {offset} + {size})"
+        listed = ", ".join(f"{v}L" for v in self._distinct())
+        return f"{offset} <= {max(self.values)} and exists(array({listed}), i -> i >= {offset} and i < {offset} + {size})"
+
+
+def picked(kept: range | tuple[int, ...], index: int | slice | list[int]) -> Range | Points:
+    """A further selection of indices that are selected so far, by the rules of Python and numpy."""
+    if isinstance(index, slice):
+        chosen = kept[index]
+        return Range.over(chosen) if isinstance(chosen, range) else Points(chosen)
+    for i in index if isinstance(index, (list, tuple)) else [index]:
+        if not -len(kept) <= i < len(kept):
+            raise IndexError(f"index {i} is out of range for size {len(kept)}")
+    if isinstance(index, (list, tuple)):
+        return Points(tuple(kept[int(i)] for i in index))
+    at = kept[int(index)]
+    return Range(at, at + 1, 1, True)
 
 
 @dataclass(frozen=True)
 class Variable:
-    """A lazy aggregated variable: cells, the fragments that serve it, and a selection."""
+    """A lazy aggregated variable: cells, the fragments that serve it, and a selection.
+
+    ``picks`` are indices.  ``bounds`` are ranges of coordinates where the manifest
+    has none to turn them into indices; ``hints`` are those that were turned, kept
+    for the scan to skip what lies outside.
+    """
 
     block: Block
     manifest: Manifest
     name: str
     picks: dict[str, Range | Points] = field(default_factory=dict)
     bounds: tuple[tuple[str, object, object], ...] = ()
+    hints: tuple[tuple[str, object, object], ...] = ()
 
     @property
     def shape(self) -> tuple[int, ...]:
@@ -115,54 +146,80 @@ class Variable:
         return tuple(sizes)
 
     def _kept(self, dim: str) -> range | tuple[int, ...]:
-        """Indices of the whole axis that are still selected."""
+        """Indices of the whole axis that are still selected, in order."""
         pick = self.picks.get(dim)
-        if pick is None:
-            return range(self.manifest.dim(dim).size)
-        return pick.values if isinstance(pick, Points) else range(pick.start, pick.stop, pick.step)
+        return range(self.manifest.dim(dim).size) if pick is None else pick.indices
+
+    def _require(self, dim: str) -> None:
+        if dim not in self.block.dims or (dim in self.picks and self.picks[dim].scalar):
+            raise FragmentError(f"{self.name} has no dimension {dim!r}")
 
     def isel(self, **indices: int | slice | list[int]) -> "Variable":
-        """Select by index; an integer drops the dimension."""
+        """Select by index, as numpy does: an integer drops the dimension, slices and lists keep their order."""
         picks = dict(self.picks)
         for dim, index in indices.items():
-            if dim not in self.block.dims or (dim in picks and picks[dim].scalar):
-                raise FragmentError(f"{self.name} has no dimension {dim!r}")
-            kept = self._kept(dim)
-            if isinstance(index, (list, tuple)):
-                picks[dim] = Points(tuple(kept[i] for i in Points.of(index, len(kept)).values))
-                continue
-            inner = Range.of(index, len(kept))
-            if isinstance(kept, tuple):
-                chosen = kept[inner.start:inner.stop:inner.step]
-                picks[dim] = Range(chosen[0], chosen[0] + 1, 1, True) if inner.scalar else Points(chosen)
-            elif inner.stop <= inner.start:
-                picks[dim] = Range(0, 0)
-            else:
-                picks[dim] = Range(
-                    kept.start + inner.start * kept.step, kept.start + (inner.stop - 1) * kept.step + 1,
-                    kept.step * inner.step, inner.scalar,
-                )
+            self._require(dim)
+            if any(d == dim for d, _, _ in self.bounds):
+                raise FragmentError(f"{dim!r} is selected by coordinate in a manifest without coordinates: its indices are not known")
+            picks[dim] = picked(self._kept(dim), index)
         return replace(self, picks=picks)
 
     def sel(self, method: str | None = None, **values: object) -> "Variable":
-        """Select by coordinate: exact value, inclusive ``slice(low, high)`` or nearest.
+        """Select by coordinate: a label, an inclusive ``slice(low, high)`` or the nearest label.
 
-        Ranges stay predicates on the stored coordinate column, which reach the
-        Parquet scan.  Nearest asks the coordinate table for one index.
+        The coordinate table of the manifest turns a range into a range of indices and
+        a label into one index, which drops the dimension; a label that is not
+        there is a ``KeyError``.  Ranges also reach the Parquet scan as predicates on the
+        stored coordinate.  A manifest without coordinates keeps ranges and labels as
+        such predicates alone.
         """
         out = self
         for dim, value in values.items():
+            out._require(dim)
+            if method not in (None, "nearest"):
+                raise FragmentError(f"unknown method {method!r}")
             if method == "nearest":
-                row = nearest(self.manifest.coords, dim, value).first()
+                row = nearest(self.manifest.coords, dim, value, self._coordinate_type(dim)).first()
                 if row is None:
                     raise KeyError(f"{dim} has no coordinate values")
-                out = out.isel(**{dim: int(row["idx"])})
-            elif isinstance(value, slice):
-                out = replace(out, bounds=out.bounds + ((dim, value.start, value.stop),))
-            else:
-                out = replace(out, bounds=out.bounds + ((dim, value, value),))
+                out = out._at(dim, range(row["idx"], row["idx"] + 1), True, value)
+                continue
+            low, high = (value.start, value.stop) if isinstance(value, slice) else (value, value)
+            if isinstance(value, slice) and value.step is not None:
+                raise FragmentError("a range of coordinates has no step")
+            if self.manifest.coords is None:
+                out = replace(out, bounds=out.bounds + ((dim, low, high),))
+                continue
+            if self.manifest.dim(dim).descending and low is not None and high is not None and low > high:
+                low, high = high, low  # on an axis that falls the greater label may come first
+            found = locate(self.manifest, dim, low, high, self._coordinate_type(dim))
+            if not isinstance(value, slice) and not len(found):
+                raise KeyError(f"{value!r} is not a coordinate of {dim}")
+            out = out._at(dim, found, not isinstance(value, slice), value)
+            out = replace(out, hints=out.hints + ((dim, low, high),))
         return out
 
+    def _coordinate_type(self, dim: str) -> str:
+        return self.manifest.dim(dim).dtype or self.block.dtype(f"c_{dim}")
+
+    def _at(self, dim: str, found: range, scalar: bool, label: object) -> "Variable":
+        """The part of what is selected so far that lies in a range of indices of the axis."""
+        kept = self._kept(dim)
+        if isinstance(kept, range):
+            low, high = (found.start, found.stop) if kept.step > 0 else (found.stop - 1, found.start - 1)
+            first = max(0, -(-(low - kept.start) // kept.step))
+            after = max(first, min(len(kept), -(-(high - kept.start) // kept.step)))
+            chosen = kept[first:after]
+        else:
+            chosen = tuple(i for i in kept if i in found)
+        if scalar and not len(chosen):
+            raise KeyError(f"{label!r} is not among the selected coordinates of {dim}")
+        if scalar:
+            pick = Range(chosen[0], chosen[0] + 1, 1, True)
+        else:
+            pick = Range.over(chosen) if isinstance(chosen, range) else Points(chosen)
+        return replace(self, picks=self.picks | {dim: pick})
+
     def fragments(self) -> DataFrame:
         """Fragments that meet the selection, one per grid position of this variable."""
         frags = self.manifest.frags
@@ -196,22 +253,24 @@ class Variable:
         """Cells to read; folders named by ``frag_id`` are pruned by Spark, separate files here."""
         if self.block.scan:
             dims = self.block.dims
-            wanted = [*(f"l_{d}" for d in dims), *dict.fromkeys(f"c_{d}" for d, _, _ in self.bounds), self.name]
-            return self.block.scan(frags, wanted, [(f"c_{d}", low, high) for d, low, high in self.bounds])
+            ranges = self.bounds + self.hints
+            wanted = [*(f"l_{d}" for d in dims), *dict.fromkeys(f"c_{d}" for d, _, _ in ranges), self.name]
+            return self.block.scan(frags, wanted, [(f"c_{d}", low, high) for d, low, high in ranges])
         if self.block.reader is None or not (self.picks or self.bounds):
             return self.block.cells
         return infer.cells_of(self.block, frags, self._n_fragments(frags))
 
-    def to_df(self) -> DataFrame:
+    def to_df(self, numbered: bool = False) -> DataFrame:
         """Cells of the selection with global indices ``<dim>`` and the value.
 
-        Fragments outside the selection are gone before the join; with
+        A cell that is selected twice comes twice.  With ``numbered`` the columns
+        ``<dim>`` are places in the selection instead, so they tell its order.  Fragments outside the selection are gone before the join; with
         fragments stored by ``frag_id`` Spark prunes their files at run time.
         """
         dims = list(self.block.dims)
         constant, frags = self.constants(self.fragments())  # the former are made, not read
         cells = self._cells(frags)
-        for dim, low, high in self.bounds:
+        for dim, low, high in self.bounds + self.hints:
             if low is not None:
                 cells = cells.filter(F.col(f"c_{dim}") >= F.lit(low))
             if high is not None:
@@ -231,6 +290,15 @@ class Variable:
         for dim, pick in self.picks.items():
             placed = placed.filter(pick.cells(dim))
         kept = [d for d in dims if not (d in self.picks and self.picks[d].scalar)]
+        for dim in kept:
+            pick = self.picks.get(dim)
+            if isinstance(pick, Points) and (numbered or pick.repeats):
+                # the selection as a table: an index and where it stands, once for each time that it is listed
+                rows = literal(placed.sparkSession, [(v, i) for i, v in enumerate(pick.values)], f"`{dim}` long, `_place` long")
+                placed = placed.join(F.broadcast(rows), dim)  # as long as the list that was given
+                placed = placed.withColumn(dim, F.col("_place")).drop("_place") if numbered else placed.drop("_place")
+            elif numbered and isinstance(pick, Range):
+                placed = placed.withColumn(dim, F.expr(pick.place(f"`{dim}`")))
         return placed.select(*kept, self.name)
 
     def reduce(self, how: str | list[str], *over: str) -> DataFrame:
@@ -263,15 +331,43 @@ def reduce_cells(cells: DataFrame, value: str, how: str | list[str], over: list[
     return cells.groupBy(*keep).agg(*[REDUCERS[h](present).alias(f"{value}_{h}") for h in hows])
 
 
-def nearest(coords: DataFrame, dim: str, value: float) -> DataFrame:
-    """Index whose coordinate is closest; the lower index wins a tie."""
-    gap = F.abs(F.col("value") - F.lit(float(value)))
+def nearest(coords: DataFrame, dim: str, value: object, dtype: str = "") -> DataFrame:
+    """Index whose coordinate (a number, date or time) is closest; the lower index wins a tie."""
+    key = bound_key(value, dtype)
+    if key is None:
+        raise FragmentError(f"there is no nearest coordinate to {value!r} on {dim}")
+    gap = F.abs(F.col("value") - F.lit(key))
     best = coords.filter((F.col("dim") == dim) & F.col("value").isNotNull()).agg(
         F.min(F.struct(gap.alias("gap"), "idx", "value")).alias("b")
     )
     return best.filter("b is not null").select(F.col("b.idx").alias("idx"), F.col("b.value").alias("value"))
 
 
+def locate(manifest: Manifest, dim: str, low: object, high: object, dtype: str) -> range:
+    """Indices of an axis whose coordinates lie from ``low`` to ``high``; either may be None.
+
+    Coordinates rise or fall all along an axis, so these are a range.  The ranges of
+    the pieces, which the manifest's ``frags`` hold, come first: only coordinates of pieces
+    that meet the wanted range are looked at.
+    """
+    text = dtype == "string"
+    ends = [v if text or v is None else bound_key(v, dtype) for v in (low, high)]
+    if any(v is not None and (e is None or isinstance(v, str) != text) for v, e in zip((low, high), ends)):
+        raise KeyError(f"coordinates of {dim} are of type {dtype}")
+    mark, column = ("_s", "value_s") if text else ("", "value")
+    pieces, rows = manifest.frags, manifest.coords.filter(F.col("dim") == dim)
+    for end, side, compare in ((ends[0], "hi", "__ge__"), (ends[1], "lo", "__le__")):
+        if end is not None:
+            rows = rows.filter(getattr(F.col(column), compare)(F.lit(end)))
+            if f"{side}{mark}_{dim}" in pieces.columns:
+                pieces = pieces.filter(getattr(F.col(f"{side}{mark}_{dim}"), compare)(F.lit(end)))
+    span = pieces.agg(F.min(f"o_{dim}").alias("first"), F.max(F.col(f"o_{dim}") + F.col(f"s_{dim}")).alias("after")).first()
+    if span["first"] is None:
+        return range(0)
+    found = rows.filter(F.col("idx").between(span["first"], span["after"] - 1)).agg(F.min("idx").alias("first"), F.max("idx").alias("last")).first()
+    return range(0) if found["first"] is None else range(found["first"], found["last"] + 1)
+
+
 def chunk_extents(frags: DataFrame, dims: list[str], chunks: dict[str, int]) -> DataFrame:
     """Chunks of every fragment: position inside it, global start and stop.
 

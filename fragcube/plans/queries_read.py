@@ -368,7 +368,7 @@ def drop_variables(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _open(spark: SparkSession, sf_dir: str, cube: str, name: str, coords: bool = False) -> array.Variable:
     fragments = getattr(cubes, cube)(spark, sf_dir)
-    return array.open_variable(fragments, build_manifest(fragments, with_coords=coords, check_values=False), name)
+    return array.open_variable(fragments, build_manifest(fragments, with_coords=coords, check_values=False, check_cells=False), name)
 
 
 @query("assemble_array", with_sql("em") + " select vec, comp, v from em")
@@ -411,7 +411,7 @@ def _stored_events(spark: SparkSession, sf_dir: str) -> array.Variable:
     path = scratch_path(spark, "e1")
     write_fragments(cubes.e1(spark, sf_dir).blocks[0], path)
     fragments = FragmentSet((open_fragments(spark, path),))
-    return array.open_variable(fragments, build_manifest(fragments, with_coords=False), "value")
+    return array.open_variable(fragments, build_manifest(fragments, with_coords=False, check_cells=False), "value")
 
 
 @query("sel", with_sql("e1") + " select event, value from e1 where event between 250 and 1749")

@@ -2,19 +2,22 @@
 
 from __future__ import annotations
 
+import datetime
 from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.axis import arrange, start_key
 from ..model import FragmentSet
 from ..operators import infer
+from ..operators.array import Variable, open_variable
 from ..operators.inventory import coverage_violations
-from ..session import literal, scratch_path
+from ..session import literal, materialise, scratch_path
 from ..sources.datasource import register
 from ..sources.parquet import write_fragments
 from . import cubes, snapshots
-from .cubes import with_sql
+from .cubes import table, with_sql
 from .dataset import Dataset, open_dataset
 from .manifest import build_manifest, place, scan_inventory, with_locations, write_manifest
 from .queries_create import SPARSE_SQL, _sparse
@@ -176,3 +179,64 @@ def manifest_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
         part = frags.select(F.lit(number).alias("number"), "frag_id", "f_event", "o_event", "s_event")
         out = part if out is None else out.unionByName(part)
     return out
+
+
+# -- B16, B17: selections in order, and by label --------------------------------
+
+
+@query(
+    "isel_reversed",
+    with_sql("em") + """
+, n as (select max(vec) + 1 as n from em), picked as (select unnest([2, 0, 2]) as at, unnest([0, 1, 2]) as comp)
+select (n - 1 - em.vec) // 2 as vec, p.comp, em.v from em join picked p on p.at = em.comp, n where (n - 1 - em.vec) % 2 = 0""",
+)
+def isel_reversed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every second vector from the last on, and a list that names a component twice; columns tell the order."""
+    fragments = cubes.em(spark, sf_dir)
+    manifest = build_manifest(fragments, with_coords=False, check_values=False, check_cells=False)
+    v = open_variable(fragments, manifest, "v")
+    return v.isel(vec=slice(None, None, -2), comp=[2, 0, 2]).to_df(numbered=True)
+
+
+def _revenue(spark: SparkSession, sf_dir: str, axis: str) -> Variable:
+    """Revenue of the orders along an axis of dates (``day``) or of text (``name``), in fragments of about a hundred."""
+    orders = table(spark, sf_dir, "orders")
+    label = F.col("o_orderdate").cast("date") if axis == "day" else F.concat(F.lit("o"), F.lpad(F.col("o_orderkey").cast("string"), 10, "0"))
+    sums = materialise(orders.groupBy(label.alias("label")).agg(F.round(F.sum("o_totalprice"), 2).alias("revenue")), "revenue")
+    text = F.col("label") if axis == "name" else F.lit(None).cast("string")
+    pieces = sums.select(
+        F.lit(axis).alias("dim"), start_key("label", "string" if axis == "name" else "date").alias("start"), text.alias("start_s"),
+        F.lit(False).alias("descending"), F.lit(1).cast("long").alias("size"), "label", "revenue",
+    )
+    n = sums.count()
+    cube = arrange(pieces, n).select(F.col("frag_pos").alias(f"i_{axis}"), F.col("label").alias(f"c_{axis}"), "revenue")
+    fragments = FragmentSet((cubes.cut(cube, "or", (axis,), {axis: cubes.step_of(sums, 100)}, ("revenue",)),))
+    return open_variable(fragments, build_manifest(fragments, check_values=False, check_cells=False), "revenue")
+
+
+REVENUE_SQL = """with r as (select {} as label, round(sum(o_totalprice), 2) as revenue from orders group by 1),
+i as (select label, revenue, row_number() over (order by label) - 1 as at from r)"""
+BY_DAY = REVENUE_SQL.format("o_orderdate::date")
+BY_NAME = REVENUE_SQL.format("'o' || lpad(o_orderkey::varchar, 10, '0')")
+
+
+@query("sel_dates", BY_DAY + " select at as day, revenue from i where label between date '1996-02-10' and date '1997-03-01'")
+def sel_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _revenue(spark, sf_dir, "day").sel(day=slice(datetime.date(1996, 2, 10), datetime.date(1997, 3, 1))).to_df()
+
+
+@query("sel_text", BY_NAME + " select at as name, revenue from i where label >= 'o0000001' and label <= 'o0000004z'")
+def sel_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _revenue(spark, sf_dir, "name").sel(name=slice("o0000001", "o0000004z")).to_df()
+
+
+@query(
+    "sel_then_isel",
+    BY_DAY + """
+, w as (select revenue, row_number() over (order by at desc) - 1 as back from i where label between date '1996-01-01' and date '1996-12-31')
+select back // 3 as day, revenue from w where back % 3 = 0 and back < 90""",
+)
+def sel_then_isel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A year by its dates, of it every third day from the last one back, of these thirty."""
+    year = _revenue(spark, sf_dir, "day").sel(day=slice(datetime.date(1996, 1, 1), datetime.date(1996, 12, 31)))
+    return year.isel(day=slice(None, None, -3)).isel(day=slice(0, 30)).to_df(numbered=True)
