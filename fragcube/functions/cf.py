@@ -6,11 +6,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .axis import idiv
+from .units import measure, unit_table
 from ..session import lookup_join
 
-# Microseconds per unit of time; days per month without leap
-# years; and units as (dimension, factor, offset) to the base of the dimension,
-# base = value * factor + offset.
+# Microseconds per unit of time; days per month without leap years.
 MICROSECONDS = {
     "microseconds": 1,
     "milliseconds": 1_000,
@@ -28,24 +27,6 @@ MICROSECONDS = {
     "ds": 86_400_000_000,
 }
 NOLEAP_DAYS_BEFORE = (0, 31, 59, 90, 120, 151, 181, 212, 243, 273, 304, 334)
-UNITS = {
-    "K": ("temperature", 1.0, 0.0),
-    "degC": ("temperature", 1.0, 273.15),
-    "degF": ("temperature", 5.0 / 9.0, 273.15 - 32.0 * 5.0 / 9.0),
-    "kg m-2": ("mass per area", 1.0, 0.0),
-    "g cm-2": ("mass per area", 10.0, 0.0),
-    "g m-2": ("mass per area", 0.001, 0.0),
-    "m s-1": ("speed", 1.0, 0.0),
-    "km h-1": ("speed", 1.0 / 3.6, 0.0),
-    "Pa": ("pressure", 1.0, 0.0),
-    "hPa": ("pressure", 100.0, 0.0),
-    "m": ("length", 1.0, 0.0),
-    "km": ("length", 1000.0, 0.0),
-    "1": ("number", 1.0, 0.0),
-    "%": ("number", 0.01, 0.0),
-}
-
-
 def mask_and_scale(value: Column, fill: Column | None = None, scale: Column | None = None, offset: Column | None = None) -> Column:
     """Fill value and NaN become NULL, then ``value * scale + offset``."""
     out = value.cast("double")
@@ -76,27 +57,43 @@ def unpack(cells: DataFrame, value: str, attrs: DataFrame, n_frags: int, spread:
     ).drop("fill", "scale", "offset")
 
 
-def units_table(index: int) -> dict[str, object]:
-    return {unit: spec[index] for unit, spec in UNITS.items()}
-
-
 def _lookup(unit: Column, table: dict[str, object]) -> Column:
     return F.create_map(*[F.lit(x) for pair in table.items() for x in pair])[unit]
 
 
-def convert_units(value: Column, unit: Column, target: Column) -> Column:
-    """Value in ``unit`` expressed in ``target``; NULL when it cannot be."""
-    dimension, factor, offset = units_table(0), units_table(1), units_table(2)
-    same = _lookup(unit, dimension) == _lookup(target, dimension)
-    base = value * _lookup(unit, factor) + _lookup(unit, offset)
-    return F.when(unit == target, value).when(same, (base - _lookup(target, offset)) / _lookup(target, factor))
+def unit_maps(frag_units: DataFrame, target: str) -> DataFrame:
+    """``frag_units`` with ``factor`` and ``offset`` to the target unit, null where there is no conversion.
+
+    Each distinct expression is read once.  A unit that is spelt like the target is
+    the target, whether it is known or not.
+    """
+    goal = measure(target)
+    table = unit_table(frag_units)
+    n = table.count()
+    joined = lookup_join(frag_units, table.withColumnsRenamed({"factor": "_f", "offset": "_o"}), ["units"], n, ["frag_id"], "left")
+    kind, factor, offset = (" ".join(map(str, goal.powers)), goal.factor, goal.offset) if goal else (None, 1.0, 0.0)
+    same, fits = F.col("units") == target, F.col("kind") == F.lit(kind)
+    return joined.withColumns({
+        "factor": F.when(same, 1.0).when(fits, F.col("_f") / factor),
+        "offset": F.when(same, 0.0).when(fits, (F.col("_o") - offset) / factor),
+    }).drop("_f", "_o", "kind")
+
+
+def conform_units(cells: DataFrame, value: str, frag_units: DataFrame, target: str, n_frags: int, spread: list[Column]) -> DataFrame:
+    """``value`` of each fragment in the target unit; a cell of a fragment whose unit cannot be converted is an error.
+
+    A fragment without a unit has the target's.
+    """
+    joined = lookup_join(cells, unit_maps(frag_units, target), ["frag_id"], n_frags, spread, how="left")
+    wrong = F.raise_error(F.concat(F.lit("fragment "), F.col("frag_id"), F.lit(": no conversion from "), F.col("units"), F.lit(f" to {target}")))
+    converted = F.when(F.col("units").isNull(), F.col(value)).when(F.col("factor").isNull(), wrong).otherwise(F.col(value) * F.col("factor") + F.col("offset"))
+    return joined.withColumn(value, converted).drop("units", "factor", "offset")
 
 
 def unit_violations(frag_units: DataFrame, target: str) -> DataFrame:
     """Fragments whose units are unknown or of another kind than the target."""
-    dimension = units_table(0)
-    kind = _lookup(F.col("units"), dimension)
-    return frag_units.filter((F.col("units") != target) & ~F.coalesce(kind == F.lit(dimension.get(target)), F.lit(False)))
+    found = unit_maps(frag_units, target)
+    return found.filter("units is not null and factor is null").drop("factor", "offset")
 
 
 def cast_canonical(cells: DataFrame, value: str, dtype: str, dims: list[str]) -> DataFrame:

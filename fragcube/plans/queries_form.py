@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import cf
 from ..functions.axis import idiv
+from ..functions.units import unit_table
 from ..session import compact, lookup_join, materialise
 from . import cubes
 from .cubes import table, with_sql
@@ -62,15 +63,43 @@ def _frag_units(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, int]:
 @query(
     "conform_units",
     with_sql("e1") + """
-select event, round(case b % 4 when 0 then value when 1 then value + 273.15
-       when 2 then (value - 32) * 5 / 9 + 273.15 end, 6) as value from e1""",
+select event, round(case b % 4 when 0 then value when 1 then value + 273.15 when 2 then (value - 32) * 5 / 9 + 273.15 end, 6) as value
+from e1 where b % 4 <> 3""",
 )
 def conform_units(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Fragments in kelvin, Celsius, Fahrenheit and, wrongly, a speed."""
+    """Fragments in kelvin, Celsius and Fahrenheit; those that are, wrongly, a speed are found first and left out."""
     units, count = _frag_units(spark, sf_dir)
     cells = _cells(spark, sf_dir).select("frag_id", F.col("c_event").alias("event"), "value")
-    joined = lookup_join(cells, units, ["frag_id"], count, [F.col("event")])
-    return joined.select("event", F.round(cf.convert_units(F.col("value"), F.col("units"), F.lit("K")), 6).alias("value"))
+    wrong = cf.unit_violations(units, "K").select("frag_id")
+    cells = lookup_join(cells, wrong, ["frag_id"], count, [F.col("event")], how="left_anti")
+    fitting = units.join(wrong, "frag_id", "left_anti")
+    out = cf.conform_units(cells, "value", fitting, "K", count, [F.col("event")])
+    return out.select("event", F.round("value", 6).alias("value"))
+
+
+#: Spellings of units as the tables have them, with the factor and offset to base units that each must have (fixed values).
+SPELLINGS = [
+    ("m", 1, 0), ("metre", 1, 0), ("meters", 1, 0), ("km", 1000, 0), ("kilometers", 1000, 0), ("cm", 0.01, 0), ("mm", 0.001, 0), ("um", 1e-6, 0), ("feet", 0.3048, 0), ("inch", 0.0254, 0),
+    ("kg", 1, 0), ("g", 0.001, 0), ("grams", 0.001, 0), ("mg", 1e-6, 0), ("t", 1000, 0), ("tonnes", 1000, 0), ("s", 1, 0), ("sec", 1, 0), ("seconds", 1, 0), ("ms", 0.001, 0),
+    ("min", 60, 0), ("minutes", 60, 0), ("h", 3600, 0), ("hours", 3600, 0), ("days", 86400, 0), ("K", 1, 0), ("kelvin", 1, 0), ("degC", 1, 273.15), ("celsius", 1, 273.15), ("deg_C", 1, 273.15),
+    ("m s-1", 1, 0), ("m/s", 1, 0), ("m s^-1", 1, 0), ("m s**-1", 1, 0), ("m.s-1", 1, 0), ("meters per second", 1, 0), ("knot", 0.5144444444444445, 0), ("Pa", 1, 0), ("hPa", 100, 0), ("mbar", 100, 0),
+    ("bar", 100000, 0), ("N m-2", 1, 0), ("kg m-1 s-2", 1, 0), ("kg m-2", 1, 0), ("g cm-2", 10, 0), ("W m-2", 1, 0), ("W/m2", 1, 0), ("J s-1 m-2", 1, 0), ("%", 0.01, 0), ("1", 1, 0),
+    ("percent", 0.01, 0), ("ppm", 1e-6, 0), ("mol L-1", 1000, 0), ("degrees_north", 0.017453292519943295, 0), ("furlong", None, None), ("degC m-1", None, None), ("m since", None, None), ("", None, None),
+]
+
+
+@query(
+    "unit_spellings",
+    "select p_partkey, s.text as units, s.factor, s.zero from part join (values "
+    + ", ".join(f"({i}, '{t}', {'null' if f is None else f}::double, {'null' if o is None else o}::double)" for i, (t, f, o) in enumerate(SPELLINGS))
+    + f") s(i, text, factor, zero) on p_partkey % {len(SPELLINGS)} = s.i",
+)
+def unit_spellings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each part has a unit, in one of many spellings, or in none that is known."""
+    texts = F.array(*[F.lit(t) for t, _, _ in SPELLINGS])
+    parts = table(spark, sf_dir, "part").select("p_partkey", F.get(texts, F.pmod("p_partkey", F.lit(len(SPELLINGS))).cast("int")).alias("units"))
+    known = unit_table(parts).select("units", F.round("factor", 18).alias("factor"), F.col("offset").alias("zero"))
+    return parts.join(F.broadcast(known), "units").select("p_partkey", "units", "factor", "zero")  # a row per distinct spelling
 
 
 @query(

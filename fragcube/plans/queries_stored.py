@@ -215,17 +215,17 @@ def _revenue(spark: SparkSession, sf_dir: str, axis: str) -> Variable:
 
 
 REVENUE_SQL = """with r as (select {} as label, round(sum(o_totalprice), 2) as revenue from orders group by 1),
-i as (select label, revenue, row_number() over (order by label) - 1 as at from r)"""
+i as (select label, revenue, row_number() over (order by label) - 1 as pos from r)"""
 BY_DAY = REVENUE_SQL.format("o_orderdate::date")
 BY_NAME = REVENUE_SQL.format("'o' || lpad(o_orderkey::varchar, 10, '0')")
 
 
-@query("sel_dates", BY_DAY + " select at as day, revenue from i where label between date '1996-02-10' and date '1997-03-01'")
+@query("sel_dates", BY_DAY + " select pos as day, revenue from i where label between date '1996-02-10' and date '1997-03-01'")
 def sel_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _revenue(spark, sf_dir, "day").sel(day=slice(datetime.date(1996, 2, 10), datetime.date(1997, 3, 1))).to_df()
 
 
-@query("sel_text", BY_NAME + " select at as name, revenue from i where label >= 'o0000001' and label <= 'o0000004z'")
+@query("sel_text", BY_NAME + " select pos as name, revenue from i where label >= 'o0000001' and label <= 'o0000004z'")
 def sel_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _revenue(spark, sf_dir, "name").sel(name=slice("o0000001", "o0000004z")).to_df()
 
@@ -233,7 +233,7 @@ def sel_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "sel_then_isel",
     BY_DAY + """
-, w as (select revenue, row_number() over (order by at desc) - 1 as back from i where label between date '1996-01-01' and date '1996-12-31')
+, w as (select revenue, row_number() over (order by pos desc) - 1 as back from i where label between date '1996-01-01' and date '1996-12-31')
 select back // 3 as day, revenue from w where back % 3 = 0 and back < 90""",
 )
 def sel_then_isel(spark: SparkSession, sf_dir: str) -> DataFrame:

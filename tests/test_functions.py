@@ -60,16 +60,38 @@ def test_mask_and_scale(spark):
 
 
 def test_units(spark):
-    convert = lambda v, a, b: one(spark, cf.convert_units(F.lit(v), F.lit(a), F.lit(b)))
+    def convert(value, unit, target):
+        cells = spark.createDataFrame([("a", value)], "frag_id string, v double")
+        units = spark.createDataFrame([("a", unit)], "frag_id string, units string")
+        return cf.conform_units(cells, "v", units, target, 1, [F.lit(0)]).first()["v"]
+
     assert convert(0.0, "degC", "K") == pytest.approx(273.15)
-    assert convert(212.0, "degF", "degC") == pytest.approx(100.0)
-    assert convert(1.0, "g cm-2", "kg m-2") == pytest.approx(10.0)
-    assert convert(1.0, "m s-1", "kg m-2") is None and convert(1.0, "furlong", "m") is None
+    assert convert(212.0, "degF", "celsius") == pytest.approx(100.0)
+    assert convert(1.0, "g cm-2", "kg/m2") == pytest.approx(10.0)
+    assert convert(36.0, "km per hour", "m s-1") == pytest.approx(10.0) and convert(5.0, None, "m") == 5.0
+    assert convert(48.0, "hours since 2024-01-02", "days since 2024-01-01") == pytest.approx(3.0)
+    for unit, target in (("m s-1", "kg m-2"), ("furlong", "m"), ("m", "furlong"), ("days since 2024-01-01", "days")):
+        with pytest.raises(Exception, match="no conversion"):
+            convert(1.0, unit, target)
     assert convert(3.0, "furlong", "furlong") == 3.0
     bad = spark.createDataFrame([("a", "K"), ("b", "degC"), ("c", "m s-1"), ("d", "furlong")], "frag_id string, units string")
     assert {r["frag_id"] for r in cf.unit_violations(bad, "K").collect()} == {"c", "d"}
 
 
+@pytest.mark.parametrize("text,powers,factor", [
+    ("W m-2 K-1", (0, 1, -3, -1, 0, 0, 0, 0), 1.0), ("W/(m2)", None, None), ("kg*m/s**2", (1, 1, -2, 0, 0, 0, 0, 0), 1.0), ("1e-3 kg", (0, 1, 0, 0, 0, 0, 0, 0), 1e-3),
+    ("ug m-3", (-3, 1, 0, 0, 0, 0, 0, 0), 1e-9), ("cd sr", (0, 0, 0, 0, 0, 0, 1, 2), 1.0), ("100 m2", (2, 0, 0, 0, 0, 0, 0, 0), 100.0), ("degC2", None, None), ("m^", None, None),
+    ("mm/day", (1, 0, -1, 0, 0, 0, 0, 0), 0.001 / 86400), ("/s", (0, 0, -1, 0, 0, 0, 0, 0), 1.0), ("kilohertz", (0, 0, -1, 0, 0, 0, 0, 0), 1000.0), ("degC m", None, None),
+])
+def test_unit_expressions(text, powers, factor):
+    from fragcube.functions.units import parse
+
+    found = parse(text)
+    assert (found is None) == (powers is None)
+    if found:
+        assert found.powers == powers and found.factor == pytest.approx(factor)
+
+
 def test_times(spark):
     at = lambda v, u: one(spark, cf.decode_times(F.lit(v), F.lit(u)))
     assert at(1.5, "days since 2024-01-01") == datetime.datetime(2024, 1, 2, 12)
