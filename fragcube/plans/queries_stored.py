@@ -12,6 +12,7 @@ from ..functions.axis import arrange, start_key
 from ..model import FragmentSet
 from ..operators import infer
 from ..operators.array import Variable, open_variable
+from ..operators.canonical import canonical_violations, conformed
 from ..operators.inventory import coverage_violations
 from ..session import literal, materialise, scratch_path
 from ..sources.datasource import register
@@ -240,3 +241,59 @@ def sel_then_isel(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A year by its dates, of it every third day from the last one back, of these thirty."""
     year = _revenue(spark, sf_dir, "day").sel(day=slice(datetime.date(1996, 1, 1), datetime.date(1996, 12, 31)))
     return year.isel(day=slice(None, None, -3)).isel(day=slice(0, 30)).to_df(numbered=True)
+
+
+# -- C1, C2, C3, C5: canonical form while assembling -----------------------------
+
+
+def _mixed(spark: SparkSession, sf_dir: str) -> tuple[FragmentSet, DataFrame]:
+    """Events whose fragments are packed in kelvin, plain in Celsius, or in Fahrenheit with a fill value, and count time in two ways."""
+    whole = cubes.e1(spark, sf_dir)
+    block = whole.blocks[0]
+    b = F.substring_index("frag_id", "_", -1).cast("long")
+    value = (
+        F.when(b % 3 == 0, F.round(F.col("value") * 100)).when(b % 3 == 1, F.col("value") - 273.15)
+        .when(F.col("c_event") % 11 == 0, F.lit(-999.0)).otherwise((F.col("value") - 273.15) * 1.8 + 32)
+    )
+    second = F.timestamp_diff("MICROSECOND", F.lit("2024-01-01 00:00:00").cast("timestamp_ntz"), "ts") / 1e6
+    at = F.when(b % 2 == 0, second / 3600).otherwise((second - 14 * 86400) / 86400)
+    cells = block.cells.withColumns({"value": value, "at": at})
+    files = materialise(block.cells.select("frag_id").distinct(), "files")
+    pairs = F.array(*[F.struct(F.lit(o).alias("owner"), F.lit(a).alias("attr"), v.alias("value")) for o, a, v in (
+        ("value", "units", F.when(b % 3 == 0, "K").when(b % 3 == 1, "celsius").otherwise("degF")),
+        ("value", "scale_factor", F.when(b % 3 == 0, "0.01")), ("value", "_FillValue", F.when(b % 3 == 2, "-999")),
+        ("at", "units", F.when(b % 2 == 0, "hours since 2024-01-01").otherwise("days since 2024-01-15 00:00:00")),
+    )])
+    attrs = files.select("frag_id", F.explode(pairs).alias("p")).select("frag_id", "p.*").filter("value is not null")
+    return FragmentSet((replace(block, vars=("value", "at"), cells=cells),)), attrs
+
+
+def _conformed(spark: SparkSession, sf_dir: str, name: str, units: str) -> DataFrame:
+    fragments, attrs = _mixed(spark, sf_dir)
+    manifest = build_manifest(fragments, with_coords=False, check_values=False, check_cells=False)
+    block = conformed(fragments.blocks[0], name, attrs.filter(F.col("owner") == name), units, manifest.n_frags)
+    return open_variable(FragmentSet((block,)), manifest, name).to_df()
+
+
+@query(
+    "open_conformed",
+    with_sql("e1") + """
+select event, round(case b % 3 when 0 then round(value * 100) * 0.01 when 1 then value when 2 then case when event % 11 <> 0 then value end end, 6) as value from e1""",
+)
+def open_conformed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Packing and units of every fragment composed to one map; the variable is in kelvin."""
+    return _conformed(spark, sf_dir, "value", "K").select("event", F.round("value", 6).alias("value"))
+
+
+@query("open_conformed_times", with_sql("e1") + " select event, round(epoch_us(ts) / 1e6)::bigint as second from e1")
+def open_conformed_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hours since one epoch and days since another, as seconds since 1970."""
+    cells = _conformed(spark, sf_dir, "at", "seconds since 1970-01-01")
+    return cells.select("event", F.round("at").cast("long").alias("second"))
+
+
+@query("canonical_violations", with_sql("e1") + " select distinct frag_id, 'no conversion from days since 2024-01-15 00:00:00 to hours' as problem from e1 where b % 2 = 1 union all select distinct frag_id, 'no conversion from hours since 2024-01-01 to hours' from e1 where b % 2 = 0")
+def unfit_fragments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Points in time are no lengths of time."""
+    _, attrs = _mixed(spark, sf_dir)
+    return canonical_violations(attrs.filter("owner = 'at'"), "hours")

@@ -114,3 +114,27 @@ def test_types_travel_with_the_manifest(spark, tmp_path):
     assert [r["v"] for r in dataset["v"].sel(day=slice(days[1], days[2])).to_df().orderBy("day").collect()] == [1, 2]
     assert [r["s"] for r in dataset["s"].to_df().orderBy("day").collect()] == ["s0", "s1", "s2", "s3"]
     assert [r["at"].date() for r in dataset["at"].isel(day=-1).to_df().collect()] == [days[3]]
+
+
+def test_canonical_form_of_stored_fragments(spark, tmp_path):
+    """Packing, units and a constant fragment, opened by the manifest and conformed on the way."""
+    from fragcube.operators.canonical import canonical_violations, conformed
+    from fragcube.operators.array import Variable
+
+    data = np.arange(12.0)
+    whole = fragments_of(spark, data, ("t",), {"t": [0, 4, 8, 12]})
+    block = whole.blocks[0]
+    stored = F.when(F.col("frag_id") == "f0", F.when(F.col("l_t") == 1, -9.0).otherwise(F.col("v") * 2 - 2)).otherwise(F.col("v") - 273.15)
+    block.cells.filter("frag_id <> 'f2'").withColumn("v", stored).write.partitionBy("frag_id").parquet(f"{tmp_path}/d")
+    manifest = build_manifest(whole)
+    uris = manifest.frags.filter("frag_id <> 'f2'").select("frag_id", F.array(F.concat(F.lit("../d/frag_id="), "frag_id")).alias("uris"))
+    write_manifest(with_locations(manifest, uris, spark.createDataFrame([("f2", "v", 5.0)], "frag_id string, var string, value double")), f"{tmp_path}/m")
+    attrs = spark.createDataFrame([("f0", "scale_factor", "0.5"), ("f0", "add_offset", "1"), ("f0", "_FillValue", "-9"), ("f1", "units", "degC")], "frag_id string, attr string, value string")
+    dataset = open_dataset(spark, f"{tmp_path}/m")
+    opened = conformed(dataset["v"].block, "v", attrs, "K", 3)
+    got = [r["v"] for r in Variable(opened, dataset.manifest, "v").to_df().orderBy("t").collect()]
+    assert got[1] is None and [round(x, 9) for i, x in enumerate(got) if i != 1] == [0.0, 2.0, 3.0, 4.0, 5.0, 6.0, 7.0, 5.0, 5.0, 5.0, 5.0]
+    bad = attrs.union(spark.createDataFrame([("f0", "units", "m"), ("f1", "scale_factor", "half")], attrs.schema))
+    assert {r["frag_id"]: r["problem"] for r in canonical_violations(bad, "K").collect()} == {"f0": "no conversion from m to K", "f1": "scale_factor is no number: half"}
+    with pytest.raises(Exception, match="fragment f0: no conversion from m to K"):
+        Variable(conformed(dataset["v"].block, "v", bad, "K", 3), dataset.manifest, "v").isel(t=0).to_df().collect()
