@@ -64,3 +64,22 @@ def test_pipeline_stages(spark, sf_dir):
     used = check_places(packed, 2048)
     assert {r["doc_id"] for r in packed} == set(after)
     assert used <= math.ceil(sum(r["length"] for r in packed) / 2048) + 2
+
+
+def test_copies_go_whatever_their_ids(spark, tmp_path):
+    """Repeated and null ids: one row of each group of equal or similar texts stays."""
+    words = [f"w{i}" for i in range(60)]
+    near = " ".join([*words[:58], "x", "y"])
+    table = [(1, " ".join(words), "a"), (1, " ".join(words), "b"), (None, " ".join(words), "c"), (None, "  ".join(words), "d"), (2, near, "e"), (None, near, "f"), (3, "alone", "g"), (None, None, "h"), (4, "", "i")]
+    docs = spark.createDataFrame(table, "doc_id long, text string, source string").repartition(3)
+    once = corpus_pipeline.exact_dedup(spark, docs, "")
+    assert once.columns == docs.columns
+    kept = sorted(("" if r["text"] is None else "".join(r["text"].split())) for r in once.collect())
+    assert kept == sorted({"".join((t or "").split()) for _, t, _ in table})
+    left = corpus_pipeline.near_dedup(spark, once, "")
+    assert left.columns == docs.columns
+    assert sorted(len((r["text"] or "").split()) for r in left.collect()) == [0, 1, 60]
+    empty = docs.limit(0)
+    assert corpus_pipeline.near_dedup(spark, corpus_pipeline.exact_dedup(spark, empty, ""), "").count() == 0
+    repeated = corpus_pipeline.near_dedup(spark, docs, "")
+    assert sorted(len((r["text"] or "").split()) for r in repeated.collect() if r["text"]) == [1, 60]
