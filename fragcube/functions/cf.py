@@ -5,11 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .axis import idiv
 from .units import measure, unit_table
 from ..session import lookup_join
 
-# Microseconds per unit of time; days per month without leap years.
+# Microseconds per unit of time.
 MICROSECONDS = {
     "microseconds": 1,
     "milliseconds": 1_000,
@@ -26,7 +25,8 @@ MICROSECONDS = {
     "hrs": 3_600_000_000,
     "ds": 86_400_000_000,
 }
-NOLEAP_DAYS_BEFORE = (0, 31, 59, 90, 120, 151, 181, 212, 243, 273, 304, 334)
+
+
 def mask_and_scale(value: Column, fill: Column | None = None, scale: Column | None = None, offset: Column | None = None) -> Column:
     """Fill value and NaN become NULL, then ``value * scale + offset``."""
     out = value.cast("double")
@@ -122,7 +122,7 @@ def _unit_us(unit: Column) -> Column:
     return F.when(F.trim(unit) != "", _lookup(plural, MICROSECONDS)).cast("long")
 
 
-def _known_unit_us(unit: Column) -> Column:
+def known_unit_us(unit: Column) -> Column:
     """Microseconds of a unit; a unit that is no fixed length of time is an error, a missing one NULL."""
     us = _unit_us(unit)
     return F.when(us.isNull() & unit.isNotNull(), F.raise_error(F.concat(F.lit("not a unit of time: "), unit))).otherwise(us)
@@ -132,56 +132,22 @@ def decode_times(value: Column, units: Column) -> Column:
     """``"<unit> since <epoch>"`` to a zone-free timestamp; whole microseconds."""
     unit = F.regexp_extract(units, r"^\s*(\w+)\s+since\s+", 1)
     epoch = F.regexp_replace(F.regexp_extract(units, r"since\s+(.+?)\s*(?:UTC|Z)?\s*$", 1), "T", " ").cast("timestamp_ntz")
-    return F.timestamp_add("MICROSECOND", F.round(value * _known_unit_us(unit)).cast("long"), epoch)
+    return F.timestamp_add("MICROSECOND", F.round(value * known_unit_us(unit)).cast("long"), epoch)
 
 
 def decode_timedelta(value: Column, unit: Column) -> Column:
     """Number and unit to a day-time interval."""
-    us = F.round(value * _known_unit_us(unit)).cast("long")
+    us = F.round(value * known_unit_us(unit)).cast("long")
     seconds = (us / F.lit(1_000_000)).cast("decimal(18,6)")
     zero = F.lit(0)
     return F.make_dt_interval(zero, zero, zero, seconds)
 
 
-def decode_calendar(days: Column, year0: int, calendar: str) -> Column:
-    """Days since 1 January of a year to ``struct<y,m,d>`` in a model calendar."""
-    whole = F.floor(days).cast("long")
-    if calendar == "360_day":
-        in_year = F.pmod(whole, F.lit(360))
-        return F.struct(
-            (F.lit(year0) + ((whole - in_year) / 360)).cast("int").alias("y"),
-            (idiv(in_year, 30) + 1).cast("int").alias("m"),
-            (F.pmod(in_year, F.lit(30)) + 1).cast("int").alias("d"),
-        )
-    if calendar not in ("noleap", "365_day"):
-        raise ValueError(f"unknown calendar {calendar!r}")
-    in_year = F.pmod(whole, F.lit(365))
-    starts = F.array(*[F.lit(n) for n in NOLEAP_DAYS_BEFORE])
-    month = F.size(F.filter(starts, lambda n: n <= in_year))
-    return F.struct(
-        (F.lit(year0) + ((whole - in_year) / 365)).cast("int").alias("y"),
-        month.cast("int").alias("m"),
-        (in_year - F.get(starts, month - 1) + 1).cast("int").alias("d"),
-    )
-
-
 def is_time_unit(unit: str) -> bool:
     """A plain length of time, singular or plural."""
     return bool(unit.strip()) and unit.lower().rstrip("s") + "s" in MICROSECONDS
 
 
-def decode_calendar_times(value: Column, units: str, calendar: str) -> Column:
-    """``"<unit> since <year>-01-01"`` to ``struct<y,m,d,us>`` in a model calendar."""
-    unit, _, epoch = units.partition(" since ")
-    date = epoch.strip()[:10].split("-")
-    if [int(n) for n in date[1:3]] != [1, 1]:
-        raise ValueError(f"the epoch of a {calendar} axis must be 1 January, not {epoch!r}")
-    us = F.round(value * _unit_us(F.lit(unit.strip()))).cast("long")
-    in_day = F.pmod(us, F.lit(MICROSECONDS["days"]))
-    date_part = decode_calendar((us - in_day) / MICROSECONDS["days"], int(date[0]), calendar)
-    return F.struct(date_part["y"].alias("y"), date_part["m"].alias("m"), date_part["d"].alias("d"), in_day.alias("us"))
-
-
 def coordinate_names(attrs: DataFrame) -> DataFrame:
     """Names listed in any ``coordinates`` attribute."""
     listed = attrs.filter(F.col("attr") == "coordinates")

@@ -7,7 +7,7 @@ from dataclasses import dataclass, replace
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import cf
+from ..functions import calendars, cf
 from ..functions.text import DEFAULT_SUBSTITUTIONS, parse_substitutions, resolve_relative, substitute_all
 from ..model import DIFFERS, Block, FragmentError, FragmentSet, Manifest
 from ..operators import array
@@ -110,11 +110,9 @@ class Dataset:
         units = attrs.get("units", "")
         if decode_times and " since " in units:
             calendar = attrs.get("calendar", "standard")
-            if calendar in ("standard", "gregorian", "proleptic_gregorian"):
-                value = cf.decode_times(value, F.lit(units))
-            else:
-                value = cf.decode_calendar_times(value, units, calendar)
-        elif decode_timedelta and cf.is_time_unit(units):
+            real = calendars.known(calendar) in ("standard", "proleptic_gregorian")
+            return (calendars.timestamps if real else calendars.decode)(cells, name, value, F.lit(units), calendar)
+        if decode_timedelta and cf.is_time_unit(units):
             value = cf.decode_timedelta(value, F.lit(units))
         return cells.withColumn(name, value)
 

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import cf
+from ..functions import calendars, cf
 from ..functions.axis import idiv
 from ..functions.units import unit_table
 from ..session import compact, lookup_join, materialise
@@ -185,15 +187,65 @@ union all select event_id, '360_day', (2000 + event_id // 360)::int, (event_id %
 def decode_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events")
     out = [
-        events.select(
-            F.col("event_id").alias("event"), F.lit(name).alias("calendar"),
-            cf.decode_calendar(F.col("event_id"), 2000, name).alias("at"),
-        ).select("event", "calendar", "at.y", "at.m", "at.d")
+        calendars.decode(events, "at", F.col("event_id"), F.lit("days since 2000-01-01"), name)
+        .select(F.col("event_id").alias("event"), F.lit(name).alias("calendar"), "at.y", "at.m", "at.d")
         for name in ("noleap", "360_day")
     ]
     return out[0].unionByName(out[1])
 
 
+#: Calendars and epochs that the events count from, and how far they reach in days.
+MODEL_CALENDARS = ("360_day", "noleap", "all_leap", "julian", "proleptic_gregorian", "standard")
+EPOCHS = ("0001-01-01", "2000-02-28 06:00:00", "1582-10-04T18:00:00Z", "1970-12-30 12:00:00 -06:00")
+REACH = 900_000
+_LEAP = {
+    "noleap": "false", "all_leap": "true", "julian": "y % 4 = 0", "proleptic_gregorian": "y % 4 = 0 and (y % 100 <> 0 or y % 400 = 0)",
+    "standard": "y % 4 = 0 and (y <= 1582 or y % 100 <> 0 or y % 400 = 0)",
+}
+
+
+def _day_table() -> str:
+    """SQL of all days of some 6,000 years, numbered in their order; nothing but the lengths of months goes in."""
+    lengths = "case when m in (4, 6, 9, 11) then 30 when m = 2 then if({leap}, 29, 28) else 31 end"
+    parts = [
+        f"select '{c}' as calendar, y, m, unnest(range(1, 1 + {'30' if c == '360_day' else lengths.format(leap=_LEAP[c])})) as d "
+        "from range(-3000, 4600) a(y), range(1, 13) b(m)"
+        for c in MODEL_CALENDARS
+    ]
+    real = "where not (calendar = 'standard' and y = 1582 and m = 10 and d between 5 and 14)"
+    return f"select calendar, y, m, d, row_number() over (partition by calendar order by y, m, d) as n from ({' union all '.join(parts)}) {real}"
+
+
+@query(
+    "decode_calendar_epochs",
+    f"""
+with days as ({_day_table()}),
+epochs(e, y, m, d, us) as (values (0, 1, 1, 1, 0), (1, 2000, 2, 28, 21600000000), (2, 1582, 10, 4, 64800000000), (3, 1970, 12, 30, 64800000000)),
+names(c, calendar) as (values {", ".join(f"({i}, '{c}')" for i, c in enumerate(MODEL_CALENDARS))}),
+counted as (select event_id as event, event_id % 6 as c, event_id // 6 % 4 as e, (event_id * 7919 % {2 * REACH} - {REACH}) * 4 + event_id % 4 as quarters from events),
+placed as (
+  select event, calendar, quarters, z.n + (quarters * 21600000000 + us) // 86400000000 as n, (quarters * 21600000000 + us) % 86400000000 as us
+  from counted join names using (c) join epochs using (e) join days z using (calendar, y, m, d))
+select event, calendar, y::int as y, m::int as m, d::int as d, (((us + 86400000000) % 86400000000))::bigint as us, quarters * 6.0::double as hours
+from (select * replace (n - (us < 0)::int as n) from placed) join days using (calendar, n)""",
+)
+def decode_calendar_epochs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hours since epochs that differ by row, in each calendar, thousands of years to both sides, and back again."""
+    pick = lambda values, at: F.get(F.array(*[F.lit(v) for v in values]), at.cast("int"))
+    event = F.col("event_id")
+    quarters = (F.pmod(event * 7919, F.lit(2 * REACH)) - REACH) * 4 + F.pmod(event, F.lit(4))
+    events = table(spark, sf_dir, "events").select(
+        event.alias("event"), F.concat(F.lit("hours since "), pick(EPOCHS, F.pmod(idiv(event, 6), F.lit(4)))).alias("units"),
+        pick(MODEL_CALENDARS, F.pmod(event, F.lit(6))).alias("calendar"), (quarters * 6.0).alias("hours"),
+    )
+    out = []
+    for name in MODEL_CALENDARS:
+        dated = calendars.decode(events.filter(F.col("calendar") == name), "at", F.col("hours"), F.col("units"), name)
+        back = calendars.encode(dated, "hours", F.col("at"), F.col("units"), name)
+        out.append(back.select("event", "calendar", "at.y", "at.m", "at.d", "at.us", "hours"))
+    return reduce(DataFrame.unionByName, out)
+
+
 @query(
     "set_coords",
     """
