@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from math import ceil
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -135,10 +136,13 @@ LICENSE_SQL = f"""
     phrases(phrase, label, k) as (values {_values([(p, x, len(p.split())) for p, x in PHRASES.items()])}),
     places as (select doc_id, i, label from w, phrases, unnest(range(1, len(ws) - k + 2)) t(i) where array_to_string(ws[i:i + k - 1], ' ') = phrase),
     base as (select doc_id, count(*) as n, min(i) - 1 as first_word, max(i) - 1 as last_word, list(distinct label) as labels from places group by doc_id),
-    templates(id, label, words) as (values {", ".join(f"({i}, '{x}', {sorted(set(t.split()))!r})" for i, (x, t) in enumerate(TEMPLATES))}),
+    templates(id, label, words, width) as (values {", ".join(f"({i}, '{x}', {sorted(set(t.split()))!r}, {ceil(len(t.split()) / THRESHOLD - 1e-9)})" for i, (x, t) in enumerate(TEMPLATES))}),
     block as (select doc_id, unnest(string_split(regexp_replace(low, '[.!?]([ \\t\\n\\x0B\\f\\r])', chr(10) || '\\1', 'g'), chr(10))) as line from low),
     sets as (select doc_id, string_split_regex(line, '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') as own from block),
-    hits as (select doc_id, label, len(list_intersect(words, own)) / len(words) as share from sets, templates
+    likely as (select doc_id, ws, label, words, width from w, templates where len(list_intersect(words, ws)) >= {THRESHOLD} * len(words)),
+    runs as (select doc_id, label, words, ws[i:i + width - 1] as own from likely, unnest(range(1, len(ws) + 1)) t(i)),
+    blocks as (select doc_id, label, words, own from sets, templates union all select doc_id, label, words, own from runs),
+    hits as (select doc_id, label, len(list_intersect(words, own)) / len(words) as share from blocks
              where len(list_intersect(words, own)) >= {THRESHOLD} * len(words)),
     more as (select doc_id, list(distinct label) as labels, max(share) as best from hits group by doc_id)
     select w.doc_id, len(ws)::bigint as n_words, coalesce(n, 0) as n_base, first_word::bigint as first_word, last_word::bigint as last_word,

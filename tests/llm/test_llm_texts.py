@@ -9,6 +9,8 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 
 P = pytest.importorskip("public_tokenizers")
@@ -388,6 +390,29 @@ def test_wrapped_licenses(spark, rows):
     assert all(set(by_line[i]["labels"].split(",")) <= {"", *r["labels"].split(",")} and r["score"] >= by_line[i]["score"] for i, r in found.items())
 
 
+def test_sql_of_licenses_finds_wrapped_notices(spark, tmp_path):
+    """The SQL states lines and runs of words alike, so it agrees with the query where notices are wrapped, cut or mixed."""
+    from oracle import compare, connect
+
+    from fragcube.llm.queries import ORACLES, QUERIES
+
+    rng = random.Random(11)
+    texts = [None, "", "the MIT license. mit license", *WRAPPED.values(), *(" ".join(t.split()) for t in WRAPPED.values())]
+    for _ in range(60):
+        words = " ".join(rng.choices(list(WRAPPED.values()), k=2)).split()
+        for _ in range(rng.randrange(10)):
+            words[rng.randrange(len(words))] = rng.choice(["x", "the", "license.", "\n"])
+        texts.append("".join(w + rng.choice([" ", " ", " ", "\n"]) for w in words[rng.randrange(12) :]))
+    pa_table = pa.table({"doc_id": list(range(len(texts))), "text": pa.array(texts, pa.string())})
+    pq.write_table(pa_table, tmp_path / "documents.parquet")
+    df = QUERIES["op4_license_scan"](spark, str(tmp_path))
+    cursor = connect(str(tmp_path)).execute(ORACLES["op4_license_scan"])
+    columns = [d[0] for d in cursor.description]
+    assert compare(df.columns, [tuple(r) for r in df.collect()], columns, cursor.fetchall()) is None
+    by_line = {r["doc_id"]: r["labels"] for r in licenses.scan(spark.read.parquet(str(tmp_path / "documents.parquet"))).collect()}
+    assert sum(by_line[r["doc_id"]] != r["labels"] for r in df.collect()) >= 5  # runs add to what lines find
+
+
 def located_by_hand(url):
     if url is None or "://" not in url:
         return "", ""
