@@ -162,15 +162,15 @@ select page_id as frag_id, case when page_id % 4 = 0 then 0 when page_id % 4 = 1
 from pages""",
 )
 def resolve_location(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Three versions of each page, of which a different one is the first to exist."""
+    """Three versions of each page, of which a different one is the first to exist; pages may share a url, so each has its own listing."""
     pages = table(spark, sf_dir, "pages")
     name = F.concat(F.col("page_id").cast("string"), F.lit(".html"))
     cache, mirror = F.concat(F.lit("cache/"), name), F.concat(F.lit("../mirror/"), name)
     versions = pages.select(F.col("page_id").alias("frag_id"), F.array("url", cache, mirror).alias("uris"))
     absolute = {0: F.col("url"), 1: F.concat(F.lit("/data/set/cache/"), name), 2: F.concat(F.lit("/data/mirror/"), name)}
     first = F.col("page_id") % 4
-    present = F.array(*[F.when(first <= v, p) for v, p in absolute.items()])
-    listing = pages.select(F.explode(present).alias("path")).filter("path is not null")
+    present = F.array(*[F.when(first.between(0, v), p) for v, p in absolute.items()])
+    listing = pages.select(F.col("page_id").alias("frag_id"), F.explode(present).alias("path")).filter("path is not null")
     return decode.resolve_locations(versions, listing, "/data/set")
 
 

@@ -3,18 +3,23 @@
 import datetime
 from dataclasses import replace
 
+import duckdb
 import numpy as np
 import pytest
 from grids import fragments_of, to_array
+from oracle import compare
 from pyspark.sql import functions as F
 
 from fragcube import FragmentSet, build_manifest, open_dataset, write_manifest
 from fragcube.model import Block, FragmentError
 from fragcube.operators import decode
 from fragcube.plans.instructions import Instructions, constant_cells, decode_instructions, to_instructions
+from fragcube.plans.registry import ORACLES, QUERIES
 from fragcube.session import scratch_path
 from fragcube.sources.decoder import read_with
 
+import __spark_entry__  # noqa: F401  (registers the queries)
+
 WORKED = {  # the worked example of the conventions: sizes per dimension, padded
     "level": [17, None, None], "latitude": [90, 45, 45], "longitude": [180, 180, None],
 }
@@ -83,6 +88,17 @@ def test_versions_pick_the_first_that_exists(spark):
     assert got == {"a": (1, "/r/x/2"), "b": (1, "/r/x/3"), "c": (None, None)}
 
 
+def test_pages_that_share_a_url_keep_their_own_version(spark, tmp_path):
+    pages = [(0, "http://a/x"), (1, "http://a/x"), (2, "http://a/x"), (3, "http://a/x"), (4, "http://a/y"), (-3, "http://a/y"), (None, "http://a/x")]
+    spark.createDataFrame(pages, "page_id long, url string").coalesce(1).write.parquet(str(tmp_path / "pages.parquet"))
+    con = duckdb.connect()
+    con.execute(f"create view pages as select * from read_parquet('{tmp_path}/pages.parquet/*.parquet')")
+    cursor = con.execute(ORACLES["resolve_location"])
+    df = QUERIES["resolve_location"](spark, str(tmp_path))
+    got = [tuple(r) for r in df.collect()]
+    assert compare(df.columns, got, [d[0] for d in cursor.description], cursor.fetchall()) is None and (1, 1, "/data/set/cache/1.html") in got
+
+
 def test_groups(spark):
     members = spark.createDataFrame(
         [("/", 0, "var", "p", "root"), ("/a", 1, "var", "p", "a"), ("/a/b", 2, "var", "q", "b"), ("/", 0, "attr", "title", "root"),
