@@ -79,14 +79,18 @@ def unit_maps(frag_units: DataFrame, target: str) -> DataFrame:
     }).drop("_f", "_o", "kind")
 
 
-def conform_units(cells: DataFrame, value: str, frag_units: DataFrame, target: str, n_frags: int, spread: list[Column]) -> DataFrame:
+def conform_units(
+    cells: DataFrame, value: str, frag_units: DataFrame, target: str, n_frags: int, spread: list[Column], strict: bool = True
+) -> DataFrame:
     """``value`` of each fragment in the target unit; a cell of a fragment whose unit cannot be converted is an error.
 
-    A fragment without a unit has the target's.
+    Unless ``strict`` such a cell stays, with NULL for its value.  A fragment without
+    a unit has the target's.
     """
     joined = lookup_join(cells, unit_maps(frag_units, target), ["frag_id"], n_frags, spread, how="left")
     wrong = F.raise_error(F.concat(F.lit("fragment "), F.col("frag_id"), F.lit(": no conversion from "), F.col("units"), F.lit(f" to {target}")))
-    converted = F.when(F.col("units").isNull(), F.col(value)).when(F.col("factor").isNull(), wrong).otherwise(F.col(value) * F.col("factor") + F.col("offset"))
+    unfit = wrong if strict else F.lit(None).cast("double")
+    converted = F.when(F.col("units").isNull(), F.col(value)).when(F.col("factor").isNull(), unfit).otherwise(F.col(value) * F.col("factor") + F.col("offset"))
     return joined.withColumn(value, converted).drop("units", "factor", "offset")
 
 

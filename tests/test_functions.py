@@ -8,8 +8,11 @@ from pyspark.sql import functions as F
 from fragcube.functions import calendars, cf, text
 from fragcube.functions.axis import bound_key, idiv, start_key
 from fragcube.operators import array, decode
+from fragcube.plans.registry import QUERIES
 from fragcube.session import scratch_root
 
+import __spark_entry__  # noqa: F401  (registers the queries)
+
 
 def one(spark, col, **values):
     df = spark.range(1).select(*[F.lit(v).alias(k) for k, v in values.items()] or [F.lit(0).alias("_")])
@@ -78,6 +81,19 @@ def test_units(spark):
     assert {r["frag_id"] for r in cf.unit_violations(bad, "K").collect()} == {"c", "d"}
 
 
+def test_cells_without_a_conversion_stay(spark):
+    cells = spark.createDataFrame([("a", 1.0), ("b", 2.0), ("b", 3.0), ("c", 4.0)], "frag_id string, v double")
+    units = spark.createDataFrame([("a", "degC"), ("b", "m s-1"), ("c", None)], "frag_id string, units string")
+    got = cf.conform_units(cells, "v", units, "K", 3, [F.lit(0)], strict=False).collect()
+    assert sorted((r["frag_id"], r["v"]) for r in got if r["v"] is not None) == [("a", 274.15), ("c", 4.0)]
+    assert [r["frag_id"] for r in got if r["v"] is None] == ["b", "b"]
+
+
+def test_conform_units_has_a_row_per_event(spark, sf_dir):
+    got = QUERIES["conform_units"](spark, sf_dir)
+    assert got.count() == spark.read.parquet(f"{sf_dir}/events.parquet").count() and got.filter("value is null").count() > 0
+
+
 @pytest.mark.parametrize("text,powers,factor", [
     ("W m-2 K-1", (0, 1, -3, -1, 0, 0, 0, 0), 1.0), ("W/(m2)", None, None), ("kg*m/s**2", (1, 1, -2, 0, 0, 0, 0, 0), 1.0), ("1e-3 kg", (0, 1, 0, 0, 0, 0, 0, 0), 1e-3),
     ("ug m-3", (-3, 1, 0, 0, 0, 0, 0, 0), 1e-9), ("cd sr", (0, 0, 0, 0, 0, 0, 1, 2), 1.0), ("100 m2", (2, 0, 0, 0, 0, 0, 0, 0), 100.0), ("degC2", None, None), ("m^", None, None),
