@@ -104,22 +104,33 @@ def exists(y: Column, m: Column, d: Column, calendar: str) -> Column:
 
 
 #: Columns that exist while a table passes.
-OWN = [f"_calendar_{k}" for k in ("y", "m", "d", "clock", "unit", "epoch", "days", "us", "number")]
-Y, M, D, CLOCK, UNIT, EPOCH_DAY, DAYS, US, NUMBER = OWN
+OWN = [f"_calendar_{k}" for k in ("parts", "y", "m", "d", "clock", "unit", "epoch", "days", "us", "number")]
+PARTS, Y, M, D, CLOCK, UNIT, EPOCH_DAY, DAYS, US, NUMBER = OWN
+#: Between the parts of an epoch; text that has it is no epoch.
+BREAK = "\u0001"
 
 
 def _with_epoch(df: DataFrame, units: Column, calendar: str) -> DataFrame:
-    """Microseconds of the unit, number of the epoch's day, and microseconds in that day, zone undone."""
-    part = lambda i, to: F.regexp_extract(units, EPOCH, i).try_cast(to)
+    """Microseconds of the unit, number of the epoch's day, and microseconds in that day, zone undone.
+
+    The pattern is matched once a row: its groups become a list.  Empty ones are not
+    cast, as a cast that fails is slow even where it gives NULL.
+    """
+    groups = F.lit(BREAK.join(f"${i}" for i in range(1, 11)))
+    split = df.withColumn(PARTS, F.split(F.regexp_replace(F.replace(units, F.lit(BREAK), F.lit("?")), F.lit(EPOCH), groups), BREAK))
+    matched = F.size(PARTS) == 10
+    text = lambda i: F.get(F.col(PARTS), F.lit(i - 1))
+    part = lambda i, to: F.when(matched & (text(i) != ""), text(i).try_cast(to))
     hour, minute, zone_hour, zone_minute = (F.coalesce(part(i, "long"), F.lit(0)) for i in (5, 6, 9, 10))
     second = F.coalesce(F.round(part(7, "double") * 1_000_000).cast("long"), F.lit(0))
-    west = F.when(F.regexp_extract(units, EPOCH, 8) == "-", 1).otherwise(-1)
+    west = F.when(matched & (text(8) == "-"), 1).otherwise(-1)
     fine = (hour < 24) & (minute < 60) & (second < 60_000_000)
     wrong = F.raise_error(F.concat(F.lit(f"no time of the calendar {calendar}: "), units)).cast("long")
-    read = df.withColumns({
+    unit = F.when(matched, text(1)).otherwise(F.regexp_extract(units, r"^\s*(\w+)", 1))
+    read = split.withColumns({
         Y: part(2, "long"), M: part(3, "long"), D: part(4, "long"),
         CLOCK: F.when(units.isNull(), None).when(fine, (hour * 60 + minute + west * (zone_hour * 60 + zone_minute)) * 60_000_000 + second).otherwise(wrong),
-        UNIT: known_unit_us(F.when(units.isNotNull(), F.regexp_extract(units, r"^\s*(\w+)", 1))),
+        UNIT: known_unit_us(F.when(units.isNotNull(), unit)),
     })
     is_date = exists(F.col(Y), F.col(M), F.col(D), calendar)
     number = F.when(units.isNull(), None).when(F.coalesce(is_date, F.lit(False)), day_number(F.col(Y), F.col(M), F.col(D), calendar)).otherwise(wrong)

@@ -122,7 +122,8 @@ def concat_characters(cells: DataFrame, keys: list[str], position: str, char: st
 
 
 def _unit_us(unit: Column) -> Column:
-    plural = F.concat(F.regexp_replace(F.lower(unit), "s$", ""), F.lit("s"))
+    lower = F.lower(unit)
+    plural = F.when(lower.endswith("s"), lower).otherwise(F.concat(lower, F.lit("s")))
     return F.when(F.trim(unit) != "", _lookup(plural, MICROSECONDS)).cast("long")
 
 

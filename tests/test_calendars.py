@@ -85,3 +85,14 @@ def test_real_days_in_other_calendars(spark):
     assert at(0, "days since 1917-10-25", "julian") == datetime.datetime(1917, 11, 7)
     with pytest.raises(ValueError):
         at(0, "days since 2000-01-01", "noleap")
+
+
+def test_the_pattern_of_an_epoch_is_matched_once(spark):
+    epochs = ["days since 2000-02-28", "hours since 2000-02-28 06:00", "hours since 2000-02-28 06:00:00.5 -06:30", "\u0001" * 9, None]
+    df = spark.createDataFrame([(i, u) for i, u in enumerate(epochs)], "i int, units string")
+    out = calendars.decode(df.filter("i <> 3"), "at", F.lit(24.0), F.col("units"), "noleap")
+    assert out._jdf.queryExecution().optimizedPlan().toString().count(calendars.EPOCH[:12]) == 1
+    got = {r["i"]: r["at"] and tuple(r["at"]) for r in out.collect()}
+    assert got == {0: (2000, 3, 24, 0), 1: (2000, 3, 1, 21_600_000_000), 2: (2000, 3, 1, 45_000_500_000), 4: None}
+    with pytest.raises(Exception, match="no time of the calendar|not a unit of time"):
+        calendars.decode(df.filter("i = 3"), "at", F.lit(24.0), F.col("units"), "noleap").collect()
