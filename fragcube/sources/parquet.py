@@ -24,9 +24,12 @@ def write_fragments(block: Block, path: str) -> None:
     """Store a block with one ``frag_id=`` folder per fragment.
 
     Rows gather by fragment through a rebalance, which adaptive execution
-    splits where one fragment is huge and merges where many are tiny.
+    splits where one fragment is huge and merges where many are tiny.  Tasks move
+    their own files into place, as the driver would take folder after folder; a
+    write that fails raises and leaves no ``_SUCCESS``.
     """
-    block.cells.hint("rebalance", "frag_id").write.partitionBy("frag_id").parquet(path)
+    rows = block.cells.hint("rebalance", "frag_id").write.option("mapreduce.fileoutputcommitter.algorithm.version", "2")
+    rows.partitionBy("frag_id").parquet(path)
 
 
 def has_two(cells: DataFrame) -> bool:
@@ -59,10 +62,14 @@ def open_fragments(
 
 
 def _read_folders(spark: SparkSession, base: str, paths: list[str]) -> DataFrame:
-    """Cells with ``frag_id`` as the text of its folder; types guessed from names would make ``007`` a 7."""
-    reader = spark.read.option("basePath", base)
-    guessed = reader.parquet(*paths).schema
-    fields = [StructField(f.name, StringType() if f.name == "frag_id" else f.dataType, f.nullable, f.metadata) for f in guessed]
+    """Cells with ``frag_id`` as the text of its folder; types guessed from names would make ``007`` a 7.
+
+    The folders are listed again only where the guess was not text.
+    """
+    guessed = spark.read.option("basePath", base).parquet(*paths)
+    if "frag_id" not in guessed.columns or guessed.schema["frag_id"].dataType == StringType():
+        return guessed
+    fields = [StructField(f.name, StringType() if f.name == "frag_id" else f.dataType, f.nullable, f.metadata) for f in guessed.schema]
     return spark.read.option("basePath", base).schema(StructType(fields)).parquet(*paths)
 
 

@@ -197,3 +197,19 @@ def test_declared_dimensions_read_fewer_coordinates(spark, stored):
     )
     scans = [s for s in scan_metrics(spark, declared.coords.filter("dim = 'x'")) if "c_x" in s[0]]
     assert scans[0][1] == 2  # of 40 fragments
+
+
+def test_folders_with_text_names_are_listed_once(spark, tmp_path):
+    from fragcube.sources import parquet
+
+    def jobs(names):
+        base = str(tmp_path / names[0])
+        rows = [(n, 0, float(i)) for i, n in enumerate(names)]
+        spark.createDataFrame(rows, "frag_id string, l_x long, v double").coalesce(1).write.partitionBy("frag_id").parquet(base)
+        spark.sparkContext.setJobGroup(base, "listing")
+        cells = parquet._read_folders(spark, base, [f"{base}/frag_id=*"])
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        assert sorted(r["frag_id"] for r in cells.select("frag_id").collect()) == sorted(names)
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(base))
+
+    assert jobs([f"a{i}" for i in range(40)]) < jobs([f"{i:03d}" for i in range(40)])
