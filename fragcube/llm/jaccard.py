@@ -10,7 +10,10 @@ demands.  Surviving pairs are verified on the shingles themselves.
 So that no task has to hold all points, they first fall into blocks: two sets
 that are similar enough share one of their first shingles under any order that
 all documents agree on (frequent shingles last, else by hash), if "first" means
-as many as may differ plus one.  Blocks with equal members are one block;
+as many as may differ plus one.  Blocks with equal members are one block, and a
+block whose members all have the same larger block as their largest is left out, as
+the larger one holds all its pairs (a passage that some documents share gives one
+such block within another for each of its shingles);
 a block of more than ``TILE`` members is split into pairs of tiles.
 
 1. One scan finds the sets' digests, points and locally frequent shingles;
@@ -19,8 +22,9 @@ a block of more than ``TILE`` members is split into pairs of tiles.
 3. The R-tree runs in every block on points alone; members without a possible
    partner leave.
 4. Texts of members are sent to the largest block of each, verified there, and
-   components found.  In blocks that still span several components, members
-   with a possible partner in another component are found again, and sent, once
+   components found.  Of blocks that still span several components, members with
+   another largest block than most visit that one; those with a possible partner in
+   another component are found there, and sent, once
    each, to the larger of the two components, where these pairs are verified.
 
 Tasks return links that connect what they found connected, not all pairs.  A
@@ -33,17 +37,18 @@ and sets are compared by 64- and 128-bit hashes.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fragcube.llm.components import components
 from fragcube.llm.substring import bitmap, bits_for
-from fragcube.llm.text import Rolling, WordHash, doc_text, map_arrow, mix, signed
-from fragcube.session import materialise
+from fragcube.llm.text import Rolling, doc_text, map_arrow, mix, signed, word_hashes
+from fragcube.session import BROADCAST_ROWS, materialise, within
 
 WIDTH = 5
 #: Similarity, in percent.
@@ -52,6 +57,8 @@ GROUPS = 256
 #: Large sets are counted in up to so many finer groups, about two shingles each; these refine the bound of the tree.
 FINEST = 1 << 14
 TILE = 4096
+#: Bytes of text whose words are hashed together.
+PIECE = 1 << 18
 LEAF = 16
 #: A shingle in this share of the documents counts as frequent.  It only changes the order of shingles.
 FREQUENT = 1 / 2000
@@ -61,26 +68,59 @@ FREQUENT_MOST = 1 << 17
 
 class Shingler:
     def __init__(self, width: int = WIDTH) -> None:
-        self.width, self.words, self.rolling = width, WordHash(), Rolling()
-
-    def of(self, text: bytes | None) -> np.ndarray:
-        """Sorted hashes of the distinct shingles."""
-        words = (text or b"").lower().split()
-        if not words:
-            return np.zeros(0, np.uint64)
-        h = self.words.of(words)
-        if len(words) < self.width:
-            p = self.rolling.prefix(h)
-            return mix(self.rolling.runs(p, np.zeros(1, np.int64), np.array([len(h)])) + np.uint64(len(h)))
-        return np.unique(self.rolling.windows(h, self.width))
-
-
-def digests(shingles: np.ndarray) -> tuple[int, int]:
-    """Two independent hashes of a set, as signed longs."""
-    if not len(shingles):
-        return 0, 0
-    two = np.array([mix(shingles).sum(dtype=np.uint64), mix(~shingles ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64)])
-    return tuple(signed(mix(two + np.uint64(len(shingles)))).tolist())
+        self.width, self.rolling = width, Rolling()
+
+    def of(self, texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
+        """Sorted hashes of the distinct shingles of each text, one text's after the other's, and where each begins (one more at the end)."""
+        values, sizes = [], []
+        for some in pieces(texts):
+            v, n = self._piece(some)
+            values.append(v)
+            sizes.append(n)
+        return np.concatenate([np.zeros(0, np.uint64), *values]), np.cumsum(np.concatenate([np.zeros(1, np.int64), *sizes]))
+
+    def _piece(self, texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
+        h, first = word_hashes(texts)
+        n = np.diff(first)
+        p = self.rolling.prefix(h)
+        many = np.where(n >= self.width, n - self.width + 1, np.minimum(n, 1))
+        begin = np.cumsum(many) - many
+        start = np.repeat(first[:-1] - begin, many) + np.arange(many.sum())
+        s = self.rolling.runs(p, start, np.minimum(start + self.width, np.repeat(first[1:], many)))
+        short = np.flatnonzero((n > 0) & (n < self.width))
+        s[begin[short]] = mix(s[begin[short]] + n[short].astype(np.uint64))
+        for lo, hi in zip(begin.tolist(), (begin + many).tolist()):
+            s[lo:hi].sort()
+        new = np.ones(len(s), bool)
+        new[1:] = s[1:] != s[:-1]
+        new[begin[many > 0]] = True
+        return s[new], np.bincount(np.repeat(np.arange(len(texts)), many)[new], minlength=len(texts))
+
+
+def pieces(texts: list[bytes | None]) -> Iterator[list[bytes | None]]:
+    """The texts in runs of about ``PIECE`` bytes, whose arrays stay in a core's cache."""
+    lo = room = 0
+    for i, text in enumerate(texts):
+        room += len(text or b"")
+        if room > PIECE:
+            yield texts[lo : i + 1]
+            lo, room = i + 1, 0
+    if lo < len(texts):
+        yield texts[lo:]
+
+
+def cut(values: np.ndarray, first: np.ndarray) -> list[np.ndarray]:
+    edges = first.tolist()
+    return [values[lo:hi] for lo, hi in zip(edges, edges[1:])]
+
+
+def digests(values: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Two independent hashes of each set, as signed longs (2 x sets); zeros for empty sets."""
+    n, out = np.diff(first), []
+    for each in (mix(values), mix(~values ^ np.uint64(0x5851F42D4C957F2D))):
+        total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(each, dtype=np.uint64)])
+        out.append(np.where(n > 0, mix(total[first[1:]] - total[first[:-1]] + n.astype(np.uint64)), np.uint64(0)))
+    return signed(np.stack(out))
 
 
 def point(shingles: np.ndarray) -> bytes | None:
@@ -97,6 +137,18 @@ def coarse(fine: bytes | None) -> bytes | None:
     return None if fine is None else folded(np.frombuffer(fine, np.uint8), GROUPS).astype(np.uint8).tobytes()
 
 
+def packed(counts: bytes | None) -> bytes | None:
+    """A point as it is stored and sent: most counts are small, so a Huffman code takes a third or half."""
+    if counts is None:
+        return None
+    coder = zlib.compressobj(1, zlib.DEFLATED, -15, 8, zlib.Z_HUFFMAN_ONLY)
+    return coder.compress(counts) + coder.flush()
+
+
+def unpacked(points: pa.ChunkedArray) -> list[bytes | None]:
+    return [p and zlib.decompress(p, -15) for p in points.to_pylist()]
+
+
 def folded(counts: np.ndarray, groups: int) -> np.ndarray:
     return counts.reshape(groups, -1).sum(axis=1, dtype=np.int64)
 
@@ -106,13 +158,17 @@ def required(a, b):
     return -(-PERCENT * (a + b) // (100 + PERCENT))
 
 
-def first_shingles(shingles: np.ndarray, frequent: np.ndarray) -> np.ndarray:
-    n = len(shingles)
-    k = n - -(-PERCENT * n // 100) + 1
-    if len(frequent) and n:
-        late = frequent[np.minimum(np.searchsorted(frequent, shingles), len(frequent) - 1)] == shingles
-        shingles = np.concatenate([shingles[~late], shingles[late]])
-    return shingles[:k]
+def first_shingles(values: np.ndarray, first: np.ndarray, frequent: np.ndarray) -> np.ndarray:
+    """Which of the sets' shingles are among the first of their set, in which the frequent ones come last."""
+    n = np.diff(first)
+    early = np.ones(len(values), bool)
+    if len(frequent):
+        early = frequent[np.minimum(np.searchsorted(frequent, values), len(frequent) - 1)] != values
+    before = np.concatenate([np.zeros(1, np.int64), np.cumsum(early)])
+    own = before[:-1] - np.repeat(before[first[:-1]], n)  # early ones of the set before each
+    place = np.arange(len(values)) - np.repeat(first[:-1], n)
+    rank = np.where(early, own, np.repeat(before[first[1:]] - before[first[:-1]], n) + place - own)
+    return rank < np.repeat(n - -(-PERCENT * n // 100) + 1, n)
 
 
 def sets_of(docs: DataFrame) -> DataFrame:
@@ -121,20 +177,16 @@ def sets_of(docs: DataFrame) -> DataFrame:
     def run(batches):
         shingler = Shingler()
         for b in batches:
-            rows = {k: [] for k in ("n_shingles", "id", "id2", "fine", "point", "often", "often_n")}
-            all_sets = []
-            for text in b.column("text").to_pylist():
-                s = shingler.of(text)
-                id1, id2 = digests(s)
-                fine = point(s)
-                for k, v in zip(rows, (len(s), id1, id2, fine, coarse(fine), None, None)):
-                    rows[k].append(v)
-                all_sets.append(s)
-            if all_sets:
-                values, counts = np.unique(np.concatenate(all_sets), return_counts=True)
-                many = counts >= max(4, FREQUENT / 2 * len(all_sets))
-                rows["often"][0], rows["often_n"][0] = signed(values[many]), counts[many]
-            yield {"doc_id": b.column("doc_id"), **rows}
+            values, first = shingler.of(b.column("text").to_pylist())
+            id1, id2 = digests(values, first)
+            fine = [point(s) for s in cut(values, first)]
+            rows = {"n_shingles": np.diff(first), "id": id1, "id2": id2, "fine": [packed(p) for p in fine], "point": [packed(coarse(p)) for p in fine]}
+            often, often_n = ([None] * b.num_rows for _ in range(2))
+            if b.num_rows:
+                values, counts = np.unique(values, return_counts=True)
+                many = counts >= max(4, FREQUENT / 2 * b.num_rows)
+                often[0], often_n[0] = signed(values[many]), counts[many]
+            yield {"doc_id": b.column("doc_id"), **rows, "often": often, "often_n": often_n}
 
     ddl = "doc_id long, n_shingles long, id long, id2 long, fine binary, point binary, often array<long>, often_n array<long>"
     return map_arrow(doc_text(docs), run, ddl)
@@ -148,22 +200,19 @@ def frequent_shingles(sets: DataFrame, n_docs: int) -> np.ndarray:
 
 
 def blocks_of(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
-    """Distinct ``b1``, ``b2`` (a block) and ``id`` (a member), for blocks of two or more classes."""
+    """Distinct ``b1``, ``b2`` (a block), ``m`` (its members) and ``id`` (one of them), for blocks of two or more classes."""
     late = docs.sparkSession.sparkContext.broadcast(frequent)  # FREQUENT_MOST numbers at most
 
     def emit(batches):
         shingler = Shingler()
         for b in batches:
-            seen, keys, ids = set(), [], []
-            for text in b.column("text").to_pylist():
-                s = shingler.of(text)
-                d = digests(s)
-                if len(s) and d not in seen:
-                    seen.add(d)
-                    keys.append(first_shingles(s, late.value))
-                    ids.append(np.full(len(keys[-1]), d[0], np.int64))
-            if keys:
-                yield {"key": signed(np.concatenate(keys)), "id": np.concatenate(ids)}
+            values, first = shingler.of(b.column("text").to_pylist())
+            both = digests(values, first)
+            new = np.zeros(b.num_rows, bool)
+            new[np.unique(both, axis=1, return_index=True)[1]] = True
+            chosen = first_shingles(values, first, late.value) & np.repeat(new, np.diff(first))
+            if chosen.any():
+                yield {"key": signed(values[chosen]), "id": np.repeat(both[0], np.diff(first))[chosen]}
 
     def meet(batches):
         held = [(b.column("key").to_numpy(), b.column("id").to_numpy()) for b in batches]
@@ -188,19 +237,29 @@ def blocks_of(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
             several = several[np.append(True, ~same)]
         sizes = sizes[several]
         at = np.repeat(starts[several], sizes) + np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-        yield {"b1": signed(np.repeat(b1[several], sizes)), "b2": signed(np.repeat(b2[several], sizes)), "id": ids[at]}
+        yield {"b1": signed(np.repeat(b1[several], sizes)), "b2": signed(np.repeat(b2[several], sizes)), "m": np.repeat(sizes, sizes), "id": ids[at]}
 
     rows = map_arrow(doc_text(docs), emit, "key long, id long").repartition("key")
-    stored = materialise(map_arrow(rows, meet, "b1 long, b2 long, id long").distinct(), "blocks")
+    stored = materialise(map_arrow(rows, meet, "b1 long, b2 long, m long, id long").distinct(), "blocks")
     late.destroy()
     return stored
 
 
+def outermost(found: DataFrame) -> DataFrame:
+    """The blocks without those whose members all have one other block as their largest: it holds them all."""
+    largest = F.max(F.struct("m", "b1", "b2")).over(Window.partitionBy("id"))
+    ends = found.withColumn("x", largest).groupBy("b1", "b2").agg(F.min("x").alias("lo"), F.max("x").alias("hi"))
+    inner = ends.filter("lo = hi and (lo.b1 <> b1 or lo.b2 <> b2)").select("b1", "b2")
+    return found.join(inner, ["b1", "b2"], "left_anti")
+
+
 def tiles(members: DataFrame) -> DataFrame:
-    """Adds ``tile``: blocks above ``TILE`` members become all pairs of their tiles, others stay whole."""
-    sizes = members.groupBy("b1", "b2").agg(F.ceil(F.count(F.lit(1)) / TILE).cast("int").alias("parts"))
+    """Adds ``tile``: blocks above ``TILE`` members become all pairs of their tiles, others stay whole.  ``m``, if there, is the size of the block."""
+    if "m" not in members.columns:
+        members = members.join(members.groupBy("b1", "b2").agg(F.count(F.lit(1)).alias("m")), ["b1", "b2"])
+    split = members.withColumn("parts", F.ceil(F.col("m") / TILE).cast("int")).drop("m")
     own = F.pmod(F.xxhash64("id"), F.col("parts")).cast("int")
-    split = members.join(sizes, ["b1", "b2"]).withColumn("own", own).withColumn("other", F.explode(F.expr("sequence(0, parts - 1)")))
+    split = split.withColumn("own", own).withColumn("other", F.explode(F.expr("sequence(0, parts - 1)")))
     return split.withColumn("tile", F.least("own", "other") * F.col("parts") + F.greatest("own", "other")).drop("own", "other", "parts")
 
 
@@ -287,7 +346,7 @@ def hopeful(members: DataFrame, points: DataFrame) -> DataFrame:
         for g in groups(batches, BLOCK):
             ids = g.column("doc").to_numpy()
             keep = np.zeros(len(ids), bool)
-            for i, after in possible(g.column("point").to_pylist(), g.column("n").to_numpy()):
+            for i, after in possible(unpacked(g.column("point")), g.column("n").to_numpy()):
                 if len(after):
                     keep[i] = True
                     keep[after] = True
@@ -304,19 +363,42 @@ def hopeful(members: DataFrame, points: DataFrame) -> DataFrame:
     return map_arrow(rows, run, "b1 long, b2 long, id long").distinct()
 
 
+def unsettled(members: DataFrame, once: DataFrame, labels: DataFrame) -> DataFrame:
+    """Blocks (``b1, b2``) of docs, with ``part`` and ``home``, in which all pairs of members meet that may link components.
+
+    Pairs with one home (the block where a doc was verified) are settled.  The members of a block that have another home
+    than most of it visit that home, where they meet the others: a visit is one row however many blocks call for it.
+    Among themselves they meet in what is left of the block.
+    """
+    homes = once.select("doc", F.struct(F.col("b1").alias("h1"), F.col("b2").alias("h2")).alias("home"))
+    homes = homes.join(labels.withColumnRenamed("node", "doc"), "doc", "left").select("doc", "home", F.coalesce("component", "doc").alias("part"))
+    labelled = members.join(homes, "doc")
+
+    def several(rows: DataFrame, *more) -> DataFrame:
+        ends = (f(c).alias(f"{n}_{c}") for c in ("part", "home") for n, f in (("lo", F.min), ("hi", F.max)))
+        return rows.groupBy("b1", "b2").agg(*ends, *more).filter("lo_part < hi_part and lo_home < hi_home").drop("lo_part", "hi_part", "lo_home", "hi_home")
+
+    away = materialise(labelled.join(several(labelled, F.mode("home").alias("main")), ["b1", "b2"]).filter("home <> main"), "away")
+    visits = away.select(F.col("main.h1").alias("b1"), F.col("main.h2").alias("b2"), "doc").distinct()
+    residents = once.select("b1", "b2", "doc").join(visits.select("b1", "b2").distinct(), ["b1", "b2"], "left_semi")
+    among = away.select("b1", "b2", "doc").join(several(away), ["b1", "b2"], "left_semi")
+    return visits.unionByName(residents).unionByName(among).distinct().join(homes, "doc")
+
+
 def between(members: DataFrame) -> DataFrame:
     """Where to verify what lies between components: rows (``b1``, ``id``) for every member with a possible partner elsewhere.
 
-    ``members``: ``b1, b2, id, n, point, part, part_size``; the new ``b1`` is the larger component of a pair.
+    ``members``: ``b1, b2, id, n, point, part, part_size`` and the home (``h1, h2``), within which pairs are settled;
+    the new ``b1`` is the larger component of a pair.
     """
 
     def run(batches):
         out = {"b1": [], "id": []}
         for g in groups(batches, BLOCK):
-            ids, part, size = (g.column(c).to_numpy() for c in ("id", "part", "part_size"))
+            ids, part, size, h1, h2 = (g.column(c).to_numpy() for c in ("id", "part", "part_size", "h1", "h2"))
             found = set()
-            for i, after in possible(g.column("point").to_pylist(), g.column("n").to_numpy()):
-                after = after[part[after] != part[i]]
+            for i, after in possible(unpacked(g.column("point")), g.column("n").to_numpy()):
+                after = after[(part[after] != part[i]) & ((h1[after] != h1[i]) | (h2[after] != h2[i]))]
                 other = (size[after] > size[i]) | ((size[after] == size[i]) & (part[after] < part[i]))
                 for j, key in zip(after.tolist(), np.where(other, part[after], part[i]).tolist()):
                     found |= {(key, int(ids[i])), (key, int(ids[j]))}
@@ -331,15 +413,22 @@ def between(members: DataFrame) -> DataFrame:
     return map_arrow(rows, run, "b1 long, id long").distinct()
 
 
+def with_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows, with their ``text`` replaced by the bytes of its ``set``."""
+    shingler = Shingler()
+    for b in batches:
+        values, first = shingler.of(b.column("text").to_pylist())
+        yield b.drop_columns(["text"]).append_column("set", pa.array([s.tobytes() for s in cut(values, first)], pa.binary()))
+
+
 def verified(members: DataFrame, texts: DataFrame) -> DataFrame:
     """Links ``a``, ``b`` (doc_ids) that connect what is connected in each block (``b1, b2, id, doc, part``)."""
 
     def run(batches):
-        shingler = Shingler()
         out = {"a": [], "b": []}
-        for g in groups(batches, BLOCK):
+        for g in groups(with_sets(batches), BLOCK):
             doc, part = g.column("doc").to_pylist(), g.column("part").to_numpy()
-            sets = [shingler.of(t) for t in g.column("text").to_pylist()]
+            sets = [np.frombuffer(s, np.uint64) for s in g.column("set").to_pylist()]
             root = {p: p for p in part.tolist()}
 
             def find(x):
@@ -364,7 +453,10 @@ def verified(members: DataFrame, texts: DataFrame) -> DataFrame:
                 out = {"a": [], "b": []}
         yield out
 
-    rows = tiles(members).join(texts, "doc").repartition(*BLOCK).sortWithinPartitions(*BLOCK)
+    places = tiles(members)
+    if within(places, BROADCAST_ROWS):
+        places = F.broadcast(places)  # else texts are sent twice
+    rows = texts.join(places, "doc").repartition(*BLOCK).sortWithinPartitions(*BLOCK)
     return map_arrow(rows, run, "a long, b long")
 
 
@@ -397,7 +489,7 @@ def join(docs: DataFrame) -> DataFrame:
     n_docs = sets.count()
     classes = sets.filter("n_shingles > 0 and doc_id is not null").groupBy("id", "id2", "n_shingles").agg(F.min("doc_id").alias("doc"), F.first("fine").alias("fine"), F.first("point").alias("point"))
     classes = materialise(classes.withColumnRenamed("n_shingles", "n"), "classes")
-    found = blocks_of(docs, frequent_shingles(sets, n_docs))
+    found = outermost(blocks_of(docs, frequent_shingles(sets, n_docs)))
     # a member is a class; where two classes share the first digest both are members
     members = materialise(hopeful(found, classes.select("id", "n", "point", "doc")).withColumnRenamed("id", "doc"), "members")
     texts = texts_of(docs, members)
@@ -408,15 +500,13 @@ def join(docs: DataFrame) -> DataFrame:
     links = materialise(verified(once, texts), "links")
     labels = components(links)
 
-    labelled = members.join(labels.withColumnRenamed("node", "doc"), "doc", "left").withColumn("part", F.coalesce("component", "doc")).drop("component")
-    open_blocks = labelled.groupBy("b1", "b2").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).filter("lo < hi").select("b1", "b2")
     part_sizes = labels.groupBy(F.col("component").alias("part")).agg((F.count(F.lit(1)) + 1).alias("part_size"))
-    rest = labelled.join(open_blocks, ["b1", "b2"], "left_semi").join(classes.select("doc", "n", F.col("fine").alias("point")), "doc").join(part_sizes, "part", "left")
+    rest = unsettled(members, once, labels).join(classes.select("doc", "n", F.col("fine").alias("point")), "doc").join(part_sizes, "part", "left")
     # stored, as the sizes of blocks and the rows themselves are read from them
-    rest = between(materialise(rest.select("b1", "b2", F.col("doc").alias("id"), "n", "point", "part", F.coalesce("part_size", F.lit(1)).alias("part_size")), "open"))
+    rest = between(materialise(rest.select("b1", "b2", F.col("doc").alias("id"), "n", "point", "part", F.coalesce("part_size", F.lit(1)).alias("part_size"), "home.*"), "open"))
     rest = rest.withColumnRenamed("id", "doc").join(labels.withColumnRenamed("node", "doc"), "doc", "left")
     rest = materialise(rest.select("b1", F.lit(0).cast("long").alias("b2"), F.col("doc").alias("id"), "doc", F.coalesce("component", "doc").alias("part")), "rest")
-    more = materialise(verified(rest, texts), "links")
+    more = materialise(verified(rest, texts_of(texts.withColumnRenamed("doc", "doc_id"), rest)), "links")
     final = components(links.unionByName(more))
 
     keys = ["id", "id2", "n_shingles"]

@@ -1,6 +1,7 @@
 """Exact and near copies and repeated spans against brute force."""
 
 import hashlib
+import random
 import re
 from collections import Counter
 
@@ -78,6 +79,45 @@ def test_jaccard_with_tiles_and_frequent_shingles(docs, rows, monkeypatch):
     assert as_rows(jaccard.join(docs)) == components_by_hand(rows)
 
 
+def test_jaccard_sends_a_group_of_nearly_similar_documents_once(spark, monkeypatch):
+    """Copies with edits share many first shingles, and each of these gives another block of most of them."""
+    rng = random.Random(3)
+    rows = []
+    for group in range(3):
+        base = [f"w{rng.randrange(10**6)}" for _ in range(2000)]
+        for k in range(12):
+            words = list(base)
+            for place in rng.sample(range(2000), 21 if k < 2 else 25):  # beside the threshold on either side
+                words[place] = f"edit{group}x{k}"
+            rows.append((100 * group + k, " ".join(words)))
+    sent = Counter()
+
+    def counted(df, name, materialise=jaccard.materialise):
+        stored = materialise(df, name)
+        sent[name] += stored.count()
+        return stored
+
+    monkeypatch.setattr(jaccard, "materialise", counted)
+    want = components_by_hand(rows)
+    assert 3 < len({c for _, _, c in want}) < len(rows)
+    assert as_rows(jaccard.join(spark.createDataFrame(rows, "doc_id long, text string"))) == want
+    assert sent["open"] <= 3 * len(rows)
+
+
+def test_shingles_of_many_texts_at_once(rows, monkeypatch):
+    monkeypatch.setattr(jaccard, "PIECE", 300)
+    odd = [b"", None, b" \t\n", b"x" * 70 + b" " + b"x" * 71, b"a\x00 a", b"A b c D e " * 9, b"x" * 9 + b" " + b"x" * 16 + b" " + b"x" * 17]
+    texts = odd + [None if t is None else t.encode() for _, t, _ in rows]
+    plain = []
+    for t in texts:
+        words = (t or b"").lower().split()
+        plain.append({tuple(words[i : i + 5]) for i in range(max(len(words) - 4, 1))} if words else set())
+    sets = jaccard.cut(*jaccard.Shingler().of(texts))
+    assert [len(set(s.tolist())) for s in sets] == [len(s) for s in sets] == [len(p) for p in plain]
+    for a, p in zip(sets, plain):
+        assert [len(set(a.tolist()) & set(b.tolist())) for b in sets] == [len(p & q) for q in plain]
+
+
 def test_point_bounds_the_overlap():
     import numpy as np
 
