@@ -3,7 +3,7 @@
 Each round lets every node hand its larger neighbours to its smallest one, then
 its smaller neighbours to their smallest; the links of a component shrink to a
 star around its smallest node in a number of rounds that grows with the
-logarithm of its diameter.  Links stay a table, each round is written to the
+logarithm of its diameter.  Links stay a table, each round is one job that writes to the
 shared folder, and only a few sums per round reach the driver.
 """
 
@@ -12,11 +12,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fragcube.session import materialise
+from fragcube.session import materialise_observed
 
 
-def _signature(links: DataFrame) -> tuple:
-    return tuple(links.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")), F.bit_xor(F.xxhash64("b", "a"))).first())
+def _stored(links: DataFrame) -> tuple[DataFrame, dict]:
+    """The links, stored, and a signature of them, taken on the way."""
+    sums = F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("sum"), F.bit_xor(F.xxhash64("b", "a")).alias("xor")
+    return materialise_observed(links, "links", *sums)
 
 
 def _large_star(links: DataFrame) -> DataFrame:
@@ -38,11 +40,9 @@ def components(links: DataFrame) -> DataFrame:
     ``links``: two long columns ``a`` and ``b``; nulls and loops are ignored.
     """
     ends = links.filter("a is not null and b is not null and a <> b")
-    current = materialise(ends.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links")
-    seen = _signature(current)
-    while seen[0]:
-        current = materialise(_small_star(_large_star(current)), "links")
-        now = _signature(current)
+    current, seen = _stored(ends.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
+    while seen["n"]:
+        current, now = _stored(_small_star(_large_star(current)))
         if now == seen:
             break
         seen = now

@@ -47,7 +47,7 @@ from pyspark.sql import functions as F
 
 from fragcube.llm.components import components
 from fragcube.llm.substring import bitmap, bits_for
-from fragcube.llm.text import Rolling, doc_text, map_arrow, mix, signed, word_hashes
+from fragcube.llm.text import Rolling, doc_text, map_arrow, mix, portions, signed, word_hashes
 from fragcube.session import BROADCAST_ROWS, materialise, within
 
 WIDTH = 5
@@ -171,25 +171,38 @@ def first_shingles(values: np.ndarray, first: np.ndarray, frequent: np.ndarray)
     return rank < np.repeat(n - -(-PERCENT * n // 100) + 1, n)
 
 
-def sets_of(docs: DataFrame) -> DataFrame:
-    """Per document: set size, digests and point; on the first row of a batch also what is frequent in the batch."""
+def commonest(values: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers that come at least ``least`` times (2 or more), and how often; sorts ``values`` in place."""
+    values.sort()
+    ends = values[least - 1 :][values[least - 1 :] == values[: max(0, len(values) - least + 1)]]
+    often = np.unique(ends)
+    return often, np.searchsorted(values, often, side="right") - np.searchsorted(values, often)
 
-    def run(batches):
-        shingler = Shingler()
-        for b in batches:
-            values, first = shingler.of(b.column("text").to_pylist())
+
+def described(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    """Set size, digests and point of every text; the shingles of a batch are only held to count the frequent ones."""
+    shingler = Shingler()
+    for b in batches:
+        held = []
+        at = 0
+        for some in portions([b]):
+            at += some.num_rows
+            values, first = shingler.of(some.column("text").to_pylist())
             id1, id2 = digests(values, first)
             fine = [point(s) for s in cut(values, first)]
             rows = {"n_shingles": np.diff(first), "id": id1, "id2": id2, "fine": [packed(p) for p in fine], "point": [packed(coarse(p)) for p in fine]}
-            often, often_n = ([None] * b.num_rows for _ in range(2))
-            if b.num_rows:
-                values, counts = np.unique(values, return_counts=True)
-                many = counts >= max(4, FREQUENT / 2 * b.num_rows)
-                often[0], often_n[0] = signed(values[many]), counts[many]
-            yield {"doc_id": b.column("doc_id"), **rows, "often": often, "often_n": often_n}
+            held.append(values)
+            often, often_n = ([None] * some.num_rows for _ in range(2))
+            if at == b.num_rows:
+                values, counts = commonest(np.concatenate(held), int(np.ceil(max(4, FREQUENT / 2 * b.num_rows))))
+                often[0], often_n[0] = signed(values), counts
+            yield {"doc_id": some.column("doc_id"), **rows, "often": often, "often_n": often_n}
 
+
+def sets_of(docs: DataFrame) -> DataFrame:
+    """Per document: set size, digests and point; on one row of a batch also what is frequent in the batch."""
     ddl = "doc_id long, n_shingles long, id long, id2 long, fine binary, point binary, often array<long>, often_n array<long>"
-    return map_arrow(doc_text(docs), run, ddl)
+    return map_arrow(doc_text(docs), described, ddl)
 
 
 def frequent_shingles(sets: DataFrame, n_docs: int) -> np.ndarray:
@@ -199,21 +212,23 @@ def frequent_shingles(sets: DataFrame, n_docs: int) -> np.ndarray:
     return np.sort(top.column("s").to_numpy().view(np.uint64))
 
 
+def keyed(batches: Iterator[pa.RecordBatch], frequent: np.ndarray) -> Iterator[dict]:
+    """First shingles (``key``) of each set, with its digest."""
+    shingler = Shingler()
+    for b in portions(batches):
+        values, first = shingler.of(b.column("text").to_pylist())
+        both = digests(values, first)
+        new = np.zeros(b.num_rows, bool)
+        new[np.unique(both, axis=1, return_index=True)[1]] = True
+        chosen = first_shingles(values, first, frequent) & np.repeat(new, np.diff(first))
+        if chosen.any():
+            yield {"key": signed(values[chosen]), "id": np.repeat(both[0], np.diff(first))[chosen]}
+
+
 def blocks_of(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
     """Distinct ``b1``, ``b2`` (a block), ``m`` (its members) and ``id`` (one of them), for blocks of two or more classes."""
     late = docs.sparkSession.sparkContext.broadcast(frequent)  # FREQUENT_MOST numbers at most
 
-    def emit(batches):
-        shingler = Shingler()
-        for b in batches:
-            values, first = shingler.of(b.column("text").to_pylist())
-            both = digests(values, first)
-            new = np.zeros(b.num_rows, bool)
-            new[np.unique(both, axis=1, return_index=True)[1]] = True
-            chosen = first_shingles(values, first, late.value) & np.repeat(new, np.diff(first))
-            if chosen.any():
-                yield {"key": signed(values[chosen]), "id": np.repeat(both[0], np.diff(first))[chosen]}
-
     def meet(batches):
         held = [(b.column("key").to_numpy(), b.column("id").to_numpy()) for b in batches]
         if not held:
@@ -239,7 +254,7 @@ def blocks_of(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
         at = np.repeat(starts[several], sizes) + np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
         yield {"b1": signed(np.repeat(b1[several], sizes)), "b2": signed(np.repeat(b2[several], sizes)), "m": np.repeat(sizes, sizes), "id": ids[at]}
 
-    rows = map_arrow(doc_text(docs), emit, "key long, id long").repartition("key")
+    rows = map_arrow(doc_text(docs), lambda batches: keyed(batches, late.value), "key long, id long").repartition("key")
     stored = materialise(map_arrow(rows, meet, "b1 long, b2 long, m long, id long").distinct(), "blocks")
     late.destroy()
     return stored
@@ -416,7 +431,7 @@ def between(members: DataFrame) -> DataFrame:
 def with_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The rows, with their ``text`` replaced by the bytes of its ``set``."""
     shingler = Shingler()
-    for b in batches:
+    for b in portions(batches):
         values, first = shingler.of(b.column("text").to_pylist())
         yield b.drop_columns(["text"]).append_column("set", pa.array([s.tobytes() for s in cut(values, first)], pa.binary()))
 

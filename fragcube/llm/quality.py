@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fragcube.llm.text import doc_text, map_arrow
+from fragcube.llm.text import doc_text, map_arrow, release
 
 TRAIN_DOCUMENTS = 3_000
 TRAIN_RUNS = 4
@@ -232,5 +232,6 @@ def keep(docs: DataFrame, field: Field) -> DataFrame:
         for b in batches:
             texts = b.column(b.schema.get_field_index("text")).cast(pa.binary()).to_pylist()
             yield b.filter(pa.array([judge_text(t or b"", field)[-1] for t in texts], pa.bool_()))
+        release()
 
     return docs.mapInArrow(run, docs.schema)

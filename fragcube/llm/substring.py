@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fragcube.llm.text import Rolling, WordHash, doc_text, map_arrow, signed
+from fragcube.llm.text import Rolling, WordHash, doc_text, map_arrow, release, signed
 from fragcube.session import materialise
 
 WINDOW = 50
@@ -263,5 +263,6 @@ def strip(docs: DataFrame, window: int = WINDOW, kmer: int = KMER) -> DataFrame:
             columns = [b.column(b.schema.get_field_index(c)) for c in fields]
             columns[fields.index("text")] = pa.array(texts, pa.binary()).cast(b.schema.field(at).type)
             yield pa.record_batch(columns, names=fields)
+        release()
 
     return rows.mapInArrow(run, docs.schema)

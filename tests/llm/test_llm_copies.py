@@ -3,8 +3,11 @@
 import hashlib
 import random
 import re
+import tracemalloc
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -201,3 +204,45 @@ def test_strip_keeps_columns_and_clean_texts(clashing, rows):
 @pytest.mark.parametrize("op", [exact.decide, jaccard.join, substring.cut, substring.strip])
 def test_empty(empty, op):
     assert op(empty).count() == 0
+
+
+def peak_of(rows):
+    tracemalloc.start()
+    n = sum(len(r["id"]) for r in rows)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    return n, peak
+
+
+def test_a_task_holds_shingles_of_few_texts():
+    rng = random.Random(5)
+    texts = [" ".join(str(rng.randrange(10**6)) for _ in range(500)).encode() for _ in range(6000)]
+    batch = pa.record_batch({"doc_id": pa.array(range(len(texts))), "text": pa.array(texts, pa.binary())})
+    n, peak = peak_of(jaccard.keyed([batch], np.zeros(0, np.uint64)))
+    assert n > 90 * len(texts) and peak < 60e6  # all at once took 150 MB
+    whole = Counter(zip(*(np.concatenate([r[c] for r in jaccard.keyed([batch], np.zeros(0, np.uint64))]).tolist() for c in ("key", "id"))))
+    single = Counter()
+    for i in range(0, 50):
+        for r in jaccard.keyed([batch.slice(i, 1)], np.zeros(0, np.uint64)):
+            single.update(zip(r["key"].tolist(), r["id"].tolist()))
+    assert not single - whole
+    again = list(jaccard.described([batch]))
+    assert sum(len(r["n_shingles"]) for r in again) == len(texts) and sum(x is not None for r in again for x in r["often"]) == 1
+
+
+@pytest.mark.parametrize("least", [2, 4, 500])
+def test_commonest_numbers(least):
+    values = np.random.default_rng(3).zipf(1.5, 300).astype(np.uint64)
+    want = {v: n for v, n in Counter(values.tolist()).items() if n >= least}
+    got, n = jaccard.commonest(values, least)
+    assert dict(zip(got.tolist(), n.tolist())) == want
+
+
+def test_a_round_of_stars_is_one_job_that_sums_what_it_writes(spark, monkeypatch):
+    from fragcube.llm import components as module
+
+    stored = []
+    monkeypatch.setattr(module, "materialise_observed", lambda *a, f=module.materialise_observed: stored.append(f(*a)) or stored[-1])
+    chain = components(spark.createDataFrame([(i, i + 1) for i in range(40)], "a long, b long"))
+    assert {r["component"] for r in chain.collect()} == {0} and len(stored) > 2
+    assert all(sums["n"] == links.count() for links, sums in stored)
