@@ -469,3 +469,29 @@ def test_template_is_rejected_by_its_labels(spark):
     assert {r["verdict"] for r in got if r["path"].startswith("/en/")} == {"allow"}
     mixed = urls.filter_urls(pages, rules).collect()
     assert {r["verdict"] for r in mixed if r["rule"] is None} == {"allow"}
+
+
+@pytest.mark.parametrize("most", [4_000_000, 3_000, 100])
+def test_a_task_counts_each_context_once(spark, monkeypatch, most):
+    texts = [" ".join(random.Random(k).choices("the a of mixed words and others".split(), k=60)) for k in range(80)]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)] + [(None, "not learnt"), (3, None)], "doc_id long, text string").coalesce(1)
+    want = Counter()
+    for i, t in [*enumerate(texts), (3, "")]:
+        if mixing.trained(i):
+            x = mixing.symbols(t.encode())
+            for k, own in enumerate(mixing.contexts(x)):
+                want.update(zip((own + k * mixing.SLOTS).tolist(), np.append(x, np.uint16(mixing.END)).tolist()))
+    batch = pa.record_batch({"doc_id": pa.array([*range(len(texts)), None, 3]), "text": pa.array([*(t.encode() for t in texts), b"not learnt", None], pa.binary())})
+    monkeypatch.setattr(mixing, "CHUNK", 500)
+    monkeypatch.setattr(mixing, "PAIRS", most)
+    monkeypatch.setattr(mixing, "ROWS", 700)
+    got, rows = Counter(), 0
+    for out in mixing.counted_places([batch]):
+        rows += len(out["n"])
+        for c, s, n in zip(out["context"].tolist(), out["symbol"].tolist(), out["n"].tolist()):
+            got[c, s] += n
+    assert got == want and (rows == len(want) or most == 100)
+    table = mixing.context_counts(docs)
+    assert {(r["context"], s["symbol"]): s["n"] for r in table.collect() for s in r["seen"]} == want
+    plan = table._jdf.queryExecution().executedPlan().toString().partition("== Initial Plan ==")[2]
+    assert plan.count("Exchange ") == 1  # there were two
