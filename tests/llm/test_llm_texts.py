@@ -3,6 +3,7 @@
 import base64
 import hashlib
 import math
+import os
 import random
 import re
 import zlib
@@ -14,6 +15,7 @@ import pyarrow.parquet as pq
 import pytest
 
 P = pytest.importorskip("public_tokenizers")
+from fragcube import session  # noqa: E402
 from fragcube.llm import bpe, language, licenses, mixing, packing, quality, urls  # noqa: E402
 
 RANKS, VOCABULARY = P.path("byte_bpe_50k.tiktoken"), P.path("word_bpe_49k.json")
@@ -495,3 +497,36 @@ def test_a_task_counts_each_context_once(spark, monkeypatch, most):
     assert {(r["context"], s["symbol"]): s["n"] for r in table.collect() for s in r["seen"]} == want
     plan = table._jdf.queryExecution().executedPlan().toString().partition("== Initial Plan ==")[2]
     assert plan.count("Exchange ") == 1  # there were two
+
+
+def test_scoring_stores_less_than_its_texts(spark):
+    """Chunks send and get packed counts of what they hold, and no more for being many."""
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(rng.randint(2, 9)))
+    common = [word() for _ in range(2000)]
+    texts = [" ".join(word() if rng.random() < 0.1 else rng.choice(common) for _ in range(rng.randint(1, 900))) for _ in range(300)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    folder = session._own_folder(spark)
+    stored = lambda: sum(os.path.getsize(os.path.join(top, f)) for top, _, names in os.walk(folder) for f in names)
+    got, before = [], stored()
+    for n in (1, 6):
+        scored = mixing.score(docs.repartition(n, "doc_id"))
+        got.append({r["doc_id"]: r for r in scored.collect()})
+        now = stored()
+        assert now - before < sum(map(len, texts))
+        before = now
+    one, six = got
+    assert len(one) == len(texts) and one.keys() == six.keys()
+    for i, r in one.items():
+        assert r["score"] == pytest.approx(six[i]["score"], rel=1e-5) and r["base_score"] == pytest.approx(six[i]["base_score"], rel=1e-9)
+        assert all(r[k] == six[i][k] for k in ("held_out", "n_tokens", "n_known", "train_tokens"))
+
+
+def test_words_are_cut_as_bytes_are():
+    texts = [b"", b" \t\n\x0b\x0c\r", bytes(range(1, 128)) * 2, b"A\x1cb\x1fC\x85 \xc2\xa0d", "Ünï İ x ".encode(), b" a  B\tb\na "]
+    codes, words, many = mixing.words_of(texts)
+    ends = np.cumsum(many)
+    words = words.to_pylist()
+    assert len(set(words)) == len(words)
+    assert [[words[c] for c in codes[e - n : e]] for e, n in zip(ends, many)] == [t.lower().split() for t in texts]
+    assert mixing.words_of([])[2].tolist() == []
