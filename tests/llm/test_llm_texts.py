@@ -300,6 +300,38 @@ def test_short_texts_are_refined_from_learnt_start():
         assert got == pytest.approx(want, rel=2e-3)
 
 
+def test_second_lesson_needs_no_texts():
+    """What is kept of a chunk teaches the same as its texts, held-out ones and contexts without counts among them."""
+    rng = random.Random(7)
+    texts = [mixing.symbols("".join(rng.choice("abc De,é\0") for _ in range(n)).encode()) for n in [0, 1, 300, 900, 40, 700]]
+    learnt = [True, False, True, True, True, False]
+    base = (np.arange(mixing.ORDERS) * mixing.SLOTS)[:, None]
+    at = [((mixing.contexts(x) + base) * mixing.SYMBOLS + np.append(x, np.uint16(mixing.END))).ravel() for x, own in zip(texts, learnt) if own]
+    at, n = np.unique(np.concatenate(at), return_counts=True)
+    tree, start = mixing.Model(at, n).tree, mixing.Start()
+    places = mixing.Places(texts, keep=False, counted=learnt)
+    kept = mixing.Kept(mixing.Kept.packed(places, at, n))
+    want = mixing.lessons(tree, mixing.Odds(tree, at, n, counts=True), start, [x for x, own in zip(texts, learnt) if own])
+    got = mixing.lessons(tree, mixing.Odds(tree, kept.at, kept.odds_n, counts=True), start, kept)
+    assert np.abs(want).sum() > 0 and got == pytest.approx(want, rel=1e-9, abs=1e-9)
+    none = mixing.Places(texts, keep=False, counted=[False] * len(texts))
+    none = mixing.Kept(mixing.Kept.packed(none, at[:0], n[:0]))
+    assert not mixing.lessons(tree, mixing.Odds(tree, none.at, none.odds_n, counts=True), start, none).any()
+
+
+def test_chunks_hold_texts_of_like_lengths(monkeypatch):
+    """All texts of a chunk are read in as many steps as its longest has symbols."""
+    monkeypatch.setattr(mixing, "HOLD", 20_000)
+    rng = random.Random(3)
+    held = [(i, b"x" * (4000 if i % 10 == 0 else rng.randint(0, 100))) for i in range(400)] + [(None, b""), (3, b"")]
+    want = list(held)
+    chunks = list(mixing.by_length(held))
+    assert not held and sorted(map(repr, sum(chunks, []))) == sorted(map(repr, want)) and list(mixing.by_length([])) == []
+    assert all(sum(len(t) + 200 for _, t in c) < 20_000 + 4_200 for c in chunks)
+    longest = [max(len(t) for _, t in c) for c in chunks]
+    assert sum(n == 4000 for n in longest) <= 11 and sum(n <= 100 for n in longest) >= 4  # in the order that they come, each chunk has a long one
+
+
 def test_contexts_are_counted_apart(spark, docs, rows):
     """Every two and three bytes and every word so far have counts of their own, wherever these are looked up."""
     words = [bytes([97 + i // 676, 97 + i // 26 % 26, 97 + i % 26]).decode() for i in range(6000)]
